@@ -1,0 +1,8 @@
+"""Streaming: intentionally empty.
+
+The pipeline this library rebuilds is batch only (its copy job runs in
+batch mode and no step reads a stream), so there is no streaming operator
+to offer. Every builder takes and returns DataFrames, so the stateless
+ones (``conform``, ``apply_mapping``, the lookups) also run unchanged on a
+streaming DataFrame; the window-based ones do not, by Spark's rules.
+"""
