@@ -67,20 +67,26 @@ def _boundaries(keyed: DataFrame, n: int, buckets: int, seed: int) -> tuple[str,
     return (row["b"] or "[]"), int(row["nb"])
 
 
-def _bucket_of(sk: Column, bounds: Column, nb: int) -> Column:
-    """Number of boundaries <= sk, by binary search (fixed log2 steps)."""
-    steps = max(1, math.ceil(math.log2(nb + 1)))
-    init = F.struct(F.lit(0).alias("lo"), F.lit(nb).alias("hi"))
-
-    def step(acc, _i):
-        lo, hi = acc["lo"], acc["hi"]
-        mid = F.floor((lo + hi) / 2).cast("int")
-        go_right = F.element_at(bounds, mid + 1) <= sk
-        moved = F.when(go_right, F.struct((mid + 1).alias("lo"), hi.alias("hi"))) \
-                 .otherwise(F.struct(lo.alias("lo"), mid.alias("hi")))
-        return F.when(lo < hi, moved).otherwise(acc)
+def _with_bucket(df: DataFrame, sk: str, bounds: Column, nb: int, out: str) -> DataFrame:
+    """Add ``out`` = number of boundaries <= ``sk``, by an unrolled binary search.
 
-    return F.aggregate(F.sequence(F.lit(1), F.lit(steps)), init, step, lambda acc: acc["lo"])
+    log2(nb + 1) steps, each a plain projection (integer arithmetic, one
+    array-literal access, one struct comparison), so the whole search stays
+    inside whole-stage codegen - a higher-order ``aggregate`` would run
+    interpreted, row by row.
+    """
+    steps = max(1, math.ceil(math.log2(nb + 1)))
+    lo, hi = F.lit(0), F.lit(nb)
+    cols = []
+    for i in range(steps):
+        mid = F.shiftright(lo + hi, 1)
+        right = (lo < hi) & F.coalesce(F.try_element_at(bounds, mid + 1) <= F.col(sk), F.lit(False))
+        left = (lo < hi) & ~right
+        df = df.withColumn(f"_lo{i}", F.when(right, mid + 1).otherwise(lo)) \
+               .withColumn(f"_hi{i}", F.when(left, mid).otherwise(hi))
+        lo, hi = F.col(f"_lo{i}"), F.col(f"_hi{i}")
+        cols += [f"_lo{i}", f"_hi{i}"]
+    return df.withColumn(out, lo).drop(*cols)
 
 
 def add_key(df: DataFrame, key_name: str, order: Sequence[OrderItem], *,
@@ -110,8 +116,11 @@ def add_key(df: DataFrame, key_name: str, order: Sequence[OrderItem], *,
 
     sk_type = keyed.schema["_sk"].dataType.simpleString()
     bounds = F.from_json(F.lit(bounds_json), f"array<{sk_type}>")
-    bucketed = keyed.withColumn("_bucket", _bucket_of(F.col("_sk"), bounds, nb))
+    bucketed = _with_bucket(keyed, "_sk", bounds, nb, "_bucket")
 
+    # Bucket sizes: a count with a map-side partial aggregate, so the shuffle
+    # carries one row per bucket per map task (this branch reads only the
+    # order columns).
     counts = bucketed.groupBy("_bucket").agg(F.count(F.lit(1)).alias("_cnt"))
     offsets = counts.select(
         "_bucket",
