@@ -58,8 +58,11 @@ def version_history(df: DataFrame, keys: Sequence[str],
     map-side).
     """
     from starpipe.operators.keys import add_key
+    from starpipe.sources.io import materialize
 
-    pos = add_key(df, "_pos", list(keys) + list(order))
+    # Written once to the shared scratch folder: the numbered frame feeds four
+    # consumers below, and recomputing it would repeat the numbering shuffle.
+    pos = materialize(add_key(df, "_pos", list(keys) + list(order)), "versions")
     firsts = pos.groupBy(*keys).agg(F.min("_pos").alias("_first"),
                                     F.count(F.lit(1)).alias("VersionCount"))
     neighbour = pos.select(
