@@ -19,6 +19,33 @@ def _on(on: str | Sequence[str]) -> list[str]:
     return [on] if isinstance(on, str) else list(on)
 
 
+_SALT = "_null_salt"
+
+
+def _salt_width(df: DataFrame) -> int:
+    return max(1, int(df.sparkSession.conf.get("spark.sql.shuffle.partitions")))
+
+
+def _left_join_spread_nulls(fact: DataFrame, dim: DataFrame, keys: list[str], how: str) -> DataFrame:
+    """``fact`` left/anti-joined to ``dim`` on ``keys``, with NULL keys spread out.
+
+    A NULL key never matches, but a sort-merge join still hashes every NULL
+    to one reducer - and unmatched rows (the unknown member) can be a large
+    share of a fact. Such rows get a deterministic salt (a row hash over as
+    many values as there are shuffle partitions) as an extra join column;
+    matched candidates carry salt 0 on both sides, so results are unchanged.
+    """
+    any_null = None
+    for k in keys:
+        p = F.col(k).isNull()
+        any_null = p if any_null is None else any_null | p
+    width = _salt_width(fact)
+    salted = fact.withColumn(_SALT, F.when(any_null, F.pmod(F.xxhash64(*[F.col(c) for c in fact.columns]),
+                                                           F.lit(width)) + 1).otherwise(F.lit(0)))
+    right = dim.withColumn(_SALT, F.lit(0))
+    return salted.join(right, on=keys + [_SALT], how=how).drop(_SALT)
+
+
 def lookup_key(fact: DataFrame, dim: DataFrame, on: str | Sequence[str], key: str,
                default: int | None = 0, extra: Sequence[str] = ()) -> DataFrame:
     """Left-join ``dim[key]`` (and ``extra`` columns) onto ``fact`` by ``on``.
@@ -29,7 +56,7 @@ def lookup_key(fact: DataFrame, dim: DataFrame, on: str | Sequence[str], key: st
     as a left join does; see ``fanout_rows``.
     """
     cols = _on(on)
-    out = fact.join(dim.select(*cols, key, *extra), on=cols, how="left")
+    out = _left_join_spread_nulls(fact, dim.select(*cols, key, *extra), cols, "left")
     if default is not None:
         out = out.fillna({key: default})
     return out
@@ -40,7 +67,7 @@ def star_lookup(fact: DataFrame, lookups: Sequence[tuple[DataFrame, str | Sequen
     """Chain of ``lookup_key`` calls: [(dim, on, key), ...]."""
     out = fact
     for dim, on, key in lookups:
-        out = out.join(dim.select(*_on(on), key), on=_on(on), how="left")
+        out = _left_join_spread_nulls(out, dim.select(*_on(on), key), _on(on), "left")
     if default is not None:
         out = out.fillna({key: default for _, _, key in lookups})
     return out
@@ -52,24 +79,22 @@ def resolve_parent(child: DataFrame, parent: DataFrame, on: str | Sequence[str],
 
     ``cols`` items are a parent column or ``(parent column, new name)``. The
     child keeps every one of its columns (``child.*``); a parent column
-    replaces a child column of the same name.
+    replaces a child column of the same name. Join keys come first.
     """
     keys = _on(on)
-    c, p = child.alias("c"), parent.alias("p")
-    cond = None
-    for k in keys:
-        e = F.col(f"c.{k}") == F.col(f"p.{k}")
-        cond = e if cond is None else cond & e
     named = [(x, x) if isinstance(x, str) else x for x in cols]
-    replaced = {new for _, new in named}
-    kept = [F.col(f"c.{k}") for k in child.columns if k not in replaced]
-    return c.join(p, cond, "left").select(*kept, *[F.col(f"p.{src}").alias(new) for src, new in named])
+    clash = [new for _, new in named if new in keys]
+    if clash:
+        raise ValueError(f"parent columns {clash} would replace join keys")
+    replaced = [new for _, new in named if new in child.columns]
+    right = parent.select(*keys, *[F.col(src).alias(new) for src, new in named])
+    return _left_join_spread_nulls(child.drop(*replaced), right, keys, "left")
 
 
 def orphans(child: DataFrame, parent: DataFrame, on: str | Sequence[str]) -> DataFrame:
     """Child rows with no parent (a NULL key never has one): ``left_anti``."""
     keys = _on(on)
-    return child.join(parent.select(*keys), on=keys, how="left_anti")
+    return _left_join_spread_nulls(child, parent.select(*keys), keys, "left_anti")
 
 
 def fanout_rows(dim: DataFrame, on: str | Sequence[str]) -> DataFrame:

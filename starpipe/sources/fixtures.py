@@ -39,8 +39,13 @@ def _div(k: Column, d: int) -> Column:
 
 def _versions(df: DataFrame, k: Column, base_ts: Column) -> DataFrame:
     n = F.col("_n")
-    v = (df.withColumn("_n", F.explode(F.array(F.lit(0), F.lit(1), F.lit(2))))
-           .filter((n == 0) | ((n == 1) & (k % 3 == 0)) | ((n == 2) & (k % 7 == 0))))
+    by3, by7 = k % 3 == 0, k % 7 == 0
+    # Only the versions a key has are generated (no expand-then-filter).
+    versions = (F.when(by3 & by7, F.array(F.lit(0), F.lit(1), F.lit(2)))
+                 .when(by3, F.array(F.lit(0), F.lit(1)))
+                 .when(by7, F.array(F.lit(0), F.lit(2)))
+                 .otherwise(F.array(F.lit(0))))
+    v = df.withColumn("_n", F.explode(versions))
     return (v.withColumn("IsActive", F.when((k % 13 == 0) & (n == 0), F.lit(None).cast("boolean"))
                                        .otherwise((k + n) % 2 == 0))
              .withColumn("CreatedOn", base_ts + F.make_dt_interval(F.lit(0), n))

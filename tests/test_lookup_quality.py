@@ -69,3 +69,20 @@ def test_unmatched_parents_excludes_sentinel(spark):
     dim = spark.createDataFrame([(-1, 0), (5, 0), (6, 3)], "OrganisationId long, BusinessUnitKey long")
     got = [r[0] for r in Q.unmatched_parents(dim, "OrganisationId", "BusinessUnitKey").collect()]
     assert got == [5]
+
+
+def test_null_keys_are_spread_in_sort_merge_joins(spark):
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    try:
+        fact = spark.range(9000).select(
+            F.col("id"), F.when(F.col("id") % 3 == 0, F.lit(None)).otherwise(F.col("id") % 50).alias("bu"))
+        dim = spark.range(40).select(F.col("id").alias("bu"), (F.col("id") + 100).alias("k"))
+        out = lookup_key(fact, dim, "bu", "k")
+        plan = out._jdf.queryExecution().executedPlan().toString()
+        assert "SortMergeJoin" in plan and "_null_salt" in plan
+        got = {r["id"]: r["k"] for r in out.collect()}
+        assert len(got) == 9000
+        assert all(got[i] == (0 if i % 3 == 0 or i % 50 >= 40 else i % 50 + 100) for i in range(9000))
+        assert orphans(fact, dim, "bu").count() == 3000 + sum(1 for i in range(9000) if i % 3 and i % 50 >= 40)
+    finally:
+        spark.conf.unset("spark.sql.autoBroadcastJoinThreshold")
