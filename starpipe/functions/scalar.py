@@ -31,16 +31,26 @@ def spark_type(dtype: str) -> str:
     return _SPARK_TYPES.get(dtype, dtype)
 
 
-def safe_cast(col: Column | str, dtype: str) -> Column:
+_DATETIME = ("date", "timestamp_ntz", "timestamp")
+
+
+def safe_cast(col: Column | str, dtype: str, source_type: str | None = None) -> Column:
     """Cast that yields NULL instead of failing.
 
-    Dates and timestamps go through their text form, so string and typed
-    inputs are treated alike. Timestamps are zone-less (TIMESTAMP_NTZ):
+    Text is parsed (a value that does not parse becomes NULL); a column that
+    already has the target type passes through untouched, and a typed
+    date/timestamp converts directly - no round trip through text, whose
+    result would be the same. Timestamps are zone-less (TIMESTAMP_NTZ):
     operational wall-clock times must not shift with the session zone.
+    ``source_type`` is the input's ``simpleString()`` type when known.
     """
     c = F.col(col) if isinstance(col, str) else col
     t = spark_type(dtype)
+    if source_type == t:
+        return c
     if t in ("date", "timestamp_ntz"):
+        if source_type in _DATETIME:
+            return c.cast(t)
         return c.cast("string").try_cast(t)
     return c.try_cast(t)
 

@@ -22,7 +22,12 @@ def apply_mapping(df: DataFrame, mapping: Mapping | None = None) -> DataFrame:
     """
     if mapping is None:
         return df.select("*")
-    return df.select(*[safe_cast(src, dtype).alias(dst) for src, dst, dtype in mapping])
+    types = _types(df)
+    return df.select(*[safe_cast(src, dtype, types.get(src)).alias(dst) for src, dst, dtype in mapping])
+
+
+def _types(df: DataFrame) -> dict[str, str]:
+    return {f.name: f.dataType.simpleString() for f in df.schema.fields}
 
 
 def resolve_source(df: DataFrame, candidates: Sequence[str]) -> str:
@@ -48,7 +53,9 @@ def conform(df: DataFrame, contract: Contract) -> DataFrame:
             p = F.col(c).isNotNull()
             cond = p if cond is None else cond & p
         df = df.filter(cond)
-    out = df.select(*[safe_cast(sources[f.target], f.dtype).alias(f.target) for f in contract.fields])
+    types = _types(df)
+    out = df.select(*[safe_cast(sources[f.target], f.dtype, types.get(sources[f.target])).alias(f.target)
+                      for f in contract.fields])
     cond = None
     for k in contract.required:
         p = F.col(k).isNotNull()
