@@ -37,6 +37,7 @@ ROWS_PER_BUCKET = 2_000_000
 MAX_BUCKETS = 100_000
 MIN_SPLIT_ROWS = 10_000
 SAMPLES_PER_BUCKET = 32
+MAX_SAMPLE = 1_000_000   # the boundary sample is numbered in one task
 SEED = 20240101
 
 
@@ -50,10 +51,10 @@ def _bucket_count(n: int, parallelism: int, rows_per_bucket: int, max_buckets: i
 
 def _boundaries(keyed: DataFrame, n: int, buckets: int, seed: int) -> tuple[str, int]:
     """Sample the sort struct; return ``buckets - 1`` quantile boundaries (JSON, count)."""
-    fraction = min(1.0, SAMPLES_PER_BUCKET * buckets / max(n, 1))
+    fraction = min(1.0, min(SAMPLES_PER_BUCKET * buckets, MAX_SAMPLE) / max(n, 1))
     sample = keyed.select("_sk").sample(withReplacement=False, fraction=fraction, seed=seed)
-    # The sample is bounded (about SAMPLES_PER_BUCKET * buckets rows), so
-    # numbering it in one ordered window is cheap.
+    # The sample is bounded (about SAMPLES_PER_BUCKET * buckets rows, at most
+    # MAX_SAMPLE), so numbering it in one ordered window is cheap.
     ranked = sample.select(
         "_sk",
         F.row_number().over(Window.orderBy("_sk")).alias("_i"),

@@ -129,28 +129,35 @@ def occupancy_outlook(fact_enr: DataFrame, as_of=None, months: int = 6) -> DataF
 
 
 def funnel_conversion(events: DataFrame, steps: Sequence[str] = FUNNEL_STEPS,
-                      user: str = "user_id", kind: str = "event_type", ts: str = "ts") -> DataFrame:
+                      user: str = "user_id", kind: str = "event_type", ts: str = "ts",
+                      persist: bool = True) -> DataFrame:
     """Ordered funnel: a user reaches step k with an event of that type at or
     after the moment they reached step k-1 (first time). Per step: users
     reaching it, conversion from the previous step and from the first.
 
-    Each step is a per-user ``min`` (combined map-side) joined to the next
-    step's events by user - no per-user window, so a user with a third of
-    all events is split across tasks by the aggregation and by AQE's skew
-    join handling.
+    Step k: that step's events (type filter pushed to the scan) inner-joined
+    to the users who reached step k-1, filtered on time, then a per-user
+    ``min`` (combined map-side). No per-user window anywhere; in an inner
+    join AQE may split either side, so a user holding a third of all events
+    is spread over tasks. Each step's per-user table feeds the next step
+    and the count, so it is written once to the shared scratch folder
+    (``persist``) instead of being recomputed for every later step.
     """
+    from starpipe.sources.io import materialize
+
     ev = events.select(F.col(user).alias("_u"), F.col(kind).alias("_k"), F.col(ts).alias("_t"))
-    reached = (ev.filter(F.col("_k") == steps[0]).groupBy("_u").agg(F.min("_t").alias("_t")))
-    counts = [reached.agg(F.count(F.lit(1)).alias("Users")).select(
-        F.lit(1).alias("StepNumber"), F.lit(steps[0]).alias("Step"), "Users")]
+    keep = (lambda df, i: materialize(df, f"funnel{i}")) if persist else (lambda df, i: df)
+    reached = keep(ev.filter(F.col("_k") == steps[0]).groupBy("_u").agg(F.min("_t").alias("_t")), 1)
+    counts = [reached.agg(F.count(F.lit(1)).alias("Users"))
+              .select(F.lit(1).alias("StepNumber"), F.lit(steps[0]).alias("Step"), "Users")]
     for i, step in enumerate(steps[1:], start=2):
         nxt = (ev.filter(F.col("_k") == step)
                .join(reached.withColumnRenamed("_t", "_prev"), on="_u", how="inner")
                .filter(F.col("_t") >= F.col("_prev"))
                .groupBy("_u").agg(F.min("_t").alias("_t")))
-        counts.append(nxt.agg(F.count(F.lit(1)).alias("Users")).select(
-            F.lit(i).alias("StepNumber"), F.lit(step).alias("Step"), "Users"))
-        reached = nxt
+        reached = keep(nxt, i)
+        counts.append(reached.agg(F.count(F.lit(1)).alias("Users"))
+                      .select(F.lit(i).alias("StepNumber"), F.lit(step).alias("Step"), "Users"))
     allc = counts[0]
     for c in counts[1:]:
         allc = allc.unionByName(c)

@@ -375,6 +375,7 @@ SELECT 'GenderId' AS ColumnName, CAST(GenderId AS VARCHAR) AS Value, count(*) AS
 WHERE NOT COALESCE(GenderId IN (0, 1), false) GROUP BY CAST(GenderId AS VARCHAR)"""),
     "fanout_rows": (("cln_Organisation",), """
 SELECT OrganisationId, count(*) AS Matches FROM cln_Organisation GROUP BY OrganisationId HAVING count(*) > 1"""),
+    "table_roundtrip": (("cln_Enrollment",), "SELECT * FROM cln_Enrollment"),
     "preview_rows": (("orphan_enr",), "SELECT * FROM orphan_enr ORDER BY EnrollmentId, BusinessUnitId LIMIT 50"),
     "booking_detail": (("fact_Attendance", "dim_Attendee", "cln_Program", "dim_Date"), """
 SELECT f.AttendanceId, f.BookingId, f.AttendeeId, a.AccountId, f.ProgramId, p.ProgramName, f.AttendanceDate,

@@ -339,6 +339,11 @@ def q_fanout_rows(spark, sf):
     return fanout_rows(_wh(spark, sf).cln("Organisation"), "OrganisationId")
 
 
+def q_table_roundtrip(spark, sf):
+    """Write a cleaned table to the shared folder, read it back (sink -> source)."""
+    return materialize(clean.clean_enrollment(_stg("Enrollment")(spark, sf)), "roundtrip")
+
+
 def q_preview_rows(spark, sf):
     return preview(_orphan_enrollments(spark, sf), ["EnrollmentId", "BusinessUnitId"], 50)
 
@@ -420,6 +425,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "unexpected_values": q_unexpected_values,
     "fanout_rows": q_fanout_rows,
     "preview_rows": q_preview_rows,
+    "table_roundtrip": q_table_roundtrip,
     "booking_detail": q_booking_detail,
     "occupancy_rate": q_occupancy_rate,
     "attendance_behaviour": q_attendance_behaviour,
