@@ -42,50 +42,108 @@ def dedup(df: DataFrame, keys: Sequence[str], order: Sequence[OrderItem]) -> Dat
 
 def version_history(df: DataFrame, keys: Sequence[str],
                     order: Sequence[OrderItem] = LATEST_ORDER,
-                    value: str = "UpdatedOn") -> DataFrame:
+                    value: str = "UpdatedOn", buckets: int | None = None) -> DataFrame:
     """Rank every version of a business key and link it to its neighbours.
 
     Adds ``VersionRank`` (1 = the record ``latest_per_key`` keeps),
     ``VersionCount``, ``Prev<value>`` (the version ranked just before) and
     ``Next<value>`` (just after).
 
-    Not a window over the key: that would put all versions of a hot key in
-    one task. Instead every row gets a dense global position in (keys, order)
-    order from ``add_key`` - range-bucketed on composite boundaries, so a hot
-    key is spread over many tasks - and neighbours are equi-joins on
-    position +/- 1, which are unique and cannot skew. The rank is the
-    position minus the key's first position (a per-key ``min``, combined
-    map-side).
-    """
-    from starpipe.operators.keys import add_key
-    from starpipe.sources.io import materialize
-
-    # Written once to the shared scratch folder: the numbered frame feeds four
-    # consumers below, and recomputing it would repeat the numbering shuffle.
-    pos = materialize(add_key(df, "_pos", list(keys) + list(order)), "versions")
-    firsts = pos.groupBy(*keys).agg(F.min("_pos").alias("_first"),
-                                    F.count(F.lit(1)).alias("VersionCount"))
-    neighbour = pos.select(
-        F.col("_pos").alias("_npos"),
-        *[F.col(k).alias(f"_n_{k}") for k in keys],
-        F.col(value).alias("_nval"),
-    )
+    Not a window over the key, which would put all versions of a hot key
+    in one task. The rows are range-bucketed on (keys, order) - composite
+    boundaries, so a hot key is spread over several buckets - and every
+    window runs per bucket. What crosses a bucket edge comes from a small
+    table with one row per boundary:
 
-    def linked(step: int, name: str) -> DataFrame:
-        same = None
-        for k in keys:
-            p = F.col(f"_n_{k}") == F.col(k)
-            same = p if same is None else same & p
-        j = pos.select("_pos", *keys).join(
-            neighbour.withColumn("_npos", F.col("_npos") - step)
-                     .withColumnRenamed("_npos", "_pos"),
-            on="_pos", how="inner")
-        return j.filter(same).select("_pos", F.col("_nval").alias(name))
+    * how many rows of the boundary's key lie in earlier / later buckets
+      (one light aggregation pass over the order columns, then running sums
+      over runs of equal boundary keys), which completes rank and count;
+    * the last row of the previous bucket and the first row of the next,
+      which complete ``Prev`` / ``Next`` at bucket edges.
 
+    One shuffle of the data (by bucket) in all; the edge table has at most
+    one row per bucket, so it is broadcast.
+    """
+    from starpipe.operators.keys import per_bucket_literal, range_buckets
+
+    frame, bounds, nb = range_buckets(df, list(keys) + list(order), buckets=buckets)
+    sk = F.col("_sk")
+
+    def key_of(s) -> F.Column:  # the key prefix of a sort struct (null flag + value per key)
+        return F.struct(*[s[f"{p}{i}"] for i in range(len(keys)) for p in ("n", "v")])
+
+    kv = F.struct(key_of(sk).alias("k"), F.col(value).alias("v"))
+    frame = frame.withColumn("_key", key_of(sk)).withColumn("_kv", kv)
+
+    if nb:
+        spark = df.sparkSession
+        lo = F.when(F.col("_bucket") >= 1, key_of(F.try_element_at(bounds, F.col("_bucket"))))
+        hi = key_of(F.try_element_at(bounds, F.col("_bucket") + 1))
+        stats = (frame.select("_bucket", "_sk", "_kv",
+                              F.coalesce(F.col("_key") == lo, F.lit(False)).alias("_isLo"),
+                              F.coalesce(F.col("_key") == hi, F.lit(False)).alias("_isHi"))
+                 .groupBy("_bucket")
+                 .agg(F.count_if("_isLo").alias("_cLo"), F.count_if("_isHi").alias("_cHi"),
+                      F.min_by("_kv", "_sk").alias("_first"), F.max_by("_kv", "_sk").alias("_last")))
+        # One row per boundary j (1..nb): bucket j starts at it, bucket j-1 ends before it.
+        bnd = (spark.range(1).select(F.posexplode(bounds).alias("_p", "_b"))
+               .select((F.col("_p") + 1).alias("_j"), key_of(F.col("_b")).alias("_bk")))
+        below = stats.select((F.col("_bucket") + 1).alias("_j"), "_cHi")
+        above = stats.select(F.col("_bucket").alias("_j"), "_cLo")
+        w_j = Window.orderBy("_j")  # nb rows
+        bnd = (bnd.join(below, "_j", "left").join(above, "_j", "left").fillna({"_cHi": 0, "_cLo": 0})
+               .withColumn("_new", F.coalesce(F.col("_bk") != F.lag("_bk").over(w_j), F.lit(True)))
+               .withColumn("_run", F.sum(F.col("_new").cast("int")).over(w_j)))
+        w_run = Window.partitionBy("_run").orderBy("_j")
+        bnd = bnd.select(
+            "_j", "_bk",
+            F.sum("_cHi").over(w_run.rowsBetween(Window.unboundedPreceding, 0)).alias("_before"),
+            F.sum("_cLo").over(w_run.rowsBetween(0, Window.unboundedFollowing)).alias("_after"))
+        w_b = Window.orderBy("_bucket")  # one row per non-empty bucket
+        edges = (stats.select("_bucket", F.lag("_last").over(w_b).alias("_prevLast"),
+                              F.lead("_first").over(w_b).alias("_nextFirst"))
+                 .join(bnd.select(F.col("_j").alias("_bucket"), F.col("_bk").alias("_lo"),
+                                  F.col("_before")), "_bucket", "left")
+                 .join(bnd.select((F.col("_j") - 1).alias("_bucket"), F.col("_bk").alias("_hi"),
+                                  F.col("_after")), "_bucket", "left"))
+        # At most one row per bucket: collected once into a literal indexed by
+        # bucket, so rows look their edge up - no join on the bucket column.
+        fields = ("_prevLast", "_nextFirst", "_lo", "_before", "_hi", "_after")
+        packed = edges.select("_bucket", F.struct(*fields).alias("_v"))
+        lit = per_bucket_literal(packed, nb, packed.schema["_v"].dataType.simpleString())
+        e = F.element_at(lit, F.col("_bucket") + 1)
+        frame = frame.select("*", *[e[c].alias(c) for c in fields])
+    else:
+        kv_t = frame.schema["_kv"].dataType
+        key_t = frame.schema["_key"].dataType
+        frame = frame.select("*", *[F.lit(None).cast(t).alias(c) for c, t in (
+            ("_prevLast", kv_t), ("_nextFirst", kv_t), ("_lo", key_t), ("_before", "bigint"),
+            ("_hi", key_t), ("_after", "bigint"))])
+
+    w = Window.partitionBy("_bucket").orderBy("_sk")
+    key = F.col("_key")
+    out = (frame
+           .withColumn("_rn", F.row_number().over(w))
+           .withColumn("_lag", F.lag("_kv").over(w))
+           .withColumn("_lead", F.lead("_kv").over(w)))
+    out = (out.withColumn("_newRun", F.coalesce(F.col("_lag.k") != key, F.lit(True)))
+              .withColumn("_endRun", F.coalesce(F.col("_lead.k") != key, F.lit(True))))
+    out = (out.withColumn("_runStart", F.max(F.when(F.col("_newRun"), F.col("_rn")))
+                          .over(w.rowsBetween(Window.unboundedPreceding, 0)))
+              .withColumn("_runEnd", F.min(F.when(F.col("_endRun"), F.col("_rn")))
+                          .over(w.rowsBetween(0, Window.unboundedFollowing))))
+    from_lo = F.when(F.coalesce(key == F.col("_lo"), F.lit(False)), F.col("_before")).otherwise(0)
+    to_hi = F.when(F.coalesce(key == F.col("_hi"), F.lit(False)), F.col("_after")).otherwise(0)
     prev_name, next_name = f"Prev{value}", f"Next{value}"
-    out = (pos.join(firsts, on=list(keys), how="inner")
-              .withColumn("VersionRank", (F.col("_pos") - F.col("_first") + 1).cast("int"))
-              .join(linked(-1, prev_name), on="_pos", how="left")
-              .join(linked(1, next_name), on="_pos", how="left")
-              .drop("_pos", "_first"))
+    out = out.select(
+        *df.columns,
+        (F.col("_rn") - F.col("_runStart") + 1 + from_lo).cast("int").alias("VersionRank"),
+        (F.col("_runEnd") - F.col("_runStart") + 1 + from_lo + to_hi).cast("long").alias("VersionCount"),
+        F.when(~F.col("_newRun"), F.col("_lag.v"))
+         .when(F.col("_lag").isNull() & F.coalesce(F.col("_prevLast.k") == key, F.lit(False)),
+               F.col("_prevLast.v")).alias(prev_name),
+        F.when(~F.col("_endRun"), F.col("_lead.v"))
+         .when(F.col("_lead").isNull() & F.coalesce(F.col("_nextFirst.k") == key, F.lit(False)),
+               F.col("_nextFirst.v")).alias(next_name),
+    )
     return out

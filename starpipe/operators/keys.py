@@ -25,6 +25,7 @@ The numbers equal the global ``row_number`` whenever the order is total.
 
 from __future__ import annotations
 
+import json
 import math
 from collections.abc import Sequence
 
@@ -40,6 +41,28 @@ SAMPLES_PER_BUCKET = 32
 MAX_SAMPLE = 1_000_000   # the boundary sample is numbered in one task
 SEED = 20240101
 
+# Exact JSON round trip for the small per-bucket literals (microseconds kept).
+JSON_OPTIONS = {
+    "timestampFormat": "yyyy-MM-dd'T'HH:mm:ss.SSSSSSXXX",
+    "timestampNTZFormat": "yyyy-MM-dd'T'HH:mm:ss.SSSSSS",
+}
+
+
+def json_literal(text: str, ddl: str) -> Column:
+    """A literal parsed from JSON text; constant-folded into one plan literal."""
+    return F.from_json(F.lit(text), ddl, JSON_OPTIONS)
+
+
+def per_bucket_literal(rows: DataFrame, nb: int, value_ddl: str) -> Column:
+    """Collect a table keyed by ``_bucket`` (at most nb + 1 rows) into a dense
+    literal array indexed by bucket (element ``_bucket + 1``; NULL where a
+    bucket has no row). Per-row lookups then need no join on ``_bucket``."""
+    text = rows.agg(F.to_json(F.collect_list(F.struct("_bucket", F.col("_v"))), JSON_OPTIONS)).first()[0]
+    dense = [None] * (nb + 1)
+    for item in json.loads(text or "[]"):
+        dense[item["_bucket"]] = item.get("_v")
+    return json_literal(json.dumps(dense), f"array<{value_ddl}>")
+
 
 def _bucket_count(n: int, parallelism: int, rows_per_bucket: int, max_buckets: int,
                   min_split_rows: int) -> int:
@@ -62,7 +85,7 @@ def _boundaries(keyed: DataFrame, n: int, buckets: int, seed: int) -> tuple[str,
     )
     step = F.greatest(F.lit(1), F.floor(F.col("_m") / buckets))
     picked = (ranked.filter((F.col("_i") % step == 0) & (F.col("_i") < step * buckets))
-                    .agg(F.to_json(F.array_sort(F.collect_list("_sk"))).alias("b"),
+                    .agg(F.to_json(F.array_sort(F.collect_list("_sk")), JSON_OPTIONS).alias("b"),
                          F.count(F.lit(1)).alias("nb")))
     row = picked.first()
     return (row["b"] or "[]"), int(row["nb"])
@@ -87,18 +110,25 @@ def _with_bucket(df: DataFrame, sk: str, bounds: Column, nb: int, out: str) -> D
                .withColumn(f"_hi{i}", F.when(left, mid).otherwise(hi))
         lo, hi = F.col(f"_lo{i}"), F.col(f"_hi{i}")
         cols += [f"_lo{i}", f"_hi{i}"]
-    return df.withColumn(out, lo).drop(*cols)
-
-
-def add_key(df: DataFrame, key_name: str, order: Sequence[OrderItem], *,
-            unique: bool = False, rows_per_bucket: int = ROWS_PER_BUCKET,
-            max_buckets: int = MAX_BUCKETS, min_split_rows: int = MIN_SPLIT_ROWS,
-            buckets: int | None = None, seed: int = SEED) -> DataFrame:
-    """Append ``key_name`` = 1..N (long) in ``order`` (nulls last), distributed.
-
-    ``unique=True`` declares the order columns unique (a business key after
-    cleaning) and skips the whole-row hash tie-breaker. Runs two small jobs
-    when called (a count and a boundary sample); the result is lazy.
+    # Emitted through a generator: the search columns reference each other
+    # several times per step, and optimizer rules that trace a column back
+    # through aliases (dynamic partition pruning, constraint inference) would
+    # expand the chain exponentially. A generator's output is a new
+    # attribute, which ends that tracing; a one-element explode costs nothing.
+    return df.select("*", F.explode(F.array(lo)).alias(out)).drop(*cols)
+
+
+def range_buckets(df: DataFrame, order: Sequence[OrderItem], *, unique: bool = False,
+                  rows_per_bucket: int = ROWS_PER_BUCKET, max_buckets: int = MAX_BUCKETS,
+                  min_split_rows: int = MIN_SPLIT_ROWS, buckets: int | None = None,
+                  seed: int = SEED) -> tuple[DataFrame, Column | None, int]:
+    """Split ``df`` into contiguous ranges of ``order``.
+
+    Returns ``(frame, bounds, nb)``: ``frame`` is ``df`` plus ``_sk`` (the
+    sort struct) and ``_bucket`` (0..nb; every row of bucket b sorts before
+    every row of bucket b+1), ``bounds`` the boundary literal (an array of
+    ``_sk`` values; bucket b >= 1 starts at ``bounds[b]``, 1-based) and
+    ``nb`` the number of boundaries (0 = one bucket, no bounds).
     """
     tiebreak = None if unique else F.xxhash64(*[F.col(c) for c in df.columns])
     keyed = df.withColumn("_sk", ascending_struct(df, order, tiebreak))
@@ -111,29 +141,47 @@ def add_key(df: DataFrame, key_name: str, order: Sequence[OrderItem], *,
         n = df.count() if buckets > 1 else 0
     bounds_json, nb = _boundaries(keyed, n, buckets, seed) if buckets > 1 else ("[]", 0)
     if nb == 0:
-        # Small input: one ordered window is the cheapest correct plan.
-        w = Window.orderBy(*sort_columns(order), *([F.col("_sk")] if tiebreak is not None else []))
-        return keyed.withColumn(key_name, F.row_number().over(w).cast("long")).drop("_sk")
-
+        return keyed.withColumn("_bucket", F.lit(0)), None, 0
     sk_type = keyed.schema["_sk"].dataType.simpleString()
-    bounds = F.from_json(F.lit(bounds_json), f"array<{sk_type}>")
-    bucketed = _with_bucket(keyed, "_sk", bounds, nb, "_bucket")
+    bounds = json_literal(bounds_json, f"array<{sk_type}>")
+    return _with_bucket(keyed, "_sk", bounds, nb, "_bucket"), bounds, nb
+
+
+def add_key(df: DataFrame, key_name: str, order: Sequence[OrderItem], *,
+            unique: bool = False, rows_per_bucket: int = ROWS_PER_BUCKET,
+            max_buckets: int = MAX_BUCKETS, min_split_rows: int = MIN_SPLIT_ROWS,
+            buckets: int | None = None, seed: int = SEED) -> DataFrame:
+    """Append ``key_name`` = 1..N (long) in ``order`` (nulls last), distributed.
 
-    # Bucket sizes: a count with a map-side partial aggregate, so the shuffle
-    # carries one row per bucket per map task (this branch reads only the
-    # order columns).
+    ``unique=True`` declares the order columns unique (a business key after
+    cleaning) and skips the whole-row hash tie-breaker. Runs two small jobs
+    when called (a count, a boundary sample, bucket sizes); the result is lazy.
+    """
+    bucketed, _, nb = range_buckets(df, order, unique=unique, rows_per_bucket=rows_per_bucket,
+                                    max_buckets=max_buckets, min_split_rows=min_split_rows,
+                                    buckets=buckets, seed=seed)
+    if nb == 0:
+        # Small input: one ordered window is the cheapest correct plan.
+        w = Window.orderBy("_sk")
+        return bucketed.withColumn(key_name, F.row_number().over(w).cast("long")).drop("_sk", "_bucket")
+
+    # Bucket sizes: a count with a map-side partial aggregate (this pass
+    # reads only the order columns). The nb + 1 offsets become a literal
+    # array, so the numbering pass looks its offset up instead of joining on
+    # ``_bucket`` - no join for the optimizer to trace through the search.
     counts = bucketed.groupBy("_bucket").agg(F.count(F.lit(1)).alias("_cnt"))
-    offsets = counts.select(
-        "_bucket",
-        (F.sum("_cnt").over(Window.orderBy("_bucket")) - F.col("_cnt")).alias("_offset"),
-    )
+    text = counts.agg(F.to_json(F.collect_list(F.struct("_bucket", "_cnt")))).first()[0]
+    sizes = [0] * (nb + 1)
+    for item in json.loads(text or "[]"):
+        sizes[item["_bucket"]] = item["_cnt"]
+    offsets, running = [], 0
+    for size in sizes:          # nb + 1 numbers
+        offsets.append(running)
+        running += size
+    offset = F.element_at(json_literal(json.dumps(offsets), "array<bigint>"), F.col("_bucket") + 1)
     w = Window.partitionBy("_bucket").orderBy("_sk")
-    numbered = bucketed.withColumn("_rn", F.row_number().over(w))
-    # Left, not inner: an inner join would infer ``isnotnull(_bucket)`` and
-    # evaluate the bucket search a second time. Every bucket has an offset.
-    return (numbered.join(F.broadcast(offsets), on="_bucket", how="left")
-                    .withColumn(key_name, (F.col("_rn") + F.col("_offset")).cast("long"))
-                    .drop("_sk", "_bucket", "_rn", "_offset"))
+    return (bucketed.withColumn(key_name, (F.row_number().over(w) + offset).cast("long"))
+                    .drop("_sk", "_bucket"))
 
 
 def add_key_single_partition(df: DataFrame, key_name: str, order: Sequence[OrderItem]) -> DataFrame:

@@ -107,3 +107,55 @@ def test_version_history_with_a_hot_key(spark):
     cols = want.columns
     assert got.select(*cols).exceptAll(want).count() == 0
     assert want.exceptAll(got.select(*cols)).count() == 0
+
+
+def _history_oracle(df, keys):
+    from pyspark.sql import Window
+
+    w = Window.partitionBy(*keys).orderBy(F.col("IsActive").desc_nulls_last(),
+                                          F.col("UpdatedOn").desc_nulls_last(),
+                                          F.col("CreatedOn").desc_nulls_last())
+    return df.select("*", F.row_number().over(w).cast("int").alias("VersionRank"),
+                     F.count(F.lit(1)).over(Window.partitionBy(*keys)).alias("VersionCount"),
+                     F.lag("UpdatedOn").over(w).alias("PrevUpdatedOn"),
+                     F.lead("UpdatedOn").over(w).alias("NextUpdatedOn"))
+
+
+def test_version_history_keys_spanning_many_buckets(spark):
+    rows = []
+    for i in range(6000):
+        k = 0 if i % 3 == 0 else (1 if i % 5 == 0 else i % 400)   # two hot keys
+        upd = None if i % 11 == 0 else _t("2020-01-01") + dt.timedelta(hours=i)
+        rows.append((k, None if i % 13 == 0 else i % 2 == 0, upd,
+                     _t("2019-01-01") + dt.timedelta(minutes=i), str(i)))
+    df = spark.createDataFrame(rows, LATEST_ROWS)
+    for b in (2, 37, 200):
+        got = version_history(df, ["k"], buckets=b)
+        want = _history_oracle(df, ["k"])
+        cols = want.columns
+        assert got.select(*cols).exceptAll(want).count() == 0, b
+        assert want.exceptAll(got.select(*cols)).count() == 0, b
+
+
+def test_version_history_exact_duplicates_and_composite_keys(spark):
+    # identical rows give identical sort values: boundaries may repeat and
+    # leave empty buckets; ranks among identical rows are interchangeable
+    rows = [(i % 4, _t("2020-01-01"), _t("2020-01-01"), "same") for i in range(800)]
+    rows += [(i % 4, _t("2020-01-01") + dt.timedelta(days=i), _t("2020-01-02"), str(i)) for i in range(800)]
+    df = (spark.createDataFrame(rows, "k long, UpdatedOn timestamp_ntz, CreatedOn timestamp_ntz, tag string")
+          .withColumn("IsActive", F.lit(True)).withColumn("k2", F.col("k") % 2))
+    got = version_history(df, ["k2", "k"], buckets=60)
+    want = _history_oracle(df, ["k2", "k"])
+    cols = want.columns
+    assert got.select(*cols).exceptAll(want).count() == 0
+    assert want.exceptAll(got.select(*cols)).count() == 0
+
+
+def test_version_history_single_bucket(spark):
+    rows = [(i % 3, i % 2 == 0, _t("2020-01-01") + dt.timedelta(hours=i), _t("2019-01-01"), str(i))
+            for i in range(30)]
+    df = spark.createDataFrame(rows, LATEST_ROWS)
+    got = version_history(df, ["k"])
+    want = _history_oracle(df, ["k"])
+    assert got.select(*want.columns).exceptAll(want).count() == 0
+    assert want.exceptAll(got.select(*want.columns)).count() == 0

@@ -61,9 +61,10 @@ def test_add_key_non_unique_order_is_a_permutation(spark):
 def test_add_key_avoids_single_partition_exchange_for_the_rows(spark):
     df = spark.range(20000).withColumn("v", F.col("id") * 7 % 1000)
     plan = add_key(df, "k", ["v", "id"], unique=True)._jdf.queryExecution().executedPlan().toString()
-    # the only single-partition exchange is over the per-bucket counts
-    assert plan.count("SinglePartition") == 1
-    assert "hashpartitioning(_bucket" in plan
+    # rows go through one hash exchange on the bucket; offsets are a literal
+    assert "SinglePartition" not in plan
+    assert plan.count("Exchange hashpartitioning(_bucket") == 1
+    assert "Join" not in plan
 
 
 def test_add_key_empty_and_tiny(spark):
