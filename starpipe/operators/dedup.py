@@ -120,30 +120,31 @@ def version_history(df: DataFrame, keys: Sequence[str],
             ("_prevLast", kv_t), ("_nextFirst", kv_t), ("_lo", key_t), ("_before", "bigint"),
             ("_hi", key_t), ("_after", "bigint"))])
 
-    w = Window.partitionBy("_bucket").orderBy("_sk")
+    # Shuffle by bucket only (a hot key keeps spanning several tasks); the
+    # per-(bucket, key) window below is satisfied by that partitioning and
+    # adds only a sort. No frame looks forward row by row: the count is a
+    # whole-partition aggregate, neighbours are lag/lead within the key.
+    frame = frame.repartition("_bucket")
+    w = Window.partitionBy("_bucket", "_key").orderBy("_sk")
     key = F.col("_key")
     out = (frame
-           .withColumn("_rn", F.row_number().over(w))
-           .withColumn("_lag", F.lag("_kv").over(w))
-           .withColumn("_lead", F.lead("_kv").over(w)))
-    out = (out.withColumn("_newRun", F.coalesce(F.col("_lag.k") != key, F.lit(True)))
-              .withColumn("_endRun", F.coalesce(F.col("_lead.k") != key, F.lit(True))))
-    out = (out.withColumn("_runStart", F.max(F.when(F.col("_newRun"), F.col("_rn")))
-                          .over(w.rowsBetween(Window.unboundedPreceding, 0)))
-              .withColumn("_runEnd", F.min(F.when(F.col("_endRun"), F.col("_rn")))
-                          .over(w.rowsBetween(0, Window.unboundedFollowing))))
+           .withColumn("_r", F.row_number().over(w))
+           .withColumn("_n", F.count(F.lit(1)).over(
+               w.rowsBetween(Window.unboundedPreceding, Window.unboundedFollowing)))
+           .withColumn("_lag", F.lag(value).over(w))
+           .withColumn("_lead", F.lead(value).over(w)))
     from_lo = F.when(F.coalesce(key == F.col("_lo"), F.lit(False)), F.col("_before")).otherwise(0)
     to_hi = F.when(F.coalesce(key == F.col("_hi"), F.lit(False)), F.col("_after")).otherwise(0)
     prev_name, next_name = f"Prev{value}", f"Next{value}"
     out = out.select(
         *df.columns,
-        (F.col("_rn") - F.col("_runStart") + 1 + from_lo).cast("int").alias("VersionRank"),
-        (F.col("_runEnd") - F.col("_runStart") + 1 + from_lo + to_hi).cast("long").alias("VersionCount"),
-        F.when(~F.col("_newRun"), F.col("_lag.v"))
-         .when(F.col("_lag").isNull() & F.coalesce(F.col("_prevLast.k") == key, F.lit(False)),
-               F.col("_prevLast.v")).alias(prev_name),
-        F.when(~F.col("_endRun"), F.col("_lead.v"))
-         .when(F.col("_lead").isNull() & F.coalesce(F.col("_nextFirst.k") == key, F.lit(False)),
-               F.col("_nextFirst.v")).alias(next_name),
+        (F.col("_r") + from_lo).cast("int").alias("VersionRank"),
+        (F.col("_n") + from_lo + to_hi).cast("long").alias("VersionCount"),
+        F.when(F.col("_r") > 1, F.col("_lag"))
+         .when(F.coalesce(F.col("_prevLast.k") == key, F.lit(False)), F.col("_prevLast.v"))
+         .alias(prev_name),
+        F.when(F.col("_r") < F.col("_n"), F.col("_lead"))
+         .when(F.coalesce(F.col("_nextFirst.k") == key, F.lit(False)), F.col("_nextFirst.v"))
+         .alias(next_name),
     )
     return out
