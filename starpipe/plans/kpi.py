@@ -12,6 +12,7 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from starpipe.functions.scalar import _as_date_col
+from starpipe.operators.lookup import lookup_key
 
 # --- fixed values: funnel steps in order (our definition over the event table).
 FUNNEL_STEPS = ("view", "click", "signup", "purchase")
@@ -19,17 +20,20 @@ FUNNEL_STEPS = ("view", "click", "signup", "purchase")
 
 def booking_detail(fact_att: DataFrame, dim_att: DataFrame, program: DataFrame,
                    dim_date: DataFrame) -> DataFrame:
-    """Who booked, which program, when: one row per attendance."""
-    f = fact_att.alias("f")
-    return (f.join(dim_att.select("AttendeeKey", "AccountId").alias("a"),
-                   F.col("f.AttendeeKey") == F.col("a.AttendeeKey"), "left")
-             .join(program.select("ProgramId", "ProgramName").alias("p"),
-                   F.col("f.ProgramId") == F.col("p.ProgramId"), "left")
-             .join(dim_date.select("DateKey", "DayName", "YearMonth").alias("d"),
-                   F.col("f.AttendanceDateKey") == F.col("d.DateKey"), "left")
-             .select("f.AttendanceId", "f.BookingId", "f.AttendeeId", "a.AccountId",
-                     "f.ProgramId", "p.ProgramName", "f.AttendanceDate", "d.DayName",
-                     "d.YearMonth", "f.TimeStart", "f.TimeEnd", "f.AttendanceMinutes"))
+    """Who booked, which program, when: one row per attendance.
+
+    The unknown attendee (key 0) never matches a dimension row, so it joins
+    as NULL - and NULL keys are spread by the lookup's salt instead of all
+    landing on one reducer.
+    """
+    f = fact_att.withColumn("_ak", F.when(F.col("AttendeeKey") != 0, F.col("AttendeeKey")))
+    out = lookup_key(f, dim_att.select(F.col("AttendeeKey").alias("_ak"), "AccountId"), "_ak",
+                     "AccountId", default=None)
+    out = lookup_key(out, program, "ProgramId", "ProgramName", default=None)
+    out = lookup_key(out, dim_date.select(F.col("DateKey").alias("AttendanceDateKey"), "DayName", "YearMonth"),
+                     "AttendanceDateKey", "DayName", default=None, extra=("YearMonth",))
+    return out.select("AttendanceId", "BookingId", "AttendeeId", "AccountId", "ProgramId", "ProgramName",
+                      "AttendanceDate", "DayName", "YearMonth", "TimeStart", "TimeEnd", "AttendanceMinutes")
 
 
 def _active_at(as_of) -> F.Column:
