@@ -62,7 +62,8 @@ def version_history(df: DataFrame, keys: Sequence[str],
       which complete ``Prev`` / ``Next`` at bucket edges.
 
     One shuffle of the data (by bucket) in all; the edge table has at most
-    one row per bucket, so it is broadcast.
+    one row per bucket and is collected once into a literal array that rows
+    index by bucket.
     """
     from starpipe.operators.keys import per_bucket_literal, range_buckets
 

@@ -12,13 +12,15 @@ through one task. ``add_key`` gives the same numbers with the work spread:
    and folded into the plan as a literal - so every later pass, and every
    task retry after an executor loss, sees the very same boundaries).
 3. A row's bucket is the number of boundaries <= its struct, found by a
-   binary search over the literal array (log2(B) comparisons per row).
+   binary search over the literal array (log2(B) comparisons per row,
+   unrolled into plain projections so it stays in whole-stage codegen).
    Boundaries are composite values, so a leading column with few distinct
    values, or one value holding a third of the rows, still splits evenly.
-4. Count per bucket (combined map-side), running sum over the B counts
-   -> offset; ``row_number`` inside the bucket + offset = the key.
-   The offsets table has exactly B rows (B is bounded by ``max_buckets``),
-   so broadcasting it is safe by construction.
+4. Count per bucket (combined map-side); the prefix sums of the B counts
+   are the offsets, folded into the plan as a literal array (B is bounded
+   by ``max_buckets``); ``row_number`` inside the bucket + its offset = the
+   key. The final plan is one hash exchange on the bucket - no join, no
+   single-partition step.
 
 The numbers equal the global ``row_number`` whenever the order is total.
 """
