@@ -80,12 +80,17 @@ class Warehouse:
             (self.cln("Attendance"), ["AttendanceDate"]),
         ]))
 
+    def enr_keys(self) -> DataFrame:
+        return self._keep("Enrollment_Keys", lambda: model.enrollment_keys(self.cln("Enrollment")))
+
     def fact_enr(self) -> DataFrame:
         return self._keep("Fact_Enrollment", lambda: model.fact_enrollment(
-            self.cln("Enrollment"), self.dim_bu(), self.dim_org(), self.dim_att()))
+            self.cln("Enrollment"), self.dim_bu(), self.dim_org(), self.dim_att(), keyed=self.enr_keys()))
 
     def fact_att(self) -> DataFrame:
-        return model.fact_attendance(self.cln("Attendance"), self.fact_enr(), self.dim_bu(),
+        # The enrolment lookup needs only the keyed enrolments (the fact's
+        # lookups are on unique dimensions, so its rows are the same 1:1).
+        return model.fact_attendance(self.cln("Attendance"), self.enr_keys(), self.dim_bu(),
                                      self.dim_org(), self.dim_att())
 
     def fact_hc(self) -> DataFrame:
@@ -177,9 +182,7 @@ def q_version_history(spark, sf):
 
 
 def q_dedup_lookup(spark, sf):
-    w = _wh(spark, sf)
-    keyed = add_key(w.cln("Enrollment"), "EnrollmentFactKey", ["BusinessUnitId", "EnrollmentId"], unique=True)
-    return model.enrollment_lookup(keyed)
+    return model.enrollment_lookup(_wh(spark, sf).enr_keys())
 
 
 LINE_KEY = ["l_orderkey", "l_linenumber", "l_partkey", "l_suppkey"]
