@@ -112,8 +112,10 @@ def version_history(df: DataFrame, keys: Sequence[str],
         fields = ("_prevLast", "_nextFirst", "_lo", "_before", "_hi", "_after")
         packed = edges.select("_bucket", F.struct(*fields).alias("_v"))
         lit = per_bucket_literal(packed, nb, packed.schema["_v"].dataType.simpleString())
-        e = F.element_at(lit, F.col("_bucket") + 1)
-        frame = frame.select("*", *[e[c].alias(c) for c in fields])
+        # One lookup per row, through a generator so the literal is referenced
+        # once (each reference would carry its own copy in the plan).
+        frame = (frame.select("*", F.explode(F.array(F.element_at(lit, F.col("_bucket") + 1))).alias("_e"))
+                      .select("*", *[F.col(f"_e.{c}").alias(c) for c in fields]).drop("_e"))
     else:
         kv_t = frame.schema["_kv"].dataType
         key_t = frame.schema["_key"].dataType

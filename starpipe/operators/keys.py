@@ -93,25 +93,46 @@ def _boundaries(keyed: DataFrame, n: int, buckets: int, seed: int) -> tuple[str,
     return (row["b"] or "[]"), int(row["nb"])
 
 
-def _with_bucket(df: DataFrame, sk: str, bounds: Column, nb: int, out: str) -> DataFrame:
-    """Add ``out`` = number of boundaries <= ``sk``, by an unrolled binary search.
+UNROLL_MAX = 8191   # boundaries up to which the search is unrolled
+
 
-    log2(nb + 1) steps, each a plain projection (integer arithmetic, one
-    array-literal access, one struct comparison), so the whole search stays
-    inside whole-stage codegen - a higher-order ``aggregate`` would run
-    interpreted, row by row.
+def _with_bucket(df: DataFrame, sk: str, bounds: Column, nb: int, out: str) -> DataFrame:
+    """Add ``out`` = number of boundaries <= ``sk`` (a binary search).
+
+    Up to ``UNROLL_MAX`` boundaries the search is unrolled into log2(nb + 1)
+    plain projections (integer arithmetic, one array-literal access and one
+    struct comparison per step), so it stays in whole-stage codegen. Each
+    step refers to the boundary literal once; constant folding gives every
+    reference its own copy in the serialized plan, so beyond ``UNROLL_MAX``
+    the search runs as one ``aggregate`` expression instead - one copy of
+    the literal, interpreted per row.
     """
     steps = max(1, math.ceil(math.log2(nb + 1)))
+    if nb > UNROLL_MAX:
+        init = F.struct(F.lit(0).alias("lo"), F.lit(nb).alias("hi"))
+
+        def step(acc, _i):
+            lo, hi = acc["lo"], acc["hi"]
+            mid = F.shiftright(lo + hi, 1)
+            right = F.coalesce(F.try_element_at(bounds, mid + 1) <= F.col(sk), F.lit(False))
+            moved = F.when(right, F.struct((mid + 1).alias("lo"), hi.alias("hi"))) \
+                     .otherwise(F.struct(lo.alias("lo"), mid.alias("hi")))
+            return F.when(lo < hi, moved).otherwise(acc)
+
+        search = F.aggregate(F.sequence(F.lit(1), F.lit(steps)), init, step, lambda acc: acc["lo"])
+        return df.select("*", F.explode(F.array(search)).alias(out))
+
     lo, hi = F.lit(0), F.lit(nb)
     cols = []
     for i in range(steps):
         mid = F.shiftright(lo + hi, 1)
-        right = (lo < hi) & F.coalesce(F.try_element_at(bounds, mid + 1) <= F.col(sk), F.lit(False))
-        left = (lo < hi) & ~right
-        df = df.withColumn(f"_lo{i}", F.when(right, mid + 1).otherwise(lo)) \
-               .withColumn(f"_hi{i}", F.when(left, mid).otherwise(hi))
+        df = df.withColumn(f"_g{i}", F.coalesce(F.try_element_at(bounds, mid + 1) <= F.col(sk), F.lit(False)))
+        go = (lo < hi) & F.col(f"_g{i}")
+        stay = (lo < hi) & ~F.col(f"_g{i}")
+        df = df.withColumn(f"_lo{i}", F.when(go, mid + 1).otherwise(lo)) \
+               .withColumn(f"_hi{i}", F.when(stay, mid).otherwise(hi))
         lo, hi = F.col(f"_lo{i}"), F.col(f"_hi{i}")
-        cols += [f"_lo{i}", f"_hi{i}"]
+        cols += [f"_g{i}", f"_lo{i}", f"_hi{i}"]
     # Emitted through a generator: the search columns reference each other
     # several times per step, and optimizer rules that trace a column back
     # through aliases (dynamic partition pruning, constraint inference) would

@@ -82,3 +82,12 @@ def test_add_key_property_dense_and_ordered(spark, rows, buckets):
     df = spark.createDataFrame(rows, "a int, id long")
     got = add_key(df, "k", ["a", "id"], unique=True, buckets=buckets, min_split_rows=0)
     assert _same(got, add_key_single_partition(df, "k", ["a", "id"]))
+
+
+def test_add_key_large_boundary_count_uses_single_literal_search(spark, monkeypatch):
+    from starpipe.operators import keys as K
+
+    monkeypatch.setattr(K, "UNROLL_MAX", 3)     # force the non-unrolled search path
+    df = spark.range(5000).select((F.col("id") * 7919 % 5000).alias("v"), F.col("id"))
+    got = add_key(df, "k", ["v", "id"], unique=True, buckets=40)
+    assert _same(got, add_key_single_partition(df, "k", ["v", "id"]))
