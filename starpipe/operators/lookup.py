@@ -102,3 +102,19 @@ def fanout_rows(dim: DataFrame, on: str | Sequence[str]) -> DataFrame:
     keys = _on(on)
     return (dim.groupBy(*keys).agg(F.count(F.lit(1)).alias("Matches"))
                .filter(F.col("Matches") > 1))
+
+
+def with_unknown_member(dim: DataFrame, key: str, ids: str | Sequence[str], sentinel: int = -1,
+                        unknown: int = 0) -> DataFrame:
+    """The dimension plus one explicit unknown-member row.
+
+    Facts that match nothing get surrogate key ``unknown`` (0); this adds a
+    dimension row carrying that key, with ``sentinel`` (-1) as its business
+    id(s) and NULL elsewhere, so joins from facts to the dimension keep
+    unmatched facts visible. Off by default in the pipeline.
+    """
+    id_cols = _on(ids)
+    row = dim.sparkSession.range(1).select(*[
+        (F.lit(unknown) if c == key else F.lit(sentinel) if c in id_cols else F.lit(None))
+        .cast(dim.schema[c].dataType).alias(c) for c in dim.columns])
+    return dim.unionByName(row)

@@ -70,3 +70,29 @@ def test_occupancy_rate_includes_empty_organisations(spark):
     got = {r["OrganisationId"]: (r["ActiveEnrollments"], r["OccupancyRatePct"])
            for r in kpi.occupancy_rate(enr, cap, as_of="1998-06-30").collect()}
     assert got == {1: (1, 2.0), 2: (0, 0.0)}
+
+
+def test_funnel_with_a_user_holding_a_third_of_events(spark):
+    kinds = ["view", "click", "signup", "purchase"]
+    events = []
+    for i in range(3000):
+        u = 0 if i % 3 == 0 else i % 97 + 1
+        events.append((u, kinds[(i * 13 + u) % 4], _t("2024-01-01") + dt.timedelta(seconds=(i * 7919) % 86400)))
+    df = spark.createDataFrame(events, "user_id long, event_type string, ts timestamp_ntz")
+    got = {r["Step"]: r["Users"] for r in kpi.funnel_conversion(df).collect()}
+    assert got == _funnel_brute(events, kpi.FUNNEL_STEPS)
+
+
+def test_booking_detail_unknown_attendee_stays_visible(spark):
+    fact = spark.createDataFrame(
+        [(1, 1, 7, 5, 100, 20240101, dt.date(2024, 1, 1), None, None, None),
+         (2, 2, 8, 0, 101, 20240102, dt.date(2024, 1, 2), None, None, None)],
+        "AttendanceId long, BookingId long, AttendeeId long, AttendeeKey long, ProgramId long, "
+        "AttendanceDateKey int, AttendanceDate date, TimeStart timestamp_ntz, TimeEnd timestamp_ntz, "
+        "AttendanceMinutes int")
+    dim_att = spark.createDataFrame([(5, 55)], "AttendeeKey long, AccountId long")
+    program = spark.createDataFrame([(100, "Swim")], "ProgramId long, ProgramName string")
+    dim_date = spark.createDataFrame([(20240101, "Monday", "2024-01")], "DateKey int, DayName string, YearMonth string")
+    got = {r["AttendanceId"]: (r["AccountId"], r["ProgramName"], r["DayName"])
+           for r in kpi.booking_detail(fact, dim_att, program, dim_date).collect()}
+    assert got == {1: (55, "Swim", "Monday"), 2: (None, None, None)}

@@ -86,3 +86,15 @@ def test_null_keys_are_spread_in_sort_merge_joins(spark):
         assert orphans(fact, dim, "bu").count() == 3000 + sum(1 for i in range(9000) if i % 3 and i % 50 >= 40)
     finally:
         spark.conf.unset("spark.sql.autoBroadcastJoinThreshold")
+
+
+def test_with_unknown_member(spark):
+    from starpipe.operators.lookup import with_unknown_member
+
+    dim = spark.createDataFrame([(1, 10, "a")], "OrganisationKey long, OrganisationId long, Name string")
+    got = {r["OrganisationKey"]: tuple(r) for r in with_unknown_member(dim, "OrganisationKey", "OrganisationId").collect()}
+    assert got == {1: (1, 10, "a"), 0: (0, -1, None)}
+    # the sentinel is what the unmatched-parent report leaves out
+    assert Q.unmatched_parents(with_unknown_member(dim, "OrganisationKey", "OrganisationId")
+                               .withColumn("BusinessUnitKey", F.lit(0)), "OrganisationId",
+                               "BusinessUnitKey").count() == 1
