@@ -18,9 +18,10 @@ def spark():
     scratch = tempfile.mkdtemp(prefix="starpipe-tests-")
     s = get_session("local[*]", shuffle_partitions=8, extra={
         "spark.sql.warehouse.dir": os.path.join(scratch, "warehouse"),
-        "spark.checkpoint.dir": os.path.join(scratch, "ckpt"),
         "spark.driver.memory": "8g",
     })
+    from starpipe.session import scratch_dir
+    scratch_dir(s)   # the session's spark.checkpoint.dir, or a temp folder when none is set
     yield s
     s.stop()
 
