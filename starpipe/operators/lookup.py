@@ -41,8 +41,10 @@ def _left_join_spread_nulls(fact: DataFrame, dim: DataFrame, keys: list[str], ho
         any_null = p if any_null is None else any_null | p
     width = _salt_width(fact)
     salted = fact.withColumn(_SALT, F.when(any_null, F.pmod(F.xxhash64(*[F.col(c) for c in fact.columns]),
-                                                           F.lit(width)) + 1).otherwise(F.lit(0)))
-    right = dim.withColumn(_SALT, F.lit(0))
+                                                           F.lit(width)) + 1).otherwise(F.lit(0)).cast("long"))
+    # Always 0, but computed from the row: a literal 0 would be folded into
+    # the join condition and drop out of the hash-partitioning keys.
+    right = dim.withColumn(_SALT, F.pmod(F.xxhash64(*[F.col(k) for k in keys]), F.lit(1)).cast("long"))
     return salted.join(right, on=keys + [_SALT], how=how).drop(_SALT)
 
 
