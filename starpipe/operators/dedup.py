@@ -19,17 +19,23 @@ LATEST_ORDER: tuple[OrderItem, ...] = (
 
 
 def latest_per_key(df: DataFrame, keys: Sequence[str],
-                   order: Sequence[OrderItem] = LATEST_ORDER) -> DataFrame:
+                   order: Sequence[OrderItem] = LATEST_ORDER,
+                   deterministic: bool = True) -> DataFrame:
     """Keep row 1 of each business key under ``order`` (nulls last).
 
     Plans as Exchange(hash keys) + Sort + Window with a ``WindowGroupLimit``
     on *both* sides of the exchange: each map task already keeps only its
     best row per key, so a key holding a third of all rows ships one row per
     map task, not a third of the table, to a single reducer.
-    Ties under ``order`` are broken arbitrarily; append tie-breakers to the
-    order when a single answer is needed.
+
+    Rows that tie under ``order`` are ranked by a hash of the whole row
+    (``deterministic``), so the winner does not depend on the order rows
+    arrive in - a recomputed task after an executor loss picks the same row.
     """
-    w = Window.partitionBy(*keys).orderBy(*sort_columns(order))
+    cols = sort_columns(order)
+    if deterministic:
+        cols.append(F.xxhash64(*[F.col(c) for c in df.columns]).asc())
+    w = Window.partitionBy(*keys).orderBy(*cols)
     return (df.withColumn("_rn", F.row_number().over(w))
               .filter(F.col("_rn") == 1)
               .drop("_rn"))

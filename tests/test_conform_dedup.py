@@ -159,3 +159,10 @@ def test_version_history_single_bucket(spark):
     want = _history_oracle(df, ["k"])
     assert got.select(*want.columns).exceptAll(want).count() == 0
     assert want.exceptAll(got.select(*want.columns)).count() == 0
+
+
+def test_latest_per_key_ties_resolve_the_same_way_in_any_row_order(spark):
+    rows = [(1, True, _t("2020-01-01"), _t("2020-01-01"), f"tie{i}") for i in range(50)]
+    a = spark.createDataFrame(rows, LATEST_ROWS).repartition(7)
+    b = spark.createDataFrame(list(reversed(rows)), LATEST_ROWS).repartition(3)
+    assert latest_per_key(a, ["k"]).first()["tag"] == latest_per_key(b, ["k"]).first()["tag"]
