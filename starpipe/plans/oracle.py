@@ -340,6 +340,10 @@ WHERE Id IS NULL OR BusinessUnitId IS NULL"""),
             ("Fact_Attendance", "fact_Attendance"), ("Fact_Headcount", "fact_Headcount"),
             ("Dim_Date", "dim_Date"), ("Dim_BusinessUnit", "dim_BusinessUnit"),
             ("Dim_Organisation", "dim_Organisation")))),
+    "surrogate_key_integrity": (("fact_Attendance",), """
+SELECT count(*) AS FinalRows, count(DISTINCT AttendanceFactKey) AS DistinctKeys,
+       count(DISTINCT AttendanceId) AS DistinctBusinessKeys, min(AttendanceFactKey) AS MinKey,
+       max(AttendanceFactKey) AS MaxKey FROM fact_Attendance"""),
     "profile_keys": (("stg_Attendee",), _profile_keys_sql("stg_Attendee", ["Id", "BusinessUnitId"])),
     "profile_composite_key": (("dim_Organisation",), """
 SELECT count(*) AS FinalRows, count(DISTINCT OrganisationKey) AS DistinctKeys,

@@ -281,6 +281,16 @@ def q_table_row_counts(spark, sf):
     })
 
 
+def q_surrogate_key_integrity(spark, sf):
+    """Rows = distinct surrogate keys = distinct business keys, keys 1..N."""
+    fa = _wh(spark, sf).fact_att()
+    return fa.agg(F.count(F.lit(1)).alias("FinalRows"),
+                  F.count_distinct("AttendanceFactKey").alias("DistinctKeys"),
+                  F.count_distinct("AttendanceId").alias("DistinctBusinessKeys"),
+                  F.min("AttendanceFactKey").alias("MinKey"),
+                  F.max("AttendanceFactKey").alias("MaxKey"))
+
+
 def q_profile_keys(spark, sf):
     return Q.profile_keys(_stg("Attendee")(spark, sf), ["Id", "BusinessUnitId"])
 
@@ -415,6 +425,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "unmatched_parents": q_unmatched_parents,
     "missing_key_rows": q_missing_key_rows,
     "table_row_counts": q_table_row_counts,
+    "surrogate_key_integrity": q_surrogate_key_integrity,
     "profile_keys": q_profile_keys,
     "profile_composite_key": q_profile_composite_key,
     "profile_unmatched": q_profile_unmatched,
