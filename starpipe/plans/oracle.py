@@ -13,6 +13,7 @@ import datetime as dt
 
 from starpipe import contracts as C
 from starpipe.plans import registry as R
+from starpipe.sources.manifest import ATTENDANCE_MAPPING
 
 BASE = "TIMESTAMP '2020-01-01 00:00:00'"
 
@@ -279,8 +280,13 @@ _MAP = ", ".join(
     f"{'CAST(o_orderdate AS DATE)' if t == 'date' else _convert(s, t)} AS {d}" for s, d, t in R.MAP_COLUMNS)
 _LINE_ORDER = ", ".join(R.LINE_KEY)
 
+
+def _copy_sql(mapping, table: str) -> str:
+    return "SELECT " + ", ".join(f"{_convert(src, t)} AS {dst}" for src, dst, t in mapping) + f" FROM {table}"
+
 FINAL: dict[str, tuple[tuple[str, ...], str]] = {
     "map_columns": ((), f"SELECT {_MAP} FROM orders"),
+    "copy_attendance": (("stg_Attendance",), _copy_sql(ATTENDANCE_MAPPING, "stg_Attendance")),
     "clean_business_unit": (("cln_BusinessUnit",), "SELECT * FROM cln_BusinessUnit"),
     "clean_organisation": (("cln_Organisation",), "SELECT * FROM cln_Organisation"),
     "clean_attendee": (("cln_Attendee",), "SELECT * FROM cln_Attendee"),

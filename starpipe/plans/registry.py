@@ -124,6 +124,12 @@ def q_map_columns(spark, sf):
     return apply_mapping(fixtures.base(spark, sf, "orders"), MAP_COLUMNS)
 
 
+def q_copy_attendance(spark, sf):
+    """The copy job's declared Attendance mapping applied to the staging rows."""
+    from starpipe.sources.manifest import ATTENDANCE_MAPPING
+    return apply_mapping(_stg("Attendance")(spark, sf), ATTENDANCE_MAPPING)
+
+
 def q_clean_business_unit(spark, sf):
     return clean.clean_business_unit(_stg("BusinessUnit")(spark, sf))
 
@@ -399,6 +405,7 @@ def q_funnel_conversion(spark, sf):
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "map_columns": q_map_columns,
+    "copy_attendance": q_copy_attendance,
     "clean_business_unit": q_clean_business_unit,
     "clean_organisation": q_clean_organisation,
     "clean_attendee": q_clean_attendee,
