@@ -350,6 +350,13 @@ WHERE Id IS NULL OR BusinessUnitId IS NULL"""),
 SELECT count(*) AS FinalRows, count(DISTINCT AttendanceFactKey) AS DistinctKeys,
        count(DISTINCT AttendanceId) AS DistinctBusinessKeys, min(AttendanceFactKey) AS MinKey,
        max(AttendanceFactKey) AS MaxKey FROM fact_Attendance"""),
+    "profile_dim_business_unit": (("dim_BusinessUnit",), """
+SELECT count(*) AS FinalRows, count(DISTINCT BusinessUnitKey) AS DistinctKeys,
+       count(DISTINCT BusinessUnitId) AS DistinctBusinessUnitIds,
+       count(*) FILTER (WHERE BusinessUnitId IS NULL) AS MissingBusinessUnitIds FROM dim_BusinessUnit"""),
+    "dim_duplicate_keys": (("dim_Organisation",), """
+SELECT BusinessUnitId, OrganisationId, count(*) AS "count" FROM dim_Organisation
+GROUP BY BusinessUnitId, OrganisationId HAVING count(*) > 1"""),
     "profile_keys": (("stg_Attendee",), _profile_keys_sql("stg_Attendee", ["Id", "BusinessUnitId"])),
     "profile_composite_key": (("dim_Organisation",), """
 SELECT count(*) AS FinalRows, count(DISTINCT OrganisationKey) AS DistinctKeys,

@@ -297,6 +297,20 @@ def q_surrogate_key_integrity(spark, sf):
                   F.max("AttendanceFactKey").alias("MaxKey"))
 
 
+def q_profile_dim_business_unit(spark, sf):
+    """The validation frame of the business-unit dimension."""
+    d = q_dim_business_unit(spark, sf)
+    return d.agg(F.count(F.lit(1)).alias("FinalRows"),
+                 F.count_distinct("BusinessUnitKey").alias("DistinctKeys"),
+                 F.count_distinct("BusinessUnitId").alias("DistinctBusinessUnitIds"),
+                 F.count_if(F.col("BusinessUnitId").isNull()).alias("MissingBusinessUnitIds"))
+
+
+def q_dim_duplicate_keys(spark, sf):
+    """Business keys held twice in the organisation dimension (none after cleaning)."""
+    return Q.duplicate_keys(q_dim_organisation(spark, sf), ["BusinessUnitId", "OrganisationId"])
+
+
 def q_profile_keys(spark, sf):
     return Q.profile_keys(_stg("Attendee")(spark, sf), ["Id", "BusinessUnitId"])
 
@@ -433,6 +447,8 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "missing_key_rows": q_missing_key_rows,
     "table_row_counts": q_table_row_counts,
     "surrogate_key_integrity": q_surrogate_key_integrity,
+    "profile_dim_business_unit": q_profile_dim_business_unit,
+    "dim_duplicate_keys": q_dim_duplicate_keys,
     "profile_keys": q_profile_keys,
     "profile_composite_key": q_profile_composite_key,
     "profile_unmatched": q_profile_unmatched,
