@@ -96,3 +96,21 @@ def test_booking_detail_unknown_attendee_stays_visible(spark):
     got = {r["AttendanceId"]: (r["AccountId"], r["ProgramName"], r["DayName"])
            for r in kpi.booking_detail(fact, dim_att, program, dim_date).collect()}
     assert got == {1: (55, "Swim", "Monday"), 2: (None, None, None)}
+
+
+def test_attendance_behaviour_by_weekday(spark):
+    rows = [(1, 10, dt.date(2024, 1, 1), 30), (1, 11, dt.date(2024, 1, 1), None),   # Monday
+            (1, 10, dt.date(2024, 1, 8), 60), (2, 12, dt.date(2024, 1, 6), 15)]      # Monday, Saturday
+    df = spark.createDataFrame(rows, "OrganisationId long, AttendeeId long, AttendanceDate date, "
+                                     "AttendanceMinutes int")
+    got = {(r["OrganisationId"], r["DayName"]): (r["DayOfWeek"], r["Visits"], r["Attendees"], r["TotalMinutes"],
+                                                 r["AvgMinutes"])
+           for r in kpi.attendance_behaviour(df).collect()}
+    assert got == {(1, "Monday"): (2, 3, 2, 90, 45.0), (2, "Saturday"): (7, 1, 1, 15, 15.0)}
+
+
+def test_new_enrollments_monthly_change_on_previous_month(spark):
+    dates = [dt.date(2024, 1, 5)] * 3 + [dt.date(2024, 2, 1)] + [dt.date(2024, 4, 9)] * 2 + [None]
+    df = spark.createDataFrame([(d,) for d in dates], "EnrolledDate date")
+    got = [tuple(r) for r in kpi.new_enrollments_monthly(df).orderBy("YearMonth").collect()]
+    assert got == [("2024-01", 3, None, None), ("2024-02", 1, 3, -2), ("2024-04", 2, 1, 1)]
