@@ -66,12 +66,17 @@ def per_bucket_literal(rows: DataFrame, nb: int, value_ddl: str) -> Column:
     return json_literal(json.dumps(dense), f"array<{value_ddl}>")
 
 
+MIN_BUCKET_ROWS = 5_000   # no point in a task per few hundred rows
+
+
 def _bucket_count(n: int, parallelism: int, rows_per_bucket: int, max_buckets: int,
                   min_split_rows: int) -> int:
+    """Enough buckets to keep each under ``rows_per_bucket`` and to use the
+    shuffle parallelism, but none smaller than ``MIN_BUCKET_ROWS``."""
     if n < min_split_rows:
         return 1
-    b = max(math.ceil(n / rows_per_bucket), parallelism)
-    return int(max(1, min(b, max_buckets, n)))
+    b = max(math.ceil(n / rows_per_bucket), min(parallelism, n // MIN_BUCKET_ROWS))
+    return int(max(1, min(b, max_buckets)))
 
 
 def _boundaries(keyed: DataFrame, n: int, buckets: int, seed: int) -> tuple[str, int]:
