@@ -17,3 +17,17 @@ Sub-packages:
 """
 
 __version__ = "0.1.0"
+
+from starpipe.functions.scalar import date_key, duration_minutes, safe_cast, valid_date  # noqa: E402
+from starpipe.operators.conform import apply_mapping, conform  # noqa: E402
+from starpipe.operators.dedup import latest_per_key, version_history  # noqa: E402
+from starpipe.operators.keys import add_key  # noqa: E402
+from starpipe.operators.lookup import lookup_key, orphans, star_lookup  # noqa: E402
+from starpipe.plans.pipeline import run_pipeline  # noqa: E402
+from starpipe.sources.io import read_table, save_table  # noqa: E402
+
+__all__ = [
+    "add_key", "apply_mapping", "conform", "date_key", "duration_minutes", "latest_per_key",
+    "lookup_key", "orphans", "read_table", "run_pipeline", "safe_cast", "save_table",
+    "star_lookup", "valid_date", "version_history",
+]
