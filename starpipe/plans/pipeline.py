@@ -17,7 +17,7 @@ from dataclasses import dataclass, field
 from pyspark.sql import DataFrame, SparkSession
 
 from starpipe.operators import quality as Q
-from starpipe.operators.dates import DEFAULT_END, DEFAULT_START, date_spine, dim_date
+from starpipe.operators.dates import DEFAULT_END, DEFAULT_START, date_spine, date_spine_covering, dim_date
 from starpipe.operators.lookup import orphans
 from starpipe.plans import clean, model
 from starpipe.sources.io import save_table
@@ -43,9 +43,13 @@ class PipelineResult:
 
 def run_pipeline(spark: SparkSession, staging: Mapping[str, DataFrame], *, as_of=None,
                  save: bool = True, prefix: str = "", date_start: str = DEFAULT_START,
-                 date_end: str = DEFAULT_END) -> PipelineResult:
+                 date_end: str = DEFAULT_END, date_span: str = "fixed") -> PipelineResult:
     """Clean every staging table given, then build the dimensions and facts
-    whose inputs are present, then the validation reports."""
+    whose inputs are present, then the validation reports.
+
+    ``date_span="fixed"`` builds Dim_Date over ``date_start``..``date_end``;
+    ``"data"`` spans the earliest to the latest enrolment / attendance date
+    instead, so every fact date has a dimension row."""
     res = PipelineResult()
 
     def keep(name: str, df: DataFrame) -> DataFrame:
@@ -62,7 +66,12 @@ def run_pipeline(spark: SparkSession, staging: Mapping[str, DataFrame], *, as_of
             keep(cln_name, cleaner(src, as_of=as_of) if stg_name == "Attendee" else cleaner(src))
 
     t = res.tables
-    keep("Dim_Date", dim_date(date_spine(spark, date_start, date_end)))
+    dated = [(t[n], c) for n, c in (("cln_Enrollment", ["EnrolledDate", "StartDate", "EndDate"]),
+                                    ("cln_Attendance", ["AttendanceDate"])) if n in t]
+    if date_span == "data" and dated:
+        keep("Dim_Date", dim_date(date_spine_covering(dated)))
+    else:
+        keep("Dim_Date", dim_date(date_spine(spark, date_start, date_end)))
     if "cln_BusinessUnit" in t:
         keep("Dim_BusinessUnit", model.dim_business_unit(t["cln_BusinessUnit"]))
         if "cln_Organisation" in t:

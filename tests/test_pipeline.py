@@ -34,3 +34,15 @@ def test_run_pipeline_lazy_with_partial_inputs(spark):
     assert set(res.tables) == {"cln_BusinessUnit", "cln_Organisation", "Dim_Date", "Dim_BusinessUnit",
                                "Dim_Organisation"}
     assert res.saved_rows == {}
+
+
+def test_run_pipeline_date_span_from_data(spark):
+    from pyspark.sql import functions as F
+
+    staging = {name: fixtures.STAGING[name](spark, SF_SMALL) for name in ("Enrollment", "Attendance")}
+    res = run_pipeline(spark, staging, save=False, date_span="data")
+    dd = res.tables["Dim_Date"]
+    lo, hi = dd.agg(F.min("FullDate"), F.max("FullDate")).first()
+    att = res.tables["cln_Attendance"].agg(F.min("AttendanceDate"), F.max("AttendanceDate")).first()
+    assert lo <= att[0] and hi >= att[1]
+    assert dd.count() == (hi - lo).days + 1
