@@ -32,10 +32,11 @@ OUTLOOK_MONTHS = 6
 class Warehouse:
     """The layers of one pipeline run over one set of driver tables.
 
-    Staging views are lazy. Cleaned tables, dimensions and the enrolment
-    fact are written once to the shared scratch folder and read back when
-    first needed - as the pipeline saves each layer - because the surrogate
-    key assignment passes over its input more than once.
+    Staging views are lazy. Cleaned tables, dimensions, the keyed enrolments
+    and the enrolment fact are written once to the shared scratch folder and
+    read back when first needed - as the pipeline saves each layer - because
+    the surrogate key assignment passes over its input more than once. The
+    attendance and headcount facts stay lazy (each is a query's product).
     """
 
     def __init__(self, spark: SparkSession, sf_dir: str, persist: bool = True):
