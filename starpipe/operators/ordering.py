@@ -52,6 +52,11 @@ def _descending_value(c: Column, dtype: T.DataType) -> Column:
         return -F.timestamp_diff("MICROSECOND", F.expr("TIMESTAMP_NTZ'1970-01-01 00:00:00'"), c)
     if isinstance(dtype, T.TimestampType):
         return -F.unix_micros(c)
+    if isinstance(dtype, (T.StringType, T.BinaryType)):
+        # Byte-wise inverse: hex digits keep byte order, each digit d becomes
+        # 15 - d, and a trailing 'Z' (above every hex digit) puts a prefix
+        # after its extensions - together, the descending byte order.
+        return F.concat(F.translate(F.hex(c), "0123456789ABCDEF", "FEDCBA9876543210"), F.lit("Z"))
     raise TypeError(f"descending order over {dtype.simpleString()} is not supported here")
 
 

@@ -91,3 +91,12 @@ def test_add_key_large_boundary_count_uses_single_literal_search(spark, monkeypa
     df = spark.range(5000).select((F.col("id") * 7919 % 5000).alias("v"), F.col("id"))
     got = add_key(df, "k", ["v", "id"], unique=True, buckets=40)
     assert _same(got, add_key_single_partition(df, "k", ["v", "id"]))
+
+
+def test_add_key_descending_text(spark):
+    words = ["", "a", "ab", "abc", "b", "Z", "z", "é", "éa", None, "ab", "ÿ", "a\u0000"]
+    rows = [(w, i) for i, w in enumerate(words * 30)]
+    df = spark.createDataFrame(rows, "w string, id long")
+    order = [("w", "desc"), "id"]
+    got = add_key(df, "k", order, unique=True, buckets=5)
+    assert _same(got, add_key_single_partition(df, "k", order))
