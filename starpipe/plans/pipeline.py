@@ -18,7 +18,7 @@ from pyspark.sql import DataFrame, SparkSession
 
 from starpipe.operators import quality as Q
 from starpipe.operators.dates import DEFAULT_END, DEFAULT_START, date_spine, date_spine_covering, dim_date
-from starpipe.operators.lookup import orphans
+from starpipe.operators.lookup import fanout_rows, orphans
 from starpipe.plans import clean, model
 from starpipe.sources.io import save_table
 
@@ -105,6 +105,10 @@ def run_pipeline(spark: SparkSession, staging: Mapping[str, DataFrame], *, as_of
             .select("OrganisationId", "BusinessUnitId", "OrganisationCode", "OrganisationName"))
         res.checks["duplicate_organisation_keys"] = Q.duplicate_keys(
             t["Dim_Organisation"], ["BusinessUnitId", "OrganisationId"])
+    if "Fact_Headcount" in t:
+        # Headcount joins organisations on OrganisationId alone: ids held by
+        # several business units multiply headcount rows.
+        res.checks["headcount_organisation_fanout"] = fanout_rows(t["Dim_Organisation"], "OrganisationId")
     if "cln_Enrollment" in t and "cln_Attendee" in t:
         res.checks["orphan_enrollments"] = orphans(t["cln_Enrollment"], t["cln_Attendee"],
                                                    ["BusinessUnitId", "AttendeeId"])

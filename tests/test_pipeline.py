@@ -26,6 +26,9 @@ def test_run_pipeline_saves_every_layer_and_reports(spark):
     assert res.checks["duplicate_organisation_keys"].count() == 0
     assert res.checks["attendance_without_enrollment"].count() > 0     # injected misses are found
     assert res.checks["enrollments_without_attendee"].count() == res.checks["orphan_enrollments"].count()
+    fan = res.checks["headcount_organisation_fanout"]
+    assert fan.count() > 0          # organisations 0..7 sit under several units
+    assert res.saved_rows["Fact_Headcount"] >= res.saved_rows["cln_HeadCount"]
 
 
 def test_run_pipeline_lazy_with_partial_inputs(spark):
