@@ -21,9 +21,11 @@ occurrences in an interval are compared by their left bytes at once, not only
 neighbours, so every occurrence is found; a class whose next byte to the left differs is
 a maximal repeat. The same scan on the reversed left sides gives the reach to the left.
 
-Crowded anchors, of more than ``crowd`` different contexts, are not held in one task. Each
-string of ``length`` bytes belongs to the one anchor that its bytes choose; for crowded anchors
-each such string is hashed and counted in Spark instead, which gives the same bytes.
+Crowded anchors, of more than ``crowd`` different contexts, are not held in one task. The
+strings of ``length`` bytes around each are tested in ranges, by hashes that Spark counts: if the
+whole stretch of a range repeats, so do all its strings; if what they have in common does
+not, none does; other ranges are split again, down to single strings. That gives the
+same bytes as the tree.
 
 Defined cases: a null text is empty; a text shorter than ``length`` keeps all bytes; repeated rows
 repeat each other; ids need not be distinct (documents are told apart by id and text, and
@@ -74,8 +76,8 @@ def _window_minima(keys: np.ndarray, width: int) -> np.ndarray:
     return np.minimum(behind[:n - width + 1], ahead[width - 1:n])
 
 
-def anchors_of(data: bytes, length: int = LENGTH, gram: int = GRAM) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
-    """Positions, gram hashes, and the first and last window start that chooses each anchor."""
+def anchors_of(data: bytes, length: int = LENGTH, gram: int = GRAM) -> tuple[np.ndarray, np.ndarray]:
+    """Positions and gram hashes of the anchors. One at a piece's end may come from both pieces."""
     width, out = length - gram + 1, []
     for base in range(0, max(len(data) - length + 1, 0), PIECE):
         b = np.frombuffer(data, np.uint8, min(PIECE + length - 1, len(data) - base), base)
@@ -84,12 +86,11 @@ def anchors_of(data: bytes, length: int = LENGTH, gram: int = GRAM) -> tuple[np.
         least = _window_minima((h & ~low) | np.arange(len(h), dtype=np.uint64), width) & low
         first = np.flatnonzero(np.concatenate([[True], least[1:] != least[:-1]]))
         at = least[first].astype(np.int64)
-        last = np.concatenate([first[1:], [len(least)]]) - 1
-        out.append((at + base, h[at], first + base, last + base))
+        out.append((at + base, h[at]))
     if not out:
-        none = np.zeros(0, np.int64)
-        return none, none.astype(np.uint64), none, none
-    return tuple(np.concatenate(x) for x in zip(*out, strict=True))
+        return np.zeros(0, np.int64), np.zeros(0, np.uint64)
+    pos, once = np.unique(np.concatenate([x[0] for x in out]), return_index=True)
+    return pos, np.concatenate([x[1] for x in out])[once]
 
 
 def _key(id_col: str, text_col: str) -> list[Column]:
@@ -98,7 +99,7 @@ def _key(id_col: str, text_col: str) -> list[Column]:
 
 
 def find_anchors(texts: DataFrame, length: int = LENGTH, gram: int = GRAM) -> DataFrame:
-    """(id, th, pos, gram, hull, first, last) of ``texts(id, th, text)``; ``hull`` hashes the context."""
+    """(id, th, pos, gram, hull) of ``texts(id, th, text)``; ``hull`` hashes the context."""
     id_type = texts.schema["id"].dataType.simpleString()
     before = length - gram
 
@@ -107,20 +108,20 @@ def find_anchors(texts: DataFrame, length: int = LENGTH, gram: int = GRAM) -> Da
         for batch in batches:
             for at in range(0, batch.num_rows, 256):
                 some = batch.slice(at, 256)
-                rows, cols = [], [[], [], [], [], []]
+                rows, cols = [], [[], [], []]
                 for i, data in enumerate(some.column(2).cast(pa.binary()).to_pylist()):
-                    pos, grams, first, last = anchors_of(data, length, gram)
+                    pos, grams = anchors_of(data, length, gram)
                     rows.append(np.full(len(pos), i))
                     hulls = [hash_of(data[max(p - before, 0):p + length], min(p, before)) for p in pos.tolist()]
-                    for c, x in zip(cols, (pos, grams.view(np.int64), np.array(hulls, np.uint64).view(np.int64), first, last), strict=True):
+                    for c, x in zip(cols, (pos, grams.view(np.int64), np.array(hulls, np.uint64).view(np.int64)), strict=True):
                         c.append(x)
                 of = pa.array(np.concatenate(rows).astype(np.int32))
                 yield pa.RecordBatch.from_arrays(
                     [some.column(0).take(of), some.column(1).take(of), *[pa.array(np.concatenate(c).astype(np.int64)) for c in cols]],
-                    names=["id", "th", "pos", "gram", "hull", "first", "last"])
+                    names=["id", "th", "pos", "gram", "hull"])
 
     return texts.select("id", "th", "text").mapInArrow(
-        run, f"id {id_type}, th long, pos long, gram long, hull long, first long, last long")
+        run, f"id {id_type}, th long, pos long, gram long, hull long")
 
 
 def common(a: bytes, b: bytes) -> int:
@@ -221,35 +222,68 @@ def _spans(rows: list[tuple], id_arrow: pa.DataType) -> pa.RecordBatch:
                                       names=["id", "th", "start", "stop"])
 
 
-def _strings(contexts: DataFrame, length: int) -> DataFrame:
-    """(hash, n, id, th, start): every string of ``length`` bytes that the contexts' anchors were chosen by."""
+def _cells(contexts: DataFrame, ranges: DataFrame, length: int, step: int) -> DataFrame:
+    """Each range of offsets (how far before the anchor a string starts) in cells of ``step``: what all
+    strings of a cell cover together (``whole``, null if the text ends within) and have in common (``core``)."""
+    per = ranges.groupBy("gram", "hull").agg(F.collect_list(F.struct("lo", "hi", "n")).alias("ranges"))
+    rows = contexts.join(per, ["gram", "hull"]).select("gram", "hull", "id", "th", "pos", "before", "after", "ranges")
     id_type = contexts.schema["id"].dataType.simpleString()
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         hash_of = xxhash.xxh3_128_digest
         for batch in batches:
-            for at in range(0, batch.num_rows, 64):
-                some = batch.slice(at, 64)
-                of, hashes, starts = [], [], []
-                cols = (some.column(i).to_pylist() for i in range(2, 7))
-                for i, (before, after, pos, first, last) in enumerate(zip(*cols, strict=True)):
-                    data, base = before[::-1] + after, pos - len(before)
-                    for s in range(first, last + 1):
-                        of.append(i)
-                        starts.append(s)
-                        hashes.append(hash_of(data[s - base:s - base + length]))
-                take = pa.array(of, pa.int32())
+            for at in range(0, batch.num_rows, 256):
+                some, of, out = batch.slice(at, 256), [], []
+                cols = (some.column(i).to_pylist() for i in (5, 6, 7))
+                for i, (before, after, own) in enumerate(zip(*cols, strict=True)):
+                    data, left = before[::-1] + after, len(before)
+                    for r in own:
+                        for lo in range(r["lo"], r["hi"] + 1, step):
+                            hi = min(lo + step - 1, r["hi"])
+                            core = (left - lo, left - hi + length)
+                            whole = (left - hi, left - lo + length)
+                            if core[0] >= 0 and core[1] <= len(data):
+                                of.append(i)
+                                inside = whole[0] >= 0 and whole[1] <= len(data)
+                                out.append((lo, hi, r["n"], hash_of(data[slice(*whole)]) if inside else None, hash_of(data[slice(*core)])))
+                got, take = list(zip(*out, strict=True)) or [()] * 5, pa.array(of, pa.int32())
                 yield pa.RecordBatch.from_arrays(
-                    [pa.array(hashes, pa.binary()), some.column(7).take(take), some.column(0).take(take),
-                     some.column(1).take(take), pa.array(starts, pa.int64())], names=["hash", "n", "id", "th", "start"])
-
-    return contexts.select("id", "th", "before", "after", "pos", "first", "last", "n").mapInArrow(
-        run, f"hash binary, n long, id {id_type}, th long, start long")
+                    [*[some.column(i).take(take) for i in range(5)],
+                     *[pa.array(c, t) for c, t in zip(got, [pa.int64()] * 3 + [pa.binary()] * 2, strict=True)]],
+                    names=["gram", "hull", "id", "th", "pos", "lo", "hi", "n", "whole", "core"])
+
+    return rows.mapInArrow(run, f"gram long, hull long, id {id_type}, th long, pos long, lo long, hi long, n long, "
+                                "whole binary, core binary")
+
+
+def _ranges(contexts: DataFrame, length: int, reach: int) -> DataFrame:
+    """(id, th, start, stop) covered by repeats among crowded contexts, without holding a crowd in a task."""
+    spans = contexts.limit(0).select("id", "th", F.col("pos").alias("start"), F.col("pos").alias("stop"))
+    if contexts.isEmpty():
+        return spans
+    state = contexts.select("gram", "hull", F.lit(0).cast("long").alias("lo"), F.lit(reach).cast("long").alias("hi"), "n")
+    step = reach + 1
+    while step > 1:
+        step = -(-step // 8)
+        cells = materialize(_cells(contexts, state, length, step), "cells")
+        alike = (cells.where("whole IS NOT NULL").groupBy("gram", "lo", "whole")
+                 .agg(F.sum("n").alias("times"), F.min("hull").alias("rep")).where("times > 1"))
+        told = materialize(cells.join(alike, ["gram", "lo", "whole"], "left"), "cells_told")
+        spans = spans.union(told.where("times > 1 AND n = 1").select(
+            "id", "th", F.greatest(F.col("pos") - F.col("hi"), F.lit(0)).alias("start"), (F.col("pos") - F.col("lo") + length).alias("stop")))
+        # Those not covered go on, with one of each covered class as their partner.
+        on = told.where("times IS NULL OR hull = rep").select(
+            "gram", "hull", "lo", "hi", "core", F.coalesce("times", "n").alias("n"), F.col("times").isNull().alias("open"))
+        cores = on.groupBy("gram", "lo", "core").agg(F.sum("n").alias("all"), F.max("open").alias("any_open")).where("all > 1 AND any_open")
+        state = materialize(on.join(cores, ["gram", "lo", "core"], "left_semi").select("gram", "hull", "lo", "hi", "n"), "cell_state")
+        if state.isEmpty():
+            break
+    return spans
 
 
 def _with_context(wanted: DataFrame, texts: DataFrame, length: int, gram: int) -> DataFrame:
     """``wanted`` plus the bytes ``before`` (outwards) and ``after`` each anchor."""
-    per_doc = wanted.groupBy("id", "th").agg(F.collect_list(F.struct("pos", "gram", "hull", "n", "crowd", "first", "last")).alias("spots"))
+    per_doc = wanted.groupBy("id", "th").agg(F.collect_list(F.struct("pos", "gram", "hull", "n", "crowd")).alias("spots"))
     same = texts["id"].eqNullSafe(per_doc["id"]) & (texts["th"] == per_doc["th"])
     rows = texts.join(per_doc, same).select(texts["id"], texts["th"], "text", "spots")
     id_type = wanted.schema["id"].dataType.simpleString()
@@ -266,17 +300,17 @@ def _with_context(wanted: DataFrame, texts: DataFrame, length: int, gram: int) -
                     part, own = pos[a:a + 4096], spots.slice(a, 4096)
                     zero = pa.array([0] * len(part), pa.int32())
                     yield pa.RecordBatch.from_arrays(
-                        [some.column(0).take(zero), some.column(1).take(zero), *[own.field(c) for c in ("pos", "gram", "hull", "n", "crowd", "first", "last")],
+                        [some.column(0).take(zero), some.column(1).take(zero), *[own.field(c) for c in ("pos", "gram", "hull", "n", "crowd")],
                          pa.array([data[max(p - reach, 0):p][::-1] for p in part], pa.binary()),
                          pa.array([data[p:p + length] for p in part], pa.binary())],
-                        names=["id", "th", "pos", "gram", "hull", "n", "crowd", "first", "last", "before", "after"])
+                        names=["id", "th", "pos", "gram", "hull", "n", "crowd", "before", "after"])
 
-    return rows.mapInArrow(run, f"id {id_type}, th long, pos long, gram long, hull long, n long, crowd long, first long, "
-                                "last long, before binary, after binary")
+    return rows.mapInArrow(run, f"id {id_type}, th long, pos long, gram long, hull long, n long, crowd long, "
+                                "before binary, after binary")
 
 
 def covered(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", length: int = LENGTH, gram: int = GRAM,
-            crowd: int = 2000) -> DataFrame:
+            crowd: int = 256) -> DataFrame:
     """(id, th, start, stop): byte ranges whose union is what repeated strings of ``length`` bytes cover;
     ``th`` is xxhash64 of the text."""
     if gram & (gram - 1) or not 1 <= gram <= length:
@@ -284,7 +318,7 @@ def covered(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", len
     texts = docs.select(*_key(id_col, text_col))
     anchors = materialize(find_anchors(texts.where(F.octet_length("text") >= length), length, gram), "anchors")
     contexts = anchors.groupBy("gram", "hull").agg(
-        F.count(F.lit(1)).alias("n"), F.min(F.struct("th", "pos", "id", "first", "last")).alias("one"))
+        F.count(F.lit(1)).alias("n"), F.min(F.struct("th", "pos", "id")).alias("one"))
     grams = contexts.groupBy("gram").agg(F.count(F.lit(1)).alias("crowd"), F.sum("n").alias("all"))
     known = materialize(contexts.join(grams.where(F.col("all") > 1), "gram"), "contexts")
 
@@ -294,15 +328,12 @@ def covered(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", len
     full = materialize(_with_context(wanted, texts, length, gram), "anchor_contexts")
 
     in_tree = _tree(full.where(F.col("crowd") <= crowd), length)
-    strings = _strings(full.where(F.col("crowd") > crowd).dropDuplicates(["gram", "hull"]), length)
-    often = strings.groupBy("hash").agg(F.sum("n").alias("times")).where("times > 1")
-    # Strings of contexts that occur more than once are covered already.
-    crowded = strings.where("n = 1").join(often, "hash").select("id", "th", "start", (F.col("start") + length).alias("stop"))
-    return whole.union(in_tree).union(crowded)
+    in_ranges = _ranges(full.where(F.col("crowd") > crowd).dropDuplicates(["gram", "hull"]), length, length - gram)
+    return whole.union(in_tree).union(in_ranges)
 
 
 def remove_repeats(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", length: int = LENGTH, gram: int = GRAM,
-                   crowd: int = 2000, with_kept: bool = False) -> DataFrame:
+                   crowd: int = 256, with_kept: bool = False) -> DataFrame:
     """(id, n_bytes, n_removed, n_spans, kept_sha256) for each document, and ``kept`` (its remaining bytes) if asked for."""
     spans = materialize(covered(docs, id_col, text_col, length, gram, crowd), "repeat_spans")
     per_doc = spans.groupBy("id", "th").agg(F.collect_list(F.struct("start", "stop")).alias("spans"))
