@@ -20,6 +20,7 @@ from dataclasses import dataclass
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from starpipe.llm.common import fresh
 from starpipe.sources.io import materialize
 
 SPACE = r"[\x20\x09-\x0D]+"
@@ -95,8 +96,9 @@ def with_features(docs: DataFrame, text_col: str = "text") -> DataFrame:
     names = ("n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words", "base_failed")
     own = [c for c in docs.columns if c.lower() not in names]
     # Through a generator, the struct is computed once for all the columns taken from it.
-    got = docs.select(*own, F.explode(F.array(features(F.coalesce(F.col(text_col), F.lit(""))))).alias("__f"))
-    return got.select(*own, "__f.*").withColumn(
+    f = fresh(docs, "features")
+    got = docs.select(*own, F.explode(F.array(features(F.coalesce(F.col(text_col), F.lit(""))))).alias(f))
+    return got.select(*own, f"{f}.*").withColumn(
         "base_failed", F.expr("n_words < 50 OR 100 * n_repeat_words > 50 * n_words"))
 
 
