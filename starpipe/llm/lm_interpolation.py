@@ -280,7 +280,7 @@ def learn_weights(histogram: np.ndarray, order: int, kinds: int, rounds: int = 6
 
 
 def score(docs: DataFrame, is_training: Column, id_col: str = "doc_id", text_col: str = "text", order: int = 2,
-          block_tokens: int = 3_000_000, range_keys: int = 1_000_000) -> DataFrame:
+          block_tokens: int = 1_500_000, range_keys: int = 1_000_000) -> DataFrame:
     """(id, n_tokens, n_known, train_tokens, base_score, score) for each document; the model learns
     from those where ``is_training`` holds."""
     if not 1 <= order <= 3:
