@@ -26,11 +26,12 @@ ignored; no documents give no pieces.
 
 from __future__ import annotations
 
+import json
 import os
+import re
 import zlib
 from collections.abc import Iterator
 from fractions import Fraction
-from itertools import chain
 
 import numpy as np
 import pyarrow as pa
@@ -42,39 +43,90 @@ from starpipe.llm.common import shared
 from starpipe.sources.io import materialize
 
 #: Words whose ids a task remembers; beyond that it starts anew.
-CACHE_WORDS = 300_000
+CACHE_WORDS = 800_000
 #: Bytes of a word up to which its ids are remembered.
 CACHE_BYTES = 48
+#: Documents whose new words are encoded together.
+GROUP = 4
+#: Letters, to be checked, between ASCII punctuation, which has ids of its own beside letters.
+#: The apostrophe is left out, as it may begin a contraction.
+EDGED = re.compile(rb"([!-&(-/:-@\[-`{-~]*)([a-z\x80-\xff]+)([!-&(-/:-@\[-`{-~]*)")
 #: Sources that the driver's table of queues may hold.
 MAX_SOURCES = 100_000
 
 
 class WordTokenizer:
-    """Ids of a text, word by word; for tokenizers that drop white space and
-    never join across it, which gives the ids of the whole text."""
+    """Ids of texts, by way of their words, for tokenizers that drop white space and case,
+    never join across white space or between letters and punctuation, and mark a word's last id.
+
+    A word's ids are looked up, as bytes. A new word loses the punctuation around it, which has ids
+    of its own. What is left and all letters is encoded in one run with the others and cut
+    behind each id that ends a word; any other new word is encoded by itself."""
 
     def __init__(self, spec: str):
         os.environ["TOKENIZERS_PARALLELISM"] = "false"
         from tokenizers import Tokenizer
         self.tokenizer = Tokenizer.from_str(spec)
-        self.known: dict[bytes, list[int]] = {}
+        vocab = self.tokenizer.get_vocab(with_added_tokens=True)
+        suffix = json.loads(spec)["model"].get("end_of_word_suffix") or "\0"
+        self.ends = np.zeros(max(vocab.values()) + 1, bool)
+        self.ends[[i for t, i in vocab.items() if t.endswith(suffix)]] = True
+        self.dtype = np.dtype("<u2" if len(self.ends) <= 1 << 16 else "<u4")
+        self.known: dict[bytes, bytes] = {}
+
+    def _alone(self, words: list[bytes]) -> list[bytes]:
+        got = self.tokenizer.encode_batch_fast([w.decode() for w in words], add_special_tokens=False)
+        return [np.array(g.ids, self.dtype).tobytes() for g in got]
+
+    def _letters(self, words: list[bytes]) -> dict[bytes, bytes]:
+        """Ids of words that are letters only."""
+        if not words:
+            return {}
+        got = self.tokenizer.encode_batch_fast([b" ".join(words).decode()], add_special_tokens=False)[0].ids
+        ids = np.array(got, self.dtype)
+        cuts = ((np.flatnonzero(self.ends[ids]) + 1) * self.dtype.itemsize).tolist()
+        raw = ids.tobytes()
+        if len(cuts) != len(words) or cuts[-1] != len(raw):  # some lower case is more than letters
+            return dict(zip(words, self._alone(words), strict=True))
+        return dict(zip(words, [raw[a:b] for a, b in zip([0, *cuts], cuts, strict=False)], strict=True))
+
+    def _learn(self, words: list[bytes]) -> dict[bytes, bytes]:
+        """Ids of new words, which are remembered if they are short."""
+        texts = b" ".join(words).decode().split(" ")
+        known, letters, edged, alone = self.known, [], {}, []
+        for w, t in zip(words, texts, strict=True):
+            if t.isalpha():
+                letters.append(w)
+            elif (m := EDGED.fullmatch(w)) and b"<|" not in w and m[2].decode().isalpha():
+                edged[w] = m.groups()
+            else:
+                alone.append(w)
+        out = self._letters([*letters, *{x[1] for x in edged.values() if x[1] not in known}])
+        alone += {x for p in edged.values() for x in (p[0], p[2]) if x and x not in known}
+        out.update(zip(alone, self._alone(alone), strict=True))
+        have = {**{x: known[x] for p in edged.values() for x in p if x in known}, **out, b"": b""}
+        out.update({w: have[a] + have[b] + have[c] for w, (a, b, c) in edged.items()})
+        if len(known) + len(out) > CACHE_WORDS:
+            self.known = {}
+        self.known.update((w, x) for w, x in out.items() if len(w) <= CACHE_BYTES)
+        return out
+
+    @staticmethod
+    def _words(text: bytes) -> list[bytes]:
+        return text.split() if b"<|" in text else text.lower().split()  # special tokens have a case
 
     def __call__(self, texts: list[bytes | None], end_id: int) -> Iterator[np.ndarray]:
-        for text in texts:
-            words = (text or b"").split()
-            known = self.known
-            new = [w for w in dict.fromkeys(words) if w not in known]
-            if new:
-                got = self.tokenizer.encode_batch_fast([w.decode("utf-8") for w in new], add_special_tokens=False)
-                if len(known) + len(new) > CACHE_WORDS:
-                    known.clear()
-                    new = list(dict.fromkeys(words))
-                    got = self.tokenizer.encode_batch_fast([w.decode("utf-8") for w in new], add_special_tokens=False)
-                own = {w: g.ids for w, g in zip(new, got, strict=True)}
-                known.update((w, ids) for w, ids in own.items() if len(w) <= CACHE_BYTES)
-                if len(own) != sum(len(w) <= CACHE_BYTES for w in own):
-                    known = {**{w: known[w] for w in words if w in known}, **own}
-            yield np.fromiter(chain(chain.from_iterable(map(known.__getitem__, words)), (end_id,)), "<u4")
+        tail = np.array([end_id], self.dtype).tobytes()
+        for at in range(0, len(texts), GROUP):
+            words = [self._words(t or b"") for t in texts[at:at + GROUP]]
+            ids = [list(map(self.known.get, w)) for w in words]
+            new = {w for own, got in zip(words, ids, strict=True) if None in got
+                   for w, x in zip(own, got, strict=True) if x is None}
+            learned = self._learn(list(new)) if new else {}
+            for own, got in zip(words, ids, strict=True):
+                if None in got:
+                    got = [learned[w] if x is None else x for w, x in zip(own, got, strict=True)]
+                yield np.frombuffer(b"".join(got) + tail, self.dtype)
 
 
 def tokenise(docs: DataFrame, spec: str, end_id: int, id_col: str = "doc_id", text_col: str = "text",
@@ -96,7 +148,7 @@ def tokenise(docs: DataFrame, spec: str, end_id: int, id_col: str = "doc_id", te
                     n.append(len(own))
                     before.append(sent.get(source, 0))
                     sent[source] = before[-1] + len(own)
-                    ids.append((own.astype("<u2") if own.max() < 1 << 16 else own).tobytes())
+                    ids.append(own.tobytes())
                 yield pa.RecordBatch.from_arrays(
                     [pa.array([part] * len(n), pa.int32()), some.column(1), some.column(0),
                      pa.array(n, pa.int64()), pa.array(before, pa.int64()), pa.array(ids, pa.binary())],
@@ -133,20 +185,23 @@ class Schedule:
         every piece of queue tokens ``first`` to ``first + n``."""
         q, window = self.number[source], self.window
         for start, total, sent, done in self.phases:
-            lo, hi = max(first, done[q]), min(first + n, done[q] + sent[q])
-            at = lo
-            while at < hi:
-                own, k = sent[q], at - done[q]
-                r = -(-(k + 1) * total // (window * own)) - 1   # the round that sends token k
-                a, b = r * window, (r + 1) * window
-                sent_a = [min(d, a * d // total) for d in sent]
-                before = start + sum(sent_a) + sum(min(d, b * d // total) - x for d, x in zip(sent[:q], sent_a, strict=False))
-                end = min(own, b * own // total)
-                place, size = before + k - sent_a[q], min(end - k, hi - at)
-                while size:
-                    piece = min(size, window - place % window)
-                    yield at - first, place, piece
-                    at, place, size = at + piece, place + piece, size - piece
+            own, lo, hi = sent[q], max(first - done[q], 0), min(first + n - done[q], sent[q])
+            if lo >= hi:
+                continue
+            # Round r sends token k if floor((r + 1) * window * own / total) is the first to exceed k.
+            r0, r1 = (-(-(k + 1) * total // (window * own)) - 1 for k in (lo, hi - 1))
+            small = (r1 + 1) * window * max(sent) < 1 << 62
+            share = np.array(sent, np.int64 if small else object)
+            rounds = np.arange(r0, r1 + 2).astype(share.dtype) * window
+            gone = np.minimum(share, rounds[:, None] * share // total)   # sent by each queue before each round
+            at = np.maximum(gone[:-1, q], lo)
+            size = np.minimum(gone[1:, q], hi) - at
+            place = start + gone[1:, :q].sum(1) + gone[:-1, q:].sum(1) + at - gone[:-1, q]
+            for a, where, left in zip((at + (done[q] - first)).tolist(), place.tolist(), size.tolist(), strict=True):
+                while left:
+                    piece = min(left, window - where % window)
+                    yield a, where, piece
+                    a, where, left = a + piece, where + piece, left - piece
 
 
 def pack(docs: DataFrame, spec: str, end_id: int = 1, window: int = 2048, target: dict[str, float] | None = None,
