@@ -13,7 +13,7 @@ Sub-packages:
   lookups, quality profiles, date spine)
 * ``plans``     - the pipeline's products (clean, model, KPIs) and the
   query registry
-* ``streaming`` - intentionally empty (the pipeline is batch only)
+* ``llm``       - operators of a training-data pipeline (nothing else imports it)
 """
 
 __version__ = "0.1.0"

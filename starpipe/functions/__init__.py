@@ -1,7 +1,6 @@
 """Column expressions used across the pipeline (all JVM-side built-ins)."""
 
 from starpipe.functions.scalar import (  # noqa: F401
-    asc_nulls_last_struct,
     date_key,
     duration_minutes,
     safe_cast,

@@ -101,17 +101,3 @@ def valid_date(col: Column | str, lower=DATE_LOWER_BOUND, as_of=None,
     text = d.cast("string") if raw is None else (F.col(raw) if isinstance(raw, str) else raw).cast("string")
     cond = text.rlike(DATE_PATTERN) & (d >= _as_date_col(lower)) & (d <= _as_date_col(as_of))
     return F.when(cond, d).otherwise(F.lit(None).cast("date"))
-
-
-def asc_nulls_last_struct(cols: list[str | Column], names: list[str] | None = None) -> Column:
-    """One comparable struct whose natural order is "each column asc, nulls last".
-
-    Every column is preceded by its null flag (false < true), so non-null
-    values sort first and NULLs compare equal among themselves.
-    """
-    parts = []
-    for i, c in enumerate(cols):
-        cc = F.col(c) if isinstance(c, str) else c
-        parts.append(cc.isNull().alias(f"n{i}"))
-        parts.append(cc.alias(f"v{i}"))
-    return F.struct(*parts)

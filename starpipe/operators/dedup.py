@@ -48,112 +48,66 @@ def dedup(df: DataFrame, keys: Sequence[str], order: Sequence[OrderItem]) -> Dat
 
 def version_history(df: DataFrame, keys: Sequence[str],
                     order: Sequence[OrderItem] = LATEST_ORDER,
-                    value: str = "UpdatedOn", buckets: int | None = None) -> DataFrame:
+                    value: str = "UpdatedOn", partitions: int | None = None) -> DataFrame:
     """Rank every version of a business key and link it to its neighbours.
 
     Adds ``VersionRank`` (1 = the record ``latest_per_key`` keeps),
     ``VersionCount``, ``Prev<value>`` (the version ranked just before) and
     ``Next<value>`` (just after).
 
-    Not a window over the key, which would put all versions of a hot key
-    in one task. The rows are range-bucketed on (keys, order) - composite
-    boundaries, so a hot key is spread over several buckets - and every
-    window runs per bucket. What crosses a bucket edge comes from a small
-    table with one row per boundary:
-
-    * how many rows of the boundary's key lie in earlier / later buckets
-      (one light aggregation pass over the order columns, then running sums
-      over runs of equal boundary keys), which completes rank and count;
-    * the last row of the previous bucket and the first row of the next,
-      which complete ``Prev`` / ``Next`` at bucket edges.
-
-    One shuffle of the data (by bucket) in all; the edge table has at most
-    one row per bucket and is collected once into a literal array that rows
-    index by bucket.
+    Not a window over the key, which would put all versions of a hot key in
+    one task. The rows are laid out by (keys, order) as ``add_key`` does, so
+    a hot key lies in several parts one after another, and every window runs
+    inside a part. Only a part's first and last key can go on in another
+    part. What they need from there - rows before, rows after, the
+    neighbouring version - comes from a written table of one row per part.
     """
-    from starpipe.operators.keys import per_bucket_literal, range_buckets
-
-    frame, bounds, nb = range_buckets(df, list(keys) + list(order), buckets=buckets)
-    sk = F.col("_sk")
-
-    def key_of(s) -> F.Column:  # the key prefix of a sort struct (null flag + value per key)
-        return F.struct(*[s[f"{p}{i}"] for i in range(len(keys)) for p in ("n", "v")])
-
-    kv = F.struct(key_of(sk).alias("k"), F.col(value).alias("v"))
-    frame = frame.withColumn("_key", key_of(sk)).withColumn("_kv", kv)
-
-    if nb:
-        spark = df.sparkSession
-        lo = F.when(F.col("_bucket") >= 1, key_of(F.try_element_at(bounds, F.col("_bucket"))))
-        hi = key_of(F.try_element_at(bounds, F.col("_bucket") + 1))
-        stats = (frame.select("_bucket", "_sk", "_kv",
-                              F.coalesce(F.col("_key") == lo, F.lit(False)).alias("_isLo"),
-                              F.coalesce(F.col("_key") == hi, F.lit(False)).alias("_isHi"))
-                 .groupBy("_bucket")
-                 .agg(F.count_if("_isLo").alias("_cLo"), F.count_if("_isHi").alias("_cHi"),
-                      F.min_by("_kv", "_sk").alias("_first"), F.max_by("_kv", "_sk").alias("_last")))
-        # One row per boundary j (1..nb): bucket j starts at it, bucket j-1 ends before it.
-        bnd = (spark.range(1).select(F.posexplode(bounds).alias("_p", "_b"))
-               .select((F.col("_p") + 1).alias("_j"), key_of(F.col("_b")).alias("_bk")))
-        below = stats.select((F.col("_bucket") + 1).alias("_j"), "_cHi")
-        above = stats.select(F.col("_bucket").alias("_j"), "_cLo")
-        w_j = Window.orderBy("_j")  # nb rows
-        bnd = (bnd.join(below, "_j", "left").join(above, "_j", "left").fillna({"_cHi": 0, "_cLo": 0})
-               .withColumn("_new", F.coalesce(F.col("_bk") != F.lag("_bk").over(w_j), F.lit(True)))
-               .withColumn("_run", F.sum(F.col("_new").cast("int")).over(w_j)))
-        w_run = Window.partitionBy("_run").orderBy("_j")
-        bnd = bnd.select(
-            "_j", "_bk",
-            F.sum("_cHi").over(w_run.rowsBetween(Window.unboundedPreceding, 0)).alias("_before"),
-            F.sum("_cLo").over(w_run.rowsBetween(0, Window.unboundedFollowing)).alias("_after"))
-        w_b = Window.orderBy("_bucket")  # one row per non-empty bucket
-        edges = (stats.select("_bucket", F.lag("_last").over(w_b).alias("_prevLast"),
-                              F.lead("_first").over(w_b).alias("_nextFirst"))
-                 .join(bnd.select(F.col("_j").alias("_bucket"), F.col("_bk").alias("_lo"),
-                                  F.col("_before")), "_bucket", "left")
-                 .join(bnd.select((F.col("_j") - 1).alias("_bucket"), F.col("_bk").alias("_hi"),
-                                  F.col("_after")), "_bucket", "left"))
-        # At most one row per bucket: collected once into a literal indexed by
-        # bucket, so rows look their edge up - no join on the bucket column.
-        fields = ("_prevLast", "_nextFirst", "_lo", "_before", "_hi", "_after")
-        packed = edges.select("_bucket", F.struct(*fields).alias("_v"))
-        lit = per_bucket_literal(packed, nb, packed.schema["_v"].dataType.simpleString())
-        # One lookup per row, through a generator so the literal is referenced
-        # once (each reference would carry its own copy in the plan).
-        frame = (frame.select("*", F.explode(F.array(F.element_at(lit, F.col("_bucket") + 1))).alias("_e"))
-                      .select("*", *[F.col(f"_e.{c}").alias(c) for c in fields]).drop("_e"))
-    else:
-        kv_t = frame.schema["_kv"].dataType
-        key_t = frame.schema["_key"].dataType
-        frame = frame.select("*", *[F.lit(None).cast(t).alias(c) for c, t in (
-            ("_prevLast", kv_t), ("_nextFirst", kv_t), ("_lo", key_t), ("_before", "bigint"),
-            ("_hi", key_t), ("_after", "bigint"))])
-
-    # Shuffle by bucket only (a hot key keeps spanning several tasks); the
-    # per-(bucket, key) window below is satisfied by that partitioning and
-    # adds only a sort. No frame looks forward row by row: the count is a
-    # whole-partition aggregate, neighbours are lag/lead within the key.
-    frame = frame.repartition("_bucket")
-    w = Window.partitionBy("_bucket", "_key").orderBy("_sk")
-    key = F.col("_key")
-    out = (frame
-           .withColumn("_r", F.row_number().over(w))
-           .withColumn("_n", F.count(F.lit(1)).over(
-               w.rowsBetween(Window.unboundedPreceding, Window.unboundedFollowing)))
-           .withColumn("_lag", F.lag(value).over(w))
-           .withColumn("_lead", F.lead(value).over(w)))
-    from_lo = F.when(F.coalesce(key == F.col("_lo"), F.lit(False)), F.col("_before")).otherwise(0)
-    to_hi = F.when(F.coalesce(key == F.col("_hi"), F.lit(False)), F.col("_after")).otherwise(0)
-    prev_name, next_name = f"Prev{value}", f"Next{value}"
-    out = out.select(
+    from starpipe.operators.keys import range_layout
+    from starpipe.sources.io import materialize
+
+    rows = range_layout(df, [*keys, *order], partitions=partitions)
+    key = F.struct(*keys)
+    # Runs of one key in one part, then each part's first and last run.
+    runs = rows.groupBy("_part", *keys).agg(
+        F.count(F.lit(1)).alias("n"), F.min("_row").alias("lo"), F.max("_row").alias("hi"),
+        F.min_by(value, "_row").alias("first"), F.max_by(value, "_row").alias("last"))
+    parts = runs.groupBy("_part").agg(
+        F.min_by(F.struct(key.alias("k"), "n", F.col("first").alias("v")), "lo").alias("head"),
+        F.max_by(F.struct(key.alias("k"), "n", F.col("last").alias("v")), "hi").alias("tail"))
+    ends = parts.select("_part", "head", "tail", F.explode(F.array(F.lit("head"), F.lit("tail"))).alias("end")).select(
+        "_part", "end", F.when(F.col("end") == "head", F.col("head.k")).otherwise(F.col("tail.k")).alias("k"),
+        F.when(F.col("end") == "head", F.col("head.n")).otherwise(0).alias("heads"),
+        F.when(F.col("end") == "tail", F.col("tail.n")).otherwise(0).alias("tails"))
+    along = Window.partitionBy("k").orderBy("_part")
+    across = ends.select(
+        "_part", "end",
+        F.sum("tails").over(along.rangeBetween(Window.unboundedPreceding, -1)).alias("before"),
+        F.sum("heads").over(along.rangeBetween(1, Window.unboundedFollowing)).alias("after"),
+    ).groupBy("_part").agg(
+        F.coalesce(F.max(F.when(F.col("end") == "head", F.col("before"))), F.lit(0)).alias("_before"),
+        F.coalesce(F.max(F.when(F.col("end") == "tail", F.col("after"))), F.lit(0)).alias("_after"))
+    in_order = Window.orderBy("_part")   # one row per part
+    edges = materialize(
+        parts.join(across, "_part").select(
+            "_part", "_before", "_after", F.col("head.k").alias("_headKey"), F.col("tail.k").alias("_tailKey"),
+            F.lag("tail").over(in_order).alias("_prev"), F.lead("head").over(in_order).alias("_next")), "edges")
+
+    frame = rows.join(edges, "_part").repartition("_part")
+    w = Window.partitionBy("_part", *keys).orderBy("_row")
+    frame = (frame
+             .withColumn("_r", F.row_number().over(w))
+             .withColumn("_n", F.count(F.lit(1)).over(
+                 w.rowsBetween(Window.unboundedPreceding, Window.unboundedFollowing)))
+             .withColumn("_lag", F.lag(value).over(w))
+             .withColumn("_lead", F.lead(value).over(w)))
+    before = F.when(key.eqNullSafe(F.col("_headKey")), F.col("_before")).otherwise(0)
+    after = F.when(key.eqNullSafe(F.col("_tailKey")), F.col("_after")).otherwise(0)
+    return frame.select(
         *df.columns,
-        (F.col("_r") + from_lo).cast("int").alias("VersionRank"),
-        (F.col("_n") + from_lo + to_hi).cast("long").alias("VersionCount"),
+        (F.col("_r") + before).cast("int").alias("VersionRank"),
+        (F.col("_n") + before + after).cast("long").alias("VersionCount"),
         F.when(F.col("_r") > 1, F.col("_lag"))
-         .when(F.coalesce(F.col("_prevLast.k") == key, F.lit(False)), F.col("_prevLast.v"))
-         .alias(prev_name),
+         .when(key.eqNullSafe(F.col("_prev.k")), F.col("_prev.v")).alias(f"Prev{value}"),
         F.when(F.col("_r") < F.col("_n"), F.col("_lead"))
-         .when(F.coalesce(F.col("_nextFirst.k") == key, F.lit(False)), F.col("_nextFirst.v"))
-         .alias(next_name),
+         .when(key.eqNullSafe(F.col("_next.k")), F.col("_next.v")).alias(f"Next{value}"),
     )
-    return out

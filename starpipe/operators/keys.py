@@ -2,214 +2,74 @@
 
 ``row_number().over(Window.orderBy(...))`` - the obvious way to number rows
 1..N - plans as ``Exchange SinglePartition``: every row of a fact table goes
-through one task. ``add_key`` gives the same numbers with the work spread:
-
-1. Each row's order columns become one comparable struct (null flag + value
-   per column, asc nulls last; a hash of the whole row as a final
-   tie-breaker unless the order is declared unique).
-2. A seeded sample of those structs gives ``B - 1`` boundary values (one
-   small job; the boundaries are collected once, as a single JSON string,
-   and folded into the plan as a literal - so every later pass, and every
-   task retry after an executor loss, sees the very same boundaries).
-3. A row's bucket is the number of boundaries <= its struct, found by a
-   binary search over the literal array (log2(B) comparisons per row,
-   unrolled into plain projections so it stays in whole-stage codegen).
-   Boundaries are composite values, so a leading column with few distinct
-   values, or one value holding a third of the rows, still splits evenly.
-4. Count per bucket (combined map-side); the prefix sums of the B counts
-   are the offsets, folded into the plan as a literal array (B is bounded
-   by ``max_buckets``); ``row_number`` inside the bucket + its offset = the
-   key. The final plan is one hash exchange on the bucket - no join, no
-   single-partition step.
+through one task. ``add_key`` gives the same numbers with the work spread,
+by one plan at every size:
+
+1. The rows are range-partitioned by the order columns, sorted inside each
+   partition, and tagged with partition number and place
+   (``monotonically_increasing_id``). The range is over all order columns
+   (and a hash of the whole row unless the order is declared unique), so a
+   leading column with few distinct values, or one value holding a third of
+   the rows, still splits.
+2. They are written once to the shared scratch folder. That fixes the
+   numbering: whatever is recomputed later reads the same places.
+3. The rows of each partition are counted from what was written; running
+   sums give each partition its offset. That table has one row per
+   partition. It is written too, so its join with the rows is planned from
+   its real size.
 
 The numbers equal the global ``row_number`` whenever the order is total.
 """
 
 from __future__ import annotations
 
-import json
-import math
 from collections.abc import Sequence
 
-from pyspark.sql import Column, DataFrame, Window
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from starpipe.operators.ordering import OrderItem, ascending_struct, sort_columns
-
-ROWS_PER_BUCKET = 2_000_000
-MAX_BUCKETS = 100_000
-MIN_SPLIT_ROWS = 10_000
-SAMPLES_PER_BUCKET = 32
-MAX_SAMPLE = 1_000_000   # the boundary sample is numbered in one task
-SEED = 20240101
-
-# Exact JSON round trip for the small per-bucket literals (microseconds kept).
-JSON_OPTIONS = {
-    "timestampFormat": "yyyy-MM-dd'T'HH:mm:ss.SSSSSSXXX",
-    "timestampNTZFormat": "yyyy-MM-dd'T'HH:mm:ss.SSSSSS",
-}
-
-
-def json_literal(text: str, ddl: str) -> Column:
-    """A literal parsed from JSON text; constant-folded into one plan literal."""
-    return F.from_json(F.lit(text), ddl, JSON_OPTIONS)
-
-
-def per_bucket_literal(rows: DataFrame, nb: int, value_ddl: str) -> Column:
-    """Collect a table keyed by ``_bucket`` (at most nb + 1 rows) into a dense
-    literal array indexed by bucket (element ``_bucket + 1``; NULL where a
-    bucket has no row). Per-row lookups then need no join on ``_bucket``."""
-    text = rows.agg(F.to_json(F.collect_list(F.struct("_bucket", F.col("_v"))), JSON_OPTIONS)).first()[0]
-    dense = [None] * (nb + 1)
-    for item in json.loads(text or "[]"):
-        dense[item["_bucket"]] = item.get("_v")
-    return json_literal(json.dumps(dense), f"array<{value_ddl}>")
-
-
-MIN_BUCKET_ROWS = 5_000   # no point in a task per few hundred rows
-
-
-def _bucket_count(n: int, parallelism: int, rows_per_bucket: int, max_buckets: int,
-                  min_split_rows: int) -> int:
-    """Enough buckets to keep each under ``rows_per_bucket`` and to use the
-    shuffle parallelism, but none smaller than ``MIN_BUCKET_ROWS``."""
-    if n < min_split_rows:
-        return 1
-    b = max(math.ceil(n / rows_per_bucket), min(parallelism, n // MIN_BUCKET_ROWS))
-    return int(max(1, min(b, max_buckets)))
-
-
-def _boundaries(keyed: DataFrame, n: int, buckets: int, seed: int) -> tuple[str, int]:
-    """Sample the sort struct; return ``buckets - 1`` quantile boundaries (JSON, count)."""
-    fraction = min(1.0, min(SAMPLES_PER_BUCKET * buckets, MAX_SAMPLE) / max(n, 1))
-    sample = keyed.select("_sk").sample(withReplacement=False, fraction=fraction, seed=seed)
-    # The sample is bounded (about SAMPLES_PER_BUCKET * buckets rows, at most
-    # MAX_SAMPLE), so numbering it in one ordered window is cheap.
-    ranked = sample.select(
-        "_sk",
-        F.row_number().over(Window.orderBy("_sk")).alias("_i"),
-        F.count(F.lit(1)).over(Window.partitionBy()).alias("_m"),
-    )
-    step = F.greatest(F.lit(1), F.floor(F.col("_m") / buckets))
-    picked = (ranked.filter((F.col("_i") % step == 0) & (F.col("_i") < step * buckets))
-                    .agg(F.to_json(F.array_sort(F.collect_list("_sk")), JSON_OPTIONS).alias("b"),
-                         F.count(F.lit(1)).alias("nb")))
-    row = picked.first()
-    return (row["b"] or "[]"), int(row["nb"])
-
-
-UNROLL_MAX = 8191   # boundaries up to which the search is unrolled
-
-
-def _with_bucket(df: DataFrame, sk: str, bounds: Column, nb: int, out: str) -> DataFrame:
-    """Add ``out`` = number of boundaries <= ``sk`` (a binary search).
-
-    Up to ``UNROLL_MAX`` boundaries the search is unrolled into log2(nb + 1)
-    plain projections (integer arithmetic, one array-literal access and one
-    struct comparison per step), so it stays in whole-stage codegen. Each
-    step refers to the boundary literal once; constant folding gives every
-    reference its own copy in the serialized plan, so beyond ``UNROLL_MAX``
-    the search runs as one ``aggregate`` expression instead - one copy of
-    the literal, interpreted per row.
-    """
-    steps = max(1, math.ceil(math.log2(nb + 1)))
-    if nb > UNROLL_MAX:
-        init = F.struct(F.lit(0).alias("lo"), F.lit(nb).alias("hi"))
-
-        def step(acc, _i):
-            lo, hi = acc["lo"], acc["hi"]
-            mid = F.shiftright(lo + hi, 1)
-            right = F.coalesce(F.try_element_at(bounds, mid + 1) <= F.col(sk), F.lit(False))
-            moved = F.when(right, F.struct((mid + 1).alias("lo"), hi.alias("hi"))) \
-                     .otherwise(F.struct(lo.alias("lo"), mid.alias("hi")))
-            return F.when(lo < hi, moved).otherwise(acc)
-
-        search = F.aggregate(F.sequence(F.lit(1), F.lit(steps)), init, step, lambda acc: acc["lo"])
-        return df.select("*", F.explode(F.array(search)).alias(out))
-
-    lo, hi = F.lit(0), F.lit(nb)
-    cols = []
-    for i in range(steps):
-        mid = F.shiftright(lo + hi, 1)
-        df = df.withColumn(f"_g{i}", F.coalesce(F.try_element_at(bounds, mid + 1) <= F.col(sk), F.lit(False)))
-        go = (lo < hi) & F.col(f"_g{i}")
-        stay = (lo < hi) & ~F.col(f"_g{i}")
-        df = df.withColumn(f"_lo{i}", F.when(go, mid + 1).otherwise(lo)) \
-               .withColumn(f"_hi{i}", F.when(stay, mid).otherwise(hi))
-        lo, hi = F.col(f"_lo{i}"), F.col(f"_hi{i}")
-        cols += [f"_g{i}", f"_lo{i}", f"_hi{i}"]
-    # Emitted through a generator: the search columns reference each other
-    # several times per step, and optimizer rules that trace a column back
-    # through aliases (dynamic partition pruning, constraint inference) would
-    # expand the chain exponentially. A generator's output is a new
-    # attribute, which ends that tracing; a one-element explode costs nothing.
-    return df.select("*", F.explode(F.array(lo)).alias(out)).drop(*cols)
-
-
-def range_buckets(df: DataFrame, order: Sequence[OrderItem], *, unique: bool = False,
-                  rows_per_bucket: int = ROWS_PER_BUCKET, max_buckets: int = MAX_BUCKETS,
-                  min_split_rows: int = MIN_SPLIT_ROWS, buckets: int | None = None,
-                  seed: int = SEED) -> tuple[DataFrame, Column | None, int]:
-    """Split ``df`` into contiguous ranges of ``order``.
-
-    Returns ``(frame, bounds, nb)``: ``frame`` is ``df`` plus ``_sk`` (the
-    sort struct) and ``_bucket`` (0..nb; every row of bucket b sorts before
-    every row of bucket b+1), ``bounds`` the boundary literal (an array of
-    ``_sk`` values; bucket b >= 1 starts at ``bounds[b]``, 1-based) and
-    ``nb`` the number of boundaries (0 = one bucket, no bounds).
+from starpipe.operators.ordering import OrderItem, sort_columns
+from starpipe.sources.io import materialize
+
+_PLACE_BITS = 33   # monotonically_increasing_id: partition number above, place below
+
+
+def range_layout(df: DataFrame, order: Sequence[OrderItem], *, unique: bool = False,
+                 partitions: int | None = None) -> DataFrame:
+    """``df`` written in ``order``, plus ``_part`` and ``_row``.
+
+    Every row of a part sorts before every row of the next one; ``_row`` is
+    the place in the part, from 0. ``df`` is evaluated twice: for Spark's
+    range sample and for the write. ``partitions`` fixes the number of
+    parts; by default it is the session's shuffle partitions, which adaptive
+    execution coalesces for small inputs.
     """
-    tiebreak = None if unique else F.xxhash64(*[F.col(c) for c in df.columns])
-    keyed = df.withColumn("_sk", ascending_struct(df, order, tiebreak))
-    spark = df.sparkSession
-    if buckets is None:
-        n = df.count()
-        parallelism = int(spark.conf.get("spark.sql.shuffle.partitions"))
-        buckets = _bucket_count(n, parallelism, rows_per_bucket, max_buckets, min_split_rows)
-    else:
-        n = df.count() if buckets > 1 else 0
-    bounds_json, nb = _boundaries(keyed, n, buckets, seed) if buckets > 1 else ("[]", 0)
-    if nb == 0:
-        return keyed.withColumn("_bucket", F.lit(0)), None, 0
-    sk_type = keyed.schema["_sk"].dataType.simpleString()
-    bounds = json_literal(bounds_json, f"array<{sk_type}>")
-    return _with_bucket(keyed, "_sk", bounds, nb, "_bucket"), bounds, nb
+    cols = sort_columns(order)
+    if not unique:
+        cols.append(F.xxhash64(*[F.col(c) for c in df.columns]).asc())
+    spread = df.repartitionByRange(*cols) if partitions is None else df.repartitionByRange(partitions, *cols)
+    at = F.col("_at")
+    return materialize(
+        spread.sortWithinPartitions(*cols).select(*df.columns, F.monotonically_increasing_id().alias("_at"))
+        .select(*df.columns, F.shiftright(at, _PLACE_BITS).alias("_part"),
+                at.bitwiseAND(F.lit((1 << _PLACE_BITS) - 1)).alias("_row")), "ranged")
 
 
 def add_key(df: DataFrame, key_name: str, order: Sequence[OrderItem], *,
-            unique: bool = False, rows_per_bucket: int = ROWS_PER_BUCKET,
-            max_buckets: int = MAX_BUCKETS, min_split_rows: int = MIN_SPLIT_ROWS,
-            buckets: int | None = None, seed: int = SEED) -> DataFrame:
+            unique: bool = False, partitions: int | None = None) -> DataFrame:
     """Append ``key_name`` = 1..N (long) in ``order`` (nulls last), distributed.
 
     ``unique=True`` declares the order columns unique (a business key after
-    cleaning) and skips the whole-row hash tie-breaker. Runs two small jobs
-    when called (a count, a boundary sample, bucket sizes); the result is lazy.
+    cleaning) and skips the whole-row hash tie-breaker. Writes the rows and
+    the partition offsets when called; the result reads them lazily.
     """
-    bucketed, _, nb = range_buckets(df, order, unique=unique, rows_per_bucket=rows_per_bucket,
-                                    max_buckets=max_buckets, min_split_rows=min_split_rows,
-                                    buckets=buckets, seed=seed)
-    if nb == 0:
-        # Small input: one ordered window is the cheapest correct plan.
-        w = Window.orderBy("_sk")
-        return bucketed.withColumn(key_name, F.row_number().over(w).cast("long")).drop("_sk", "_bucket")
-
-    # Bucket sizes: a count with a map-side partial aggregate (this pass
-    # reads only the order columns). The nb + 1 offsets become a literal
-    # array, so the numbering pass looks its offset up instead of joining on
-    # ``_bucket`` - no join for the optimizer to trace through the search.
-    counts = bucketed.groupBy("_bucket").agg(F.count(F.lit(1)).alias("_cnt"))
-    text = counts.agg(F.to_json(F.collect_list(F.struct("_bucket", "_cnt")))).first()[0]
-    sizes = [0] * (nb + 1)
-    for item in json.loads(text or "[]"):
-        sizes[item["_bucket"]] = item["_cnt"]
-    offsets, running = [], 0
-    for size in sizes:          # nb + 1 numbers
-        offsets.append(running)
-        running += size
-    offset = F.element_at(json_literal(json.dumps(offsets), "array<bigint>"), F.col("_bucket") + 1)
-    w = Window.partitionBy("_bucket").orderBy("_sk")
-    return (bucketed.withColumn(key_name, (F.row_number().over(w) + offset).cast("long"))
-                    .drop("_sk", "_bucket"))
+    rows = range_layout(df, order, unique=unique, partitions=partitions)
+    earlier = Window.orderBy("_part").rowsBetween(Window.unboundedPreceding, -1)   # one row per part
+    offsets = materialize(
+        rows.groupBy("_part").agg(F.count(F.lit(1)).alias("_n"))
+        .select("_part", F.coalesce(F.sum("_n").over(earlier), F.lit(0)).alias("_before")), "offsets")
+    return rows.join(offsets, "_part").select(
+        *df.columns, (F.col("_before") + F.col("_row") + 1).cast("long").alias(key_name))
 
 
 def add_key_single_partition(df: DataFrame, key_name: str, order: Sequence[OrderItem]) -> DataFrame:

@@ -15,10 +15,6 @@ from pyspark.sql import functions as F
 from starpipe.operators.lookup import orphans  # noqa: F401  (re-exported)
 
 
-def _count_distinct(c: Column, approx: bool) -> Column:
-    return F.approx_count_distinct(c) if approx else F.count_distinct(c)
-
-
 def table_row_counts(tables: Mapping[str, DataFrame]) -> DataFrame:
     """(TableName, Rows) for each named frame, as one union of global counts."""
     parts = [df.agg(F.count(F.lit(1)).alias("Rows"))
@@ -27,19 +23,41 @@ def table_row_counts(tables: Mapping[str, DataFrame]) -> DataFrame:
     return reduce(DataFrame.unionByName, parts)
 
 
-def profile_keys(df: DataFrame, keys: Sequence[str], approx: bool = False) -> DataFrame:
+def _distinct_counts(df: DataFrame, groups: Mapping[str, Sequence[str]], approx: bool) -> DataFrame:
+    """(Name, DistinctCount) per named column group: distinct values, or tuples, without a NULL.
+
+    Exact counts are one column-pruned ``distinct`` each, joined by union:
+    several distinct counts in one aggregate would copy every row once a
+    count. ``df`` is read once per group, so it should be a saved table.
+    """
+    parts = []
+    for name, cols in groups.items():
+        if approx:
+            one = df.agg(F.approx_count_distinct(F.when(_all_present(cols), F.struct(*cols))).alias("DistinctCount"))
+        else:
+            one = df.select(*cols).where(_all_present(cols)).distinct().agg(F.count(F.lit(1)).alias("DistinctCount"))
+        parts.append(one.select(F.lit(name).alias("Name"), "DistinctCount"))
+    return reduce(DataFrame.unionByName, parts)
+
+
+def _all_present(cols: Sequence[str]) -> Column:
+    return reduce(lambda a, b: a & b, [F.col(c).isNotNull() for c in cols])
+
+
+def profile_keys(df: DataFrame, keys: Sequence[str], approx: bool = False, composite: bool = False) -> DataFrame:
     """One row per key column: (KeyColumn, TotalRows, DistinctValues, MissingValues).
 
-    A single aggregation over the table, turned into rows with ``stack``.
+    ``composite`` adds a row for the tuple of all keys, named ``a+b``: its
+    distinct values are tuples without a NULL, its missing ones have any.
     """
-    aggs = [F.count(F.lit(1)).alias("_rows")]
-    for i, k in enumerate(keys):
-        aggs.append(_count_distinct(F.col(k), approx).alias(f"_d{i}"))
-        aggs.append(F.count_if(F.col(k).isNull()).alias(f"_m{i}"))
-    args = ", ".join(f"'{k}', _d{i}, _m{i}" for i, k in enumerate(keys))
-    return (df.agg(*aggs)
-              .selectExpr("_rows", f"stack({len(keys)}, {args}) as (KeyColumn, DistinctValues, MissingValues)")
-              .select("KeyColumn", F.col("_rows").alias("TotalRows"), "DistinctValues", "MissingValues"))
+    groups = {k: [k] for k in keys} | ({"+".join(keys): list(keys)} if composite else {})
+    counts = df.agg(F.count(F.lit(1)).alias("TotalRows"),
+                    *[F.count_if(~_all_present(cols)).alias(f"_m{i}") for i, cols in enumerate(groups.values())])
+    args = ", ".join(f"'{name}', _m{i}" for i, name in enumerate(groups))
+    missing = counts.selectExpr("TotalRows", f"stack({len(groups)}, {args}) as (KeyColumn, MissingValues)")
+    distinct = _distinct_counts(df, groups, approx)
+    return missing.join(distinct, missing.KeyColumn == distinct.Name).select(
+        "KeyColumn", "TotalRows", F.col("DistinctCount").alias("DistinctValues"), "MissingValues")
 
 
 def count_where(df: DataFrame, conditions: Mapping[str, Column], total: str | None = "TotalRows") -> DataFrame:
@@ -64,8 +82,9 @@ def distinct_values(df: DataFrame, cols: Sequence[str]) -> DataFrame:
 
 
 def entity_summary(df: DataFrame, columns: Mapping[str, str], approx: bool = False) -> DataFrame:
-    """One row of distinct counts, e.g. {"TotalAttendees": "AttendeeId"}."""
-    return df.agg(*[_count_distinct(F.col(c), approx).alias(name) for name, c in columns.items()])
+    """One row of distinct counts, e.g. {"TotalAttendees": "AttendeeId"}; ``df`` should be a saved table."""
+    each = _distinct_counts(df, {name: [c] for name, c in columns.items()}, approx)
+    return each.agg(*[F.max(F.when(F.col("Name") == name, F.col("DistinctCount"))).alias(name) for name in columns])
 
 
 def dependency_violations(df: DataFrame, determinant: Sequence[str], dependent: str) -> DataFrame:
@@ -96,14 +115,10 @@ def duplicate_entities(df: DataFrame, attributes: Sequence[str], id_col: str) ->
 
 
 def null_profile(df: DataFrame, approx: bool = False) -> DataFrame:
-    """(ColumnName, NullCount, DistinctCount) for every column, in one pass."""
-    aggs = []
-    for i, c in enumerate(df.columns):
-        aggs.append(F.count_if(F.col(c).isNull()).alias(f"_n{i}"))
-        aggs.append(_count_distinct(F.col(c), approx).alias(f"_d{i}"))
-    args = ", ".join(f"'{c}', _n{i}, _d{i}" for i, c in enumerate(df.columns))
-    return df.agg(*aggs).selectExpr(
-        f"stack({len(df.columns)}, {args}) as (ColumnName, NullCount, DistinctCount)")
+    """(ColumnName, NullCount, DistinctCount) for every column; ``df`` should be a saved table."""
+    return profile_keys(df, df.columns, approx).select(
+        F.col("KeyColumn").alias("ColumnName"), F.col("MissingValues").alias("NullCount"),
+        F.col("DistinctValues").alias("DistinctCount"))
 
 
 def unexpected_values(df: DataFrame, col: str, allowed: Sequence | None = None,
@@ -143,7 +158,19 @@ def unmatched_parents(dim: DataFrame, id_col: str, key_col: str, sentinel: int =
 
 
 def key_integrity(df: DataFrame, key: str, business_key: Sequence[str]) -> DataFrame:
-    """Rows, distinct surrogate keys and distinct business keys - all should be equal."""
-    return df.agg(F.count(F.lit(1)).alias("FinalRows"),
-                  F.count_distinct(key).alias("DistinctKeys"),
-                  F.count_distinct(*business_key).alias("DistinctBusinessKeys"))
+    """One row: FinalRows, DistinctKeys and DistinctBusinessKeys, which should
+    be equal, and the smallest and largest key, which should be 1 and N."""
+    plain = (df.agg(F.count(F.lit(1)).alias("n"), F.min(key).cast("long").alias("lo"), F.max(key).cast("long").alias("hi"))
+             .selectExpr("stack(3, 'FinalRows', n, 'MinKey', lo, 'MaxKey', hi) as (Name, DistinctCount)"))
+    rows = plain.unionByName(_distinct_counts(
+        df, {"DistinctKeys": [key], "DistinctBusinessKeys": list(business_key)}, approx=False))
+    names = ("FinalRows", "DistinctKeys", "DistinctBusinessKeys", "MinKey", "MaxKey")
+    return rows.agg(*[F.max(F.when(F.col("Name") == n, F.col("DistinctCount"))).alias(n) for n in names])
+
+
+def dates_outside(fact: DataFrame, date_key_col: str, dim_date: DataFrame) -> DataFrame:
+    """(DateKey, Rows): fact date keys that the date dimension does not have."""
+    days = dim_date.select(F.col("DateKey").alias("_dk"))
+    used = fact.where(F.col(date_key_col).isNotNull()).groupBy(F.col(date_key_col).alias("DateKey")).agg(
+        F.count(F.lit(1)).alias("Rows"))
+    return used.join(days, used.DateKey == F.col("_dk"), "left_anti")

@@ -11,29 +11,31 @@ from collections.abc import Sequence
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from starpipe.functions.scalar import _as_date_col
+from starpipe.functions.scalar import _as_date_col, duration_minutes
 from starpipe.operators.lookup import lookup_key
 
 # --- fixed values: funnel steps in order (our definition over the event table).
 FUNNEL_STEPS = ("view", "click", "signup", "purchase")
 
 
-def booking_detail(fact_att: DataFrame, dim_att: DataFrame, program: DataFrame,
-                   dim_date: DataFrame) -> DataFrame:
-    """Who booked, which program, when: one row per attendance.
+def booking_detail(attendance: DataFrame, enrollment: DataFrame, attendee: DataFrame,
+                   program: DataFrame) -> DataFrame:
+    """Who booked, which program, when: one row per cleaned attendance.
 
-    The unknown attendee (key 0) never matches a dimension row, so it joins
-    as NULL - and NULL keys are spread by the lookup's salt instead of all
-    landing on one reducer.
+    The business unit comes from the enrolment (of several units the lowest,
+    which is the one with the lowest fact key), the account from the attendee
+    of that unit. Unmatched rows keep NULLs, and the lookups' salt spreads
+    NULL keys instead of sending them all to one reducer.
     """
-    f = fact_att.withColumn("_ak", F.when(F.col("AttendeeKey") != 0, F.col("AttendeeKey")))
-    out = lookup_key(f, dim_att.select(F.col("AttendeeKey").alias("_ak"), "AccountId"), "_ak",
-                     "AccountId", default=None)
+    units = enrollment.groupBy("EnrollmentId").agg(F.min("BusinessUnitId").alias("BusinessUnitId"))
+    out = lookup_key(attendance, units, "EnrollmentId", "BusinessUnitId", default=None)
+    out = lookup_key(out, attendee.select("BusinessUnitId", "AttendeeId", "AccountId"),
+                     ["BusinessUnitId", "AttendeeId"], "AccountId", default=None)
     out = lookup_key(out, program, "ProgramId", "ProgramName", default=None)
-    out = lookup_key(out, dim_date.select(F.col("DateKey").alias("AttendanceDateKey"), "DayName", "YearMonth"),
-                     "AttendanceDateKey", "DayName", default=None, extra=("YearMonth",))
     return out.select("AttendanceId", "BookingId", "AttendeeId", "AccountId", "ProgramId", "ProgramName",
-                      "AttendanceDate", "DayName", "YearMonth", "TimeStart", "TimeEnd", "AttendanceMinutes")
+                      "AttendanceDate", F.date_format("AttendanceDate", "EEEE").alias("DayName"),
+                      F.date_format("AttendanceDate", "yyyy-MM").alias("YearMonth"), "TimeStart", "TimeEnd",
+                      duration_minutes("TimeStart", "TimeEnd").alias("AttendanceMinutes"))
 
 
 def _active_at(as_of) -> F.Column:
@@ -45,12 +47,15 @@ def occupancy_rate(fact_enr: DataFrame, capacity: DataFrame, as_of=None) -> Data
     """Enrolments active on ``as_of`` per organisation over its licensed places, in %.
 
     Active: started on or before ``as_of`` and not ended before it (an open
-    end counts as active). Organisations with capacity but no enrolment show 0.
+    end counts as active). The record's ``IsActive`` flag says whether it is the
+    current version, not whether the child is enrolled, and does not count.
+    Organisations with capacity but no enrolment show 0; those with
+    enrolments but no known capacity have NULL capacity and NULL rate.
     """
     active = (fact_enr.filter(_active_at(as_of))
               .groupBy("BusinessUnitId", "OrganisationId")
               .agg(F.count(F.lit(1)).alias("ActiveEnrollments")))
-    return (capacity.join(active, on=["BusinessUnitId", "OrganisationId"], how="left")
+    return (capacity.join(active, on=["BusinessUnitId", "OrganisationId"], how="full")
             .fillna({"ActiveEnrollments": 0})
             .withColumn("OccupancyRatePct",
                         F.try_divide(F.col("ActiveEnrollments").cast("double") * 100,
@@ -59,9 +64,32 @@ def occupancy_rate(fact_enr: DataFrame, capacity: DataFrame, as_of=None) -> Data
                     "ActiveEnrollments", "OccupancyRatePct"))
 
 
-def attendance_behaviour(fact_att: DataFrame) -> DataFrame:
-    """Visits, distinct attendees and minutes per organisation and weekday."""
-    return (fact_att
+def attended_use(fact_att: DataFrame, capacity: DataFrame) -> DataFrame:
+    """Actual use against capacity: distinct attendees a day per organisation.
+
+    DaysAttended, the busiest day's attendees, the mean over days attended,
+    and both over the licensed places in %. Undated attendances do not count.
+    Organisations on one side only are kept, as in ``occupancy_rate``.
+    """
+    daily = (fact_att.filter(F.col("AttendanceDate").isNotNull())
+             .select("BusinessUnitId", "OrganisationId", "AttendanceDate", "AttendeeId").distinct()
+             .groupBy("BusinessUnitId", "OrganisationId", "AttendanceDate").agg(F.count("AttendeeId").alias("_n")))
+    used = daily.groupBy("BusinessUnitId", "OrganisationId").agg(
+        F.count(F.lit(1)).alias("DaysAttended"), F.max("_n").alias("PeakAttendees"), F.sum("_n").alias("_sum"))
+    places = F.col("LicensedCapacity").cast("double")
+    mean = F.try_divide(F.col("_sum").cast("double"), F.col("DaysAttended").cast("double"))
+    return (capacity.join(used, on=["BusinessUnitId", "OrganisationId"], how="full")
+            .fillna({"DaysAttended": 0, "PeakAttendees": 0})
+            .select("BusinessUnitId", "OrganisationId", "LicensedCapacity", "DaysAttended", "PeakAttendees",
+                    mean.alias("MeanAttendees"),
+                    F.try_divide(F.col("PeakAttendees").cast("double") * 100, places).alias("PeakUsePct"),
+                    F.try_divide(mean * 100, places).alias("MeanUsePct")))
+
+
+def attendance_behaviour(attendance: DataFrame) -> DataFrame:
+    """Visits, distinct attendees and minutes per organisation and weekday, from cleaned attendances."""
+    return (attendance
+            .withColumn("AttendanceMinutes", duration_minutes("TimeStart", "TimeEnd"))
             .withColumn("DayOfWeek", F.dayofweek("AttendanceDate"))
             .withColumn("DayName", F.date_format("AttendanceDate", "EEEE"))
             .groupBy("OrganisationId", "DayOfWeek", "DayName")
@@ -72,13 +100,13 @@ def attendance_behaviour(fact_att: DataFrame) -> DataFrame:
                               F.count("AttendanceMinutes").cast("double")).alias("AvgMinutes")))
 
 
-def peak_program_fill(fact_att: DataFrame) -> DataFrame:
+def peak_program_fill(attendance: DataFrame) -> DataFrame:
     """Each program's busiest day (most attendances; earliest day on a tie).
 
     Daily counts are aggregated first (map-side combined), so the per-program
     window only sees one row per (program, day).
     """
-    daily = (fact_att.filter(F.col("AttendanceDate").isNotNull())
+    daily = (attendance.filter(F.col("AttendanceDate").isNotNull())
              .groupBy("ProgramId", "AttendanceDate")
              .agg(F.count(F.lit(1)).alias("Visits")))
     w = Window.partitionBy("ProgramId").orderBy(F.col("Visits").desc(), F.col("AttendanceDate").asc())
@@ -87,7 +115,13 @@ def peak_program_fill(fact_att: DataFrame) -> DataFrame:
                     F.col("Visits").alias("PeakVisits")))
 
 
-def max_capacity(fact_hc: DataFrame, room_type: str = "Room") -> DataFrame:
+def max_capacity(capacity: DataFrame) -> DataFrame:
+    """The most licensed places of any organisation per business unit, and how many organisations have any."""
+    return capacity.groupBy("BusinessUnitId").agg(
+        F.max("LicensedCapacity").alias("MaxCapacity"), F.count("LicensedCapacity").alias("Organisations"))
+
+
+def max_room_headcount(fact_hc: DataFrame, room_type: str = "Room") -> DataFrame:
     """Largest room headcount per organisation (and how many rooms were counted)."""
     return (fact_hc.filter(F.col("HeadcountType") == room_type)
             .groupBy("OrganisationId")
@@ -98,15 +132,24 @@ def max_capacity(fact_hc: DataFrame, room_type: str = "Room") -> DataFrame:
 def new_enrollments_monthly(fact_enr: DataFrame) -> DataFrame:
     """New enrolments per month of EnrolledDate and the change on the month before.
 
-    The monthly series is tiny (one row per calendar month), so the ``lag``
-    over it runs in one task without harm.
+    Every month from the first to the last has a row, those without
+    enrolments with 0. Enrolments without a readable date are the row of NULL
+    YearMonth, which has no month before. The series has one row per
+    calendar month, so the ``lag`` over it runs in one task without harm.
     """
-    monthly = (fact_enr.filter(F.col("EnrolledDate").isNotNull())
-               .groupBy(F.date_format("EnrolledDate", "yyyy-MM").alias("YearMonth"))
+    counted = (fact_enr.groupBy(F.trunc("EnrolledDate", "month").alias("_m"))
                .agg(F.count(F.lit(1)).alias("NewEnrollments")))
-    w = Window.orderBy("YearMonth")
-    return (monthly.withColumn("PreviousEnrollments", F.lag("NewEnrollments").over(w))
-            .withColumn("ChangeFromPrevious", F.col("NewEnrollments") - F.col("PreviousEnrollments")))
+    spine = (counted.agg(F.min("_m").alias("lo"), F.max("_m").alias("hi"))
+             .where("lo IS NOT NULL")
+             .select(F.explode(F.sequence("lo", "hi", F.expr("INTERVAL 1 MONTH"))).alias("_m")))
+    monthly = spine.join(counted, "_m", "left").fillna({"NewEnrollments": 0})
+    previous = F.lag("NewEnrollments").over(Window.orderBy("_m"))
+    dated = monthly.select(F.date_format("_m", "yyyy-MM").alias("YearMonth"), "NewEnrollments",
+                           previous.alias("PreviousEnrollments"))
+    undated = counted.where("_m IS NULL").select(
+        F.lit(None).cast("string").alias("YearMonth"), "NewEnrollments", F.lit(None).cast("long").alias("PreviousEnrollments"))
+    return dated.unionByName(undated).withColumn(
+        "ChangeFromPrevious", F.col("NewEnrollments") - F.col("PreviousEnrollments"))
 
 
 def occupancy_outlook(fact_enr: DataFrame, as_of=None, months: int = 6) -> DataFrame:
@@ -116,20 +159,24 @@ def occupancy_outlook(fact_enr: DataFrame, as_of=None, months: int = 6) -> DataF
     does not end before its first day (open end = still enrolled). Each
     enrolment is expanded to the months it covers *within the horizon*
     (at most ``months`` rows), then counted - an equi-aggregation instead of
-    a range join against a month table.
+    a range join against a month table. Every organisation with any enrolment
+    has a row for each month, with 0 where nobody is expected.
     """
     d = _as_date_col(as_of)
     h_first = F.add_months(F.trunc(d, "month"), 1)
     h_last = F.add_months(F.trunc(d, "month"), months)
     lo = F.greatest(F.trunc("StartDate", "month"), h_first)
     hi = F.least(F.coalesce(F.trunc("EndDate", "month"), h_last), h_last)
-    return (fact_enr.filter(F.col("StartDate").isNotNull())
-            .select("BusinessUnitId", "OrganisationId", lo.alias("_lo"), hi.alias("_hi"))
-            .filter(F.col("_lo") <= F.col("_hi"))
-            .select("BusinessUnitId", "OrganisationId",
-                    F.explode(F.sequence("_lo", "_hi", F.expr("INTERVAL 1 MONTH"))).alias("MonthStart"))
-            .groupBy("BusinessUnitId", "OrganisationId", "MonthStart")
-            .agg(F.count(F.lit(1)).alias("ExpectedEnrollments")))
+    org = ["BusinessUnitId", "OrganisationId"]
+    month = F.expr("INTERVAL 1 MONTH")
+    expected = (fact_enr.filter(F.col("StartDate").isNotNull())
+                .select(*org, lo.alias("_lo"), hi.alias("_hi"))
+                .filter(F.col("_lo") <= F.col("_hi"))
+                .select(*org, F.explode(F.sequence("_lo", "_hi", month)).alias("MonthStart"), F.lit(1).alias("_one")))
+    # A row of weight 0 for each organisation and month, so a month with nobody is there too.
+    spine = (fact_enr.select(*org).distinct()
+             .select("*", F.explode(F.sequence(h_first, h_last, month)).alias("MonthStart"), F.lit(0).alias("_one")))
+    return expected.unionByName(spine).groupBy(*org, "MonthStart").agg(F.sum("_one").alias("ExpectedEnrollments"))
 
 
 def funnel_conversion(events: DataFrame, steps: Sequence[str] = FUNNEL_STEPS,

@@ -11,10 +11,6 @@ from __future__ import annotations
 
 import datetime as dt
 
-from starpipe import contracts as C
-from starpipe.plans import registry as R
-from starpipe.sources.manifest import ATTENDANCE_MAPPING
-
 BASE = "TIMESTAMP '2020-01-01 00:00:00'"
 
 
@@ -28,6 +24,12 @@ def _audit(k: str, base: str) -> str:
             f"CASE WHEN {k} % 11 = 0 THEN NULL ELSE {base} + to_days(n) END AS UpdatedOn")
 
 
+def _audit_text(k: str, base: str) -> str:
+    return (f"CAST(CASE WHEN {k} % 13 = 0 AND n = 0 THEN NULL ELSE ({k} + n) % 2 = 0 END AS VARCHAR) AS IsActive, "
+            f"CAST({base} + to_hours(n) AS VARCHAR) AS CreatedOn, "
+            f"CAST(CASE WHEN {k} % 11 = 0 THEN NULL ELSE {base} + to_days(n) END AS VARCHAR) AS UpdatedOn")
+
+
 def _versioned(source: str) -> str:
     return f"(SELECT *, unnest([0, 1, 2]) AS n FROM {source})"
 
@@ -47,11 +49,11 @@ SELECT CAST(CASE WHEN n = 2 THEN NULL ELSE r_regionkey END AS INTEGER) AS Id,
 FROM {_versioned('region')} v WHERE {_keep('r_regionkey')}""")
 
 _cte("stg_Org", (), f"""
-SELECT CAST(n_nationkey // 3 AS BIGINT) AS Id,
+SELECT CAST(CAST(n_nationkey // 3 AS BIGINT) AS VARCHAR) AS Id,
        CAST(CASE WHEN n_nationkey = 24 THEN 99 ELSE n_regionkey END AS BIGINT) AS BusinessUnitId,
        'ORG' || CAST(n_nationkey AS VARCHAR) AS Code, n_name AS Name,
        CAST(1 AS BIGINT) AS EnterpriseId, CAST(n_nationkey % 4 AS BIGINT) AS TypeId,
-       {_audit('n_nationkey', BASE)}
+       {_audit_text('n_nationkey', BASE)}
 FROM {_versioned('nation')} v WHERE {_keep('n_nationkey')}""")
 
 _cte("stg_Attendee", (), f"""
@@ -61,13 +63,13 @@ SELECT CASE WHEN c_custkey % 97 = 96 THEN NULL ELSE c_custkey END AS Id,
        c_custkey % 3 AS GenderId, c_custkey % 4 AS StatusId,
        CASE c_custkey % 5 WHEN 0 THEN '31/12/2015' WHEN 1 THEN '1899-12-31' WHEN 2 THEN '2999-01-01'
             ELSE '2016-0' || CAST(c_custkey % 9 + 1 AS VARCHAR) || '-15' END AS DateOfBirth,
-       {_audit('c_custkey', BASE)}
+       {_audit_text('c_custkey', BASE)}
 FROM {_versioned('(SELECT * FROM customer JOIN nation ON c_nationkey = n_nationkey)')} v
 WHERE {_keep('c_custkey')}""")
 
 _cte("stg_Enrollment", (), f"""
 SELECT CASE WHEN o_orderkey % 97 = 96 THEN NULL ELSE o_orderkey END AS Id,
-       CAST(n_regionkey AS BIGINT) AS BusinessUnitId,
+       unit AS BusinessUnitId,
        CAST(CASE WHEN o_orderkey % 23 = 0 THEN 99 ELSE n_nationkey // 3 END AS BIGINT) AS OrgId,
        CASE WHEN o_orderkey % 29 = 0 THEN o_custkey + 100000000 ELSE o_custkey END AS AttendeeId,
        o_custkey // 2 AS AccountId, o_orderkey % 50 AS SubscriptionId, o_orderkey % 4 AS StatusId,
@@ -75,11 +77,13 @@ SELECT CASE WHEN o_orderkey % 97 = 96 THEN NULL ELSE o_orderkey END AS Id,
        CAST(CAST(o_orderdate AS DATE) AS VARCHAR) AS StartDate,
        CASE WHEN o_orderkey % 2 = 0 THEN NULL ELSE CAST(CAST(o_orderdate AS DATE) + 90 AS VARCHAR) END AS EndDate,
        {_audit('o_orderkey', 'o_orderdate')}
-FROM {_versioned('(SELECT * FROM orders JOIN customer ON o_custkey = c_custkey JOIN nation ON c_nationkey = n_nationkey)')} v
+FROM {_versioned("""(SELECT *, unnest(CASE WHEN o_orderkey % 19 = 0 THEN [CAST(n_regionkey AS BIGINT), (n_regionkey + 1) % 5]
+                           ELSE [CAST(n_regionkey AS BIGINT)] END) AS unit
+ FROM orders JOIN customer ON o_custkey = c_custkey JOIN nation ON c_nationkey = n_nationkey)""")} v
 WHERE {_keep('o_orderkey')}""")
 
 _cte("stg_Attendance", (), f"""
-SELECT ((l_orderkey * 10 + l_linenumber) * 100000 + l_partkey) * 10000 + l_suppkey AS Id,
+SELECT (l_orderkey * 8 + l_linenumber) * 128 + l_partkey % 128 AS Id,
        CASE WHEN l_partkey % 31 = 0 THEN l_orderkey + 100000000 ELSE l_orderkey END AS EnrollmentId,
        CAST(CASE WHEN o_orderkey % 23 = 0 THEN 99 ELSE n_nationkey // 3 END AS BIGINT) AS OrgId,
        o_custkey AS AttendeeId, l_partkey AS ProgramId, l_orderkey AS BookingId, l_linenumber AS TypeId,
@@ -106,44 +110,68 @@ SELECT p_partkey AS Id, CAST(p_size AS BIGINT) AS ProgramCategoryId, p_partkey %
        {_audit('p_partkey', BASE)}
 FROM {_versioned('part')} v WHERE {_keep('p_partkey')}""")
 
-_DUCK = {"long": "BIGINT", "int": "INTEGER", "string": "VARCHAR", "boolean": "BOOLEAN",
-         "double": "DOUBLE"}
-
-
-def _convert(src: str, dtype: str) -> str:
-    if dtype == "date":
-        return f"TRY_CAST(CAST({src} AS VARCHAR) AS DATE)"
-    if dtype == "timestamp":
-        return f"TRY_CAST(CAST({src} AS VARCHAR) AS TIMESTAMP)"
-    return f"TRY_CAST({src} AS {_DUCK[dtype]})"
-
-
-STAGING_OF = {"BusinessUnit": "stg_BusinessUnit", "Organisation": "stg_Org", "Attendee": "stg_Attendee",
-              "Enrollment": "stg_Enrollment", "Attendance": "stg_Attendance",
-              "HeadCount": "stg_HeadCount", "Program": "stg_Program"}
-CONTRACT_OF = {"BusinessUnit": C.BUSINESS_UNIT, "Organisation": C.ORGANISATION, "Attendee": C.ATTENDEE,
-               "Enrollment": C.ENROLLMENT, "Attendance": C.ATTENDANCE, "HeadCount": C.HEADCOUNT,
-               "Program": C.PROGRAM}
 LATEST = "IsActive DESC NULLS LAST, UpdatedOn DESC NULLS LAST, CreatedOn DESC NULLS LAST"
 
-for _name, _c in CONTRACT_OF.items():
-    _sel = ", ".join(f"{_convert(f.sources()[0], f.dtype)} AS {f.target}" for f in _c.fields)
-    _req = " AND ".join(f"{k} IS NOT NULL" for k in _c.required)
-    _cte(f"conf_{_name}", (STAGING_OF[_name],),
-         f"SELECT * FROM (SELECT {_sel} FROM {STAGING_OF[_name]}) s WHERE {_req}")
+
+# The cleaned columns are written out here, not taken from the library's
+# contracts, so that a wrong column or type there shows.
+def _big(*cols: str) -> str:
+    """Columns as BIGINT; ``Source>Target`` renames."""
+    return ", ".join(f"TRY_CAST({c.split('>')[0]} AS BIGINT) AS {c.split('>')[-1]}" for c in cols)
+
+
+def _day(*cols: str) -> str:
+    return ", ".join(f"TRY_CAST(CAST({c.split('>')[0]} AS VARCHAR) AS DATE) AS {c.split('>')[-1]}" for c in cols)
+
+
+def _time(*cols: str) -> str:
+    return ", ".join(f"TRY_CAST(CAST({c} AS VARCHAR) AS TIMESTAMP) AS {c}" for c in cols)
+
+
+_AUDIT = f"TRY_CAST(IsActive AS BOOLEAN) AS IsActive, {_time('CreatedOn', 'UpdatedOn')}"
+
+_cte("conf_BusinessUnit", ("stg_BusinessUnit",), f"""
+SELECT {_big('Id>BusinessUnitId')}, Code AS BusinessUnitCode, Name AS BusinessUnitName,
+       {_big('EnterpriseId', 'TypeId')}, {_AUDIT} FROM stg_BusinessUnit WHERE TRY_CAST(Id AS BIGINT) IS NOT NULL""")
+_cte("conf_Organisation", ("stg_Org",), f"""
+SELECT {_big('Id>OrganisationId', 'BusinessUnitId')}, Code AS OrganisationCode, Name AS OrganisationName,
+       {_big('EnterpriseId', 'TypeId')}, {_AUDIT} FROM stg_Org
+WHERE TRY_CAST(Id AS BIGINT) IS NOT NULL AND BusinessUnitId IS NOT NULL""")
+_cte("conf_Attendee", ("stg_Attendee",), f"""
+SELECT {_big('Id>AttendeeId', 'BusinessUnitId', 'AccountId', 'EnterpriseId', 'GenderId', 'StatusId')},
+       {_day('DateOfBirth>RawDateOfBirth')}, {_AUDIT} FROM stg_Attendee
+WHERE Id IS NOT NULL AND BusinessUnitId IS NOT NULL""")
+_cte("conf_Enrollment", ("stg_Enrollment",), f"""
+SELECT {_big('Id>EnrollmentId', 'BusinessUnitId', 'OrgId>OrganisationId', 'AttendeeId', 'AccountId', 'SubscriptionId', 'StatusId')},
+       {_day('EnrolledDate', 'StartDate', 'EndDate')}, {_AUDIT} FROM stg_Enrollment
+WHERE Id IS NOT NULL AND BusinessUnitId IS NOT NULL""")
+_cte("conf_Attendance", ("stg_Attendance",), f"""
+SELECT {_big('Id>AttendanceId', 'EnrollmentId', 'OrgId>OrganisationId', 'AttendeeId', 'ProgramId', 'BookingId', 'TypeId')},
+       {_day('Date>AttendanceDate')}, {_time('TimeStart', 'TimeEnd')}, {_AUDIT} FROM stg_Attendance WHERE Id IS NOT NULL""")
+_cte("conf_HeadCount", ("stg_HeadCount",), f"""
+SELECT {_big('Id>HeadcountId', 'OrgId>OrganisationId', 'TermProgramSetId', 'TermProductId')}, Description, HeadcountType,
+       {_big('StatusId')}, TRY_CAST(TotalCount AS INTEGER) AS TotalCount, {_AUDIT} FROM stg_HeadCount WHERE Id IS NOT NULL""")
+_cte("conf_Program", ("stg_Program",), f"""
+SELECT {_big('Id>ProgramId', 'ProgramCategoryId', 'OrgId>OrganisationId')}, Code AS ProgramCode, {_big('BusinessUnitId')},
+       ProgramName, {_AUDIT} FROM stg_Program WHERE Id IS NOT NULL""")
 
 _DOB_OK = (r"regexp_matches(CAST(RawDateOfBirth AS VARCHAR), '^\d{4}-\d{2}-\d{2}$') "
-           f"AND RawDateOfBirth >= DATE '1900-01-01' AND RawDateOfBirth <= DATE '{R.DOB_AS_OF}'")
+           f"AND RawDateOfBirth >= DATE '1900-01-01' AND RawDateOfBirth <= DATE '2025-06-30'")
 _cte("conf_Attendee_dob", ("conf_Attendee",), f"""
 SELECT AttendeeId, BusinessUnitId, AccountId, EnterpriseId, GenderId, StatusId, IsActive, CreatedOn, UpdatedOn,
        CASE WHEN {_DOB_OK} THEN RawDateOfBirth END AS DateOfBirth
 FROM conf_Attendee""")
 
-for _name, _c in CONTRACT_OF.items():
-    _src = "conf_Attendee_dob" if _name == "Attendee" else f"conf_{_name}"
-    _cte(f"cln_{_name}", (_src,),
-         f"SELECT * FROM {_src} QUALIFY row_number() OVER "
-         f"(PARTITION BY {', '.join(_c.business_key)} ORDER BY {LATEST}) = 1")
+for _name, _source, _keys in (
+        ("BusinessUnit", "conf_BusinessUnit", "BusinessUnitId"),
+        ("Organisation", "conf_Organisation", "BusinessUnitId, OrganisationId"),
+        ("Attendee", "conf_Attendee_dob", "BusinessUnitId, AttendeeId"),
+        ("Enrollment", "conf_Enrollment", "BusinessUnitId, EnrollmentId"),
+        ("Attendance", "conf_Attendance", "AttendanceId"),
+        ("HeadCount", "conf_HeadCount", "HeadcountId"),
+        ("Program", "conf_Program", "ProgramId")):
+    _cte(f"cln_{_name}", (_source,),
+         f"SELECT * FROM {_source} QUALIFY row_number() OVER (PARTITION BY {_keys} ORDER BY {LATEST}) = 1")
 
 
 def _dkey(col: str) -> str:
@@ -236,7 +264,7 @@ SELECT e.EnrollmentId, e.BusinessUnitId, e.AttendeeId, e.AccountId FROM cln_Enro
 WHERE NOT EXISTS (SELECT 1 FROM cln_Attendee a
                   WHERE a.BusinessUnitId = e.BusinessUnitId AND a.AttendeeId = e.AttendeeId)""")
 
-_FUNNEL = R.kpi.FUNNEL_STEPS
+_FUNNEL = ('view', 'click', 'signup', 'purchase')
 _cte("funnel_s1", (), f"SELECT user_id, min(ts) AS t FROM events WHERE event_type = '{_FUNNEL[0]}' GROUP BY user_id")
 for _i, _step in enumerate(_FUNNEL[1:], start=2):
     _cte(f"funnel_s{_i}", (f"funnel_s{_i - 1}",), f"""
@@ -257,7 +285,7 @@ def _month_bounds(as_of: str, months: int) -> tuple[str, str]:
     return add(1).isoformat(), add(months).isoformat()
 
 
-_H1, _HN = _month_bounds(R.OCCUPANCY_AS_OF, R.OUTLOOK_MONTHS)
+_H1, _HN = _month_bounds('1998-06-30', 6)
 _cte("outlook_months", (), f"""
 SELECT CAST(unnest(generate_series(TIMESTAMP '{_H1} 00:00:00', TIMESTAMP '{_HN} 00:00:00', INTERVAL 1 MONTH)) AS DATE)
        AS MonthStart""")
@@ -275,18 +303,36 @@ def _profile_keys_sql(table: str, keys: list[str]) -> str:
         f"count(*) FILTER (WHERE {k} IS NULL) AS MissingValues FROM {table}" for k in keys)
 
 
-_ACTIVE = (f"StartDate <= DATE '{R.OCCUPANCY_AS_OF}' AND (EndDate IS NULL OR EndDate >= DATE '{R.OCCUPANCY_AS_OF}')")
-_MAP = ", ".join(
-    f"{'CAST(o_orderdate AS DATE)' if t == 'date' else _convert(s, t)} AS {d}" for s, d, t in R.MAP_COLUMNS)
-_LINE_ORDER = ", ".join(R.LINE_KEY)
+_ACTIVE = (f"StartDate <= DATE '1998-06-30' AND (EndDate IS NULL OR EndDate >= DATE '1998-06-30')")
+_LINE_ORDER = "l_orderkey, l_linenumber, l_partkey, l_suppkey"
+_ENROLLMENT_COLUMNS = ["EnrollmentId", "BusinessUnitId", "OrganisationId", "AttendeeId", "AccountId", "SubscriptionId", "StatusId",
+                       "EnrolledDate", "StartDate", "EndDate", "IsActive", "CreatedOn", "UpdatedOn"]
+
+
+def _int(*cols: str) -> str:
+    return ", ".join(f"TRY_CAST({c} AS INTEGER) AS {c}" for c in cols)
 
 
-def _copy_sql(mapping, table: str) -> str:
-    return "SELECT " + ", ".join(f"{_convert(src, t)} AS {dst}" for src, dst, t in mapping) + f" FROM {table}"
+_cte("copied_Attendance", ("stg_Attendance",), f"""
+SELECT {_int('Id', 'OrgId', 'TypeId', 'AttendeeId', 'EnrollmentId', 'ProgramId')}, CAST(Date AS VARCHAR) AS Date, {_AUDIT},
+       {_time('TimeStart', 'TimeEnd')}, {_int('BookingId')} FROM stg_Attendance""")
 
 FINAL: dict[str, tuple[tuple[str, ...], str]] = {
-    "map_columns": ((), f"SELECT {_MAP} FROM orders"),
-    "copy_attendance": (("stg_Attendance",), _copy_sql(ATTENDANCE_MAPPING, "stg_Attendance")),
+    "map_columns": ((), """
+SELECT CAST(o_orderkey AS INTEGER) AS OrderId, CAST(o_custkey AS INTEGER) AS CustomerId, o_orderstatus AS OrderStatus,
+       CAST(o_totalprice AS DOUBLE) AS TotalPrice, CAST(o_orderdate AS DATE) AS OrderDate, o_orderpriority AS Priority,
+       CAST(o_orderkey AS VARCHAR) AS OrderText FROM orders"""),
+    "copy_attendance": (("copied_Attendance",), "SELECT * FROM copied_Attendance"),
+    "copy_headcount": (("stg_HeadCount",), f"""
+SELECT {_int('Id', 'OrgId', 'TermProgramSetId', 'TermProductId')}, Description, HeadcountType, {_int('StatusId')},
+       {_time('HeadcountDateTime')}, {_int('TotalCount')}, {_AUDIT} FROM stg_HeadCount"""),
+    "copy_program": (("stg_Program",), f"""
+SELECT {_int('Id', 'ProgramCategoryId', 'OrgId')}, Code, {_AUDIT}, {_int('BusinessUnitId')}, ProgramName FROM stg_Program"""),
+    "copy_by_name": (("stg_Org",), "SELECT * FROM stg_Org"),
+    "copy_then_clean_attendance": (("copied_Attendance",), f"""
+SELECT {_big('Id>AttendanceId', 'EnrollmentId', 'OrgId>OrganisationId', 'AttendeeId', 'ProgramId', 'BookingId', 'TypeId')},
+       {_day('Date>AttendanceDate')}, TimeStart, TimeEnd, IsActive, CreatedOn, UpdatedOn FROM copied_Attendance WHERE Id IS NOT NULL
+QUALIFY row_number() OVER (PARTITION BY Id ORDER BY {LATEST}) = 1"""),
     "clean_business_unit": (("cln_BusinessUnit",), "SELECT * FROM cln_BusinessUnit"),
     "clean_organisation": (("cln_Organisation",), "SELECT * FROM cln_Organisation"),
     "clean_attendee": (("cln_Attendee",), "SELECT * FROM cln_Attendee"),
@@ -299,7 +345,7 @@ SELECT Id AS AttendeeId, BusinessUnitId, DateOfBirth AS RawDateOfBirth,
        TRY_CAST(DateOfBirth AS DATE) AS ParsedDateOfBirth,
        CASE WHEN regexp_matches(CAST(TRY_CAST(DateOfBirth AS DATE) AS VARCHAR), '^\\d{{4}}-\\d{{2}}-\\d{{2}}$')
              AND TRY_CAST(DateOfBirth AS DATE) >= DATE '1900-01-01'
-             AND TRY_CAST(DateOfBirth AS DATE) <= DATE '{R.DOB_AS_OF}'
+             AND TRY_CAST(DateOfBirth AS DATE) <= DATE '2025-06-30'
             THEN TRY_CAST(DateOfBirth AS DATE) END AS DateOfBirth
 FROM stg_Attendee"""),
     "latest_per_key": ((), """
@@ -333,6 +379,16 @@ SELECT EnrollmentId, BusinessUnitId, {_dkey('EnrolledDate')} AS EnrolledDateKey,
     "orphan_attendance": (("cln_Attendance", "cln_Enrollment"), """
 SELECT t.AttendanceId, t.EnrollmentId, t.AttendeeId, t.OrganisationId FROM cln_Attendance t
 WHERE NOT EXISTS (SELECT 1 FROM cln_Enrollment e WHERE e.EnrollmentId = t.EnrollmentId)"""),
+    "unknown_member_rows": (("fact_Enrollment",), """
+SELECT EnrollmentId, BusinessUnitId, OrganisationId FROM fact_Enrollment WHERE OrganisationKey = 0"""),
+    "dates_outside": (("cln_Attendance",), f"""
+SELECT {_dkey('AttendanceDate')} AS DateKey, count(*) AS Rows FROM cln_Attendance
+WHERE AttendanceDate < DATE '1996-01-01' OR AttendanceDate > DATE '1998-12-31' GROUP BY AttendanceDate"""),
+    "duplicate_enrollment_ids": (("cln_Enrollment",), """
+SELECT EnrollmentId, count(*) AS "count" FROM cln_Enrollment GROUP BY EnrollmentId HAVING count(*) > 1"""),
+    "dedup_enrollment": (("cln_Enrollment",), """
+SELECT EnrollmentId, BusinessUnitId, AttendeeId FROM cln_Enrollment
+QUALIFY row_number() OVER (PARTITION BY EnrollmentId ORDER BY BusinessUnitId) = 1"""),
     "unmatched_parents": (("dim_Organisation",), """
 SELECT OrganisationId, BusinessUnitId, OrganisationCode, OrganisationName FROM dim_Organisation
 WHERE OrganisationId <> -1 AND BusinessUnitKey = 0"""),
@@ -350,24 +406,21 @@ WHERE Id IS NULL OR BusinessUnitId IS NULL"""),
 SELECT count(*) AS FinalRows, count(DISTINCT AttendanceFactKey) AS DistinctKeys,
        count(DISTINCT AttendanceId) AS DistinctBusinessKeys, min(AttendanceFactKey) AS MinKey,
        max(AttendanceFactKey) AS MaxKey FROM fact_Attendance"""),
-    "profile_dim_business_unit": (("dim_BusinessUnit",), """
-SELECT count(*) AS FinalRows, count(DISTINCT BusinessUnitKey) AS DistinctKeys,
-       count(DISTINCT BusinessUnitId) AS DistinctBusinessUnitIds,
-       count(*) FILTER (WHERE BusinessUnitId IS NULL) AS MissingBusinessUnitIds FROM dim_BusinessUnit"""),
+    "profile_dim_business_unit": (("dim_BusinessUnit",), _profile_keys_sql("dim_BusinessUnit", ["BusinessUnitKey", "BusinessUnitId"])),
     "dim_duplicate_keys": (("dim_Organisation",), """
 SELECT BusinessUnitId, OrganisationId, count(*) AS "count" FROM dim_Organisation
 GROUP BY BusinessUnitId, OrganisationId HAVING count(*) > 1"""),
     "profile_keys": (("stg_Attendee",), _profile_keys_sql("stg_Attendee", ["Id", "BusinessUnitId"])),
-    "profile_composite_key": (("dim_Organisation",), """
-SELECT count(*) AS FinalRows, count(DISTINCT OrganisationKey) AS DistinctKeys,
+    "profile_composite_key": (("dim_Organisation",), _profile_keys_sql("dim_Organisation", ["BusinessUnitId", "OrganisationId"])
+                              + """ UNION ALL
+SELECT 'BusinessUnitId+OrganisationId' AS KeyColumn, count(*) AS TotalRows,
        count(DISTINCT CASE WHEN BusinessUnitId IS NOT NULL AND OrganisationId IS NOT NULL
-                           THEN (BusinessUnitId, OrganisationId) END) AS DistinctOrganisationBusinessKeys,
-       count(*) FILTER (WHERE BusinessUnitKey = 0) AS UnmatchedBusinessUnits
-FROM dim_Organisation"""),
+                           THEN (BusinessUnitId, OrganisationId) END) AS DistinctValues,
+       count(*) FILTER (WHERE BusinessUnitId IS NULL OR OrganisationId IS NULL) AS MissingValues FROM dim_Organisation"""),
     "profile_unmatched": (("dim_Attendee",), """
 SELECT count(*) AS TotalRows, count(*) FILTER (WHERE DateOfBirth IS NULL) AS MissingOrInvalidDateOfBirth,
        count(*) FILTER (WHERE BusinessUnitKey = 0) AS UnmatchedBusinessUnits FROM dim_Attendee"""),
-    "null_profile": (("cln_Enrollment",), _null_profile_sql("cln_Enrollment", C.ENROLLMENT.columns)),
+    "null_profile": (("cln_Enrollment",), _null_profile_sql("cln_Enrollment", _ENROLLMENT_COLUMNS)),
     "value_distribution": (("stg_Attendee",),
                            'SELECT BusinessUnitId, count(*) AS "count" FROM stg_Attendee GROUP BY BusinessUnitId'),
     "duplicate_keys": (("stg_Enrollment",), """
@@ -390,9 +443,16 @@ GROUP BY BusinessUnitId, GenderId, DateOfBirth HAVING count(DISTINCT AttendeeId)
     "unexpected_values": (("stg_Attendee",), """
 SELECT 'GenderId' AS ColumnName, CAST(GenderId AS VARCHAR) AS Value, count(*) AS Rows FROM stg_Attendee
 WHERE NOT COALESCE(GenderId IN (0, 1), false) GROUP BY CAST(GenderId AS VARCHAR)"""),
+    "unexpected_range": (("stg_HeadCount",), """
+SELECT 'TotalCount' AS ColumnName, CAST(TotalCount AS VARCHAR) AS Value, count(*) AS Rows FROM stg_HeadCount
+WHERE NOT COALESCE(TotalCount BETWEEN 5 AND 30, false) GROUP BY TotalCount"""),
     "fanout_rows": (("cln_Organisation",), """
 SELECT OrganisationId, count(*) AS Matches FROM cln_Organisation GROUP BY OrganisationId HAVING count(*) > 1"""),
     "table_roundtrip": (("cln_Enrollment",), "SELECT * FROM cln_Enrollment"),
+    "sink_append": (("cln_Program",), "SELECT * FROM cln_Program UNION ALL SELECT * FROM cln_Program"),
+    "sink_truncate_append": (("cln_Program",), "SELECT * FROM cln_Program WHERE ProgramId % 2 = 0"),
+    "sink_overwrite_schema": (("cln_HeadCount",), "SELECT * FROM cln_HeadCount"),
+    "sink_recreate": (("cln_Program",), "SELECT * FROM cln_Program"),
     "preview_rows": (("orphan_enr",), "SELECT * FROM orphan_enr ORDER BY EnrollmentId, BusinessUnitId LIMIT 50"),
     "booking_detail": (("fact_Attendance", "dim_Attendee", "cln_Program", "dim_Date"), """
 SELECT f.AttendanceId, f.BookingId, f.AttendeeId, a.AccountId, f.ProgramId, p.ProgramName, f.AttendanceDate,
@@ -402,14 +462,25 @@ LEFT JOIN dim_Attendee a ON f.AttendeeKey = a.AttendeeKey
 LEFT JOIN cln_Program p ON f.ProgramId = p.ProgramId
 LEFT JOIN dim_Date d ON f.AttendanceDateKey = d.DateKey"""),
     "occupancy_rate": (("capacity", "fact_Enrollment"), f"""
-SELECT c.BusinessUnitId, c.OrganisationId, c.LicensedCapacity,
-       COALESCE(a.ActiveEnrollments, 0) AS ActiveEnrollments,
+SELECT COALESCE(c.BusinessUnitId, a.BusinessUnitId) AS BusinessUnitId, COALESCE(c.OrganisationId, a.OrganisationId) AS OrganisationId,
+       c.LicensedCapacity, COALESCE(a.ActiveEnrollments, 0) AS ActiveEnrollments,
        CAST(COALESCE(a.ActiveEnrollments, 0) AS DOUBLE) * 100 / NULLIF(CAST(c.LicensedCapacity AS DOUBLE), 0)
            AS OccupancyRatePct
-FROM capacity c LEFT JOIN (
+FROM capacity c FULL JOIN (
   SELECT BusinessUnitId, OrganisationId, count(*) AS ActiveEnrollments FROM fact_Enrollment
   WHERE {_ACTIVE} GROUP BY BusinessUnitId, OrganisationId) a
 ON c.BusinessUnitId = a.BusinessUnitId AND c.OrganisationId = a.OrganisationId"""),
+    "attended_use": (("capacity", "fact_Attendance"), """
+SELECT COALESCE(c.BusinessUnitId, u.BusinessUnitId) AS BusinessUnitId, COALESCE(c.OrganisationId, u.OrganisationId) AS OrganisationId,
+       c.LicensedCapacity, COALESCE(u.days, 0) AS DaysAttended, COALESCE(u.peak, 0) AS PeakAttendees,
+       CAST(u.total AS DOUBLE) / CAST(u.days AS DOUBLE) AS MeanAttendees,
+       CAST(COALESCE(u.peak, 0) AS DOUBLE) * 100 / CAST(c.LicensedCapacity AS DOUBLE) AS PeakUsePct,
+       CAST(u.total AS DOUBLE) / CAST(u.days AS DOUBLE) * 100 / CAST(c.LicensedCapacity AS DOUBLE) AS MeanUsePct
+FROM capacity c FULL JOIN (
+  SELECT BusinessUnitId, OrganisationId, count(*) AS days, max(n) AS peak, sum(n) AS total FROM (
+    SELECT BusinessUnitId, OrganisationId, AttendanceDate, count(DISTINCT AttendeeId) AS n FROM fact_Attendance
+    WHERE AttendanceDate IS NOT NULL GROUP BY ALL) d GROUP BY ALL) u
+ON c.BusinessUnitId = u.BusinessUnitId AND c.OrganisationId = u.OrganisationId"""),
     "attendance_behaviour": (("fact_Attendance",), """
 SELECT OrganisationId, CAST(dayofweek(AttendanceDate) + 1 AS INTEGER) AS DayOfWeek, dayname(AttendanceDate) AS DayName,
        count(*) AS Visits, count(DISTINCT AttendeeId) AS Attendees,
@@ -421,20 +492,26 @@ SELECT ProgramId, AttendanceDate AS PeakDate, Visits AS PeakVisits FROM (
   SELECT ProgramId, AttendanceDate, count(*) AS Visits FROM fact_Attendance WHERE AttendanceDate IS NOT NULL
   GROUP BY ProgramId, AttendanceDate) s
 QUALIFY row_number() OVER (PARTITION BY ProgramId ORDER BY Visits DESC, AttendanceDate ASC) = 1"""),
-    "max_capacity": (("fact_Headcount",), """
+    "max_capacity": (("capacity",), """
+SELECT BusinessUnitId, max(LicensedCapacity) AS MaxCapacity, count(LicensedCapacity) AS Organisations
+FROM capacity GROUP BY BusinessUnitId"""),
+    "max_room_headcount": (("fact_Headcount",), """
 SELECT OrganisationId, max(TotalCount) AS MaxRoomCount, count(DISTINCT HeadcountId) AS Rooms
 FROM fact_Headcount WHERE HeadcountType = 'Room' GROUP BY OrganisationId"""),
     "new_enrollments_monthly": (("fact_Enrollment",), """
-SELECT YearMonth, NewEnrollments, lag(NewEnrollments) OVER (ORDER BY YearMonth) AS PreviousEnrollments,
-       NewEnrollments - lag(NewEnrollments) OVER (ORDER BY YearMonth) AS ChangeFromPrevious
-FROM (SELECT strftime(EnrolledDate, '%Y-%m') AS YearMonth, count(*) AS NewEnrollments FROM fact_Enrollment
-      WHERE EnrolledDate IS NOT NULL GROUP BY 1) s"""),
+SELECT strftime(m, '%Y-%m') AS YearMonth, n AS NewEnrollments, before AS PreviousEnrollments, n - before AS ChangeFromPrevious FROM (
+  SELECT m, n, lag(n) OVER (ORDER BY m) AS before FROM (
+    SELECT s.m, (SELECT count(*) FROM fact_Enrollment e WHERE date_trunc('month', e.EnrolledDate) = s.m) AS n
+    FROM (SELECT CAST(unnest(generate_series(CAST(date_trunc('month', min(EnrolledDate)) AS TIMESTAMP),
+                                             CAST(date_trunc('month', max(EnrolledDate)) AS TIMESTAMP), INTERVAL 1 MONTH)) AS DATE) AS m
+          FROM fact_Enrollment) s) c) l
+UNION ALL SELECT NULL, count(*), NULL, NULL FROM fact_Enrollment WHERE EnrolledDate IS NULL HAVING count(*) > 0"""),
     "occupancy_outlook": (("fact_Enrollment", "outlook_months"), """
-SELECT e.BusinessUnitId, e.OrganisationId, m.MonthStart, count(*) AS ExpectedEnrollments
-FROM fact_Enrollment e JOIN outlook_months m
-  ON e.StartDate <= last_day(m.MonthStart) AND (e.EndDate IS NULL OR e.EndDate >= m.MonthStart)
-WHERE e.StartDate IS NOT NULL
-GROUP BY e.BusinessUnitId, e.OrganisationId, m.MonthStart"""),
+SELECT o.BusinessUnitId, o.OrganisationId, m.MonthStart, CAST((
+  SELECT count(*) FROM fact_Enrollment e
+  WHERE e.BusinessUnitId = o.BusinessUnitId AND e.OrganisationId IS NOT DISTINCT FROM o.OrganisationId
+    AND e.StartDate <= last_day(m.MonthStart) AND (e.EndDate IS NULL OR e.EndDate >= m.MonthStart)) AS BIGINT) AS ExpectedEnrollments
+FROM (SELECT DISTINCT BusinessUnitId, OrganisationId FROM fact_Enrollment) o, outlook_months m"""),
     "funnel_conversion": (("funnel_counts",), """
 SELECT StepNumber, Step, Users,
        CAST(Users AS DOUBLE) / NULLIF(CAST(lag(Users) OVER (ORDER BY StepNumber) AS DOUBLE), 0) AS ConversionFromPrevious,

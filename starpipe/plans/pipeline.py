@@ -20,7 +20,7 @@ from starpipe.operators import quality as Q
 from starpipe.operators.dates import DEFAULT_END, DEFAULT_START, date_spine, date_spine_covering, dim_date
 from starpipe.operators.lookup import fanout_rows, orphans
 from starpipe.plans import clean, model
-from starpipe.sources.io import save_table
+from starpipe.sources.io import save_table, scratch_scope
 
 # Staging table name -> (cleaned table name, cleaner).
 CLEANERS: dict[str, tuple[str, Callable[..., DataFrame]]] = {
@@ -52,41 +52,45 @@ def run_pipeline(spark: SparkSession, staging: Mapping[str, DataFrame], *, as_of
     instead, so every fact date has a dimension row."""
     res = PipelineResult()
 
-    def keep(name: str, df: DataFrame) -> DataFrame:
-        if save:
-            full = f"{prefix}{name}"
-            res.saved_rows[name] = save_table(df, full)
-            df = spark.table(full)
-        res.tables[name] = df
-        return df
-
+    def keep(name: str, build: Callable[[], DataFrame]) -> DataFrame:
+        if not save:
+            res.tables[name] = build()
+            return res.tables[name]
+        full = f"{prefix}{name}"
+        with scratch_scope(spark):  # the table holds its rows now; what led to it may go
+            res.saved_rows[name] = save_table(build(), full)
+        res.tables[name] = spark.table(full)
+        return res.tables[name]
+
+    if staging:
+        res.checks["staging_row_counts"] = Q.table_row_counts(staging)
     for stg_name, (cln_name, cleaner) in CLEANERS.items():
         if stg_name in staging:
             src = staging[stg_name]
-            keep(cln_name, cleaner(src, as_of=as_of) if stg_name == "Attendee" else cleaner(src))
+            keep(cln_name, lambda c=cleaner, s=src, n=stg_name: c(s, as_of=as_of) if n == "Attendee" else c(s))
 
     t = res.tables
     dated = [(t[n], c) for n, c in (("cln_Enrollment", ["EnrolledDate", "StartDate", "EndDate"]),
                                     ("cln_Attendance", ["AttendanceDate"])) if n in t]
     if date_span == "data" and dated:
-        keep("Dim_Date", dim_date(date_spine_covering(dated)))
+        keep("Dim_Date", lambda: dim_date(date_spine_covering(dated)))
     else:
-        keep("Dim_Date", dim_date(date_spine(spark, date_start, date_end)))
+        keep("Dim_Date", lambda: dim_date(date_spine(spark, date_start, date_end)))
     if "cln_BusinessUnit" in t:
-        keep("Dim_BusinessUnit", model.dim_business_unit(t["cln_BusinessUnit"]))
+        keep("Dim_BusinessUnit", lambda: model.dim_business_unit(t["cln_BusinessUnit"]))
         if "cln_Organisation" in t:
-            keep("Dim_Organisation", model.dim_organisation(t["cln_Organisation"], t["Dim_BusinessUnit"]))
+            keep("Dim_Organisation", lambda: model.dim_organisation(t["cln_Organisation"], t["Dim_BusinessUnit"]))
         if "cln_Attendee" in t:
-            keep("Dim_Attendee", model.dim_attendee(t["cln_Attendee"], t["Dim_BusinessUnit"]))
+            keep("Dim_Attendee", lambda: model.dim_attendee(t["cln_Attendee"], t["Dim_BusinessUnit"]))
     dims = ("Dim_BusinessUnit", "Dim_Organisation", "Dim_Attendee")
     if "cln_Enrollment" in t and all(d in t for d in dims):
-        keep("Fact_Enrollment", model.fact_enrollment(t["cln_Enrollment"], *[t[d] for d in dims]))
+        keep("Fact_Enrollment", lambda: model.fact_enrollment(t["cln_Enrollment"], *[t[d] for d in dims]))
         if "cln_Attendance" in t:
-            keep("Fact_Attendance", model.fact_attendance(t["cln_Attendance"], t["Fact_Enrollment"],
-                                                          *[t[d] for d in dims]))
+            keep("Fact_Attendance", lambda: model.fact_attendance(
+                t["cln_Attendance"], t["Fact_Enrollment"], *[t[d] for d in dims]))
     if "cln_HeadCount" in t and "Dim_Organisation" in t:
-        keep("Fact_Headcount", model.fact_headcount(t["cln_HeadCount"], t["Dim_Organisation"],
-                                                    t["Dim_BusinessUnit"]))
+        keep("Fact_Headcount", lambda: model.fact_headcount(
+            t["cln_HeadCount"], t["Dim_Organisation"], t["Dim_BusinessUnit"]))
 
     model_tables = [n for n in ("Dim_Attendee", "Fact_Enrollment", "Fact_Attendance", "Fact_Headcount",
                                 "Dim_Date", "Dim_BusinessUnit", "Dim_Organisation") if n in t]
@@ -99,6 +103,10 @@ def run_pipeline(spark: SparkSession, staging: Mapping[str, DataFrame], *, as_of
         res.checks["attendance_without_enrollment"] = (
             Q.missing_key_rows(t["Fact_Attendance"], ["EnrollmentFactKey"])
             .select("AttendanceId", "EnrollmentId", "AttendeeId", "OrganisationId"))
+    for fact, key in (("Fact_Enrollment", "EnrolledDateKey"), ("Fact_Attendance", "AttendanceDateKey"),
+                      ("Fact_Headcount", "HeadcountDateKey")):
+        if fact in t:
+            res.checks[f"{fact.lower()}_dates_outside"] = Q.dates_outside(t[fact], key, t["Dim_Date"])
     if "Dim_Organisation" in t:
         res.checks["organisations_without_unit"] = (
             Q.unmatched_parents(t["Dim_Organisation"], "OrganisationId", "BusinessUnitKey")

@@ -6,6 +6,7 @@ DuckDB SQL lives in ``starpipe.plans.oracle`` under the same name.
 
 from __future__ import annotations
 
+import uuid
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
@@ -15,13 +16,15 @@ from starpipe import contracts as C
 from starpipe.functions.scalar import date_key, duration_minutes, safe_cast, valid_date
 from starpipe.operators import quality as Q
 from starpipe.operators.conform import apply_mapping, conform
-from starpipe.operators.dates import date_spine_covering, dim_date
-from starpipe.operators.dedup import LATEST_ORDER, latest_per_key, version_history
+from starpipe.operators.dates import date_spine, date_spine_covering, dim_date
+from starpipe.operators.dedup import LATEST_ORDER, dedup, latest_per_key, version_history
 from starpipe.operators.keys import add_key
 from starpipe.operators.lookup import fanout_rows, orphans
 from starpipe.plans import clean, kpi, model
+from starpipe.session import scratch_dir
 from starpipe.sources import fixtures
-from starpipe.sources.io import materialize, preview
+from starpipe.sources.io import materialize, preview, read_table, save_table
+from starpipe.sources.manifest import ATTENDANCE_MAPPING, HEADCOUNT_MAPPING, PROGRAM_MAPPING
 
 # Fixed evaluation dates, so results do not move with the calendar.
 DOB_AS_OF = "2025-06-30"        # date-of-birth plausibility upper bound
@@ -91,11 +94,12 @@ class Warehouse:
     def fact_att(self) -> DataFrame:
         # The enrolment lookup needs only the keyed enrolments (the fact's
         # lookups are on unique dimensions, so its rows are the same 1:1).
-        return model.fact_attendance(self.cln("Attendance"), self.enr_keys(), self.dim_bu(),
-                                     self.dim_org(), self.dim_att())
+        return self._keep("Fact_Attendance", lambda: model.fact_attendance(
+            self.cln("Attendance"), self.enr_keys(), self.dim_bu(), self.dim_org(), self.dim_att()))
 
     def fact_hc(self) -> DataFrame:
-        return model.fact_headcount(self.cln("HeadCount"), self.dim_org(), self.dim_bu())
+        return self._keep("Fact_Headcount", lambda: model.fact_headcount(
+            self.cln("HeadCount"), self.dim_org(), self.dim_bu()))
 
     def capacity(self) -> DataFrame:
         return fixtures.capacity(self.cln("Organisation"))
@@ -117,7 +121,8 @@ MAP_COLUMNS = (
     ("o_orderstatus", "OrderStatus", "string"),
     ("o_totalprice", "TotalPrice", "double"),
     ("o_orderdate", "OrderDate", "date"),
-    ("o_orderpriority", "PriorityNumber", "int"),
+    ("o_orderpriority", "Priority", "string"),
+    ("o_orderkey", "OrderText", "string"),
 )
 
 
@@ -127,10 +132,29 @@ def q_map_columns(spark, sf):
 
 def q_copy_attendance(spark, sf):
     """The copy job's declared Attendance mapping applied to the staging rows."""
-    from starpipe.sources.manifest import ATTENDANCE_MAPPING
     return apply_mapping(_stg("Attendance")(spark, sf), ATTENDANCE_MAPPING)
 
 
+def q_copy_headcount(spark, sf):
+    """The declared HeadCount mapping applied to the staging rows."""
+    return apply_mapping(_stg("HeadCount")(spark, sf), HEADCOUNT_MAPPING)
+
+
+def q_copy_program(spark, sf):
+    """The declared Program mapping, but for the row version that the staging rows lack."""
+    return apply_mapping(_stg("Program")(spark, sf), tuple(m for m in PROGRAM_MAPPING if m[0] != "Version"))
+
+
+def q_copy_by_name(spark, sf):
+    """A table that the manifest copies without a mapping: every column as it is."""
+    return apply_mapping(_stg("Org")(spark, sf), None)
+
+
+def q_copy_then_clean_attendance(spark, sf):
+    """Staging rows through the declared copy mapping, then cleaned."""
+    return clean.clean_attendance(q_copy_attendance(spark, sf))
+
+
 def q_clean_business_unit(spark, sf):
     return clean.clean_business_unit(_stg("BusinessUnit")(spark, sf))
 
@@ -265,6 +289,29 @@ def q_orphan_attendance(spark, sf):
             .select("AttendanceId", "EnrollmentId", "AttendeeId", "OrganisationId"))
 
 
+def q_unknown_member_rows(spark, sf):
+    """Enrolment facts whose organisation fell back to the unknown member."""
+    return (Q.unknown_member_rows(_wh(spark, sf).fact_enr(), "OrganisationKey")
+            .select("EnrollmentId", "BusinessUnitId", "OrganisationId"))
+
+
+def q_dates_outside(spark, sf):
+    """Attendance dates that a date dimension of 1996 to 1998 does not have."""
+    fact = clean.clean_attendance(_stg("Attendance")(spark, sf)).withColumn("AttendanceDateKey", date_key("AttendanceDate"))
+    return Q.dates_outside(fact, "AttendanceDateKey", dim_date(date_spine(spark, "1996-01-01", "1998-12-31")))
+
+
+def q_duplicate_enrollment_ids(spark, sf):
+    """Enrolment ids held by more than one business unit after cleaning."""
+    return Q.duplicate_keys(clean.clean_enrollment(_stg("Enrollment")(spark, sf)), ["EnrollmentId"])
+
+
+def q_dedup_enrollment(spark, sf):
+    """One enrolment per id, the unit with the lowest id winning."""
+    e = clean.clean_enrollment(_stg("Enrollment")(spark, sf))
+    return dedup(e, ["EnrollmentId"], ["BusinessUnitId"]).select("EnrollmentId", "BusinessUnitId", "AttendeeId")
+
+
 def q_unmatched_parents(spark, sf):
     return (Q.unmatched_parents(q_dim_organisation(spark, sf), "OrganisationId", "BusinessUnitKey")
             .select("OrganisationId", "BusinessUnitId", "OrganisationCode", "OrganisationName"))
@@ -290,21 +337,12 @@ def q_table_row_counts(spark, sf):
 
 def q_surrogate_key_integrity(spark, sf):
     """Rows = distinct surrogate keys = distinct business keys, keys 1..N."""
-    fa = _wh(spark, sf).fact_att()
-    return fa.agg(F.count(F.lit(1)).alias("FinalRows"),
-                  F.count_distinct("AttendanceFactKey").alias("DistinctKeys"),
-                  F.count_distinct("AttendanceId").alias("DistinctBusinessKeys"),
-                  F.min("AttendanceFactKey").alias("MinKey"),
-                  F.max("AttendanceFactKey").alias("MaxKey"))
+    return Q.key_integrity(_wh(spark, sf).fact_att(), "AttendanceFactKey", ["AttendanceId"])
 
 
 def q_profile_dim_business_unit(spark, sf):
     """The validation frame of the business-unit dimension."""
-    d = q_dim_business_unit(spark, sf)
-    return d.agg(F.count(F.lit(1)).alias("FinalRows"),
-                 F.count_distinct("BusinessUnitKey").alias("DistinctKeys"),
-                 F.count_distinct("BusinessUnitId").alias("DistinctBusinessUnitIds"),
-                 F.count_if(F.col("BusinessUnitId").isNull()).alias("MissingBusinessUnitIds"))
+    return Q.profile_keys(_wh(spark, sf).dim_bu(), ["BusinessUnitKey", "BusinessUnitId"])
 
 
 def q_dim_duplicate_keys(spark, sf):
@@ -317,11 +355,7 @@ def q_profile_keys(spark, sf):
 
 
 def q_profile_composite_key(spark, sf):
-    d = q_dim_organisation(spark, sf)
-    return d.agg(F.count(F.lit(1)).alias("FinalRows"),
-                 F.count_distinct("OrganisationKey").alias("DistinctKeys"),
-                 F.count_distinct("BusinessUnitId", "OrganisationId").alias("DistinctOrganisationBusinessKeys"),
-                 F.count_if(F.col("BusinessUnitKey") == 0).alias("UnmatchedBusinessUnits"))
+    return Q.profile_keys(_wh(spark, sf).dim_org(), ["BusinessUnitId", "OrganisationId"], composite=True)
 
 
 def q_profile_unmatched(spark, sf):
@@ -332,7 +366,7 @@ def q_profile_unmatched(spark, sf):
 
 
 def q_null_profile(spark, sf):
-    return Q.null_profile(clean.clean_enrollment(_stg("Enrollment")(spark, sf)))
+    return Q.null_profile(_wh(spark, sf).cln("Enrollment"))
 
 
 def q_value_distribution(spark, sf):
@@ -348,7 +382,7 @@ def q_distinct_values(spark, sf):
 
 
 def q_entity_summary(spark, sf):
-    return Q.entity_summary(clean.clean_enrollment(_stg("Enrollment")(spark, sf)), {
+    return Q.entity_summary(_wh(spark, sf).cln("Enrollment"), {
         "TotalAttendees": "AttendeeId",
         "TotalBusinessUnits": "BusinessUnitId",
         "TotalOrgs": "OrganisationId",
@@ -369,13 +403,54 @@ def q_unexpected_values(spark, sf):
     return Q.unexpected_values(_stg("Attendee")(spark, sf), "GenderId", allowed=[0, 1])
 
 
+def q_unexpected_range(spark, sf):
+    """Headcounts outside 5 to 30."""
+    return Q.unexpected_values(_stg("HeadCount")(spark, sf), "TotalCount", lower=5, upper=30)
+
+
 def q_fanout_rows(spark, sf):
     return fanout_rows(_wh(spark, sf).cln("Organisation"), "OrganisationId")
 
 
+def _saved(spark, *writes) -> DataFrame:
+    """Run (frame, save_table arguments) writes on one new table in the shared
+    folder and read it back; the catalog entry goes, the files stay."""
+    name = f"sink_{uuid.uuid4().hex}"
+    path = f"{scratch_dir(spark).rstrip('/')}/{name}"
+    for df, how in writes:
+        save_table(df, name, path=path, **how)
+    back = read_table(spark, path)
+    spark.sql(f"DROP TABLE {name}")
+    return back
+
+
 def q_table_roundtrip(spark, sf):
-    """Write a cleaned table to the shared folder, read it back (sink -> source)."""
-    return materialize(clean.clean_enrollment(_stg("Enrollment")(spark, sf)), "roundtrip")
+    """Save a cleaned table, read it back."""
+    return _saved(spark, (clean.clean_enrollment(_stg("Enrollment")(spark, sf)), {}))
+
+
+def q_sink_append(spark, sf):
+    """Appending the same rows twice doubles them, as a rerun of the copy does."""
+    p = clean.clean_program(_stg("Program")(spark, sf))
+    return _saved(spark, (p, {"mode": "append"}), (p, {"mode": "append"}))
+
+
+def q_sink_truncate_append(spark, sf):
+    """Emptied, then appended: only the second load is left."""
+    p = clean.clean_program(_stg("Program")(spark, sf))
+    return _saved(spark, (p, {"mode": "append"}), (p.where("ProgramId % 2 = 0"), {"mode": "truncate_append"}))
+
+
+def q_sink_overwrite_schema(spark, sf):
+    """Overwritten by a table of other columns: data and schema are replaced."""
+    return _saved(spark, (clean.clean_program(_stg("Program")(spark, sf)), {}),
+                  (clean.clean_headcount(_stg("HeadCount")(spark, sf)), {"mode": "overwrite"}))
+
+
+def q_sink_recreate(spark, sf):
+    """Dropped if it exists, then created anew."""
+    return _saved(spark, (clean.clean_headcount(_stg("HeadCount")(spark, sf)), {}),
+                  (clean.clean_program(_stg("Program")(spark, sf)), {"recreate": True}))
 
 
 def q_preview_rows(spark, sf):
@@ -386,7 +461,7 @@ def q_preview_rows(spark, sf):
 
 def q_booking_detail(spark, sf):
     w = _wh(spark, sf)
-    return kpi.booking_detail(w.fact_att(), w.dim_att(), w.cln("Program"), w.dim_date())
+    return kpi.booking_detail(w.cln("Attendance"), w.cln("Enrollment"), w.cln("Attendee"), w.cln("Program"))
 
 
 def q_occupancy_rate(spark, sf):
@@ -395,15 +470,24 @@ def q_occupancy_rate(spark, sf):
 
 
 def q_attendance_behaviour(spark, sf):
-    return kpi.attendance_behaviour(_wh(spark, sf).fact_att())
+    return kpi.attendance_behaviour(clean.clean_attendance(_stg("Attendance")(spark, sf)))
 
 
 def q_peak_program_fill(spark, sf):
-    return kpi.peak_program_fill(_wh(spark, sf).fact_att())
+    return kpi.peak_program_fill(clean.clean_attendance(_stg("Attendance")(spark, sf)))
 
 
 def q_max_capacity(spark, sf):
-    return kpi.max_capacity(_wh(spark, sf).fact_hc())
+    return kpi.max_capacity(_wh(spark, sf).capacity())
+
+
+def q_max_room_headcount(spark, sf):
+    return kpi.max_room_headcount(_wh(spark, sf).fact_hc())
+
+
+def q_attended_use(spark, sf):
+    w = _wh(spark, sf)
+    return kpi.attended_use(w.fact_att(), w.capacity())
 
 
 def q_new_enrollments_monthly(spark, sf):
@@ -421,6 +505,10 @@ def q_funnel_conversion(spark, sf):
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "map_columns": q_map_columns,
     "copy_attendance": q_copy_attendance,
+    "copy_headcount": q_copy_headcount,
+    "copy_program": q_copy_program,
+    "copy_by_name": q_copy_by_name,
+    "copy_then_clean_attendance": q_copy_then_clean_attendance,
     "clean_business_unit": q_clean_business_unit,
     "clean_organisation": q_clean_organisation,
     "clean_attendee": q_clean_attendee,
@@ -445,6 +533,10 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "orphan_enrollments": q_orphan_enrollments,
     "orphan_attendance": q_orphan_attendance,
     "unmatched_parents": q_unmatched_parents,
+    "unknown_member_rows": q_unknown_member_rows,
+    "dates_outside": q_dates_outside,
+    "duplicate_enrollment_ids": q_duplicate_enrollment_ids,
+    "dedup_enrollment": q_dedup_enrollment,
     "missing_key_rows": q_missing_key_rows,
     "table_row_counts": q_table_row_counts,
     "surrogate_key_integrity": q_surrogate_key_integrity,
@@ -461,14 +553,21 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "dependency_violations": q_dependency_violations,
     "duplicate_entities": q_duplicate_entities,
     "unexpected_values": q_unexpected_values,
+    "unexpected_range": q_unexpected_range,
     "fanout_rows": q_fanout_rows,
     "preview_rows": q_preview_rows,
     "table_roundtrip": q_table_roundtrip,
+    "sink_append": q_sink_append,
+    "sink_truncate_append": q_sink_truncate_append,
+    "sink_overwrite_schema": q_sink_overwrite_schema,
+    "sink_recreate": q_sink_recreate,
     "booking_detail": q_booking_detail,
     "occupancy_rate": q_occupancy_rate,
     "attendance_behaviour": q_attendance_behaviour,
     "peak_program_fill": q_peak_program_fill,
     "max_capacity": q_max_capacity,
+    "max_room_headcount": q_max_room_headcount,
+    "attended_use": q_attended_use,
     "new_enrollments_monthly": q_new_enrollments_monthly,
     "occupancy_outlook": q_occupancy_outlook,
     "funnel_conversion": q_funnel_conversion,

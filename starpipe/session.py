@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-import os
+import re
 import tempfile
 
 from pyspark.sql import SparkSession
@@ -36,18 +36,20 @@ def get_session(master: str = "local[*]", shuffle_partitions: int = 8,
 def scratch_dir(spark: SparkSession) -> str:
     """The shared folder for checkpoints and intermediate tables.
 
-    On a cluster this is whatever ``spark.checkpoint.dir`` names (a shared
-    file system). Only when the session has none - local runs and tests -
-    do we create one and register it.
+    It is whatever ``spark.checkpoint.dir`` names, a file system that the
+    driver and all executors share. Without one a session of one machine
+    (master ``local`` or ``local[...]``, as in tests) gets a temporary
+    folder; any other session is an error, since a folder on one machine
+    would be missing on the others.
     """
     sc = spark.sparkContext
     current = sc.getCheckpointDir()
     if current:
         return current
     conf_dir = spark.conf.get("spark.checkpoint.dir", None)
-    if conf_dir:
-        sc.setCheckpointDir(conf_dir)
-        return sc.getCheckpointDir() or conf_dir
-    local = tempfile.mkdtemp(prefix="starpipe-ckpt-")
-    sc.setCheckpointDir(local)
-    return sc.getCheckpointDir() or os.path.abspath(local)
+    if conf_dir is None:
+        if not re.fullmatch(r"local(\[[^\]]*\])?", sc.master):
+            raise RuntimeError(f"set spark.checkpoint.dir to a folder that all machines of {sc.master} share")
+        conf_dir = tempfile.mkdtemp(prefix="starpipe-ckpt-")
+    sc.setCheckpointDir(conf_dir)
+    return sc.getCheckpointDir() or conf_dir

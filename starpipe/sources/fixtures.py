@@ -57,6 +57,11 @@ def _audit() -> list[str]:
     return ["IsActive", "CreatedOn", "UpdatedOn"]
 
 
+def _audit_text() -> list[Column]:
+    """The audit columns as text, as a source without types delivers them."""
+    return [F.col(c).cast("string").alias(c) for c in _audit()]
+
+
 def _date_text(ts: Column) -> Column:
     return ts.cast("date").cast("string")
 
@@ -80,13 +85,13 @@ def stg_org(spark: SparkSession, sf_dir: str) -> DataFrame:
     k = F.col("n_nationkey")
     v = _versions(n, k, F.expr(BASE_TS))
     return v.select(
-        _div(k, 3).alias("Id"),
+        _div(k, 3).cast("string").alias("Id"),
         F.when(k == 24, F.lit(99)).otherwise(F.col("n_regionkey")).cast("long").alias("BusinessUnitId"),
         F.concat(F.lit("ORG"), k.cast("string")).alias("Code"),
         F.col("n_name").alias("Name"),
         F.lit(1).cast("long").alias("EnterpriseId"),
         (k % 4).cast("long").alias("TypeId"),
-        *_audit(),
+        *_audit_text(),
     )
 
 
@@ -108,7 +113,7 @@ def stg_attendee(spark: SparkSession, sf_dir: str) -> DataFrame:
         (k % 3).alias("GenderId"),
         (k % 4).alias("StatusId"),
         dob.alias("DateOfBirth"),
-        *_audit(),
+        *_audit_text(),
     )
 
 
@@ -126,10 +131,13 @@ def stg_enrollment(spark: SparkSession, sf_dir: str) -> DataFrame:
     k = F.col("o_orderkey")
     cust = F.col("o_custkey")
     d = F.col("o_orderdate")
-    v = _versions(j, k, d)
+    # One id in 19 exists under two business units.
+    unit = F.col("n_regionkey").cast("long")
+    units = F.when(k % 19 == 0, F.array(unit, (unit + 1) % 5)).otherwise(F.array(unit))
+    v = _versions(j, k, d).withColumn("_unit", F.explode(units))
     return v.select(
         F.when(k % 97 == 96, F.lit(None).cast("long")).otherwise(k).alias("Id"),
-        F.col("n_regionkey").cast("long").alias("BusinessUnitId"),
+        F.col("_unit").alias("BusinessUnitId"),
         _org_of(k).alias("OrgId"),
         F.when(k % 29 == 0, cust + 100000000).otherwise(cust).alias("AttendeeId"),
         _div(cust, 2).alias("AccountId"),
@@ -159,8 +167,8 @@ def stg_attendance(spark: SparkSession, sf_dir: str) -> DataFrame:
         F.lit(0), F.lit(0), (F.col("l_quantity") * 10 - 50).cast("int"), F.col("l_linenumber"))
     v = _versions(j, k, ship)
     return v.select(
-        ((((F.col("l_orderkey") * 10 + F.col("l_linenumber")) * 100000 + k) * 10000)
-         + F.col("l_suppkey")).alias("Id"),
+        # Fits the declared ``int``; a few rows share an id, as versions of one attendance.
+        ((F.col("l_orderkey") * 8 + F.col("l_linenumber")) * 128 + k % 128).alias("Id"),
         F.when(k % 31 == 0, F.col("l_orderkey") + 100000000).otherwise(F.col("l_orderkey")).alias("EnrollmentId"),
         _org_of(F.col("o_orderkey")).alias("OrgId"),
         F.col("o_custkey").alias("AttendeeId"),

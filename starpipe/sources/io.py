@@ -2,13 +2,14 @@
 
 Writes go through the session catalog (``saveAsTable``) or to paths under
 the shared scratch folder; nothing is written to a machine-local folder
-unless the session names none (local runs and tests).
+unless the session is local and names none (tests).
 """
 
 from __future__ import annotations
 
 import uuid
-from collections.abc import Sequence
+from collections.abc import Iterator, Sequence
+from contextlib import contextmanager
 
 from pyspark.sql import DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
@@ -37,45 +38,71 @@ def read_jdbc(spark: SparkSession, url: str, table: str, *, properties: dict | N
     for k, v in (properties or {}).items():
         r = r.option(k, v)
     if partition_column is not None:
+        if lower_bound is None or upper_bound is None or not num_partitions:
+            raise ValueError("a partition column needs lower_bound, upper_bound and num_partitions")
         r = (r.option("partitionColumn", partition_column)
               .option("lowerBound", str(lower_bound))
               .option("upperBound", str(upper_bound))
-              .option("numPartitions", str(num_partitions or 1)))
+              .option("numPartitions", str(num_partitions)))
     return r.load()
 
 
 def save_table(df: DataFrame, name: str, mode: str = "overwrite", recreate: bool = False,
-               fmt: str = "parquet", partition_by: Sequence[str] = ()) -> int:
+               fmt: str = "parquet", partition_by: Sequence[str] = (), path: str | None = None) -> int:
     """Write ``df`` as catalog table ``name`` and return the rows written.
 
     ``overwrite`` replaces data and schema. ``recreate`` drops the table
-    first. ``truncate_append`` empties an existing table, then appends. The
-    row count is observed during the write itself (no second pass).
+    first. ``truncate_append`` keeps an existing table's schema and replaces
+    its rows, matched by column name. ``path`` is where a new table lies; without one it is the
+    session's warehouse. The row count is observed during the write itself
+    (no second pass).
     """
     spark = df.sparkSession
     if recreate:
         spark.sql(f"DROP TABLE IF EXISTS {name}")
-    write_mode = mode
-    if mode == "truncate_append":
-        if spark.catalog.tableExists(name):
-            spark.sql(f"TRUNCATE TABLE {name}")
-        write_mode = "append"
+    if recreate and path is not None:
+        mode = "overwrite"  # the files of a table with its own path outlive the drop
     obs = Observation(f"rows_{uuid.uuid4().hex[:8]}")
     observed = df.observe(obs, F.count(F.lit(1)).alias("rows"))
-    w = observed.write.format(fmt).mode(write_mode)
+    if mode == "truncate_append" and spark.catalog.tableExists(name):
+        observed.select(*spark.table(name).columns).write.insertInto(name, overwrite=True)
+        return int(obs.get["rows"])
+    w = observed.write.format(fmt).mode("append" if mode == "truncate_append" else mode)
     if partition_by:
         w = w.partitionBy(*partition_by)
+    if path is not None:
+        w = w.option("path", path)
     w.saveAsTable(name)
     return int(obs.get["rows"])
 
 
+_scopes: list[str] = []   # folders of the scopes that are open, the innermost last
+
+
+@contextmanager
+def scratch_scope(spark: SparkSession) -> Iterator[None]:
+    """What ``materialize`` writes inside lies in one folder of the shared
+    scratch folder, which is removed at the end: save results before."""
+    folder = f"{scratch_dir(spark).rstrip('/')}/scope-{uuid.uuid4().hex}"
+    _scopes.append(folder)
+    try:
+        yield
+    finally:
+        _scopes.pop()
+        path = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(folder)
+        path.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).delete(path, True)
+
+
 def materialize(df: DataFrame, label: str = "t") -> DataFrame:
     """Write ``df`` as parquet under the shared scratch folder and read it back.
 
     Cuts the lineage (a lost executor re-reads files instead of recomputing
     the upstream plan) and gives later passes column pruning and pushdown.
+    The files stay until their ``scratch_scope`` ends, or, outside of one,
+    for as long as the folder does.
     """
-    path = f"{scratch_dir(df.sparkSession).rstrip('/')}/{label}-{uuid.uuid4().hex}"
+    folder = _scopes[-1] if _scopes else scratch_dir(df.sparkSession).rstrip("/")
+    path = f"{folder}/{label}-{uuid.uuid4().hex}"
     df.write.mode("overwrite").parquet(path)
     return df.sparkSession.read.parquet(path)
 

@@ -130,7 +130,7 @@ def test_version_history_keys_spanning_many_buckets(spark):
                      _t("2019-01-01") + dt.timedelta(minutes=i), str(i)))
     df = spark.createDataFrame(rows, LATEST_ROWS)
     for b in (2, 37, 200):
-        got = version_history(df, ["k"], buckets=b)
+        got = version_history(df, ["k"], partitions=b)
         want = _history_oracle(df, ["k"])
         cols = want.columns
         assert got.select(*cols).exceptAll(want).count() == 0, b
@@ -144,7 +144,7 @@ def test_version_history_exact_duplicates_and_composite_keys(spark):
     rows += [(i % 4, _t("2020-01-01") + dt.timedelta(days=i), _t("2020-01-02"), str(i)) for i in range(800)]
     df = (spark.createDataFrame(rows, "k long, UpdatedOn timestamp_ntz, CreatedOn timestamp_ntz, tag string")
           .withColumn("IsActive", F.lit(True)).withColumn("k2", F.col("k") % 2))
-    got = version_history(df, ["k2", "k"], buckets=60)
+    got = version_history(df, ["k2", "k"], partitions=60)
     want = _history_oracle(df, ["k2", "k"])
     cols = want.columns
     assert got.select(*cols).exceptAll(want).count() == 0
@@ -166,3 +166,27 @@ def test_latest_per_key_ties_resolve_the_same_way_in_any_row_order(spark):
     a = spark.createDataFrame(rows, LATEST_ROWS).repartition(7)
     b = spark.createDataFrame(list(reversed(rows)), LATEST_ROWS).repartition(3)
     assert latest_per_key(a, ["k"]).first()["tag"] == latest_per_key(b, ["k"]).first()["tag"]
+
+
+def test_copy_loses_no_key_and_duplicates_are_deduplicated(spark):
+    from starpipe.plans.registry import QUERIES
+    from tests.conftest import SF_SMALL
+
+    copied = QUERIES["copy_attendance"](spark, SF_SMALL)
+    assert copied.where("Id IS NULL").count() == 0 and copied.where("TimeStart IS NOT NULL").count() > 0
+    assert QUERIES["copy_then_clean_attendance"](spark, SF_SMALL).count() > 5000
+    enrolments = QUERIES["clean_enrollment"](spark, SF_SMALL).count()
+    assert QUERIES["dedup_lookup"](spark, SF_SMALL).count() < enrolments
+    assert QUERIES["dedup_enrollment"](spark, SF_SMALL).count() < enrolments
+
+
+def test_exact_distinct_counts_copy_no_rows(spark):
+    from starpipe.operators import quality as Q
+
+    df = spark.range(100).selectExpr("id % 7 AS a", "CASE WHEN id % 5 = 0 THEN NULL ELSE id % 3 END AS b")
+    for report in (Q.null_profile(df), Q.profile_keys(df, ["a", "b"], composite=True), Q.entity_summary(df, {"A": "a", "B": "b"}),
+                   Q.key_integrity(df, "a", ["a", "b"])):
+        assert "Expand" not in report._jdf.queryExecution().executedPlan().toString()
+    got = {r["KeyColumn"]: tuple(r)[1:] for r in Q.profile_keys(df, ["a", "b"], composite=True).collect()}
+    assert got == {"a": (100, 7, 0), "b": (100, 3, 20), "a+b": (100, 21, 20)}
+    assert tuple(Q.null_profile(df, approx=True).where("ColumnName = 'b'").first())[1] == 20

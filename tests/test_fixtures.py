@@ -10,12 +10,12 @@ ROWS = {
     "BusinessUnit": (8, 8),
     "Org": (38, 38),
     "Attendee": (222, 2215),
-    "Enrollment": (2215, 22143),
+    "Enrollment": (2333, 23310),
     "Attendance": (8914, 88897),
     "HeadCount": (16, 149),
     "Program": (296, 2953),
 }
-KEYS = {"BusinessUnit": 5, "Org": 25, "Attendee": 1485, "Enrollment": 14846, "Attendance": 60000,
+KEYS = {"BusinessUnit": 5, "Org": 25, "Attendee": 1485, "Enrollment": 15628, "Attendance": 59865,
         "HeadCount": 100, "Program": 2000}   # distinct business keys at sf0.01
 
 

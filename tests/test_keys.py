@@ -1,10 +1,11 @@
 import random
 
+import pytest
 from hypothesis import given, settings
 from hypothesis import strategies as st
 from pyspark.sql import functions as F
 
-from starpipe.operators.keys import add_key, add_key_single_partition
+from starpipe.operators.keys import add_key, add_key_single_partition, range_layout
 
 
 def _same(a, b):
@@ -16,7 +17,7 @@ def test_add_key_matches_global_window_with_nulls(spark):
     rows = [(rnd.choice([None, 1, 2, 3]), rnd.choice([None] + list(range(40))), i) for i in range(5000)]
     df = spark.createDataFrame(rows, "a int, b int, id long")
     order = ["a", "b", "id"]
-    got = add_key(df, "k", order, unique=True, buckets=7)
+    got = add_key(df, "k", order, unique=True, partitions=7)
     assert _same(got, add_key_single_partition(df, "k", order))
 
 
@@ -25,7 +26,7 @@ def test_add_key_descending_items(spark):
     df = spark.createDataFrame(rows, "f boolean, g int, id long").withColumn(
         "t", F.timestamp_seconds(F.col("id") * 37 % 1000).cast("timestamp_ntz"))
     order = [("f", "desc"), ("t", "desc"), ("g", "asc"), ("id", "desc")]
-    got = add_key(df, "k", order, unique=True, buckets=5)
+    got = add_key(df, "k", order, unique=True, partitions=5)
     assert _same(got, add_key_single_partition(df, "k", order))
 
 
@@ -33,24 +34,17 @@ def test_add_key_hot_leading_value_splits_evenly(spark):
     # one business unit holds a third of the rows
     rows = [(0 if i % 3 == 0 else i % 7, i) for i in range(30000)]
     df = spark.createDataFrame(rows, "bu int, id long")
-    got = add_key(df, "k", ["bu", "id"], unique=True, buckets=8)
+    got = add_key(df, "k", ["bu", "id"], unique=True, partitions=8)
     assert _same(got, add_key_single_partition(df, "k", ["bu", "id"]))
-    # buckets are formed on composite boundaries: the hot value is spread
-    # over several buckets, none near a third of the rows
-    from starpipe.operators import keys as K
-    from starpipe.operators.ordering import ascending_struct
-
-    keyed = df.withColumn("_sk", ascending_struct(df, ["bu", "id"]))
-    bounds_json, nb = K._boundaries(keyed, 30000, 8, K.SEED)
-    bounds = F.from_json(F.lit(bounds_json), f"array<{keyed.schema['_sk'].dataType.simpleString()}>")
-    sizes = [r["count"] for r in K._with_bucket(keyed, "_sk", bounds, nb, "_b").groupBy("_b").count().collect()]
+    # the range is over both columns: the hot value is spread over several parts
+    sizes = [r["count"] for r in range_layout(df, ["bu", "id"], unique=True, partitions=8).groupBy("_part").count().collect()]
     assert len(sizes) == 8 and max(sizes) < 2 * 30000 / 8
 
 
 def test_add_key_non_unique_order_is_a_permutation(spark):
     rows = [(i % 4, i % 10) for i in range(6000)]   # heavy ties, many identical rows
     df = spark.createDataFrame(rows, "a int, b int")
-    got = add_key(df, "k", ["a"], buckets=6)
+    got = add_key(df, "k", ["a"], partitions=6)
     ks = got.agg(F.min("k"), F.max("k"), F.count_distinct("k")).first()
     assert tuple(ks) == (1, 6000, 6000)
     # keys respect the order column
@@ -58,13 +52,23 @@ def test_add_key_non_unique_order_is_a_permutation(spark):
     assert all(bad[i]["hi"] < bad[i + 1]["lo"] for i in range(len(bad) - 1))
 
 
-def test_add_key_avoids_single_partition_exchange_for_the_rows(spark):
-    df = spark.range(20000).withColumn("v", F.col("id") * 7 % 1000)
-    plan = add_key(df, "k", ["v", "id"], unique=True)._jdf.queryExecution().executedPlan().toString()
-    # rows go through one hash exchange on the bucket; offsets are a literal
-    assert "SinglePartition" not in plan
-    assert plan.count("Exchange hashpartitioning(_bucket") == 1
-    assert "Join" not in plan
+@pytest.mark.parametrize("rows", [10, 600_000])
+def test_add_key_is_one_plan_at_every_size(spark, rows):
+    df = spark.range(rows).withColumn("v", F.col("id") * 7 % 1000)
+    got = add_key(df, "k", ["v", "id"], unique=True)
+    plan = got._jdf.queryExecution().executedPlan().toString()
+    # the written rows meet one small table of offsets; no row moves again
+    assert "SinglePartition" not in plan and "Window" not in plan and "hashpartitioning" not in plan
+    assert plan.count("BroadcastHashJoin") == 1
+    assert got.agg(F.min("k"), F.max("k"), F.count_distinct("k")).first()[:] == (1, rows, rows)
+
+
+def test_written_numbers_do_not_change(spark):
+    """A frame that differs at each evaluation is numbered once."""
+    df = spark.range(1000).withColumn("v", F.rand())
+    got = add_key(df, "k", ["v"], partitions=4)
+    assert got.collect() == got.collect()
+    assert got.select("k").distinct().count() == 1000
 
 
 def test_add_key_empty_and_tiny(spark):
@@ -80,23 +84,14 @@ def test_add_key_empty_and_tiny(spark):
        st.integers(1, 9))
 def test_add_key_property_dense_and_ordered(spark, rows, buckets):
     df = spark.createDataFrame(rows, "a int, id long")
-    got = add_key(df, "k", ["a", "id"], unique=True, buckets=buckets, min_split_rows=0)
+    got = add_key(df, "k", ["a", "id"], unique=True, partitions=buckets)
     assert _same(got, add_key_single_partition(df, "k", ["a", "id"]))
 
 
-def test_add_key_large_boundary_count_uses_single_literal_search(spark, monkeypatch):
-    from starpipe.operators import keys as K
-
-    monkeypatch.setattr(K, "UNROLL_MAX", 3)     # force the non-unrolled search path
-    df = spark.range(5000).select((F.col("id") * 7919 % 5000).alias("v"), F.col("id"))
-    got = add_key(df, "k", ["v", "id"], unique=True, buckets=40)
-    assert _same(got, add_key_single_partition(df, "k", ["v", "id"]))
-
-
 def test_add_key_descending_text(spark):
     words = ["", "a", "ab", "abc", "b", "Z", "z", "é", "éa", None, "ab", "ÿ", "a\u0000"]
     rows = [(w, i) for i, w in enumerate(words * 30)]
     df = spark.createDataFrame(rows, "w string, id long")
     order = [("w", "desc"), "id"]
-    got = add_key(df, "k", order, unique=True, buckets=5)
+    got = add_key(df, "k", order, unique=True, partitions=5)
     assert _same(got, add_key_single_partition(df, "k", order))

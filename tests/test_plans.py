@@ -15,12 +15,13 @@ def _plan(df) -> str:
     return df._jdf.queryExecution().executedPlan().toString()
 
 
-def test_version_history_shuffles_the_data_once_without_joins(spark):
+def test_version_history_shuffles_the_written_rows_once(spark):
     rows = [(i % 40, i % 2 == 0, dt.datetime(2020, 1, 1) + dt.timedelta(hours=i), dt.datetime(2019, 1, 1), str(i))
             for i in range(20000)]
-    plan = _plan(version_history(spark.createDataFrame(rows, LATEST_ROWS), ["k"], buckets=6))
-    assert len(re.findall(r"Exchange hashpartitioning\(_bucket", plan)) == 1
-    assert "Join" not in plan and "SinglePartition" not in plan
+    plan = _plan(version_history(spark.createDataFrame(rows, LATEST_ROWS), ["k"], partitions=6))
+    final = plan.split("Initial Plan")[0]
+    assert len(re.findall(r"Exchange hashpartitioning\(_part", final)) == 1 and final.count("Exchange hash") == 1
+    assert "SinglePartition" not in final and final.count("BroadcastHashJoin") == 1
 
 
 def test_funnel_has_no_per_user_window(spark):
@@ -42,5 +43,5 @@ def test_fact_lookups_carry_the_salt_in_every_sort_merge_exchange(spark):
         plan = _plan(QUERIES["fact_enrollment"](spark, SF_SMALL))
     finally:
         spark.conf.unset("spark.sql.autoBroadcastJoinThreshold")
-    lookups = [p for p in re.findall(r"Exchange hashpartitioning\(([^)]*)\)", plan) if "_bucket" not in p]
+    lookups = [p for p in re.findall(r"Exchange hashpartitioning\(([^)]*)\)", plan) if not p.startswith("_part#")]
     assert lookups and all("_null_salt" in p for p in lookups), lookups

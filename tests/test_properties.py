@@ -28,7 +28,7 @@ def test_version_history_matches_window_form(spark, rows, buckets):
     data = [(k, a, None if u is None else BASE + dt.timedelta(days=u), BASE + dt.timedelta(minutes=c), str(i))
             for i, (k, a, u, c) in enumerate(rows)]
     df = spark.createDataFrame(data, LATEST_ROWS)
-    got = version_history(df, ["k"], buckets=buckets)
+    got = version_history(df, ["k"], partitions=buckets)
     want = _history_oracle(df, ["k"])
     # ranks among rows tied on the whole order are interchangeable: compare
     # everything but the tag, which identifies the row

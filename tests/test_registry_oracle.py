@@ -10,11 +10,12 @@ import duckdb
 import pytest
 
 import __spark_entry__ as E
+from starpipe.plans.oracle import oracle_sql
+from starpipe.plans.registry import QUERIES
 from tests.conftest import SF_SMALL
 from tools.compare import SPARK_TO_DUCK, TABLES, digest
 
-QUERIES = E.queries()
-SQL = E.oracle_sql()
+SQL = oracle_sql()
 
 
 @pytest.fixture(scope="module")
