@@ -88,4 +88,57 @@ QUERIES = {f.__name__: f for f in (
     op1_deleted_interpolation, op2_hash_tree, op3_rule_cascade, op4_output_codes, op5_prefix_join, op6_chunked_warc,
     op7_deficit_round_robin, op8_pigeonhole_blocks, op9_interval_tree, op10_ownership_frequency)}
 
-ORACLE_SQL: dict[str, str] = {}
+# DuckDB SQL where it can express a query. It has no crc32 or xxhash64, no tokenizer, and no
+# positions of regular-expression matches; the tests hold the others against brute force.
+_ASCII_LOWER = "translate({}, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz')"
+_FOLDED_WORDS = f"regexp_extract_all({_ASCII_LOWER.format("coalesce(text, '')")}, '[^\\x00-\\x2F\\x3A-\\x60\\x7B-\\x7F]+')"
+
+ORACLE_SQL: dict[str, str] = {
+    "op3_rule_cascade": r"""
+WITH t AS (SELECT doc_id, coalesce(text, '') AS text, regexp_extract_all(coalesce(text, ''), '[^\x20\x09-\x0D]+') AS w FROM documents),
+grams AS (SELECT doc_id, i, w[i] || ' ' || w[i + 1] || ' ' || w[i + 2] AS g
+          FROM (SELECT doc_id, w, unnest(range(1, len(w) - 1)) AS i FROM t) x),
+many AS (SELECT doc_id, i FROM grams QUALIFY count(*) OVER (PARTITION BY doc_id, g) > 1),
+inside AS (SELECT doc_id, count(DISTINCT p) AS n FROM (SELECT doc_id, unnest([i, i + 1, i + 2]) AS p FROM many) x GROUP BY doc_id),
+f AS (SELECT t.doc_id, text, len(w) AS n_words, length(array_to_string(w, '')) AS word_chars,
+             length(text) - length(translate(text, '#*$%&|<>', '')) AS n_symbols,
+             len(list_filter(string_split(text, chr(10)), lambda x: regexp_matches(x, '[^\x20\x09-\x0D]')))
+               - len(list_distinct(list_filter(string_split(text, chr(10)), lambda x: regexp_matches(x, '[^\x20\x09-\x0D]')))) AS n_dup_lines,
+             coalesce(inside.n, 0) AS n_repeat_words
+      FROM t LEFT JOIN inside ON t.doc_id = inside.doc_id),
+b AS (SELECT *, n_words < 50 OR 100 * n_repeat_words > 50 * n_words AS base_failed FROM f)
+SELECT doc_id, n_words, word_chars, n_symbols, CAST(n_dup_lines AS BIGINT) AS n_dup_lines, n_repeat_words, base_failed,
+       NOT (base_failed OR n_symbols * 10 > word_chars OR word_chars < 2 * n_words OR word_chars > 20 * n_words
+            OR n_dup_lines * 10 > 3 * len(string_split(text, chr(10)))
+            OR length(regexp_replace(text, '[^A-Z]+', '', 'g')) * 2 > word_chars
+            OR length(regexp_replace(text, '[^0-9]+', '', 'g')) * 10 > 3 * word_chars
+            OR length(regexp_replace(text, '[^\p{L}]+', '', 'g')) * 2 < word_chars) AS kept
+FROM b""",
+    "op5_prefix_join": f"""
+WITH items AS (SELECT CAST(item_id AS VARCHAR) AS item, {_FOLDED_WORDS} AS w FROM benchmark),
+wins AS (SELECT DISTINCT item, list_slice(w, i, i + 9) AS g
+         FROM (SELECT item, w, unnest(range(1, greatest(len(w) - 10, 0) + 2)) AS i FROM items WHERE len(w) > 0) x),
+docs AS (SELECT doc_id, {_FOLDED_WORDS} AS w FROM documents),
+sizes AS (SELECT DISTINCT len(g) AS n FROM wins),
+grams AS (SELECT doc_id, n, i, list_slice(w, i, i + n - 1) AS g
+          FROM (SELECT doc_id, w, n, unnest(range(1, len(w) - n + 2)) AS i FROM docs, sizes WHERE len(w) >= n) x),
+found AS (SELECT doc_id, i, n, item FROM grams JOIN wins USING (g)),
+hit AS (SELECT doc_id, count(DISTINCT p) AS n_hit FROM (SELECT doc_id, unnest(range(i, i + n)) AS p FROM found) x GROUP BY doc_id),
+named AS (SELECT doc_id, count(*) AS n_items, string_agg(item, ',' ORDER BY item) AS ids
+          FROM (SELECT DISTINCT doc_id, item FROM found) x GROUP BY doc_id)
+SELECT docs.doc_id, len(w) AS n_words, coalesce(n_hit, 0) AS n_hit, coalesce(n_items, 0) AS n_items,
+       sha256(coalesce(ids, '')) AS items_sha256, coalesce(n_hit, 0) > 0 AS contaminated
+FROM docs LEFT JOIN hit ON docs.doc_id = hit.doc_id LEFT JOIN named ON docs.doc_id = named.doc_id""",
+    "op6_chunked_warc": """
+WITH p AS (SELECT page_id, coalesce(html, '') AS html FROM pages),
+o AS (SELECT page_id, html, max(page_id) OVER (PARTITION BY html) AS owner,
+             CAST(CAST(unhex(sha1(html)) AS BIT) AS VARCHAR) AS bits FROM p)
+SELECT page_id, strlen(html) AS payload_bytes,
+       array_to_string(list_transform(range(0, 32), lambda j: substr('ABCDEFGHIJKLMNOPQRSTUVWXYZ234567', CAST(1
+         + 16 * CAST(substr(bits, 5 * j + 1, 1) AS INTEGER) + 8 * CAST(substr(bits, 5 * j + 2, 1) AS INTEGER)
+         + 4 * CAST(substr(bits, 5 * j + 3, 1) AS INTEGER) + 2 * CAST(substr(bits, 5 * j + 4, 1) AS INTEGER)
+         + CAST(substr(bits, 5 * j + 5, 1) AS INTEGER) AS INTEGER), 1)), '') AS payload_digest,
+       CASE WHEN owner <> page_id THEN 'revisit' ELSE 'response' END AS record_type,
+       CASE WHEN owner <> page_id THEN owner END AS refers_to
+FROM o""",
+}

@@ -1,14 +1,18 @@
 import hashlib
 from collections import defaultdict
 
+import duckdb
+import pytest
+
 import corpus_pipeline
 from starpipe.llm import ecoc_langid
-from starpipe.llm.queries import QUERIES
+from starpipe.llm.queries import ORACLE_SQL, QUERIES
 from tests.llm.conftest import SF
 from tests.llm.test_drr_packing import check_pieces, encode
 from tests.llm.test_prefix_decontam import brute as brute_hits
 from tests.llm.test_secret_ownership import ASSIGN, base
 from tests.llm.test_simhash_blocks import brute_components, brute_fingerprint
+from tools.compare import TABLES, digest
 
 
 def test_stages_and_registration(spark):
@@ -89,3 +93,12 @@ def test_edge_rows(spark, make_docs):
     empty = docs.limit(0)
     for _, f in corpus_pipeline.STAGES:
         assert f(spark, empty, SF).collect() == []
+
+
+@pytest.mark.parametrize("name", sorted(ORACLE_SQL))
+def test_query_matches_its_sql(spark, name):
+    con = duckdb.connect()
+    for t in TABLES:
+        con.execute(f"CREATE VIEW {t} AS SELECT * FROM read_parquet('{SF}/{t}.parquet')")
+    df, rel = QUERIES[name](spark, SF), con.sql(ORACLE_SQL[name])
+    assert digest(df.columns, [tuple(r) for r in df.collect()]) == digest(rel.columns, rel.fetchall())
