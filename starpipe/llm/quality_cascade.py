@@ -45,12 +45,13 @@ class RuleStat:
         return self.rejects / max(self.cost, 1e-9)
 
 
-#: Beyond the base rules. Thresholds are shares of code points in words,
-#: words or lines. Those on the raw text cost a pass over it.
+#: Beyond the base rules: a symbol in ten words; words of odd length; three repeated lines or
+#: more that are 30 % of the lines; code points in words of which half are capitals, 30 % are
+#: digits, or fewer than half are letters. Those on the raw text cost a pass over it.
 RULES = (
-    Rule("symbols", "n_symbols * 10 > word_chars"),
+    Rule("symbols", "n_symbols * 10 > n_words"),
     Rule("word_length", "word_chars < 2 * n_words OR word_chars > 20 * n_words"),
-    Rule("dup_lines", r"n_dup_lines * 10 > 3 * size(split(text, '\\n'))"),
+    Rule("dup_lines", r"n_dup_lines >= 3 AND n_dup_lines * 10 > 3 * size(split(text, '\\n'))"),
     Rule("capitals", "length(regexp_replace(text, '[^A-Z]+', '')) * 2 > word_chars"),
     Rule("digits", "length(regexp_replace(text, '[^0-9]+', '')) * 10 > 3 * word_chars"),
     Rule("letters", r"length(regexp_replace(text, '[^\\p{L}]+', '')) * 2 < word_chars"),

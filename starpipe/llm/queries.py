@@ -108,8 +108,8 @@ f AS (SELECT t.doc_id, text, len(w) AS n_words, length(array_to_string(w, '')) A
       FROM t LEFT JOIN inside ON t.doc_id = inside.doc_id),
 b AS (SELECT *, n_words < 50 OR 100 * n_repeat_words > 50 * n_words AS base_failed FROM f)
 SELECT doc_id, n_words, word_chars, n_symbols, CAST(n_dup_lines AS BIGINT) AS n_dup_lines, n_repeat_words, base_failed,
-       NOT (base_failed OR n_symbols * 10 > word_chars OR word_chars < 2 * n_words OR word_chars > 20 * n_words
-            OR n_dup_lines * 10 > 3 * len(string_split(text, chr(10)))
+       NOT (base_failed OR n_symbols * 10 > n_words OR word_chars < 2 * n_words OR word_chars > 20 * n_words
+            OR (n_dup_lines >= 3 AND n_dup_lines * 10 > 3 * len(string_split(text, chr(10))))
             OR length(regexp_replace(text, '[^A-Z]+', '', 'g')) * 2 > word_chars
             OR length(regexp_replace(text, '[^0-9]+', '', 'g')) * 10 > 3 * word_chars
             OR length(regexp_replace(text, '[^\p{L}]+', '', 'g')) * 2 < word_chars) AS kept

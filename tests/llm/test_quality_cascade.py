@@ -21,7 +21,7 @@ def brute(text):
             seen.add(x)
     chars, symbols = sum(map(len, words)), sum(text.count(c) for c in "#*$%&|<>")
     base = len(words) < 50 or 100 * len(inside) > 50 * len(words)
-    fails = (symbols * 10 > chars or not 2 * len(words) <= chars <= 20 * len(words) or dup * 10 > 3 * len(lines)
+    fails = (symbols * 10 > len(words) or not 2 * len(words) <= chars <= 20 * len(words) or (dup >= 3 and dup * 10 > 3 * len(lines))
              or len(re.findall("[A-Z]", text)) * 2 > chars or len(re.findall("[0-9]", text)) * 10 > 3 * chars
              or sum(c.isalpha() for c in text) * 2 < chars)
     return len(words), chars, symbols, dup, len(inside), base, not (base or fails)
