@@ -36,10 +36,9 @@ class Warehouse:
     """The layers of one pipeline run over one set of driver tables.
 
     Staging views are lazy. Cleaned tables, dimensions, the keyed enrolments
-    and the enrolment fact are written once to the shared scratch folder and
-    read back when first needed - as the pipeline saves each layer - because
-    the surrogate key assignment passes over its input more than once. The
-    attendance and headcount facts stay lazy (each is a query's product).
+    and the facts are written once to the shared scratch folder and read back
+    when first needed, as the pipeline saves each layer. ``build_fact_*``
+    give a fact as a lazy frame, for queries whose product it is.
     """
 
     def __init__(self, spark: SparkSession, sf_dir: str, persist: bool = True):
@@ -91,15 +90,20 @@ class Warehouse:
         return self._keep("Fact_Enrollment", lambda: model.fact_enrollment(
             self.cln("Enrollment"), self.dim_bu(), self.dim_org(), self.dim_att(), keyed=self.enr_keys()))
 
-    def fact_att(self) -> DataFrame:
+    def build_fact_att(self) -> DataFrame:
         # The enrolment lookup needs only the keyed enrolments (the fact's
         # lookups are on unique dimensions, so its rows are the same 1:1).
-        return self._keep("Fact_Attendance", lambda: model.fact_attendance(
-            self.cln("Attendance"), self.enr_keys(), self.dim_bu(), self.dim_org(), self.dim_att()))
+        return model.fact_attendance(self.cln("Attendance"), self.enr_keys(), self.dim_bu(),
+                                     self.dim_org(), self.dim_att())
+
+    def fact_att(self) -> DataFrame:
+        return self._keep("Fact_Attendance", self.build_fact_att)
+
+    def build_fact_hc(self) -> DataFrame:
+        return model.fact_headcount(self.cln("HeadCount"), self.dim_org(), self.dim_bu())
 
     def fact_hc(self) -> DataFrame:
-        return self._keep("Fact_Headcount", lambda: model.fact_headcount(
-            self.cln("HeadCount"), self.dim_org(), self.dim_bu()))
+        return self._keep("Fact_Headcount", self.build_fact_hc)
 
     def capacity(self) -> DataFrame:
         return fixtures.capacity(self.cln("Organisation"))
@@ -264,11 +268,11 @@ def q_fact_enrollment(spark, sf):
 
 
 def q_fact_attendance(spark, sf):
-    return _wh(spark, sf).fact_att()
+    return _wh(spark, sf).build_fact_att()
 
 
 def q_fact_headcount(spark, sf):
-    return _wh(spark, sf).fact_hc()
+    return _wh(spark, sf).build_fact_hc()
 
 
 # --- validation and quality ---------------------------------------------------
