@@ -256,8 +256,9 @@ def _histogram(blocks: DataFrame, answers: DataFrame, order: int, sizes: Sizes)
 
 
 def learn_weights(histogram: np.ndarray, order: int, kinds: int, rounds: int = 60, prior: float = 50.0) -> np.ndarray:
-    """EM: (buckets, order + 1) mixture weights, the uniform share first. Each bucket starts from,
-    and with few tokens stays near, the weights of all tokens together."""
+    """EM: (buckets, order + 1) mixture weights, the uniform share first, so that the mixture sums to 1
+    after every context. Each bucket starts from, and with few tokens stays near, the weights of all
+    tokens together."""
     def em(f: np.ndarray, n: np.ndarray, start: np.ndarray, pull: float) -> np.ndarray:
         w = start
         for _ in range(rounds):
@@ -276,6 +277,9 @@ def learn_weights(histogram: np.ndarray, order: int, kinds: int, rounds: int = 6
         for b in range(BUCKETS):
             own = bucket == b
             weights[b] = em(f[own], n[own], everywhere, prior) if own.any() else everywhere
+    # Bucket 0 is contexts never seen: they have no estimate of the highest order to give a share to.
+    weights[0, -1] = 0
+    weights[0] /= weights[0].sum()
     return weights
 
 

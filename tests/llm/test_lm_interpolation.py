@@ -78,6 +78,20 @@ def test_weights_are_a_maximum(spark, documents):
         assert fit(w) >= fit(other / other.sum()) - 1e-3
 
 
+def test_mixture_sums_to_one_after_every_context():
+    texts = ["a b c", "a b", "c a a", None]
+    one, two, docs = brute_counts(texts)
+    rng = np.random.default_rng(2)
+    hist = np.column_stack([np.arange(20) % 4, rng.integers(1, 9, 20), rng.random((20, 2))])
+    weights = lm.learn_weights(hist, 2, len(one))
+    n, v = sum(one.values()), len(one)
+    for before in ("^", b"a", b"b", b"c", b"never seen"):
+        context = docs if before == "^" else one[before]
+        l = weights[lm._bucket(np.array([context]))[0]]
+        p = [l[0] / (v + 1) + l[1] * one[w] / n + (l[2] * two[before, w] / context if context else 0) for w in [*one, "unknown"]]
+        assert sum(p) == pytest.approx(1)
+
+
 @pytest.mark.parametrize("order", [1, 2, 3])
 def test_edge_cases_and_blocks(make_docs, order):
     long = " ".join(f"w{i % 50}" for i in range(20_000))
