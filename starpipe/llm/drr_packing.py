@@ -53,6 +53,10 @@ GROUP = 4
 EDGED = re.compile(rb"([!-&(-/:-@\[-`{-~]*)([a-z\x80-\xff]+)([!-&(-/:-@\[-`{-~]*)")
 #: Sources that the driver's table of queues may hold.
 MAX_SOURCES = 100_000
+#: Cells (rounds by queues) that are computed at a time.
+CELLS = 1 << 17
+#: Pieces that a task holds before it hands them on.
+PIECES = 50_000
 
 
 class WordTokenizer:
@@ -180,28 +184,50 @@ class Schedule:
             left = [n - k for n, k in zip(left, sent, strict=True)]
             done = [n + k for n, k in zip(done, sent, strict=True)]
 
+        self.shares = [np.array(sent, np.int64) for _, _, sent, _ in self.phases]
+
     def runs(self, source: str, first: int, n: int) -> Iterator[tuple[int, int, int]]:
         """(start in the run of ``n`` tokens, place in the stream, length) of
         every piece of queue tokens ``first`` to ``first + n``."""
         q, window = self.number[source], self.window
-        for start, total, sent, done in self.phases:
+        for (start, total, sent, done), share in zip(self.phases, self.shares, strict=True):
             own, lo, hi = sent[q], max(first - done[q], 0), min(first + n - done[q], sent[q])
             if lo >= hi:
                 continue
             # Round r sends token k if floor((r + 1) * window * own / total) is the first to exceed k.
-            r0, r1 = (-(-(k + 1) * total // (window * own)) - 1 for k in (lo, hi - 1))
-            small = (r1 + 1) * window * max(sent) < 1 << 62
-            share = np.array(sent, np.int64 if small else object)
-            rounds = np.arange(r0, r1 + 2).astype(share.dtype) * window
-            gone = np.minimum(share, rounds[:, None] * share // total)   # sent by each queue before each round
-            at = np.maximum(gone[:-1, q], lo)
-            size = np.minimum(gone[1:, q], hi) - at
-            place = start + gone[1:, :q].sum(1) + gone[:-1, q:].sum(1) + at - gone[:-1, q]
-            for a, where, left in zip((at + (done[q] - first)).tolist(), place.tolist(), size.tolist(), strict=True):
-                while left:
-                    piece = min(left, window - where % window)
-                    yield a, where, piece
-                    a, where, left = a + piece, where + piece, left - piece
+            dense = window * own >= total                    # then every round sends a token, else at most one
+            r0, r1 = (-(-(k + 1) * total // (window * own)) - 1 for k in (lo, hi - 1)) if dense else (lo, hi - 1)
+            step = max(1, CELLS // len(sent))
+            for r in range(r0, r1 + 1, step):
+                rounds = np.arange(r, min(r + step, r1 + 1))
+                if not dense:                                # these are tokens
+                    quot, rest = _times_over(rounds + 1, total, window * own)
+                    rounds = quot - (rest == 0)
+                rounds = rounds[:, None] * window
+                after = np.minimum(share[:q + 1], _times_over(rounds + window, share[:q + 1], total)[0])
+                before = np.minimum(share[q:], _times_over(rounds, share[q:], total)[0])
+                at = np.maximum(before[:, 0], lo)
+                size = np.minimum(after[:, q], hi) - at
+                place = start + after[:, :q].sum(1) + before.sum(1) + at - before[:, 0]
+                for a, where, left in zip((at + (done[q] - first)).tolist(), place.tolist(), size.tolist(), strict=True):
+                    while left:
+                        piece = min(left, window - where % window)
+                        yield a, where, piece
+                        a, where, left = a + piece, where + piece, left - piece
+
+
+def _times_over(a: np.ndarray, b: np.ndarray | int, by: int) -> tuple[np.ndarray, np.ndarray]:
+    """Quotient and remainder of ``a * b`` over ``by``, in 64 bits: by long division, a few bits of ``a``
+    at a time, as many as the products have room for. ``b`` and ``by`` are below 2^61."""
+    top, most = int(a.max()), int(np.max(b, initial=0))
+    if top * most < 1 << 62:
+        return np.divmod(a * b, by)
+    bits = 62 - max(most, by).bit_length()
+    quot = rest = np.int64(0)
+    for low in range(bits * ((top.bit_length() - 1) // bits), -1, -bits):
+        more, rest = np.divmod((rest << bits) + (a >> low & (1 << bits) - 1) * b, by)
+        quot = (quot << bits) + more
+    return quot, rest
 
 
 def pack(docs: DataFrame, spec: str, end_id: int = 1, window: int = 2048, target: dict[str, float] | None = None,
@@ -220,9 +246,15 @@ def pack(docs: DataFrame, spec: str, end_id: int = 1, window: int = 2048, target
     id_type = tokens.schema["id"].dataType.simpleString()
     placed = tokens.join(base, ["source", "part"]).select("id", "source", (F.col("base") + F.col("before")).alias("first"), "n", "ids")
 
+    def pieces(id_arrow: pa.Array, rows: list[tuple]) -> pa.RecordBatch:
+        out = list(zip(*rows, strict=True)) if rows else [()] * 8
+        return pa.RecordBatch.from_arrays(
+            [id_arrow.take(pa.array(out[0], pa.int32())), *[pa.array(c, pa.int64()) for c in out[1:7]],
+             *([pa.array(out[7], pa.binary())] if with_ids else [])],
+            names=["id", "start", "length", "ids_crc32", "doc_tokens", "sequence_id", "offset"] + ["ids"] * with_ids)
+
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         schedule = held()
-        id_arrow = None
         for batch in batches:
             for at in range(0, batch.num_rows, 500):
                 some = batch.slice(at, 500)
@@ -234,11 +266,10 @@ def pack(docs: DataFrame, spec: str, end_id: int = 1, window: int = 2048, target
                     for start, place, size in schedule.runs(source, first, n):
                         own = ids[start:start + size].tobytes()
                         rows.append((i, start, size, zlib.crc32(own), n, place // window, place % window, own if with_ids else None))
-                out = list(zip(*rows, strict=True)) if rows else [()] * 8
-                yield pa.RecordBatch.from_arrays(
-                    [id_arrow.take(pa.array(out[0], pa.int32())), *[pa.array(c, pa.int64()) for c in out[1:7]],
-                     *([pa.array(out[7], pa.binary())] if with_ids else [])],
-                    names=["id", "start", "length", "ids_crc32", "doc_tokens", "sequence_id", "offset"] + ["ids"] * with_ids)
+                        if len(rows) == PIECES:
+                            yield pieces(id_arrow, rows)
+                            rows = []
+                yield pieces(id_arrow, rows)
 
     return placed.mapInArrow(run, f"id {id_type}, start long, length long, ids_crc32 long, doc_tokens long, "
                                   "sequence_id long, offset long" + ", ids binary" * with_ids)

@@ -1,4 +1,5 @@
 import random
+import tracemalloc
 import zlib
 from collections import Counter, defaultdict
 
@@ -128,3 +129,33 @@ def test_target_proportions_hold_until_a_queue_is_dry(spark):
         share[r["sequence_id"], r["id"] % 4 == 0] += r["length"]
     assert all(abs(share[s, True] - 50) <= 3 for s in range(100))
     assert all(share[s, True] == 0 for s in range(103, 204))
+
+
+def exact_place(sched, source, k):
+    """Place of a queue token in a stream of one phase, by Python's integers."""
+    (_, total, sent, _), = sched.phases
+    q, own = sched.number[source], sent[sched.number[source]]
+    r = -(-(k + 1) * total // (sched.window * own)) - 1
+
+    def gone(j, r):
+        return min(sent[j], r * sched.window * sent[j] // total)
+    return sum(gone(j, r + (j < q)) for j in range(len(sent))) + k - gone(q, r)
+
+
+@pytest.mark.parametrize("scale", [1, 1000])
+def test_small_source_beside_billions_of_tokens(scale):
+    totals = {f"s{i}": 3_000_000_000 // (i + 1) * scale for i in range(20)} | {"one": 500, "": 1}
+    sched = drr.Schedule(totals, 2048)
+    rng = random.Random(3)
+    asked = [("one", 0, 500), ("", 0, 1)] + [(s, rng.randrange(n - 3000), 3000) for s, n in totals.items() if n > 3000]
+    asked += [(s, n - 3000, 3000) for s, n in totals.items() if n > 3000]
+    for source, first, n in asked:
+        tracemalloc.start()
+        got = list(sched.runs(source, first, n))
+        peak = tracemalloc.get_traced_memory()[1]
+        tracemalloc.stop()
+        assert peak < 32 << 20
+        assert sum(size for _, _, size in got) == n and [a for a, _, _ in got] == [0, *np.cumsum([x[2] for x in got])[:-1]]
+        for a, where, size in got:
+            assert where == exact_place(sched, source, first + a)
+            assert where + size - 1 == exact_place(sched, source, first + a + size - 1)
