@@ -79,7 +79,7 @@ def op9_interval_tree(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def op10_ownership_frequency(spark: SparkSession, sf_dir: str) -> DataFrame:
-    rows = secret_ownership.scan(table(spark, sf_dir, "documents"))
+    rows = secret_ownership.scan(table(spark, sf_dir, "documents"), repo_col=None)
     return rows.select(F.col("id").alias("doc_id"), "n_assign", "n_access", "n_hex",
                        F.sha2(F.col("base_spans").cast("binary"), 256).alias("base_sha256"), "spans", "n_live", "n_example")
 

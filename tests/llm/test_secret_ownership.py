@@ -1,6 +1,9 @@
 import hashlib
 import re
 
+from pyspark.sql import functions as F
+
+import corpus_pipeline
 from starpipe.llm import secret_ownership as so
 from starpipe.llm.queries import op10_ownership_frequency
 from tests.llm.conftest import SF
@@ -76,3 +79,17 @@ def test_empty_table_and_native_plan(make_docs, documents):
     assert so.drop_live(make_docs([(1, "token=abcdefgh")]).limit(0)).collect() == []
     plan = so.scan(documents)._jdf.queryExecution().executedPlan().toString()
     assert not re.search("Python|Arrow|Pandas", plan)
+
+
+def test_one_owner_is_live_however_many_documents_hold_it(spark, tmp_path):
+    live, example = "ghp_" + "z9Y8x7W6" * 5, "ghp_" + "A1b2C3d4" * 5
+    copies = F.col("id") < 3000
+    docs = spark.range(3010).select(
+        F.col("id").alias("doc_id"), F.concat(F.lit("see "), F.when(copies, live).otherwise(example)).alias("text"),
+        F.when(copies, "owner1").otherwise(F.concat(F.lit("owner"), "id")).alias("source"))
+    docs.write.parquet(f"{tmp_path}/documents.parquet")
+    docs = spark.read.parquet(f"{tmp_path}/documents.parquet")
+    got = {(r.doc_id < 3000, r.n_live, r.n_example, r.spans) for r in op10_ownership_frequency(spark, str(tmp_path)).collect()}
+    assert got == {(True, 1, 0, f"vcs:4:{4 + len(live)}"), (False, 0, 1, "")}
+    kept = corpus_pipeline.secret_scan(spark, docs, str(tmp_path)).collect()
+    assert {r.doc_id for r in kept} == set(range(3000, 3010))
