@@ -9,10 +9,13 @@ window must then fit between the document's ends at the place the shingle
 dictates (length and positional bounds), and the words are compared
 exactly over the item-sized window.
 
-Documents never move: each is read where it lies, against an index that is
-broadcast in blocks of at most about ``block_bytes`` of windows. More
-benchmark text means more blocks, each of the same bound, not a larger
-broadcast.
+With up to about ``block_bytes`` of windows documents never move: each is
+read where it lies, against a broadcast index. Beyond that the windows stay a
+table. Documents are read once against a bitmap of window hashes, whose size
+has a bound; the windows that pass are joined with the table on hash and words,
+and the hits, by the text's hash, with the documents. There the whole window
+is the prefix, so no frequent shingle makes rows. No window passes through the
+driver, and the plan is the same for any number of them.
 
 Defined cases: null and blank texts have no words, so a null document has no
 hits and a null item no windows; repeated items count once by their id;
@@ -26,7 +29,9 @@ from __future__ import annotations
 from collections import Counter, defaultdict
 from collections.abc import Iterator
 
+import numpy as np
 import pyarrow as pa
+import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
@@ -38,6 +43,9 @@ from starpipe.sources.io import materialize
 FOLD = bytes(b if b >= 128 else (b | 32 if chr(b).isalpha() else (b if chr(b).isdigit() else 32))
              for b in range(256))
 
+#: Bits of the largest bitmap of window hashes (16 MB).
+MAX_BITS = 1 << 27
+
 
 def words_of(text: bytes | None) -> list[bytes]:
     return (text or b"").translate(FOLD).split()
@@ -64,7 +72,7 @@ def item_windows(items: DataFrame, id_col: str = "item_id", text_col: str = "tex
 
 
 class Index:
-    """The windows of one block, by their necessary prefix shingle."""
+    """The windows of a benchmark, by their necessary prefix shingle."""
 
     def __init__(self, windows: list[tuple[str, bytes]], rarity: dict[tuple, int]):
         self.by_shingle: dict[tuple, dict] = {}
@@ -137,40 +145,114 @@ def find_contamination(docs: DataFrame, items: DataFrame, text_col: str = "text"
     items with an occurring window."""
     windows = materialize(item_windows(items, item_id, item_text, window), "windows")
     total = windows.agg(F.sum(F.length("words") + F.length("item") + 100)).first()[0] or 0
-    blocks = max(1, -(-int(total) // block_bytes))
-    block = F.pmod(F.xxhash64("item", "words"), F.lit(blocks))
-
-    out, spans, found = docs, [], []
-    n_words = fresh(docs, "n_words")
-    for b in range(blocks):
-        own = [(r["item"], bytes(r["words"])) for r in windows.where(block == b).collect()]
-        held = shared(docs.sparkSession, Index(own, _rarity(docs, text_col, own) if own else {}))
-        spans.append(fresh(out, f"spans{b}"))
-        found.append(fresh(out, f"items{b}"))
-        fields = [T.StructField(spans[-1], T.ArrayType(T.ArrayType(T.LongType()))),
-                  T.StructField(found[-1], T.ArrayType(T.StringType()))]
-        if b == 0:
-            fields.append(T.StructField(n_words, T.LongType()))
-
-        def make(held=held, first=b == 0):
-            index = held()
-
-            def run(texts):
-                words = [words_of(t) for t in texts]
-                got = [index.hits(w) for w in words]
-                cols = [[x[0] for x in got], [sorted(x[1]) for x in got]]
-                return [*cols, [len(w) for w in words]] if first else cols
-            return run
-        out = map_texts(out, text_col, fields, make)
-
-    merged = F.flatten(F.array(*spans)) if blocks > 1 else F.col(spans[0])
-    as_spans = F.transform(merged, lambda s: F.struct(s[0].alias("start"), s[1].alias("end")))
-    all_items = F.array_sort(F.array_distinct(F.flatten(F.array(*found)))) if blocks > 1 else F.col(found[0])
     own = [c for c in docs.columns if c.lower() not in {n.lower() for n in names}]
-    return out.select(*own, F.col(n_words).alias(names[0]), as_spans.alias(names[1]), all_items.alias(names[2]))
+    n_words, spans, found = (fresh(docs, n) for n in ("n_words", "hit_spans", "hit_items"))
+    if total > block_bytes:
+        rows = _joined(docs, windows, text_col, n_words, spans, found)
+        return rows.select(*own, F.col(n_words).alias(names[0]), F.col(spans).alias(names[1]), F.col(found).alias(names[2]))
+
+    known = [(r["item"], bytes(r["words"])) for r in windows.collect()]
+    held = shared(docs.sparkSession, Index(known, _rarity(docs, text_col, known) if known else {}))
+    fields = [T.StructField(spans, T.ArrayType(T.ArrayType(T.LongType()))), T.StructField(found, T.ArrayType(T.StringType())),
+              T.StructField(n_words, T.LongType())]
+
+    def make():
+        index = held()
+
+        def run(texts):
+            words = [words_of(t) for t in texts]
+            got = [index.hits(w) for w in words]
+            return [[x[0] for x in got], [sorted(x[1]) for x in got], [len(w) for w in words]]
+        return run
+
+    as_spans = F.transform(spans, lambda s: F.struct(s[0].alias("start"), s[1].alias("end")))
+    return (map_texts(docs, text_col, fields, make)
+            .select(*own, F.col(n_words).alias(names[0]), as_spans.alias(names[1]), F.col(found).alias(names[2])))
+
+
+def _window_hashes(words: list[bytes], sizes: set[int]) -> Iterator[tuple[int, np.ndarray]]:
+    """For each size the hash of the window that starts at each word."""
+    each = np.array([xxhash.xxh64_intdigest(w) for w in words], np.uint64)
+    now = each
+    for size in range(1, min(max(sizes), len(words)) + 1):
+        if size > 1:
+            now = (now[:-1] ^ np.uint64(0x27D4EB2F165667C5)) * np.uint64(0x9FB21C651E98DF25) + each[size - 1:]
+            now ^= now >> np.uint64(29)
+            now *= np.uint64(0xBF58476D1CE4E5B9)
+            now ^= now >> np.uint64(32)
+        if size in sizes:
+            yield size, now
+
+
+def _joined(docs: DataFrame, windows: DataFrame, text_col: str, n_words: str, spans: str, found: str) -> DataFrame:
+    """``docs`` plus the three columns, by a join with the table of windows."""
+    def hashed(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            out = []
+            for joined in batch.column(1).to_pylist():
+                w = joined.split(b" ")
+                out.append((len(w), next(h for _, h in _window_hashes(w, {len(w)}))[0].astype(np.int64)))
+            yield pa.RecordBatch.from_arrays(
+                [*batch.columns, pa.array([x[0] for x in out], pa.int32()), pa.array([x[1] for x in out], pa.int64())],
+                names=["item", "words", "size", "hash"])
+
+    windows = materialize(windows.select("item", "words").mapInArrow(hashed, "item string, words binary, size int, hash long"),
+                          "hashed_windows")
+    sizes = {r["size"] for r in windows.select("size").distinct().collect()}
+    bits = min(MAX_BITS, 1 << (16 * windows.count()).bit_length())
+    bit = F.col("hash").bitwiseAND(F.lit(bits - 1))
+    cells = (windows.select(F.shiftright(bit, 6).alias("cell"), F.expr("shiftleft(1L, cast(hash & 63 as int))").alias("bit"))
+             .groupBy("cell").agg(F.bit_or("bit").alias("bit")).toArrow())
+    bitmap = np.zeros(max(1, bits >> 6), np.int64)
+    bitmap[cells["cell"].to_numpy()] = cells["bit"].to_numpy()
+    held = shared(docs.sparkSession, bitmap.view(np.uint64))
+
+    def find(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        known, low = held(), np.uint64(bits - 1)
+        for batch in batches:
+            texts = batch.column(2).cast(pa.binary())
+            for row in range(batch.num_rows):
+                words = words_of(texts[row].as_py())
+                if not words:
+                    continue
+                for size, hashes in _window_hashes(words, sizes):
+                    at = hashes & low
+                    hit = np.flatnonzero(known[at >> np.uint64(6)] >> (hashes & np.uint64(63)) & np.uint64(1))
+                    for some in np.split(hit, range(10_000, len(hit), 10_000)) if len(hit) else ():
+                        same = pa.array([row] * len(some), pa.int32())
+                        yield pa.RecordBatch.from_arrays(
+                            [batch.column(0).take(same), batch.column(1).take(same), pa.array(some, pa.int64()),
+                             pa.array(some + size, pa.int64()), pa.array(hashes[some].astype(np.int64), pa.int64()),
+                             pa.array([b" ".join(words[i:i + size]) for i in some.tolist()], pa.binary())],
+                            names=["k1", "k2", "start", "end", "hash", "words"])
+
+    def count(texts):
+        return [[len(words_of(t)) for t in texts]]
+
+    def merge(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        kind = pa.list_(pa.struct([("start", pa.int64()), ("end", pa.int64())]))
+        for batch in batches:
+            out = [[{"start": a, "end": b} for a, b in _merged([(x["start"], x["end"]) for x in own])]
+                   for own in batch.column(2).to_pylist()]
+            yield pa.RecordBatch.from_arrays([*batch.columns[:2], pa.array(out, kind), batch.column(3)],
+                                             names=["k1", "k2", "spans", "items"])
+
+    # 128 bits of hash stand for a text; its hits depend on nothing else.
+    k1, k2 = F.xxhash64(text_col), F.xxhash64(F.lit(1), F.col(text_col))
+    candidates = (docs.select(k1.alias("k1"), k2.alias("k2"), F.col(text_col).alias("text"))
+                  .mapInArrow(find, "k1 long, k2 long, start long, end long, hash long, words binary").distinct())
+    hits = (candidates.join(windows, ["hash", "words"]).groupBy("k1", "k2")
+            .agg(F.collect_set(F.struct("start", "end")).alias("spans"), F.array_sort(F.collect_set("item")).alias("items"))
+            .mapInArrow(merge, "k1 long, k2 long, spans array<struct<start:long,end:long>>, items array<string>"))
+    hits = materialize(hits, "hits").select(F.col("k1").alias("__k1_of_hits"), F.col("k2").alias("__k2_of_hits"),
+                                            F.col("spans").alias(spans), F.col("items").alias(found))
+    counted = map_texts(docs, text_col, [T.StructField(n_words, T.LongType())], lambda: count)
+    none = {spans: F.array().cast(hits.schema[spans].dataType), found: F.array().cast("array<string>")}
+    return (counted.join(hits, (k1 == F.col("__k1_of_hits")) & (k2 == F.col("__k2_of_hits")), "left")
+            .withColumns({c: F.coalesce(F.col(c), empty) for c, empty in none.items()}))
 
 
 def hit_words(spans):
-    """Number of words inside any of the spans, which may overlap between blocks."""
+    """Number of words inside any of the spans."""
     each = F.flatten(F.transform(spans, lambda s: F.sequence(s["start"], s["end"] - 1)))
     return F.size(F.array_distinct(each)).cast("long")

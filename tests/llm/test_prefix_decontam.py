@@ -77,3 +77,19 @@ def test_prefix_is_the_rarest_shingle():
     assert list(index.by_shingle) == [(b"of", b"the")]
     assert index.hits(b"x the of the cat y".split()) == ([(1, 5)], {"1"})
     assert index.hits(b"of the cat".split()) == ([], set())
+
+
+def test_large_benchmark_is_a_join_of_one_plan(spark, make_docs, monkeypatch):
+    """However many windows there are: no index, no window in the driver, no more steps."""
+    rng = random.Random(4)
+    items = [(i, " ".join(f"w{rng.randrange(300)}" for _ in range(40))) for i in range(300)]
+    docs = [(i, f"x{i} y {t} z" if i % 3 else f"x{i} y z") for i, t in items] + [(1, items[1][1])] * 50
+    monkeypatch.setattr(pd_, "Index", None)
+    monkeypatch.setattr(pd_, "MAX_BITS", 1 << 10)   # nearly every window passes the bitmap
+
+    def steps(found):
+        return found._jdf.queryExecution().optimizedPlan().toString().count("MapInArrow")
+    found = [pd_.find_contamination(make_docs(docs), make_items(spark, items), block_bytes=b) for b in (200_000, 2000)]
+    assert [steps(f) for f in found] == [1, 1]
+    want = brute(docs, items)
+    assert all(got(f) == want for f in found)
