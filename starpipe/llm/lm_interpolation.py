@@ -171,7 +171,7 @@ ANSWER = "block long, role int, n int, part long, seen binary, kept binary, tota
 
 def _answers(requests: DataFrame) -> DataFrame:
     """For each request the training counts of its n-grams, in its order (``kept`` only for
-    held-out blocks); and a row without a block with the range's sums."""
+    held-out blocks), in 64 bits; and a row without a block with the range's sums."""
     def run(table: pa.Table) -> pa.Table:
         rows = table.to_pylist()
         hashes = [_unsteps(r["hashes"]) for r in rows]
@@ -179,8 +179,8 @@ def _answers(requests: DataFrame) -> DataFrame:
         counts = np.concatenate([_grow(r["counts"], "<u4") if r["role"] != TEST else np.zeros(len(h), "<u4")
                                  for r, h in zip(rows, hashes, strict=True)])
         kept_only = np.concatenate([np.full(len(h), r["role"] == KEPT) for r, h in zip(rows, hashes, strict=True)])
-        seen = np.bincount(at, counts, len(keys)).astype("<u4")
-        kept = np.bincount(at, counts * kept_only, len(keys)).astype("<u4")
+        seen = np.bincount(at, counts, len(keys)).astype("<i8")
+        kept = np.bincount(at, counts * kept_only, len(keys)).astype("<i8")
         out, a = [], 0
         for r, h in zip(rows, hashes, strict=True):
             own = at[a:a + len(h)]
@@ -213,7 +213,7 @@ def _estimates(rows: list[dict], order: int, col: str, tokens: int, docs: int):
     counts = []
     for n, hashes in enumerate(grams, 1):
         own = sorted((r["part"], r[col]) for r in rows if r["n"] == n)
-        by_key = np.concatenate([_grow(x, "<u4") for _, x in own])
+        by_key = np.concatenate([_grow(x, "<i8") for _, x in own])
         counts.append(by_key[np.unique(hashes, return_inverse=True)[1]])
     estimates, context = [counts[0] / max(tokens, 1)], np.full(len(counts[0]), tokens)
     for n in range(1, order):

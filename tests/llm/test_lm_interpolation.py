@@ -119,3 +119,16 @@ def test_known_words_score_higher(make_docs):
     rows = [(i, "the cat sat on the mat") for i in range(30)] + [(100, "the cat sat on the mat"), (101, "mat the on sat cat the")]
     got = {r["id"]: r["score"] for r in lm.score(make_docs(rows), F.col("doc_id") < 100).collect()}
     assert got[100] > got[101]
+
+
+def test_corpus_counts_beyond_32_bits(spark):
+    asked, many = lm._steps(np.array([5, 9], "<u8")), lm._shrink(np.array([3_000_000_000, 1], "<u4"))
+    rows = [(1, 0, block, role, bytearray(asked), bytearray(many)) for block, role in enumerate([lm.KEPT, lm.KEPT, lm.DELETED])]
+    got = lm._answers(spark.createDataFrame(rows, "n int, part long, block long, role int, hashes binary, counts binary")).collect()
+    total, = [r for r in got if r["block"] is None]
+    assert (total["total"], total["kept_total"], total["kinds"]) == (9_000_000_003, 6_000_000_002, 2)
+    answer, = [r.asDict() for r in got if r["block"] == 2]
+    words, ranks = lm._steps(np.array([5, 9], "<u8")), lm._shrink(np.array([0, 1], "<u4"))
+    body = {"n": None, "part": None, "tokens": lm._shrink(np.array([0, 1, 0], "<u4")), "words": words, "ranks": ranks, "lens": [3]}
+    for col, counts in (("seen", [9_000_000_000, 3, 9_000_000_000]), ("kept", [6_000_000_000, 2, 6_000_000_000])):
+        assert lm._estimates([body, answer], 1, col, 1, 1)[2].tolist() == counts
