@@ -199,7 +199,7 @@ def _joined(docs: DataFrame, windows: DataFrame, text_col: str, n_words: str, sp
     windows = materialize(windows.select("item", "words").mapInArrow(hashed, "item string, words binary, size int, hash long"),
                           "hashed_windows")
     sizes = {r["size"] for r in windows.select("size").distinct().collect()}
-    bits = min(MAX_BITS, 1 << (16 * windows.count()).bit_length())
+    bits = min(MAX_BITS, 1 << (256 * windows.count()).bit_length())
     bit = F.col("hash").bitwiseAND(F.lit(bits - 1))
     cells = (windows.select(F.shiftright(bit, 6).alias("cell"), F.expr("shiftleft(1L, cast(hash & 63 as int))").alias("bit"))
              .groupBy("cell").agg(F.bit_or("bit").alias("bit")).toArrow())
