@@ -18,6 +18,11 @@ By default the target is each source's share of the tokens, and all queues
 end together. With other targets, the stream has phases: one ends when a
 queue runs dry, and the next shares out among the queues left.
 
+Any number of sources is packed. Up to ``MAX_SOURCES``, each is a queue of its
+own. Of more, those with a target and the largest are, and all others
+together are one further queue, whose share is the sum of theirs: inside it,
+sources follow one another by partition and name, placed by sums in Spark.
+
 Defined cases: a null or empty text is the end id alone; a null source
 shares the queue of the empty one; repeated rows are packed as often as they
 come; equal ids are not told apart by the result; extra columns are
@@ -51,7 +56,7 @@ GROUP = 4
 #: Letters, to be checked, between ASCII punctuation, which has ids of its own beside letters.
 #: The apostrophe is left out, as it may begin a contraction.
 EDGED = re.compile(rb"([!-&(-/:-@\[-`{-~]*)([a-z\x80-\xff]+)([!-&(-/:-@\[-`{-~]*)")
-#: Sources that the driver's table of queues may hold.
+#: Sources that have a queue of their own; further ones share one.
 MAX_SOURCES = 100_000
 #: Cells (rounds by queues) that are computed at a time.
 CELLS = 1 << 17
@@ -230,21 +235,47 @@ def _times_over(a: np.ndarray, b: np.ndarray | int, by: int) -> tuple[np.ndarray
     return quot, rest
 
 
+def _queues(sums: DataFrame, target: dict[str, float] | None) -> tuple[dict[str, int], DataFrame]:
+    """Tokens by queue, and (source, part, queue, base): the queue's tokens before the part's of the source."""
+    by_source = sums.groupBy("source").agg(F.sum("n").alias("n"))
+    totals = {r["source"]: r["n"] for r in by_source.limit(MAX_SOURCES + 1).collect()}
+    before = (Window.unboundedPreceding, -1)
+    earlier = F.coalesce(F.sum("n").over(Window.partitionBy("source").orderBy("part").rowsBetween(*before)), F.lit(0))
+    if len(totals) <= MAX_SOURCES:
+        return totals, sums.select("source", "part", F.col("source").alias("queue"), earlier.alias("base"))
+
+    by_source = materialize(by_source, "source_totals")
+    aimed = list(target or {})
+    chosen = by_source.withColumn("aimed", F.col("source").isin(aimed) if aimed else F.lit(False))
+    chosen = materialize(chosen.orderBy(F.desc("aimed"), F.desc("n"), "source")
+                         .limit(max(MAX_SOURCES, len(aimed))).select("source", "n"), "own_queues")
+    totals = {r["source"]: r["n"] for r in chosen.collect()}
+    rest = "rest"
+    while rest in totals or rest in aimed:
+        rest += "_"
+    tail = materialize(sums.join(chosen, "source", "left_anti").select("source", "part", "n"), "tail_sums")
+    parts = tail.groupBy("part").agg(F.sum("n").alias("n"))
+    if n := parts.agg(F.sum("n")).first()[0]:
+        totals[rest] = n
+    # One row a part in one task; within a part, a row for each of its small sources.
+    parts = parts.select("part", F.coalesce(F.sum("n").over(Window.orderBy("part").rowsBetween(*before)), F.lit(0)).alias("start"))
+    inside = F.sum("n").over(Window.partitionBy("part").orderBy("source").rowsBetween(*before))
+    tail = (tail.withColumn("inside", F.coalesce(inside, F.lit(0))).join(parts, "part")
+            .select("source", "part", F.lit(rest).alias("queue"), (F.col("start") + F.col("inside")).alias("base")))
+    own = sums.join(chosen.select("source"), "source", "left_semi")
+    return totals, own.select("source", "part", F.col("source").alias("queue"), earlier.alias("base")).unionByName(tail)
+
+
 def pack(docs: DataFrame, spec: str, end_id: int = 1, window: int = 2048, target: dict[str, float] | None = None,
          id_col: str = "doc_id", text_col: str = "text", source_col: str = "source", with_ids: bool = False) -> DataFrame:
     """One row a piece: id, start and length in its document's ids, ids_crc32,
     doc_tokens, sequence_id, offset, and ids (little-endian 32-bit) if asked for."""
     tokens = materialize(tokenise(docs, spec, end_id, id_col, text_col, source_col), "tokens")
     sums = materialize(tokens.groupBy("source", "part").agg(F.sum("n").alias("n")), "token_sums")
-    totals = {r["source"]: r["n"] for r in
-              sums.groupBy("source").agg(F.sum("n").alias("n")).limit(MAX_SOURCES + 1).collect()}
-    if len(totals) > MAX_SOURCES:
-        raise ValueError(f"more than {MAX_SOURCES} sources; map them to fewer mixture components first")
-    earlier = Window.partitionBy("source").orderBy("part").rowsBetween(Window.unboundedPreceding, -1)
-    base = sums.select("source", "part", F.coalesce(F.sum("n").over(earlier), F.lit(0)).alias("base"))
+    totals, base = _queues(sums, target)
     held = shared(docs.sparkSession, Schedule(totals, window, target))
     id_type = tokens.schema["id"].dataType.simpleString()
-    placed = tokens.join(base, ["source", "part"]).select("id", "source", (F.col("base") + F.col("before")).alias("first"), "n", "ids")
+    placed = tokens.join(base, ["source", "part"]).select("id", F.col("queue").alias("source"), (F.col("base") + F.col("before")).alias("first"), "n", "ids")
 
     def pieces(id_arrow: pa.Array, rows: list[tuple]) -> pa.RecordBatch:
         out = list(zip(*rows, strict=True)) if rows else [()] * 8

@@ -159,3 +159,19 @@ def test_small_source_beside_billions_of_tokens(scale):
         for a, where, size in got:
             assert where == exact_place(sched, source, first + a)
             assert where + size - 1 == exact_place(sched, source, first + a + size - 1)
+
+
+@pytest.mark.parametrize("target", [None, {"s39": 1.0, "big": 1.0}])
+def test_more_sources_than_queues(make_docs, monkeypatch, target):
+    monkeypatch.setattr(drr, "MAX_SOURCES", 3)
+    rows = [(i, "cat " * (i % 7 + 1), "en", f"s{i % 40}" if i % 2 else None) for i in range(200)]
+    rows += [(200 + i, "dog " * 300, "en", "big") for i in range(10)] + [(300 + i, "a b c", "en", f"rest{'_' * i}"[:5]) for i in range(4)]
+    ids = dict(zip([r[0] for r in rows], encode([r[1] for r in rows]), strict=True))
+    got = [r.asDict() for r in drr.pack(make_docs(rows).repartition(5), word_tokenizer(), window=64, target=target).collect()]
+    check_pieces(got, ids, 64)
+    if target is None:   # the largest source keeps its share of every window
+        share = Counter()
+        for r in got:
+            share[r["sequence_id"]] += r["length"] * (200 <= r["id"] < 300)
+        part = sum(len(ids[200 + i]) for i in range(10)) / sum(map(len, ids.values()))
+        assert all(abs(share[s] - 64 * part) <= 5 for s in range(max(share)))
