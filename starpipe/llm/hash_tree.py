@@ -100,11 +100,12 @@ def with_slots(rows: DataFrame, shard_col: str = "shard", rows_per_bucket: int =
 
     Rows are numbered inside buckets of a shard and buckets by running sums, so no
     task holds a shard. Equal rows are counted first and numbered together,
-    so a key with a third of all rows is one row when it is sorted."""
+    so a key with a third of all rows is one row when it is sorted. It is written out in
+    runs of at most ``rows_per_bucket``, dealt over the tasks."""
     cols = rows.columns
     alike = rows.groupBy(*cols).agg(F.count(F.lit(1)).alias("__n"))
     counted = materialize(alike.withColumn("__order", F.xxhash64(*cols)), "slots")
-    total = counted.count()
+    total, n_rows, most = counted.agg(F.count(F.lit(1)), F.sum("__n"), F.max("__n")).first()
     bits = max(0, (-(-total // rows_per_bucket) - 1).bit_length())
     bucket = F.shiftrightunsigned("__order", 64 - bits) if bits else F.lit(0).cast("long")
     counted = counted.withColumn("__bucket", bucket)
@@ -113,7 +114,14 @@ def with_slots(rows: DataFrame, shard_col: str = "shard", rows_per_bucket: int =
     base = sums.select(shard_col, "__bucket", F.coalesce(F.sum("__sum").over(earlier), F.lit(0)).alias("__base"))
     inside = (Window.partitionBy(shard_col, "__bucket").orderBy("__order", *cols)
               .rowsBetween(Window.unboundedPreceding, -1))
-    return (counted.withColumn("__before", F.coalesce(F.sum("__n").over(inside), F.lit(0)))
+    runs = (counted.withColumn("__before", F.coalesce(F.sum("__n").over(inside), F.lit(0)))
             .join(base, [shard_col, "__bucket"])
-            .select(*cols, F.explode(F.sequence(F.col("__base") + F.col("__before"),
-                                                F.col("__base") + F.col("__before") + F.col("__n") - 1)).alias("slot")))
+            .select(*cols, (F.col("__base") + F.col("__before")).alias("__first"),
+                    (F.col("__base") + F.col("__before") + F.col("__n") - 1).alias("__last")))
+    if (most or 0) > rows_per_bucket:
+        parts = max(int(rows.sparkSession.conf.get("spark.sql.shuffle.partitions")), -(-n_rows // rows_per_bucket))
+        step = F.lit(rows_per_bucket).cast("long")
+        runs = (runs.withColumn("__first", F.explode(F.sequence("__first", "__last", step)))
+                .withColumn("__last", F.least("__last", F.col("__first") + step - 1))
+                .repartition(parts, shard_col, "__first"))
+    return runs.select(*cols, F.explode(F.sequence("__first", "__last")).alias("slot"))

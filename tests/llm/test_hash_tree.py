@@ -95,3 +95,12 @@ def test_many_buckets(spark):
     for s in range(3):
         own = sorted(r["slot"] for r in got if r["shard"] == s)
         assert own == list(range(len(own)))
+
+
+def test_alike_rows_are_written_by_many_tasks(spark):
+    rows = spark.range(30_500).select(F.when(F.col("id") < 30_000, -1).otherwise(F.col("id")).alias("k"),
+                                      (F.col("id") % 2 * 0).alias("shard"))
+    got = hash_tree.with_slots(rows, rows_per_bucket=1000).withColumn("task", F.spark_partition_id()).collect()
+    assert sorted(r["slot"] for r in got) == list(range(30_500))
+    hot = Counter(r["task"] for r in got if r["k"] == -1)
+    assert sum(hot.values()) == 30_000 and max(hot.values()) <= 15_000
