@@ -7,8 +7,8 @@ from pathlib import Path
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from starpipe.llm import (drr_packing, ecoc_langid, hash_tree, lm_interpolation, prefix_decontam, quality_cascade,
-                          repeat_tree, secret_ownership, simhash_blocks, warc_chunks)
+from starpipe.llm import (drr_packing, ecoc_langid, hash_tree, importance_resampling, lm_interpolation, prefix_decontam,
+                          quality_cascade, repeat_tree, secret_ownership, simhash_blocks, warc_chunks)
 from starpipe.llm.common import doc_fold
 
 
@@ -84,9 +84,15 @@ def op10_ownership_frequency(spark: SparkSession, sf_dir: str) -> DataFrame:
                        F.sha2(F.col("base_spans").cast("binary"), 256).alias("base_sha256"), "spans", "n_live", "n_example")
 
 
+def op11_position_crc(spark: SparkSession, sf_dir: str) -> DataFrame:
+    rows = importance_resampling.resample(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
+    return rows.select(F.col("id").alias("doc_id"), "n_features", "weight", "score", "rank", "n_words")
+
+
 QUERIES = {f.__name__: f for f in (
     op1_deleted_interpolation, op2_hash_tree, op3_rule_cascade, op4_output_codes, op5_prefix_join, op6_chunked_warc,
-    op7_deficit_round_robin, op8_pigeonhole_blocks, op9_interval_tree, op10_ownership_frequency)}
+    op7_deficit_round_robin, op8_pigeonhole_blocks, op9_interval_tree, op10_ownership_frequency,
+    op11_position_crc)}
 
 # DuckDB SQL where it can express a query. It has no crc32 or xxhash64, no tokenizer, and no
 # positions of regular-expression matches; the tests hold the others against brute force.
