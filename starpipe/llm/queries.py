@@ -7,8 +7,8 @@ from pathlib import Path
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from starpipe.llm import (drr_packing, ecoc_langid, hash_tree, importance_resampling, lm_interpolation, phrase_streams,
-                          prefix_decontam, quality_cascade, repeat_tree, secret_ownership, simhash_blocks, warc_chunks)
+from starpipe.llm import (bbit_minhash, drr_packing, ecoc_langid, hash_tree, importance_resampling, lm_interpolation,
+                          phrase_streams, prefix_decontam, quality_cascade, repeat_tree, secret_ownership, simhash_blocks, warc_chunks)
 from starpipe.llm.common import doc_fold
 
 
@@ -93,10 +93,14 @@ def op12_count_streams(spark: SparkSession, sf_dir: str) -> DataFrame:
     return phrase_streams.mine(table(spark, sf_dir, "documents"))
 
 
+def op13_bbit_minhash(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return bbit_minhash.near_duplicates(table(spark, sf_dir, "documents"), shingle_words=4).withColumnRenamed("id", "doc_id")
+
+
 QUERIES = {f.__name__: f for f in (
     op1_deleted_interpolation, op2_hash_tree, op3_rule_cascade, op4_output_codes, op5_prefix_join, op6_chunked_warc,
     op7_deficit_round_robin, op8_pigeonhole_blocks, op9_interval_tree, op10_ownership_frequency,
-    op11_position_crc, op12_count_streams)}
+    op11_position_crc, op12_count_streams, op13_bbit_minhash)}
 
 # DuckDB SQL where it can express a query. It has no crc32 or xxhash64, no tokenizer, and no
 # positions of regular-expression matches; the tests hold the others against brute force.
