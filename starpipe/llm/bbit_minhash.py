@@ -13,13 +13,16 @@ Documents with equal sets are one entry (by a 128-bit digest of the set), so
 exact copies cost one row however many there are. No bucket is expanded into
 pairs first:
 
-1. Every member of a bucket is a candidate with the bucket's first entry.
-   Confirmed links give components.
-2. Only in buckets that still hold several components, members of different
+1. Of the entries that share a bucket, the full sets are kept, and the shingles
+   that no other one has are counted: no link can share them. An entry with too many
+   of its own is alone, and so is most of a family of copies that are edited too much.
+2. Every other member of a bucket is a candidate with the bucket's first entry, the one with
+   the smallest share of own shingles. Confirmed links give components.
+3. Only in buckets that still hold several components, members of different
    components are candidates of each other. A bucket of more than
    ``bucket_cap`` entries is first cut by each second bucket that its members share.
 
-Confirmation streams each candidate's text past the set that it is compared
+Confirmation streams each candidate's set past the set that it is compared
 with, so a task holds two sets. An entry with many candidates is dealt over
 several tasks.
 
@@ -144,34 +147,54 @@ def sign(docs: DataFrame, id_col: str, text_col: str, shingle_words: int, bands:
              "keys array<long>, sig array<long>"), "signed")
 
 
-def _promising(pairs: DataFrame, sigs: DataFrame, percent: int, n: int) -> DataFrame:
-    """The pairs (a, b) whose estimate is not far below the threshold."""
-    both = (pairs.join(sigs.select(F.col("row").alias("a"), F.col("sig").alias("sa")), "a")
-            .join(sigs.select(F.col("row").alias("b"), F.col("sig").alias("sb")), "b"))
-    return both.where(estimate(agreeing("sa", "sb", n), n) >= _least_estimate(percent, n)).select("a", "b")
+def set_table(texts: DataFrame, shingle_words: int) -> DataFrame:
+    """(row, set) from ``texts(row, text)``: each set as sorted signed longs."""
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            sets = [np.sort(shingles(t.as_py(), shingle_words).view("<i8")) for t in batch.column("text").cast(pa.binary())]
+            yield pa.RecordBatch.from_arrays([batch.column("row"), pa.array(sets, pa.list_(pa.int64()))], names=["row", "set"])
+
+    return texts.select("row", "text").mapInArrow(run, "row long, set array<long>")
+
+
+def with_own(sets: DataFrame) -> DataFrame:
+    """(row, n, own) from ``sets(row, set)``: the set's size and how many of its shingles no other set has."""
+    single = (sets.select("row", F.explode("set").alias("h")).groupBy("h").agg(F.count(F.lit(1)).alias("c"), F.min("row").alias("row"))
+              .where("c = 1").groupBy("row").agg(F.count(F.lit(1)).alias("own")))
+    return (sets.select("row", F.size("set").cast("long").alias("n")).join(single, "row", "left")
+            .select("row", "n", F.coalesce("own", F.lit(0)).alias("own")))
 
 
-def confirm(pairs: DataFrame, texts: DataFrame, shingle_words: int, percent: int) -> DataFrame:
-    """The pairs (a, b) whose full sets have ``100 * intersection >= percent * union``; ``texts(row, text)``."""
+def _promising(left: tuple[str, str, str], right: tuple[str, str, str], percent: int, n: int) -> Column:
+    """Whether a pair can be a link, from (size, own shingles, signature) of both: what two sets
+    share is at most what either shares with any, and the estimate must not be far below the threshold."""
+    (na, oa, sa), (nb, ob, sb) = left, right
+    most = F.least(F.col(na) - F.col(oa), F.col(nb) - F.col(ob))
+    return ((100 * most >= percent * (F.col(na) + F.col(nb) - most))
+            & (estimate(agreeing(sa, sb, n), n) >= _least_estimate(percent, n)))
+
+
+def confirm(pairs: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
+    """The pairs (a, b) whose full sets have ``100 * intersection >= percent * union``; ``sets(row, set)``."""
     pairs = materialize(pairs, "pairs")
     several = pairs.groupBy("a").agg(F.count(F.lit(1)).alias("n")).select(
         "a", F.explode(F.sequence(F.lit(0).cast("long"), F.floor((F.col("n") - 1) / PER_GROUP))).alias("copy"), "n")
-    groups = F.floor((several["n"] - 1) / PER_GROUP) + 1
-    dealt = (pairs.join(several.where("copy = 0").select("a", groups.alias("groups")), "a")
-             .select("a", F.pmod(F.xxhash64("b"), F.col("groups")).alias("copy"), F.col("b")))
+    dealt = (pairs.join(several.where("copy = 0").select("a", (F.floor((F.col("n") - 1) / PER_GROUP) + 1).alias("groups")), "a")
+             .select("a", F.pmod(F.xxhash64("b"), F.col("groups")).alias("copy"), "b"))
     wanted = (several.select("a", "copy", F.lit(None).cast("long").alias("b"), F.col("a").alias("row"))
               .unionByName(dealt.select("a", "copy", "b", F.col("b").alias("row"))))
-    rows = wanted.join(texts.select("row", "text"), "row").select("a", "copy", "b", "text")
+    rows = wanted.join(sets, "row").select("a", "copy", "b", "set")
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        own = np.empty(0, "<u8")
+        own = np.empty(0, np.int64)
         for batch in batches:
             left, right = [], []
-            a, b, text = batch.column("a").to_pylist(), batch.column("b").to_pylist(), batch.column("text").cast(pa.binary())
+            a, b, held = batch.column("a").to_pylist(), batch.column("b").to_pylist(), batch.column("set")
+            hashes, ends = held.values.to_numpy(), held.offsets.to_numpy()
             for i in range(batch.num_rows):
-                other = shingles(text[i].as_py(), shingle_words)
+                other = hashes[ends[i]:ends[i + 1]]
                 if b[i] is None:
-                    own = other       # each group begins with the entry that the others are compared with
+                    own = other.copy()       # each group begins with the entry that the others are compared with
                     continue
                 small, large = sorted((own, other), key=len)
                 at = np.searchsorted(large, small)
@@ -187,29 +210,41 @@ def confirm(pairs: DataFrame, texts: DataFrame, shingle_words: int, percent: int
 
 def links(entries: DataFrame, texts: DataFrame, shingle_words: int, percent: int, bands: int, rows: int, bucket_cap: int) -> DataFrame:
     """(a, b): confirmed links between entries ``entries(row, keys, sig)`` whose components are those of all links."""
-    n, sigs = bands * rows, entries.select("row", "sig")
+    minima_n = bands * rows
     keyed = entries.select("row", F.explode("keys").alias("key"))
-    sizes = keyed.groupBy("key").agg(F.count(F.lit(1)).alias("n"), F.min("row").alias("first")).where("n > 1")
-    shared = materialize(keyed.join(sizes, "key"), "buckets")
-
+    sizes = keyed.groupBy("key").agg(F.count(F.lit(1)).alias("n")).where("n > 1").select("key")
+    met = materialize(keyed.join(sizes, "key"), "met")
+    sets = materialize(set_table(texts.join(met.select("row").distinct(), "row", "left_semi"), shingle_words), "sets")
+    able = materialize(with_own(sets).where(100 * (F.col("n") - F.col("own")) >= percent * F.col("n"))
+                       .join(entries.select("row", "sig"), "row"), "able")
+
+    # The first of a bucket is the entry with the least of its own: the likeliest to be linked with the others.
+    held = met.join(able.select("row", (F.col("own") / F.col("n")).alias("share")), "row")
+    firsts = (held.groupBy("key").agg(F.count(F.lit(1)).alias("m"), F.min(F.struct("share", "row")).alias("f")).where("m > 1")
+              .select("key", "m", F.col("f.row").alias("first")))
+    shared = materialize(held.select("key", "row").join(firsts, "key"), "buckets")
+
+    def side(name: str) -> DataFrame:
+        return able.select(F.col("row").alias(name), *[F.col(c).alias(f"{c}_{name}") for c in ("n", "own", "sig")])
+
+    near = _promising(("n_a", "own_a", "sig_a"), ("n_b", "own_b", "sig_b"), percent, minima_n)
     stars = shared.where("row <> first").select(F.col("first").alias("a"), F.col("row").alias("b")).distinct()
-    tested = materialize(_promising(stars, sigs, percent, n), "stars")
-    found = materialize(confirm(tested, texts, shingle_words, percent), "links")
+    tested = materialize(stars.join(side("a"), "a").join(side("b"), "b").where(near).select("a", "b"), "stars")
+    found = materialize(confirm(tested, sets, percent), "links")
 
     labels = connected_components(found)
-    named = shared.join(labels, shared.row == labels.node, "left").select("key", "row", "n", F.coalesce("label", "row").alias("label"))
+    named = shared.join(labels, shared.row == labels.node, "left").select("key", "row", "m", F.coalesce("label", "row").alias("label"))
     mixed = named.groupBy("key").agg(F.min("label").alias("lo"), F.max("label").alias("hi")).where("lo <> hi").select("key")
-    open_ = materialize(named.join(mixed, "key").join(sigs, "row"), "open_buckets")
+    open_ = materialize(named.join(mixed, "key").join(able, "row"), "open_buckets")
 
     def across(df: DataFrame, *key: str) -> DataFrame:
-        """Pairs of one bucket with different labels and a promising estimate, tested in the join."""
-        x = df.select(*key, F.col("row").alias("a"), F.col("label").alias("la"), F.col("sig").alias("sa"))
-        y = df.select(*key, F.col("row").alias("b"), F.col("label").alias("lb"), F.col("sig").alias("sb"))
-        near = estimate(agreeing("sa", "sb", n), n) >= _least_estimate(percent, n)
-        return x.join(y, list(key)).where((F.col("a") < F.col("b")) & (F.col("la") != F.col("lb")) & near).select("a", "b")
-
-    light = across(open_.where(F.col("n") <= bucket_cap), "key")
-    crowded = open_.where(F.col("n") > bucket_cap)
+        """Pairs of one bucket with different labels that can be links, tested in the join."""
+        x, y = (df.select(*key, F.col("row").alias(s), F.col("label").alias(f"label_{s}"),
+                          *[F.col(c).alias(f"{c}_{s}") for c in ("n", "own", "sig")]) for s in "ab")
+        return x.join(y, list(key)).where((F.col("a") < F.col("b")) & (F.col("label_a") != F.col("label_b")) & near).select("a", "b")
+
+    light = across(open_.where(F.col("m") <= bucket_cap), "key")
+    crowded = open_.where(F.col("m") > bucket_cap)
     second = crowded.join(shared.select("row", F.col("key").alias("other")), "row").where("other <> key")
     kept = (second.groupBy("key", "other").agg(F.min("label").alias("lo"), F.max("label").alias("hi"))
             .where("lo <> hi").select("key", "other"))
@@ -217,7 +252,7 @@ def links(entries: DataFrame, texts: DataFrame, shingle_words: int, percent: int
     # A pair that the stars tested is known, whether it is a link or not.
     known = tested.select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b"))
     rest = light.unionByName(dense).distinct().join(known, ["a", "b"], "left_anti")
-    return found.unionByName(confirm(rest, texts, shingle_words, percent))
+    return found.unionByName(confirm(rest, sets, percent))
 
 
 def near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", shingle_words: int = 5,
