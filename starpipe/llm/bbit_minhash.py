@@ -27,8 +27,9 @@ with, so a task holds two sets. An entry with many candidates is dealt over
 several tasks.
 
 What can be missed: a pair of similarity s shares no bucket with probability
-``(1 - s**rows)**bands`` (0.8, with 4 rows and 32 bands: 5e-8), and the
-estimate, with a margin of six standard deviations, refuses it with less.
+``(1 - s**rows)**bands`` (0.8, with 4 rows and 32 bands: 5e-8), a single one,
+which may be crowded, with 1e-6, and the estimate, with a margin of six standard
+deviations, refuses it with less.
 
 Defined cases: a null or wordless text has an empty set and links with nothing;
 a null id takes part but is never a component id (a component of null ids only
@@ -235,23 +236,28 @@ def links(entries: DataFrame, texts: DataFrame, shingle_words: int, percent: int
     labels = connected_components(found)
     named = shared.join(labels, shared.row == labels.node, "left").select("key", "row", "m", F.coalesce("label", "row").alias("label"))
     mixed = named.groupBy("key").agg(F.min("label").alias("lo"), F.max("label").alias("hi")).where("lo <> hi").select("key")
-    open_ = materialize(named.join(mixed, "key").join(able, "row"), "open_buckets")
+    of_row = shared.groupBy("row").agg(F.sort_array(F.collect_list("key")).alias("keys"))   # at most ``bands`` a row
+    open_ = materialize(named.join(mixed, "key").join(able, "row").join(of_row, "row"), "open_buckets")
 
     def across(df: DataFrame, *key: str) -> DataFrame:
-        """Pairs of one bucket with different labels that can be links, tested in the join."""
+        """Pairs of one bucket with different labels that can be links, tested in the join, each in
+        the first bucket (or two) that it shares."""
         x, y = (df.select(*key, F.col("row").alias(s), F.col("label").alias(f"label_{s}"),
-                          *[F.col(c).alias(f"{c}_{s}") for c in ("n", "own", "sig")]) for s in "ab")
-        return x.join(y, list(key)).where((F.col("a") < F.col("b")) & (F.col("label_a") != F.col("label_b")) & near).select("a", "b")
+                          *[F.col(c).alias(f"{c}_{s}") for c in ("n", "own", "sig", "keys")]) for s in "ab")
+        common = F.array_intersect("keys_a", "keys_b")
+        first = F.slice(common, 1, len(key)) == F.array(*key)
+        return (x.join(y, list(key)).where((F.col("a") < F.col("b")) & (F.col("label_a") != F.col("label_b")) & near & first)
+                .select("a", "b"))
 
     light = across(open_.where(F.col("m") <= bucket_cap), "key")
     crowded = open_.where(F.col("m") > bucket_cap)
-    second = crowded.join(shared.select("row", F.col("key").alias("other")), "row").where("other <> key")
+    second = crowded.join(shared.select("row", F.col("key").alias("other")), "row").where("other > key")
     kept = (second.groupBy("key", "other").agg(F.min("label").alias("lo"), F.max("label").alias("hi"))
             .where("lo <> hi").select("key", "other"))
     dense = across(second.join(kept, ["key", "other"]), "key", "other")
     # A pair that the stars tested is known, whether it is a link or not.
     known = tested.select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b"))
-    rest = light.unionByName(dense).distinct().join(known, ["a", "b"], "left_anti")
+    rest = light.unionByName(dense).join(known, ["a", "b"], "left_anti")
     return found.unionByName(confirm(rest, sets, percent))
 
 
