@@ -4,11 +4,11 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from starpipe.contracts import Contract
-from starpipe.functions.scalar import safe_cast
+from starpipe.functions.scalar import safe_cast, spark_type
 
 Mapping = Sequence[tuple[str, str, str]]  # (source column, target column, type)
 
@@ -26,6 +26,30 @@ def apply_mapping(df: DataFrame, mapping: Mapping | None = None) -> DataFrame:
     return df.select(*[safe_cast(src, dtype, types.get(src)).alias(dst) for src, dst, dtype in mapping])
 
 
+def apply_mapping_checked(df: DataFrame, mapping: Mapping, row_id: Column | str) -> DataFrame:
+    """``apply_mapping`` plus ``_rejected``: what each row lost in the conversion.
+
+    An array of (RowId, ColumnName, SourceText, Rule), empty where every
+    value converted. It comes from the same projection, so the
+    source is read once: write the result, then split it (``split_rejected``).
+    """
+    types = _types(df)
+    rid = F.col(row_id) if isinstance(row_id, str) else row_id
+    converted = [(src, dst, dtype, safe_cast(src, dtype, types.get(src))) for src, dst, dtype in mapping]
+    lost = [F.when(F.col(src).isNotNull() & c.isNull(), F.struct(
+        rid.cast("string").alias("RowId"), F.lit(dst).alias("ColumnName"), F.col(src).cast("string").alias("SourceText"),
+        F.lit(f"not a {dtype}").alias("Rule"))) for src, dst, dtype, c in converted if types.get(src) != spark_type(dtype)]
+    none = F.array().cast("array<struct<RowId:string,ColumnName:string,SourceText:string,Rule:string>>")
+    return df.select(*[c.alias(dst) for _, dst, _, c in converted],
+                     (F.array_compact(F.array(*lost)) if lost else none).alias("_rejected"))
+
+
+def split_rejected(checked: DataFrame) -> tuple[DataFrame, DataFrame]:
+    """(accepted rows, rejected values) of ``apply_mapping_checked``'s saved result."""
+    rejected = checked.select(F.explode("_rejected").alias("r")).select("r.*")
+    return checked.drop("_rejected"), rejected
+
+
 def _types(df: DataFrame) -> dict[str, str]:
     return {f.name: f.dataType.simpleString() for f in df.schema.fields}
 

@@ -12,6 +12,7 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from starpipe.functions.scalar import _as_date_col, duration_minutes
+from starpipe.operators.intervals import concurrency
 from starpipe.operators.lookup import lookup_key
 
 # --- fixed values: funnel steps in order (our definition over the event table).
@@ -129,6 +130,43 @@ def max_room_headcount(fact_hc: DataFrame, room_type: str = "Room") -> DataFrame
                  F.count_distinct("HeadcountId").alias("Rooms")))
 
 
+ORGANISATION = ("BusinessUnitId", "OrganisationId")
+
+
+def room_peaks(fact_att: DataFrame, places: DataFrame) -> DataFrame:
+    """Present at the same time, against the places: one row per organisation.
+
+    PeakPresent and the first moment it is reached, and the whole minutes in
+    which more were present than ``places(BusinessUnitId, OrganisationId, Places)``
+    (NULL where the places are not known). Attendances without both
+    times, or that end when they start, are not present. Organisations with
+    places and no attendance have a peak of 0.
+    """
+    steps = concurrency(fact_att, ORGANISATION, "TimeStart", "TimeEnd")
+    seconds = F.timestamp_diff("SECOND", F.col("At"), F.col("Until"))
+    peaks = (steps.join(places, [*ORGANISATION], "left").groupBy(*ORGANISATION).agg(
+        F.max("Level").alias("PeakPresent"),
+        F.min_by("At", F.struct(-F.col("Level"), "At")).alias("PeakAt"),
+        F.sum(F.when(F.col("Level") > F.col("Places"), seconds)
+               .when(F.col("Places").isNotNull(), 0)).alias("_over")))
+    return (places.join(peaks, [*ORGANISATION], "full")
+            .select(*ORGANISATION, "Places", F.coalesce("PeakPresent", F.lit(0)).alias("PeakPresent"), "PeakAt",
+                    F.floor(F.when(F.col("Places").isNotNull(), F.coalesce("_over", F.lit(0))) / 60).alias("MinutesOverPlaces")))
+
+
+def room_peaks_by_hour(fact_att: DataFrame) -> DataFrame:
+    """The most present at the same time in each hour of the day, over all days, per organisation.
+
+    Each step counts in the hours that it touches: at most 24 rows a step,
+    as a longer one touches every hour of the day. Hours in which nobody was ever present have no row.
+    """
+    hour = F.date_trunc("hour", F.col("At")).cast("timestamp_ntz")
+    last = F.least(F.col("Until") - F.expr("INTERVAL 1 MICROSECOND"), hour + F.expr("INTERVAL 23 HOURS"))
+    steps = concurrency(fact_att, ORGANISATION, "TimeStart", "TimeEnd").where("Level > 0")
+    return (steps.select(*ORGANISATION, "Level", F.explode(F.sequence(hour, last, F.expr("INTERVAL 1 HOUR"))).alias("h"))
+            .groupBy(*ORGANISATION, F.hour("h").alias("HourOfDay")).agg(F.max("Level").alias("PeakPresent")))
+
+
 def new_enrollments_monthly(fact_enr: DataFrame) -> DataFrame:
     """New enrolments per month of EnrolledDate and the change on the month before.
 

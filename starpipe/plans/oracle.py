@@ -259,6 +259,18 @@ _cte("capacity", ("cln_Organisation",), """
 SELECT BusinessUnitId, OrganisationId, CAST(500 + 10 * OrganisationId AS INTEGER) AS LicensedCapacity
 FROM cln_Organisation""")
 
+_cte("presence", ("fact_Attendance",), """
+SELECT BusinessUnitId, OrganisationId, t, sum(sum(d)) OVER w AS n, lead(t) OVER w AS until
+FROM (SELECT BusinessUnitId, OrganisationId, TimeStart AS t, 1 AS d FROM fact_Attendance WHERE TimeEnd > TimeStart
+      UNION ALL SELECT BusinessUnitId, OrganisationId, TimeEnd, -1 FROM fact_Attendance WHERE TimeEnd > TimeStart) x
+GROUP BY BusinessUnitId, OrganisationId, t
+WINDOW w AS (PARTITION BY BusinessUnitId, OrganisationId ORDER BY t)""")
+
+_cte("places", ("capacity",), """
+SELECT BusinessUnitId, OrganisationId, CAST(LicensedCapacity // 250 AS BIGINT) AS Places FROM capacity""")
+_cte("room_steps", ("presence", "places"),
+     "SELECT presence.*, Places FROM presence LEFT JOIN places USING (BusinessUnitId, OrganisationId)")
+
 _cte("orphan_enr", ("cln_Enrollment", "cln_Attendee"), """
 SELECT e.EnrollmentId, e.BusinessUnitId, e.AttendeeId, e.AccountId FROM cln_Enrollment e
 WHERE NOT EXISTS (SELECT 1 FROM cln_Attendee a
@@ -323,6 +335,21 @@ SELECT CAST(o_orderkey AS INTEGER) AS OrderId, CAST(o_custkey AS INTEGER) AS Cus
        CAST(o_totalprice AS DOUBLE) AS TotalPrice, CAST(o_orderdate AS DATE) AS OrderDate, o_orderpriority AS Priority,
        CAST(o_orderkey AS VARCHAR) AS OrderText FROM orders"""),
     "copy_attendance": (("copied_Attendance",), "SELECT * FROM copied_Attendance"),
+    "copy_rejected_values": (("stg_Attendee", "stg_Enrollment"), """
+SELECT 'Attendee' AS TableName, concat_ws(':', CAST(Id AS VARCHAR), CAST(BusinessUnitId AS VARCHAR), CreatedOn) AS RowId,
+       'DateOfBirth' AS ColumnName, DateOfBirth AS SourceText, 'not a date' AS Rule
+FROM stg_Attendee WHERE DateOfBirth IS NOT NULL AND TRY_CAST(DateOfBirth AS DATE) IS NULL
+UNION ALL
+SELECT 'Enrollment', concat_ws(':', CAST(Id AS VARCHAR), CAST(BusinessUnitId AS VARCHAR), CAST(CreatedOn AS VARCHAR)),
+       'EnrolledDate', EnrolledDate, 'not a date'
+FROM stg_Enrollment WHERE EnrolledDate IS NOT NULL AND TRY_CAST(EnrolledDate AS DATE) IS NULL"""),
+    "copy_accepted_values": (("stg_Attendee",), f"""
+SELECT {_big('Id>AttendeeId')}, {_int('BusinessUnitId')}, {_day('DateOfBirth')},
+       TRY_CAST(IsActive AS BOOLEAN) AS IsActive, {_time('CreatedOn')} FROM stg_Attendee"""),
+    "copy_balanced": (("stg_Attendee",), "SELECT Id, BusinessUnitId, AccountId, CreatedOn FROM stg_Attendee"),
+    "sink_append_load": (("cln_Program",),
+                         "SELECT *, CAST(CASE WHEN ProgramId % 2 = 0 THEN 1 ELSE 2 END AS INTEGER) AS LoadId FROM cln_Program"),
+    "clean_in_loads": (("cln_Enrollment",), "SELECT * FROM cln_Enrollment"),
     "copy_headcount": (("stg_HeadCount",), f"""
 SELECT {_int('Id', 'OrgId', 'TermProgramSetId', 'TermProductId')}, Description, HeadcountType, {_int('StatusId')},
        {_time('HeadcountDateTime')}, {_int('TotalCount')}, {_AUDIT} FROM stg_HeadCount"""),
@@ -470,6 +497,19 @@ FROM capacity c FULL JOIN (
   SELECT BusinessUnitId, OrganisationId, count(*) AS ActiveEnrollments FROM fact_Enrollment
   WHERE {_ACTIVE} GROUP BY BusinessUnitId, OrganisationId) a
 ON c.BusinessUnitId = a.BusinessUnitId AND c.OrganisationId = a.OrganisationId"""),
+    "room_peaks": (("places", "room_steps"), """
+SELECT BusinessUnitId, OrganisationId, Places, CAST(coalesce(top, 0) AS BIGINT) AS PeakPresent, peak_at AS PeakAt,
+       CASE WHEN Places IS NOT NULL THEN CAST(floor(coalesce(over, 0) / 60) AS BIGINT) END AS MinutesOverPlaces
+FROM places FULL JOIN (
+  SELECT BusinessUnitId, OrganisationId, max(n) AS top, arg_min(t, (-n, t)) AS peak_at,
+         sum(CASE WHEN n > Places THEN epoch(until) - epoch(t) ELSE 0 END) AS over
+  FROM room_steps GROUP BY BusinessUnitId, OrganisationId) g USING (BusinessUnitId, OrganisationId)"""),
+    "room_peaks_by_hour": (("presence",), """
+SELECT BusinessUnitId, OrganisationId, CAST(hour(h) AS INTEGER) AS HourOfDay, CAST(max(n) AS BIGINT) AS PeakPresent
+FROM (SELECT BusinessUnitId, OrganisationId, n, unnest(generate_series(date_trunc('hour', t),
+        least(until - INTERVAL 1 MICROSECOND, date_trunc('hour', t) + INTERVAL 23 HOUR), INTERVAL 1 HOUR)) AS h
+      FROM presence WHERE n > 0) x
+GROUP BY BusinessUnitId, OrganisationId, hour(h)"""),
     "attended_use": (("capacity", "fact_Attendance"), """
 SELECT COALESCE(c.BusinessUnitId, u.BusinessUnitId) AS BusinessUnitId, COALESCE(c.OrganisationId, u.OrganisationId) AS OrganisationId,
        c.LicensedCapacity, COALESCE(u.days, 0) AS DaysAttended, COALESCE(u.peak, 0) AS PeakAttendees,

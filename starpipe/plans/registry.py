@@ -15,7 +15,7 @@ from pyspark.sql import functions as F
 from starpipe import contracts as C
 from starpipe.functions.scalar import date_key, duration_minutes, safe_cast, valid_date
 from starpipe.operators import quality as Q
-from starpipe.operators.conform import apply_mapping, conform
+from starpipe.operators.conform import apply_mapping, apply_mapping_checked, conform, split_rejected
 from starpipe.operators.dates import date_spine, date_spine_covering, dim_date
 from starpipe.operators.dedup import LATEST_ORDER, dedup, latest_per_key, version_history
 from starpipe.operators.keys import add_key
@@ -24,6 +24,7 @@ from starpipe.plans import clean, kpi, model
 from starpipe.session import scratch_dir
 from starpipe.sources import fixtures
 from starpipe.sources.io import materialize, preview, read_table, save_table
+from starpipe.sources.loads import append_load, balanced_predicates, merge_latest, read_in_parts
 from starpipe.sources.manifest import ATTENDANCE_MAPPING, HEADCOUNT_MAPPING, PROGRAM_MAPPING
 
 # Fixed evaluation dates, so results do not move with the calendar.
@@ -159,6 +160,40 @@ def q_copy_then_clean_attendance(spark, sf):
     return clean.clean_attendance(q_copy_attendance(spark, sf))
 
 
+ATTENDEE_TYPES = (
+    ("Id", "AttendeeId", "long"), ("BusinessUnitId", "BusinessUnitId", "int"), ("DateOfBirth", "DateOfBirth", "date"),
+    ("IsActive", "IsActive", "boolean"), ("CreatedOn", "CreatedOn", "timestamp"),
+)
+ENROLLMENT_TYPES = (
+    ("Id", "EnrollmentId", "long"), ("BusinessUnitId", "BusinessUnitId", "int"), ("EnrolledDate", "EnrolledDate", "date"),
+    ("StartDate", "StartDate", "date"), ("EndDate", "EndDate", "date"),
+)
+
+
+def _checked(spark, sf, table: str, types) -> tuple[DataFrame, DataFrame]:
+    src = _stg(table)(spark, sf)
+    rid = F.concat_ws(":", F.col("Id").cast("string"), F.col("BusinessUnitId").cast("string"), F.col("CreatedOn").cast("string"))
+    return split_rejected(materialize(apply_mapping_checked(src, types, rid), f"checked_{table}"))
+
+
+def q_copy_rejected_values(spark, sf):
+    """Every value of two staging tables that a declared type could not hold, with its row, column and rule."""
+    parts = [_checked(spark, sf, t, types)[1].select(F.lit(t).alias("TableName"), "*")
+             for t, types in (("Attendee", ATTENDEE_TYPES), ("Enrollment", ENROLLMENT_TYPES))]
+    return parts[0].unionByName(parts[1])
+
+
+def q_copy_accepted_values(spark, sf):
+    """The other side of the same pass: the converted rows."""
+    return _checked(spark, sf, "Attendee", ATTENDEE_TYPES)[0]
+
+
+def q_copy_balanced(spark, sf):
+    """A copy in parallel parts, split by quantiles of a column with gaps and NULLs."""
+    src = _stg("Attendee")(spark, sf).select("Id", "BusinessUnitId", "AccountId", "CreatedOn")
+    return read_in_parts(src.where, balanced_predicates(src, "Id", 8))
+
+
 def q_clean_business_unit(spark, sf):
     return clean.clean_business_unit(_stg("BusinessUnit")(spark, sf))
 
@@ -457,6 +492,35 @@ def q_sink_recreate(spark, sf):
                   (clean.clean_program(_stg("Program")(spark, sf)), {"recreate": True}))
 
 
+def _new_table(spark) -> tuple[str, str]:
+    name = f"load_{uuid.uuid4().hex}"
+    return name, f"{scratch_dir(spark).rstrip('/')}/{name}"
+
+
+def q_sink_append_load(spark, sf):
+    """Two loads, the second one run twice: the rerun replaces its own rows."""
+    name, path = _new_table(spark)
+    p = clean.clean_program(_stg("Program")(spark, sf))
+    append_load(p.where("ProgramId % 2 = 0"), name, 1, path=path)
+    for _ in range(2):
+        append_load(p.where("ProgramId % 2 = 1"), name, 2, path=path)
+    back = materialize(spark.table(name), "loads")
+    spark.sql(f"DROP TABLE {name}")
+    return back
+
+
+def q_clean_in_loads(spark, sf):
+    """Enrolments cleaned load by load (inactive versions, the others, the first load once more): one full run's rows."""
+    name, path = _new_table(spark)
+    rows = conform(_stg("Enrollment")(spark, sf), C.ENROLLMENT)
+    active = F.coalesce("IsActive", F.lit(False))
+    for load in (rows.where(~active), rows.where(active), rows.where(~active)):
+        merge_latest(load, name, C.ENROLLMENT.business_key, buckets=16, path=path)
+    back = materialize(spark.table(name).drop("_bucket"), "merged")
+    spark.sql(f"DROP TABLE {name}")
+    return back
+
+
 def q_preview_rows(spark, sf):
     return preview(_orphan_enrollments(spark, sf), ["EnrollmentId", "BusinessUnitId"], 50)
 
@@ -494,6 +558,15 @@ def q_attended_use(spark, sf):
     return kpi.attended_use(w.fact_att(), w.capacity())
 
 
+def q_room_peaks(spark, sf):
+    w = _wh(spark, sf)
+    return kpi.room_peaks(w.fact_att(), fixtures.places(w.cln("Organisation")))
+
+
+def q_room_peaks_by_hour(spark, sf):
+    return kpi.room_peaks_by_hour(_wh(spark, sf).fact_att())
+
+
 def q_new_enrollments_monthly(spark, sf):
     return kpi.new_enrollments_monthly(_wh(spark, sf).fact_enr())
 
@@ -513,6 +586,9 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "copy_program": q_copy_program,
     "copy_by_name": q_copy_by_name,
     "copy_then_clean_attendance": q_copy_then_clean_attendance,
+    "copy_rejected_values": q_copy_rejected_values,
+    "copy_accepted_values": q_copy_accepted_values,
+    "copy_balanced": q_copy_balanced,
     "clean_business_unit": q_clean_business_unit,
     "clean_organisation": q_clean_organisation,
     "clean_attendee": q_clean_attendee,
@@ -565,6 +641,8 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "sink_truncate_append": q_sink_truncate_append,
     "sink_overwrite_schema": q_sink_overwrite_schema,
     "sink_recreate": q_sink_recreate,
+    "sink_append_load": q_sink_append_load,
+    "clean_in_loads": q_clean_in_loads,
     "booking_detail": q_booking_detail,
     "occupancy_rate": q_occupancy_rate,
     "attendance_behaviour": q_attendance_behaviour,
@@ -572,6 +650,8 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "max_capacity": q_max_capacity,
     "max_room_headcount": q_max_room_headcount,
     "attended_use": q_attended_use,
+    "room_peaks": q_room_peaks,
+    "room_peaks_by_hour": q_room_peaks_by_hour,
     "new_enrollments_monthly": q_new_enrollments_monthly,
     "occupancy_outlook": q_occupancy_outlook,
     "funnel_conversion": q_funnel_conversion,

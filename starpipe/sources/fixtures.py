@@ -224,6 +224,11 @@ def capacity(cln_org: DataFrame) -> DataFrame:
         (F.lit(500) + F.col("OrganisationId") * 10).cast("int").alias("LicensedCapacity"))
 
 
+def places(cln_org: DataFrame) -> DataFrame:
+    """Places that an organisation has at one time (our fixture: its licensed places over 250)."""
+    return capacity(cln_org).select("BusinessUnitId", "OrganisationId", F.expr("LicensedCapacity div 250").alias("Places"))
+
+
 def funnel_events(spark: SparkSession, sf_dir: str) -> DataFrame:
     return base(spark, sf_dir, "events").select("user_id", "event_type", "ts")
 

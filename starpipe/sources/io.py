@@ -8,10 +8,10 @@ unless the session is local and names none (tests).
 from __future__ import annotations
 
 import uuid
-from collections.abc import Iterator, Sequence
+from collections.abc import Iterator, Mapping as MappingType, Sequence
 from contextlib import contextmanager
 
-from pyspark.sql import DataFrame, Observation, SparkSession
+from pyspark.sql import Column, DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -30,9 +30,14 @@ def read_table(spark: SparkSession, name: str) -> DataFrame:
 def read_jdbc(spark: SparkSession, url: str, table: str, *, properties: dict | None = None,
               partition_column: str | None = None, lower_bound: int | None = None,
               upper_bound: int | None = None, num_partitions: int | None = None,
-              fetch_size: int = 10_000) -> DataFrame:
+              fetch_size: int = 10_000, predicates: Sequence[str] | None = None) -> DataFrame:
     """A database table as a DataFrame, read in parallel when a numeric,
-    evenly spread column and its bounds are given (one range per task)."""
+    evenly spread column and its bounds are given (one range per task), or
+    ``predicates``, one task each (``sources.loads.balanced_predicates`` for any other column)."""
+    if predicates is not None:
+        if partition_column is not None:
+            raise ValueError("give predicates or a partition column, not both")
+        return spark.read.option("fetchsize", str(fetch_size)).jdbc(url, table, predicates=list(predicates), properties=properties)
     r = spark.read.format("jdbc").option("url", url).option("dbtable", table) \
         .option("fetchsize", str(fetch_size))
     for k, v in (properties or {}).items():
@@ -47,33 +52,54 @@ def read_jdbc(spark: SparkSession, url: str, table: str, *, properties: dict | N
     return r.load()
 
 
-def save_table(df: DataFrame, name: str, mode: str = "overwrite", recreate: bool = False,
-               fmt: str = "parquet", partition_by: Sequence[str] = (), path: str | None = None) -> int:
-    """Write ``df`` as catalog table ``name`` and return the rows written.
+def _observed(df: DataFrame, metrics: MappingType[str, Column]) -> tuple[DataFrame, Observation]:
+    """``df`` with its row count and named aggregates collected by whatever job runs it."""
+    obs = Observation(f"rows_{uuid.uuid4().hex[:8]}")
+    return df.observe(obs, F.count(F.lit(1)).alias("rows"), *[c.alias(n) for n, c in metrics.items()]), obs
+
+
+def save_table(df: DataFrame, name: str, **how) -> int:
+    """Write ``df`` as catalog table ``name`` and return the rows written; see ``save_validated``."""
+    return save_validated(df, name, {}, **how)["rows"]
+
+
+def save_validated(df: DataFrame, name: str, metrics: MappingType[str, Column], mode: str = "overwrite", recreate: bool = False,
+                   fmt: str = "parquet", partition_by: Sequence[str] = (), path: str | None = None,
+                   bucket_by: tuple[int, Sequence[str]] | None = None) -> dict[str, int]:
+    """Write ``df`` as catalog table ``name``; return ``rows`` and the named ``metrics``.
+
+    The metrics are aggregate columns (null counts, unmatched keys, bounds)
+    of the rows written, collected by the job that writes them: validating
+    a table costs no scan of it.
 
     ``overwrite`` replaces data and schema. ``recreate`` drops the table
     first. ``truncate_append`` keeps an existing table's schema and replaces
     its rows, matched by column name. ``path`` is where a new table lies; without one it is the
-    session's warehouse. The row count is observed during the write itself
-    (no second pass).
+    session's warehouse. ``replace_partitions`` replaces the partitions that the rows
+    fall in, where the session overwrites partitions dynamically (``sources.loads``).
+    ``bucket_by`` (number, columns) lays the rows out by a hash of the columns, sorted by them,
+    so joins on them need no exchange.
     """
     spark = df.sparkSession
     if recreate:
         spark.sql(f"DROP TABLE IF EXISTS {name}")
     if recreate and path is not None:
         mode = "overwrite"  # the files of a table with its own path outlive the drop
-    obs = Observation(f"rows_{uuid.uuid4().hex[:8]}")
-    observed = df.observe(obs, F.count(F.lit(1)).alias("rows"))
-    if mode == "truncate_append" and spark.catalog.tableExists(name):
+    observed, obs = _observed(df, metrics)
+    kept = mode in ("truncate_append", "replace_partitions")   # the table stays, rows of it are replaced
+    if kept and spark.catalog.tableExists(name):
         observed.select(*spark.table(name).columns).write.insertInto(name, overwrite=True)
-        return int(obs.get["rows"])
-    w = observed.write.format(fmt).mode("append" if mode == "truncate_append" else mode)
+        return obs.get
+    w = observed.write.format(fmt).mode("append" if kept else mode)
     if partition_by:
         w = w.partitionBy(*partition_by)
+    if bucket_by is not None:
+        n, cols = bucket_by
+        w = w.bucketBy(n, *cols).sortBy(*cols)
     if path is not None:
         w = w.option("path", path)
     w.saveAsTable(name)
-    return int(obs.get["rows"])
+    return obs.get
 
 
 _scopes: list[str] = []   # folders of the scopes that are open, the innermost last
@@ -107,6 +133,12 @@ def materialize(df: DataFrame, label: str = "t") -> DataFrame:
     return df.sparkSession.read.parquet(path)
 
 
+def materialize_validated(df: DataFrame, label: str, metrics: MappingType[str, Column]) -> tuple[DataFrame, dict[str, int]]:
+    """``materialize``, and ``rows`` and the named metrics of the rows written, from the same job."""
+    observed, obs = _observed(df, metrics)
+    return materialize(observed, label), obs.get
+
+
 def copy_table(src: DataFrame, name: str, mapping: Mapping | None = None,
                mode: str = "append") -> int:
     """Copy a source table into staging: declared mapping (or by name), then write.
