@@ -7,7 +7,7 @@ the business key the latest-record rule is applied to.
 
 from __future__ import annotations
 
-from dataclasses import dataclass
+from dataclasses import dataclass, replace
 
 
 @dataclass(frozen=True)
@@ -147,6 +147,8 @@ HEADCOUNT = Contract(
     business_key=("HeadcountId",),
 )
 
+HEADCOUNT_TIMED = replace(HEADCOUNT, fields=(*HEADCOUNT.fields, Field("HeadcountDateTime", "timestamp")))
+
 # Program is copied but never cleaned upstream; it gets a contract of its
 # own (columns of the copied table) so bookings can name their program.
 PROGRAM = Contract(

@@ -43,6 +43,7 @@ def date_spine_covering(frames: Sequence[tuple[DataFrame, Sequence[str]]]) -> Da
                                                F.expr("INTERVAL 1 DAY"))).alias("FullDate")))
 
 
+# --- fixed values: names and patterns of the date dimension's columns.
 def dim_date(spine: DataFrame) -> DataFrame:
     """The 11-column date dimension over a ``FullDate`` spine.
 

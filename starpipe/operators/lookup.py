@@ -93,6 +93,23 @@ def resolve_parent(child: DataFrame, parent: DataFrame, on: str | Sequence[str],
     return _left_join_spread_nulls(child.drop(*replaced), right, keys, "left")
 
 
+def resolve_parent_colocated(child: DataFrame, parent: DataFrame, on: str | Sequence[str], cols: Sequence[str]) -> DataFrame:
+    """``resolve_parent`` for two tables saved in equal buckets of ``on``: a left join without an exchange.
+
+    A salt would be one more join key and undo the layout. Rows with a NULL
+    key, which match nothing, pass by the join instead; a hot key that is not
+    NULL stays in its bucket.
+    """
+    keys = _on(on)
+    present = F.lit(True)
+    for k in keys:
+        present = present & F.col(k).isNotNull()
+    child = child.drop(*[c for c in cols if c in child.columns])
+    met = child.where(present).join(parent.select(*keys, *cols), on=keys, how="left")
+    none = [F.lit(None).cast(parent.schema[c].dataType).alias(c) for c in cols]
+    return met.unionByName(child.where(~present).select("*", *none))
+
+
 def orphans(child: DataFrame, parent: DataFrame, on: str | Sequence[str]) -> DataFrame:
     """Child rows with no parent (a NULL key never has one): ``left_anti``."""
     keys = _on(on)

@@ -41,10 +41,11 @@ def clean_attendance(stg: DataFrame) -> DataFrame:
     return clean_table(stg, C.ATTENDANCE)
 
 
-def clean_headcount(stg: DataFrame) -> DataFrame:
+def clean_headcount(stg: DataFrame, keep_time: bool = False) -> DataFrame:
+    """``keep_time`` keeps the time of the count beside the contract's columns."""
     # Ranked, not first de-duplicated: dropping duplicates before ranking
     # would pick an arbitrary version and make the ranking a no-op.
-    return clean_table(stg, C.HEADCOUNT)
+    return clean_table(stg, C.HEADCOUNT_TIMED if keep_time else C.HEADCOUNT)
 
 
 def clean_program(stg: DataFrame) -> DataFrame:

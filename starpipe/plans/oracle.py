@@ -241,6 +241,11 @@ FROM (SELECT *, row_number() OVER (ORDER BY HeadcountId) AS HeadcountFactKey FRO
 LEFT JOIN dim_Organisation o ON h.OrganisationId = o.OrganisationId
 LEFT JOIN dim_BusinessUnit b ON o.BusinessUnitId = b.BusinessUnitId""")
 
+_cte("fact_Headcount_timed", ("fact_Headcount", "stg_HeadCount"), f"""
+SELECT * REPLACE ({_dkey('day')} AS HeadcountDateKey, day AS HeadcountDate) FROM (
+  SELECT f.*, s.day FROM fact_Headcount f
+  JOIN (SELECT DISTINCT Id, CAST(HeadcountDateTime AS DATE) AS day FROM stg_HeadCount) s ON f.HeadcountId = s.Id) x""")
+
 _cte("date_bounds", ("cln_Enrollment", "cln_Attendance"), """
 SELECT min(d) AS lo, max(d) AS hi FROM (
   SELECT EnrolledDate AS d FROM cln_Enrollment UNION ALL SELECT StartDate FROM cln_Enrollment
@@ -329,6 +334,32 @@ _cte("copied_Attendance", ("stg_Attendance",), f"""
 SELECT {_int('Id', 'OrgId', 'TypeId', 'AttendeeId', 'EnrollmentId', 'ProgramId')}, CAST(Date AS VARCHAR) AS Date, {_AUDIT},
        {_time('TimeStart', 'TimeEnd')}, {_int('BookingId')} FROM stg_Attendance""")
 
+_UNKNOWN = {"UnknownBusinessUnit": "BusinessUnitKey", "UnknownOrganisation": "OrganisationKey", "UnknownAttendee": "AttendeeKey"}
+
+
+def _metrics_sql(table: str, unknown: list[str], day: str | None = None, **more: str) -> str:
+    """One SELECT per metric of a model table, and for a fact whether its dates are in dim_Date."""
+    each = {m: f"count(*) FILTER (WHERE {_UNKNOWN[m]} = 0)" for m in unknown} | more
+    if day:
+        each |= {"MissingDate": f"count(*) FILTER (WHERE {day} IS NULL)", "MinDateKey": f"min({day})", "MaxDateKey": f"max({day})"}
+        if table.startswith("fact"):
+            each["DatesInside"] = (f"CASE WHEN coalesce(min({day}) >= (SELECT min(DateKey) FROM dim_Date) "
+                                   f"AND max({day}) <= (SELECT max(DateKey) FROM dim_Date), true) THEN 1 ELSE 0 END")
+    name = table[0].upper() + table[1:]
+    return " UNION ALL ".join(f"SELECT '{name}' AS TableName, '{m}' AS Metric, CAST({e} AS BIGINT) AS Value FROM {table}"
+                              for m, e in each.items())
+
+
+_VALIDATION = " UNION ALL ".join([
+    _metrics_sql("dim_BusinessUnit", [], MissingBusinessKey="count(*) FILTER (WHERE BusinessUnitId IS NULL)"),
+    _metrics_sql("dim_Organisation", ["UnknownBusinessUnit"]),
+    _metrics_sql("dim_Attendee", ["UnknownBusinessUnit"], MissingDateOfBirth="count(*) FILTER (WHERE DateOfBirth IS NULL)"),
+    _metrics_sql("dim_Date", [], MinDateKey="min(DateKey)", MaxDateKey="max(DateKey)"),
+    _metrics_sql("fact_Enrollment", list(_UNKNOWN), "EnrolledDateKey"),
+    _metrics_sql("fact_Attendance", list(_UNKNOWN), "AttendanceDateKey",
+                 WithoutEnrollment="count(*) FILTER (WHERE EnrollmentFactKey IS NULL)"),
+    _metrics_sql("fact_Headcount", ["UnknownBusinessUnit", "UnknownOrganisation"], "HeadcountDateKey")])
+
 FINAL: dict[str, tuple[tuple[str, ...], str]] = {
     "map_columns": ((), """
 SELECT CAST(o_orderkey AS INTEGER) AS OrderId, CAST(o_custkey AS INTEGER) AS CustomerId, o_orderstatus AS OrderStatus,
@@ -401,6 +432,12 @@ SELECT EnrollmentId, BusinessUnitId, {_dkey('EnrolledDate')} AS EnrolledDateKey,
     "dim_attendee": (("dim_Attendee",), "SELECT * FROM dim_Attendee"),
     "fact_enrollment": (("fact_Enrollment",), "SELECT * FROM fact_Enrollment"),
     "fact_attendance": (("fact_Attendance",), "SELECT * FROM fact_Attendance"),
+    "fact_headcount_by_count_time": (("fact_Headcount_timed",), "SELECT * EXCLUDE (day) FROM fact_Headcount_timed"),
+    "fact_attendance_colocated": (("fact_Attendance",), "SELECT * FROM fact_Attendance"),
+    "scanned_row_counts": (("stg_Attendee", "stg_Enrollment", "stg_Attendance"), " UNION ALL ".join(
+        f"SELECT '{t}' AS TableName, count(*) AS Rows FROM stg_{t}" for t in ("Attendee", "Enrollment", "Attendance"))),
+    "validation_report": (("dim_Attendee", "fact_Enrollment", "fact_Attendance", "fact_Headcount", "dim_Date",
+                           "dim_BusinessUnit", "dim_Organisation"), _VALIDATION),
     "fact_headcount": (("fact_Headcount",), "SELECT * FROM fact_Headcount"),
     "orphan_enrollments": (("orphan_enr",), "SELECT * FROM orphan_enr"),
     "orphan_attendance": (("cln_Attendance", "cln_Enrollment"), """

@@ -19,8 +19,8 @@ from pyspark.sql import DataFrame, SparkSession
 from starpipe.operators import quality as Q
 from starpipe.operators.dates import DEFAULT_END, DEFAULT_START, date_spine, date_spine_covering, dim_date
 from starpipe.operators.lookup import fanout_rows, orphans
-from starpipe.plans import clean, model
-from starpipe.sources.io import save_table, scratch_scope
+from starpipe.plans import clean, model, validation
+from starpipe.sources.io import save_validated, scratch_scope
 
 # Staging table name -> (cleaned table name, cleaner).
 CLEANERS: dict[str, tuple[str, Callable[..., DataFrame]]] = {
@@ -38,6 +38,7 @@ CLEANERS: dict[str, tuple[str, Callable[..., DataFrame]]] = {
 class PipelineResult:
     tables: dict[str, DataFrame] = field(default_factory=dict)
     saved_rows: dict[str, int] = field(default_factory=dict)
+    metrics: dict[str, dict[str, int]] = field(default_factory=dict)
     checks: dict[str, DataFrame] = field(default_factory=dict)
 
 
@@ -45,7 +46,9 @@ def run_pipeline(spark: SparkSession, staging: Mapping[str, DataFrame], *, as_of
                  save: bool = True, prefix: str = "", date_start: str = DEFAULT_START,
                  date_end: str = DEFAULT_END, date_span: str = "fixed") -> PipelineResult:
     """Clean every staging table given, then build the dimensions and facts
-    whose inputs are present, then the validation reports.
+    whose inputs are present, then the validation reports. Counts, unmatched
+    keys and date bounds come from the writes (``metrics``, ``checks["validation"]``);
+    the other checks are lazy frames that name the rows.
 
     ``date_span="fixed"`` builds Dim_Date over ``date_start``..``date_end``;
     ``"data"`` spans the earliest to the latest enrolment / attendance date
@@ -58,7 +61,8 @@ def run_pipeline(spark: SparkSession, staging: Mapping[str, DataFrame], *, as_of
             return res.tables[name]
         full = f"{prefix}{name}"
         with scratch_scope(spark):  # the table holds its rows now; what led to it may go
-            res.saved_rows[name] = save_table(build(), full)
+            res.metrics[name] = save_validated(build(), full, validation.table_metrics(name))
+        res.saved_rows[name] = res.metrics[name]["rows"]
         res.tables[name] = spark.table(full)
         return res.tables[name]
 
@@ -92,9 +96,12 @@ def run_pipeline(spark: SparkSession, staging: Mapping[str, DataFrame], *, as_of
         keep("Fact_Headcount", lambda: model.fact_headcount(
             t["cln_HeadCount"], t["Dim_Organisation"], t["Dim_BusinessUnit"]))
 
-    model_tables = [n for n in ("Dim_Attendee", "Fact_Enrollment", "Fact_Attendance", "Fact_Headcount",
-                                "Dim_Date", "Dim_BusinessUnit", "Dim_Organisation") if n in t]
-    res.checks["row_counts"] = Q.table_row_counts({n: t[n] for n in model_tables})
+    if save:
+        # Counted, with the other metrics, by the writes themselves.
+        res.checks["row_counts"] = validation.row_counts(spark, res.metrics)
+        res.checks["validation"] = validation.report(spark, res.metrics)
+    else:
+        res.checks["row_counts"] = Q.table_row_counts({n: t[n] for n in validation.MODEL_TABLES if n in t})
     if "Fact_Enrollment" in t:
         res.checks["enrollments_without_attendee"] = (
             Q.unknown_member_rows(t["Fact_Enrollment"], "AttendeeKey")

@@ -20,10 +20,10 @@ from starpipe.operators.dates import date_spine, date_spine_covering, dim_date
 from starpipe.operators.dedup import LATEST_ORDER, dedup, latest_per_key, version_history
 from starpipe.operators.keys import add_key
 from starpipe.operators.lookup import fanout_rows, orphans
-from starpipe.plans import clean, kpi, model
+from starpipe.plans import clean, kpi, model, validation
 from starpipe.session import scratch_dir
 from starpipe.sources import fixtures
-from starpipe.sources.io import materialize, preview, read_table, save_table
+from starpipe.sources.io import materialize, materialize_validated, preview, read_table, save_table
 from starpipe.sources.loads import append_load, balanced_predicates, merge_latest, read_in_parts
 from starpipe.sources.manifest import ATTENDANCE_MAPPING, HEADCOUNT_MAPPING, PROGRAM_MAPPING
 
@@ -45,11 +45,14 @@ class Warehouse:
     def __init__(self, spark: SparkSession, sf_dir: str, persist: bool = True):
         self.spark, self.sf_dir, self.persist = spark, sf_dir, persist
         self._built: dict[str, DataFrame] = {}
+        self.metrics: dict[str, dict[str, int]] = {}   # of the tables written, from their writes
 
     def _keep(self, name: str, build: Callable[[], DataFrame]) -> DataFrame:
         if name not in self._built:
             df = build()
-            self._built[name] = materialize(df, name) if self.persist else df
+            if self.persist:
+                df, self.metrics[name] = materialize_validated(df, name, validation.table_metrics(name))
+            self._built[name] = df
         return self._built[name]
 
     def stg(self, name: str) -> DataFrame:
@@ -78,12 +81,15 @@ class Warehouse:
     def dim_att(self) -> DataFrame:
         return self._keep("Dim_Attendee", lambda: model.dim_attendee(self.cln("Attendee"), self.dim_bu()))
 
-    def dim_date(self) -> DataFrame:
+    def build_dim_date(self) -> DataFrame:
         return dim_date(date_spine_covering([
             (self.cln("Enrollment"), ["EnrolledDate", "StartDate", "EndDate"]),
             (self.cln("Attendance"), ["AttendanceDate"]),
         ]))
 
+    def dim_date(self) -> DataFrame:
+        return self._keep("Dim_Date", self.build_dim_date)
+
     def enr_keys(self) -> DataFrame:
         return self._keep("Enrollment_Keys", lambda: model.enrollment_keys(self.cln("Enrollment")))
 
@@ -106,6 +112,12 @@ class Warehouse:
     def fact_hc(self) -> DataFrame:
         return self._keep("Fact_Headcount", self.build_fact_hc)
 
+    def saved(self) -> dict[str, dict[str, int]]:
+        """Write every model table; what the writes counted."""
+        for build in (self.dim_att, self.fact_enr, self.fact_att, self.fact_hc, self.dim_date, self.dim_bu, self.dim_org):
+            build()
+        return self.metrics
+
     def capacity(self) -> DataFrame:
         return fixtures.capacity(self.cln("Organisation"))
 
@@ -280,7 +292,7 @@ def q_duration_minutes(spark, sf):
 # --- model ------------------------------------------------------------------
 
 def q_dim_date(spark, sf):
-    return _wh(spark, sf).dim_date()
+    return _wh(spark, sf).build_dim_date()
 
 
 def q_dim_business_unit(spark, sf):
@@ -310,6 +322,26 @@ def q_fact_headcount(spark, sf):
     return _wh(spark, sf).build_fact_hc()
 
 
+def q_fact_headcount_by_count_time(spark, sf):
+    """Headcount facts dated by the time of the count, which the cleaned table then carries."""
+    w = _wh(spark, sf)
+    return model.fact_headcount(clean.clean_headcount(w.stg("HeadCount"), keep_time=True), w.dim_org(), w.dim_bu(),
+                                date_col="HeadcountDateTime")
+
+
+COLOCATED_BUCKETS = 8
+
+
+def q_fact_attendance_colocated(spark, sf):
+    """The attendance fact from tables saved in buckets of EnrollmentId: fact and enrolments meet without an exchange."""
+    w = _wh(spark, sf)
+    att, enr = (f"{n}_{uuid.uuid4().hex}" for n in ("att_keyed", "enr_keyed"))
+    folder, layout = scratch_dir(spark).rstrip("/"), (COLOCATED_BUCKETS, ["EnrollmentId"])
+    save_table(model.attendance_keys(w.cln("Attendance")), att, path=f"{folder}/{att}", bucket_by=layout)
+    save_table(w.enr_keys(), enr, path=f"{folder}/{enr}", bucket_by=layout)
+    return model.fact_attendance(None, spark.table(enr), w.dim_bu(), w.dim_org(), w.dim_att(), keyed=spark.table(att), colocated=True)
+
+
 # --- validation and quality ---------------------------------------------------
 
 def _orphan_enrollments(spark, sf) -> DataFrame:
@@ -362,16 +394,17 @@ def q_missing_key_rows(spark, sf):
 
 
 def q_table_row_counts(spark, sf):
-    w = _wh(spark, sf)
-    return Q.table_row_counts({
-        "Dim_Attendee": w.dim_att(),
-        "Fact_Enrollment": w.fact_enr(),
-        "Fact_Attendance": w.fact_att(),
-        "Fact_Headcount": w.fact_hc(),
-        "Dim_Date": w.dim_date(),
-        "Dim_BusinessUnit": w.dim_bu(),
-        "Dim_Organisation": w.dim_org(),
-    })
+    return validation.row_counts(spark, _wh(spark, sf).saved())
+
+
+def q_scanned_row_counts(spark, sf):
+    """Row counts of tables that no write of ours counted: one scan each."""
+    return Q.table_row_counts({n: _stg(n)(spark, sf) for n in ("Attendee", "Enrollment", "Attendance")})
+
+
+def q_validation_report(spark, sf):
+    """Unmatched keys, missing values and date bounds of the whole star schema, collected by its writes."""
+    return validation.report(spark, _wh(spark, sf).saved())
 
 
 def q_surrogate_key_integrity(spark, sf):
@@ -610,6 +643,8 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "fact_enrollment": q_fact_enrollment,
     "fact_attendance": q_fact_attendance,
     "fact_headcount": q_fact_headcount,
+    "fact_headcount_by_count_time": q_fact_headcount_by_count_time,
+    "fact_attendance_colocated": q_fact_attendance_colocated,
     "orphan_enrollments": q_orphan_enrollments,
     "orphan_attendance": q_orphan_attendance,
     "unmatched_parents": q_unmatched_parents,
@@ -619,6 +654,8 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "dedup_enrollment": q_dedup_enrollment,
     "missing_key_rows": q_missing_key_rows,
     "table_row_counts": q_table_row_counts,
+    "scanned_row_counts": q_scanned_row_counts,
+    "validation_report": q_validation_report,
     "surrogate_key_integrity": q_surrogate_key_integrity,
     "profile_dim_business_unit": q_profile_dim_business_unit,
     "dim_duplicate_keys": q_dim_duplicate_keys,
