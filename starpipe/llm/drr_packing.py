@@ -76,6 +76,8 @@ class WordTokenizer:
         os.environ["TOKENIZERS_PARALLELISM"] = "false"
         from tokenizers import Tokenizer
         self.tokenizer = Tokenizer.from_str(spec)
+        normalizer = self.tokenizer.normalizer
+        self.normalized = normalizer.normalize_str if normalizer is not None else str
         vocab = self.tokenizer.get_vocab(with_added_tokens=True)
         suffix = json.loads(spec)["model"].get("end_of_word_suffix") or "\0"
         self.ends = np.zeros(max(vocab.values()) + 1, bool)
@@ -83,6 +85,11 @@ class WordTokenizer:
         self.dtype = np.dtype("<u2" if len(self.ends) <= 1 << 16 else "<u4")
         self.known: dict[bytes, bytes] = {}
 
+    def _only_letters(self, word: bytes) -> bool:
+        """Whether the word is letters as the tokenizer sees it: normalised, some letters end in a
+        mark, which joins punctuation behind it."""
+        return word.isascii() or self.normalized(word.decode()).isalpha()
+
     def _alone(self, words: list[bytes]) -> list[bytes]:
         got = self.tokenizer.encode_batch_fast([w.decode() for w in words], add_special_tokens=False)
         return [np.array(g.ids, self.dtype).tobytes() for g in got]
@@ -106,7 +113,7 @@ class WordTokenizer:
         for w, t in zip(words, texts, strict=True):
             if t.isalpha():
                 letters.append(w)
-            elif (m := EDGED.fullmatch(w)) and b"<|" not in w and m[2].decode().isalpha():
+            elif (m := EDGED.fullmatch(w)) and b"<|" not in w and self._only_letters(m[2]):
                 edged[w] = m.groups()
             else:
                 alone.append(w)

@@ -1,5 +1,7 @@
 import random
+import string
 import tracemalloc
+import unicodedata
 import zlib
 from collections import Counter, defaultdict
 
@@ -120,6 +122,27 @@ def test_word_by_word_ids_equal_whole_text(documents, monkeypatch):
     assert [x.tolist() for x in got] == encode(texts)
 
 
+def test_ids_of_letters_between_punctuation():
+    """Every letter that is more than letters once it is normalised, and 3,000 others, beside every ASCII punctuation mark."""
+    letters = [c for c in map(chr, range(0x80, 0x110000)) if c.isalpha()]
+    odd = [c for c in letters if not unicodedata.normalize("NFC", unicodedata.normalize("NFC", c).lower()).isalpha()]
+    assert "\u0130" in odd and "\u09dc" in odd
+    rng = random.Random(1)
+    marks = string.punctuation.replace("<", "")
+    texts = [" ".join(f"{p}a{c}{p} {c}{p} {p}{c}b" for p in marks) for c in odd]
+    texts += [" ".join(f"{p}{c}{rng.choice(letters)}{p}" for p in rng.sample(marks, 4)) for c in rng.sample(letters, 3000)]
+    got = drr.WordTokenizer(word_tokenizer())([t.encode() for t in texts], 1)
+    assert sum(x.tolist() != want for x, want in zip(got, encode(texts), strict=True)) == 0
+
+
+def test_random_strings_equal_the_tokenizer():
+    rng = random.Random(2)
+    pool = "aZ9 \t.,'\"-!<|>éİıß中あ\u09dc\u0958\u0301\ufb1d\u200d😀"
+    texts = ["".join(rng.choice(pool) for _ in range(rng.randrange(1, 12))) for _ in range(20_000)]
+    got = drr.WordTokenizer(word_tokenizer())([t.encode() for t in texts], 1)
+    assert sum(x.tolist() != want for x, want in zip(got, encode(texts), strict=True)) == 0
+
+
 def test_target_proportions_hold_until_a_queue_is_dry(spark):
     rows = spark.range(400).select(F.col("id").alias("doc_id"), F.repeat(F.lit("cat "), 50).alias("text"),
                                    F.when(F.col("id") % 4 == 0, "a").otherwise("b").alias("source"))
