@@ -49,7 +49,7 @@ KINDS = (
     Kind("vcs", r"gh[pousr]_[A-Za-z0-9]{36,}"),
     Kind("chat", r"xox[abprs]-[A-Za-z0-9-]{10,}"),
     Kind("cloud", r"AIza[A-Za-z0-9_-]{35}"),
-    Kind("jwt", r"eyJ[A-Za-z0-9_-]{8,}\.[A-Za-z0-9_-]{8,}\.[A-Za-z0-9_-]{8,}"),
+    Kind("jwt", r"(?<![A-Za-z0-9_-])eyJ[A-Za-z0-9_-]{8,}+\.[A-Za-z0-9_-]{8,}+\.[A-Za-z0-9_-]{8,}+"),
     Kind("login", r"://[^/\s:@]{1,64}:([^/\s:@]{3,64})@", 1),
     Kind("bearer", r"[Bb]earer\x20+([A-Za-z0-9+/_.=-]{16,})", 1),
 )
@@ -73,7 +73,7 @@ def _row_key(id_col: str, text: Column) -> list[Column]:
 
 
 def find_candidates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", owner_col: str = "source",
-                    repo_col: str | None = "doc_id", kinds: tuple[Kind, ...] = KINDS) -> DataFrame:
+                    repo_col: str | None = None, kinds: tuple[Kind, ...] = KINDS) -> DataFrame:
     """(id, text_hash, kind, start, end, value_hash, owner, repo) for every match long
     enough; code points, end exclusive; ``kind`` is the place in ``kinds``."""
     text = F.coalesce(F.col(text_col), F.lit(""))
@@ -106,7 +106,7 @@ def classify(docs: DataFrame, max_owners: int = 3, max_repos: int = 20, **column
 
 
 def scan(docs: DataFrame, max_owners: int = 3, max_repos: int = 20, id_col: str = "doc_id", text_col: str = "text",
-         owner_col: str = "source", repo_col: str | None = "doc_id", kinds: tuple[Kind, ...] = KINDS) -> DataFrame:
+         owner_col: str = "source", repo_col: str | None = None, kinds: tuple[Kind, ...] = KINDS) -> DataFrame:
     """A row for each document: id, one count for each base kind (``n_<kind>``), base_spans,
     spans (texts ``kind:start:end``, by start and then kind, comma-joined),
     n_live and n_example (different values of each sort)."""

@@ -1,5 +1,6 @@
 import hashlib
 import re
+import time
 
 from pyspark.sql import functions as F
 
@@ -59,14 +60,34 @@ def test_ownership_tells_examples_from_live(make_docs):
     rows += [(10, f"mine {live}", "en", "owner1"), (11, f"also {live}", "en", "owner1"), (12, "token=changeme1", "en", None)]
     rows += [(100 + i, "token=vendored123", "en", "owner9") for i in range(25)]   # one owner, many repositories
     docs = make_docs(rows)
-    got = {r["id"]: r for r in so.scan(docs).collect()}
+    got = {r["id"]: r for r in so.scan(docs, repo_col="doc_id").collect()}
     assert all(got[i]["n_example"] == 1 and got[i]["n_live"] == 0 and got[i]["spans"] == "" for i in range(6))
     assert got[10]["spans"] == f"vcs:5:{5 + len(live)}" and got[10]["n_live"] == 1
     assert got[12]["n_live"] == 1 and got[100]["n_example"] == 1 and got[100]["spans"] == "assign:0:17"
-    kept = {r.doc_id for r in so.drop_live(docs).collect()}
+    kept = {r.doc_id for r in so.drop_live(docs, repo_col="doc_id").collect()}
     assert kept == {r[0] for r in rows} - {10, 11, 12}
 
 
+def test_owners_alone_decide_by_default(make_docs):
+    rows = [(i, "token=vendored123", "en", "owner9") for i in range(25)]
+    assert {r["n_live"] for r in so.scan(make_docs(rows)).collect()} == {1}
+    assert so.drop_live(make_docs(rows)).collect() == []
+
+
+def test_long_texts_are_scanned_in_linear_time(make_docs):
+    """A megabyte of token beginnings of each kind, and a token at the end of one."""
+    jwt = " eyJhbGciOiJI.eyJzdWIiOiIx.c2lnbmF0dXJl"
+    texts = ["eyJ" * 340_000, "eyJabcdefgh." * 85_000 + jwt, "AKIA" * 250_000, "token" * 200_000, "token " * 170_000, "a" * 31 + " " + "ghp_" * 250_000,
+             "xoxb-" * 200_000, "AIza" * 250_000, "://" * 330_000, "bearer " * 140_000]
+    rows = list(enumerate(texts))
+    began = time.monotonic()
+    got = {r["id"]: r for r in so.scan(make_docs(rows)).collect()}
+    assert time.monotonic() - began < 60
+    for i, t in rows:
+        assert (got[i]["n_assign"], got[i]["n_access"], got[i]["n_hex"], got[i]["base_spans"]) == brute(t)
+    assert "jwt" in got[1]["spans"] and got[0]["spans"] == ""
+
+
 def test_added_kinds(make_docs):
     texts = ["xoxb-1234567890-abc", "AIza" + "a" * 35, "eyJhbGciOiJI.eyJzdWIiOiIx.c2lnbmF0dXJl", "postgres://me:hunter2@db/x",
              "Authorization: Bearer abcdefghijklmnop.qrst"]
