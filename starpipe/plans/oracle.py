@@ -350,6 +350,36 @@ def _metrics_sql(table: str, unknown: list[str], day: str | None = None, **more:
                               for m, e in each.items())
 
 
+_LATTICE = ("AttendeeId", "AccountId", "BusinessUnitId", "OrganisationId")
+
+
+def _dependency_sql(determinant: tuple[str, ...], dependent: str) -> str:
+    """Determinant values and those with several dependents; with two columns only where neither alone determines."""
+    x = ", ".join(determinant)
+    new = " AND ".join(f"EXISTS (SELECT 1 FROM cln_Enrollment GROUP BY {c} HAVING count(DISTINCT {dependent}) + "
+                       f"max(CASE WHEN {dependent} IS NULL THEN 1 ELSE 0 END) > 1)" for c in determinant) if len(determinant) > 1 else "true"
+    return (f"SELECT '{'+'.join(determinant)}' AS Determinant, '{dependent}' AS Dependent, count(*) AS DeterminantValues, "
+            f"count(*) FILTER (WHERE n > 1) AS Violations FROM (SELECT {x}, count(*) AS n FROM "
+            f"(SELECT DISTINCT {x}, {dependent} FROM cln_Enrollment) d GROUP BY {x}) g HAVING {new}")
+
+
+_PAIRS = [(c,) for c in _LATTICE] + [(a, b) for i, a in enumerate(_LATTICE) for b in _LATTICE[i + 1:]]
+_MANIFEST = {
+    "Attendance": "Id,OrgId,TypeId,AttendeeId,EnrollmentId,ProgramId,Date,IsActive,CreatedOn,UpdatedOn,TimeStart,TimeEnd,BookingId",
+    "Attendee": "Id,BusinessUnitId,AccountId,EnterpriseId,GenderId,StatusId,DateOfBirth,IsActive,CreatedOn,UpdatedOn",
+    "BusinessUnit": "Id,Code,Name,EnterpriseId,TypeId,IsActive,CreatedOn,UpdatedOn",
+    "Enrollment": ("Id,BusinessUnitId,OrgId,AttendeeId,AccountId,SubscriptionId,StatusId,EnrolledDate,StartDate,EndDate,"
+                   "IsActive,CreatedOn,UpdatedOn"),
+    "HeadCount": ("Id,OrgId,TermProgramSetId,TermProductId,Description,HeadcountType,StatusId,HeadcountDateTime,TotalCount,"
+                  "IsActive,CreatedOn,UpdatedOn"),
+    "Org": "Id,BusinessUnitId,Code,Name,EnterpriseId,TypeId,IsActive,CreatedOn,UpdatedOn",
+    "Program": "Id,ProgramCategoryId,OrgId,Code,IsActive,CreatedOn,UpdatedOn,Version,BusinessUnitId,ProgramName",
+    "ProgramCategory": "Id,BusinessUnitId,Code,ProgramName,TypeId,IsActive,CreatedOn,UpdatedOn,OrgId",
+    "PublicHoliday": "Id,CountryId,Date,HolidayName,Description,IsActive,CreatedOn,UpdatedOn",
+}
+_cte("stg_ProgramCategory", (), "SELECT DISTINCT p_size FROM part")
+_cte("stg_PublicHoliday", (), "SELECT DISTINCT last_day(CAST(l_shipdate AS DATE)) FROM lineitem")
+
 _VALIDATION = " UNION ALL ".join([
     _metrics_sql("dim_BusinessUnit", [], MissingBusinessKey="count(*) FILTER (WHERE BusinessUnitId IS NULL)"),
     _metrics_sql("dim_Organisation", ["UnknownBusinessUnit"]),
@@ -381,6 +411,14 @@ SELECT {_big('Id>AttendeeId')}, {_int('BusinessUnitId')}, {_day('DateOfBirth')},
     "sink_append_load": (("cln_Program",),
                          "SELECT *, CAST(CASE WHEN ProgramId % 2 = 0 THEN 1 ELSE 2 END AS INTEGER) AS LoadId FROM cln_Program"),
     "clean_in_loads": (("cln_Enrollment",), "SELECT * FROM cln_Enrollment"),
+    "copy_manifest": (tuple(f"stg_{t}" for t in _MANIFEST), " UNION ALL ".join(
+        f"SELECT '{t}' AS TableName, count(*) AS RowsCopied, count(*) AS RowsRead, '{c}' AS Columns FROM stg_{t}"
+        for t, c in _MANIFEST.items())),
+    "dependency_lattice": (("cln_Enrollment",), " UNION ALL ".join(
+        _dependency_sql(x, a) for x in _PAIRS for a in _LATTICE if a not in x)),
+    "merged_profiles": (("cln_Enrollment",), " UNION ALL ".join(
+        f"SELECT '{c}' AS ColumnName, CAST(count(*) AS BIGINT) AS TotalRows, count(*) FILTER (WHERE {c} IS NULL) AS MissingValues, "
+        f"true AS WithinThreePercent FROM cln_Enrollment" for c in _ENROLLMENT_COLUMNS)),
     "copy_headcount": (("stg_HeadCount",), f"""
 SELECT {_int('Id', 'OrgId', 'TermProgramSetId', 'TermProductId')}, Description, HeadcountType, {_int('StatusId')},
        {_time('HeadcountDateTime')}, {_int('TotalCount')}, {_AUDIT} FROM stg_HeadCount"""),

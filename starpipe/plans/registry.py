@@ -20,12 +20,13 @@ from starpipe.operators.dates import date_spine, date_spine_covering, dim_date
 from starpipe.operators.dedup import LATEST_ORDER, dedup, latest_per_key, version_history
 from starpipe.operators.keys import add_key
 from starpipe.operators.lookup import fanout_rows, orphans
+from starpipe.operators.profiles import dependency_lattice, merge_profiles, profile_sketches
 from starpipe.plans import clean, kpi, model, validation
 from starpipe.session import scratch_dir
 from starpipe.sources import fixtures
-from starpipe.sources.io import materialize, materialize_validated, preview, read_table, save_table
+from starpipe.sources.io import materialize, materialize_validated, preview, read_table, run_copy, save_table
 from starpipe.sources.loads import append_load, balanced_predicates, merge_latest, read_in_parts
-from starpipe.sources.manifest import ATTENDANCE_MAPPING, HEADCOUNT_MAPPING, PROGRAM_MAPPING
+from starpipe.sources.manifest import ATTENDANCE_MAPPING, HEADCOUNT_MAPPING, MANIFEST, PROGRAM_MAPPING
 
 # Fixed evaluation dates, so results do not move with the calendar.
 DOB_AS_OF = "2025-06-30"        # date-of-birth plausibility upper bound
@@ -480,6 +481,27 @@ def q_unexpected_range(spark, sf):
     return Q.unexpected_values(_stg("HeadCount")(spark, sf), "TotalCount", lower=5, upper=30)
 
 
+def q_dependency_lattice(spark, sf):
+    """Which columns of an enrolment determine which, by one column or two."""
+    return dependency_lattice(_wh(spark, sf).cln("Enrollment"), LATTICE_COLUMNS)
+
+
+LATTICE_COLUMNS = ("AttendeeId", "AccountId", "BusinessUnitId", "OrganisationId")
+SKETCH_LOADS = 3
+
+
+def q_merged_profiles(spark, sf):
+    """A profile merged from the sketches of three loads, held against exact counts: within 3 %."""
+    rows = _wh(spark, sf).cln("Enrollment")
+    stored = [materialize(profile_sketches(rows.where(F.pmod("EnrollmentId", F.lit(SKETCH_LOADS)) == i)), "sketches")
+              for i in range(SKETCH_LOADS)]
+    merged = merge_profiles(stored[0].unionByName(stored[1]).unionByName(stored[2]))
+    exact = Q.null_profile(rows).select("ColumnName", "DistinctCount")
+    return merged.join(exact, "ColumnName").select(
+        "ColumnName", "TotalRows", "MissingValues",
+        (F.abs(F.col("DistinctEstimate") - F.col("DistinctCount")) <= 0.03 * F.col("DistinctCount")).alias("WithinThreePercent"))
+
+
 def q_fanout_rows(spark, sf):
     return fanout_rows(_wh(spark, sf).cln("Organisation"), "OrganisationId")
 
@@ -530,6 +552,21 @@ def _new_table(spark) -> tuple[str, str]:
     return name, f"{scratch_dir(spark).rstrip('/')}/{name}"
 
 
+def q_copy_manifest(spark, sf):
+    """All nine tables of the manifest copied into the catalog under its mappings, read back by
+    name: rows that the copy reported, rows and columns that the table has."""
+    prefix = f"stg{uuid.uuid4().hex[:8]}_"
+    report = run_copy(spark, MANIFEST, lambda s, t: fixtures.manifest_source(s, sf, t), prefix=prefix)
+    read = [read_table(spark, f"{prefix}{e.table}") for e in MANIFEST]
+    counted = Q.table_row_counts({e.table: df for e, df in zip(MANIFEST, read, strict=True)})
+    columns = spark.createDataFrame([(e.table, ",".join(df.columns)) for e, df in zip(MANIFEST, read, strict=True)],
+                                    "TableName string, Columns string")
+    out = materialize(report.join(counted.withColumnRenamed("Rows", "RowsRead"), "TableName").join(columns, "TableName"), "copied")
+    for e in MANIFEST:
+        spark.sql(f"DROP TABLE {prefix}{e.table}")
+    return out
+
+
 def q_sink_append_load(spark, sf):
     """Two loads, the second one run twice: the rerun replaces its own rows."""
     name, path = _new_table(spark)
@@ -671,6 +708,8 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "duplicate_entities": q_duplicate_entities,
     "unexpected_values": q_unexpected_values,
     "unexpected_range": q_unexpected_range,
+    "dependency_lattice": q_dependency_lattice,
+    "merged_profiles": q_merged_profiles,
     "fanout_rows": q_fanout_rows,
     "preview_rows": q_preview_rows,
     "table_roundtrip": q_table_roundtrip,
@@ -678,6 +717,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "sink_truncate_append": q_sink_truncate_append,
     "sink_overwrite_schema": q_sink_overwrite_schema,
     "sink_recreate": q_sink_recreate,
+    "copy_manifest": q_copy_manifest,
     "sink_append_load": q_sink_append_load,
     "clean_in_loads": q_clean_in_loads,
     "booking_detail": q_booking_detail,

@@ -217,6 +217,34 @@ def stg_program(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def stg_program_category(spark: SparkSession, sf_dir: str) -> DataFrame:
+    p = base(spark, sf_dir, "part").select(F.col("p_size").alias("k"), "p_brand", "p_partkey")
+    one = p.groupBy("k").agg(F.min("p_brand").alias("b"), F.count(F.lit(1)).alias("n"))
+    k = F.col("k")
+    return one.select(
+        k.cast("string").alias("Id"), (k % 5).alias("BusinessUnitId"), F.col("b").alias("Code"),
+        F.concat(F.lit("Category "), k.cast("string")).alias("ProgramName"), F.col("n").alias("TypeId"),
+        F.lit("true").alias("IsActive"), F.lit("2020-01-01 00:00:00").alias("CreatedOn"),
+        F.lit("never").alias("UpdatedOn"), (k % 9).alias("OrgId"))
+
+
+def stg_public_holiday(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The last day of each month in which anything was shipped."""
+    day = F.last_day(F.col("l_shipdate").cast("date"))
+    d = base(spark, sf_dir, "lineitem").select(day.alias("d")).distinct()
+    return d.select(
+        (F.year("d") * 100 + F.month("d")).alias("Id"), F.lit(1).alias("CountryId"), F.col("d").cast("string").alias("Date"),
+        F.date_format("d", "MMMM").alias("HolidayName"), F.lit(None).cast("string").alias("Description"),
+        F.lit(True).alias("IsActive"), F.lit("2020-01-01 00:00:00").alias("CreatedOn"), F.lit(None).cast("string").alias("UpdatedOn"))
+
+
+def manifest_source(spark: SparkSession, sf_dir: str, table: str) -> DataFrame:
+    """A source table of the copy manifest; Program gets the row version that its staging rows lack."""
+    extra = {"ProgramCategory": stg_program_category, "PublicHoliday": stg_public_holiday}
+    df = (extra.get(table) or STAGING[table])(spark, sf_dir)
+    return df.withColumn("Version", F.encode(F.col("Id").cast("string"), "UTF-8")) if table == "Program" else df
+
+
 def capacity(cln_org: DataFrame) -> DataFrame:
     """Licensed places per organisation (our fixture: 500 + 10 x OrganisationId)."""
     return cln_org.select(

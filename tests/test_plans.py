@@ -45,3 +45,18 @@ def test_fact_lookups_carry_the_salt_in_every_sort_merge_exchange(spark):
         spark.conf.unset("spark.sql.autoBroadcastJoinThreshold")
     lookups = [p for p in re.findall(r"Exchange hashpartitioning\(([^)]*)\)", plan) if not p.startswith("_part#")]
     assert lookups and all("_null_salt" in p for p in lookups), lookups
+
+
+def test_colocated_fact_meets_its_enrolments_without_an_exchange(spark):
+    from starpipe.plans.registry import QUERIES
+    from tests.conftest import SF_SMALL
+
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    try:
+        plan = _plan(QUERIES["fact_attendance_colocated"](spark, SF_SMALL))
+        plain = _plan(QUERIES["fact_attendance"](spark, SF_SMALL))
+    finally:
+        spark.conf.unset("spark.sql.autoBroadcastJoinThreshold")
+    assert "Exchange hashpartitioning(EnrollmentId" in plain
+    assert "Exchange hashpartitioning(EnrollmentId" not in plan and re.search(r"SortMergeJoin(\(skew=true\))? \[EnrollmentId", plan)
+    assert "Bucketed: true" in plan or "bucket" in plan.lower()
