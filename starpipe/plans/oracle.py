@@ -377,6 +377,19 @@ _MANIFEST = {
     "ProgramCategory": "Id,BusinessUnitId,Code,ProgramName,TypeId,IsActive,CreatedOn,UpdatedOn,OrgId",
     "PublicHoliday": "Id,CountryId,Date,HolidayName,Description,IsActive,CreatedOn,UpdatedOn",
 }
+_cte("named", (), """
+SELECT k * 4 + n AS id, nation, CASE n WHEN 1 THEN substr(name, 1, 3) || substr(name, 5) WHEN 2 THEN substr(name, 1, 5) || 'z' || substr(name, 7)
+       ELSE name END AS name
+FROM (SELECT c_custkey AS k, CAST(c_nationkey AS BIGINT) AS nation, unnest([0, 1, 2, 3]) AS n,
+             substr(translate(md5(CAST(c_custkey AS VARCHAR)), '0123456789', 'ghijklmnop'), 1, 10) AS name FROM customer) x
+WHERE n = 0 OR (n = 1 AND k % 10 = 0) OR (n = 2 AND k % 15 = 0) OR (n = 3 AND k % 20 = 0)""")
+_cte("near_names", ("named",), """
+SELECT a.id, b.id AS other FROM named a JOIN named b ON a.nation = b.nation AND levenshtein(a.name, b.name) <= 1""")
+# Three rounds of least neighbours: planted groups are chains of three links at most.
+_cte("near_1", ("near_names",), "SELECT id, min(other) AS g FROM near_names GROUP BY id")
+_cte("near_2", ("near_names", "near_1"), "SELECT x.id, min(g) AS g FROM near_names x JOIN near_1 y ON x.other = y.id GROUP BY x.id")
+_cte("near_3", ("near_names", "near_2"), "SELECT x.id, min(g) AS g FROM near_names x JOIN near_2 y ON x.other = y.id GROUP BY x.id")
+
 _cte("stg_ProgramCategory", (), "SELECT DISTINCT p_size FROM part")
 _cte("stg_PublicHoliday", (), "SELECT DISTINCT last_day(CAST(l_shipdate AS DATE)) FROM lineitem")
 
@@ -419,6 +432,8 @@ SELECT {_big('Id>AttendeeId')}, {_int('BusinessUnitId')}, {_day('DateOfBirth')},
     "merged_profiles": (("cln_Enrollment",), " UNION ALL ".join(
         f"SELECT '{c}' AS ColumnName, CAST(count(*) AS BIGINT) AS TotalRows, count(*) FILTER (WHERE {c} IS NULL) AS MissingValues, "
         f"true AS WithinThreePercent FROM cln_Enrollment" for c in _ENROLLMENT_COLUMNS)),
+    "near_duplicate_attendees": (("near_3",), """
+SELECT id AS AttendeeId, g AS GroupId, n AS GroupSize FROM (SELECT *, count(*) OVER (PARTITION BY g) AS n FROM near_3) x WHERE n > 1"""),
     "copy_headcount": (("stg_HeadCount",), f"""
 SELECT {_int('Id', 'OrgId', 'TermProgramSetId', 'TermProductId')}, Description, HeadcountType, {_int('StatusId')},
        {_time('HeadcountDateTime')}, {_int('TotalCount')}, {_AUDIT} FROM stg_HeadCount"""),

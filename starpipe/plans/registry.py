@@ -18,6 +18,7 @@ from starpipe.operators import quality as Q
 from starpipe.operators.conform import apply_mapping, apply_mapping_checked, conform, split_rejected
 from starpipe.operators.dates import date_spine, date_spine_covering, dim_date
 from starpipe.operators.dedup import LATEST_ORDER, dedup, latest_per_key, version_history
+from starpipe.operators.fuzzy import near_duplicate_entities
 from starpipe.operators.keys import add_key
 from starpipe.operators.lookup import fanout_rows, orphans
 from starpipe.operators.profiles import dependency_lattice, merge_profiles, profile_sketches
@@ -472,6 +473,11 @@ def q_duplicate_entities(spark, sf):
                                 ["BusinessUnitId", "GenderId", "DateOfBirth"], "AttendeeId")
 
 
+def q_near_duplicate_attendees(spark, sf):
+    """Attendees of one nation whose names differ by one letter, with their groups."""
+    return near_duplicate_entities(fixtures.attendee_names(spark, sf), ["NationId"], "AttendeeName", "AttendeeId")
+
+
 def q_unexpected_values(spark, sf):
     return Q.unexpected_values(_stg("Attendee")(spark, sf), "GenderId", allowed=[0, 1])
 
@@ -706,6 +712,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "entity_summary": q_entity_summary,
     "dependency_violations": q_dependency_violations,
     "duplicate_entities": q_duplicate_entities,
+    "near_duplicate_attendees": q_near_duplicate_attendees,
     "unexpected_values": q_unexpected_values,
     "unexpected_range": q_unexpected_range,
     "dependency_lattice": q_dependency_lattice,

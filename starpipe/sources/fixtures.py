@@ -245,6 +245,23 @@ def manifest_source(spark: SparkSession, sf_dir: str, table: str) -> DataFrame:
     return df.withColumn("Version", F.encode(F.col("Id").cast("string"), "UTF-8")) if table == "Program" else df
 
 
+def attendee_names(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Names of attendees (ten letters from the key's MD5) with planted misspellings: one key in ten comes
+    again without its fourth letter, one in fifteen with another sixth letter, one in twenty as it is."""
+    c = base(spark, sf_dir, "customer")
+    k = F.col("c_custkey")
+    name = F.substring(F.translate(F.md5(k.cast("string").cast("binary")), "0123456789", "ghijklmnop"), 1, 10)
+    dropped = F.concat(F.substring(name, 1, 3), F.substring(name, 5, 6))
+    changed = F.concat(F.substring(name, 1, 5), F.lit("z"), F.substring(name, 7, 4))
+    copies = F.array(F.struct(F.lit(0).alias("n"), name.alias("name")),
+                     F.when(k % 10 == 0, F.struct(F.lit(1).alias("n"), dropped.alias("name"))),
+                     F.when(k % 15 == 0, F.struct(F.lit(2).alias("n"), changed.alias("name"))),
+                     F.when(k % 20 == 0, F.struct(F.lit(3).alias("n"), F.upper(name).alias("name"))))
+    return (c.select(k.alias("k"), "c_nationkey", F.explode(F.array_compact(copies)).alias("x"))
+            .select((F.col("k") * 4 + F.col("x.n")).cast("long").alias("AttendeeId"), F.col("c_nationkey").cast("long").alias("NationId"),
+                    F.col("x.name").alias("AttendeeName")))
+
+
 def capacity(cln_org: DataFrame) -> DataFrame:
     """Licensed places per organisation (our fixture: 500 + 10 x OrganisationId)."""
     return cln_org.select(
