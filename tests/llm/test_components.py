@@ -2,19 +2,20 @@ import random
 
 import pytest
 
-from starpipe.llm import common, simhash_blocks
+from starpipe.llm import simhash_blocks
+from starpipe.operators import components
 from tests.llm.test_simhash_blocks import brute_components, got
 
 
 def labels_of(spark, edges):
-    return {r["node"]: r["label"] for r in common.connected_components(spark.createDataFrame(edges, "a long, b long")).collect()}
+    return {r["node"]: r["label"] for r in components.connected_components(spark.createDataFrame(edges, "a long, b long")).collect()}
 
 
 @pytest.fixture()
 def rounds(monkeypatch):
     """Counts the rounds of contraction (tables of moves)."""
     seen = []
-    write = common.materialize
+    write = components.materialize
     monkeypatch.setattr(common, "materialize", lambda df, label="t": (seen.append(label), write(df, label))[1])
     return lambda: seen.count("moves")
 
