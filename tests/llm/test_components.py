@@ -16,7 +16,7 @@ def rounds(monkeypatch):
     """Counts the rounds of contraction (tables of moves)."""
     seen = []
     write = components.materialize
-    monkeypatch.setattr(common, "materialize", lambda df, label="t": (seen.append(label), write(df, label))[1])
+    monkeypatch.setattr(components, "materialize", lambda df, label="t": (seen.append(label), write(df, label))[1])
     return lambda: seen.count("moves")
 
 
