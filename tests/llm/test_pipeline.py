@@ -18,7 +18,7 @@ from tools.compare import TABLES, digest
 def test_stages_and_registration(spark):
     import __spark_entry__ as entry
     names = set(entry.queries())
-    assert {f"op{n}" for n in range(1, 11)} == {q.split("_")[0] for q in QUERIES} and set(QUERIES) | {"pipeline"} <= names
+    assert {f"op{n}" for n in range(1, 14)} == {q.split("_")[0] for q in QUERIES} and set(QUERIES) | {"pipeline"} <= names
     assert [n for n, _ in corpus_pipeline.STAGES] == ["language_id", "near_duplicates", "decontaminate", "secret_scan", "packing"]
     assert set(entry.oracle_sql()) <= names
 
