@@ -12,12 +12,17 @@ External stream layout. No table of counts is ever probed by hash:
 2. *Words.* Word counts are summed. Words of ``min_count`` and more get dense
    numbers in the order (language, word); all others break a phrase, as no
    phrase that holds one is frequent. Each block gets the numbers of its own words.
-3. *Windows.* At every word a window of up to ``longest`` numbers begins. A
-   block sums equal windows. The windows are laid in prefix order (range
-   partitions, sorted); in that order all windows that begin with a phrase
-   follow one another, so one scan gives the counts of phrases of every
-   length. A run that touches an end of a part is summed with its other parts.
-4. *Lockstep.* The frequent phrases are kept twice: in prefix order and in
+3. *Pairs.* A block sums its equal pairs of neighbours. The pairs are laid in
+   prefix order (range partitions, sorted), and one scan counts them. A run that
+   touches an end of a part is summed with its other parts.
+4. *Windows.* At every word a window of up to ``longest`` numbers begins; it ends
+   before a pair that is not frequent, as no frequent phrase holds one. A block
+   sums equal windows of three words and more, and they are laid in prefix order,
+   too: there all windows that begin with a phrase follow one another, so one
+   scan gives the counts of phrases of every length. Which pairs are frequent is
+   told by a bitmap of ``PAIR_BITS`` bits, the same size for any corpus; a pair that it
+   takes for frequent only makes windows longer, and never changes a count.
+5. *Lockstep.* The frequent phrases are kept twice: in prefix order and in
    suffix order (by their words from last to first). Their prefixes (suffixes)
    are frequent as well and stand before them, so a scan that keeps the last phrase
    of each length meets every phrase together with the counts of all its left
@@ -42,7 +47,7 @@ from pyspark import TaskContext
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from starpipe.llm.lm_interpolation import _grow, _shrink
+from starpipe.llm.lm_interpolation import _grow, _mix, _shrink
 from starpipe.operators.keys import add_key, range_layout
 from starpipe.sources.io import materialize
 
@@ -50,6 +55,8 @@ from starpipe.sources.io import materialize
 _FOLD = bytes(b + 32 if 65 <= b <= 90 else 10 if b in b".,;:!?\n\x0b\x0c\r" else 32 if b == 9 else b for b in range(256))
 #: Ways a language's candidates are split for the first choice of the best.
 SPREAD = 256
+#: Bits of the bitmap of frequent pairs (16 MB), a power of two, 32,768 at least.
+PAIR_BITS = 1 << 27
 
 
 def _tokens(text: bytes) -> list[bytes]:
@@ -118,9 +125,31 @@ def _record(columns: dict[str, np.ndarray]) -> pa.RecordBatch:
     return pa.RecordBatch.from_arrays([pa.array(np.ascontiguousarray(v)) for v in columns.values()], names=list(columns))
 
 
-def windows(numbered: DataFrame, longest: int) -> DataFrame:
-    """(w1.., n): each block's different windows of two words and more, in prefix order, with their count."""
+def _pair_place(first: np.ndarray, second: np.ndarray, bits: int) -> np.ndarray:
+    """A pair's bit in a bitmap of ``bits`` bits."""
+    mixed = _mix(_mix(first.astype(np.uint64), second.astype(np.uint64)), np.uint64(0))
+    return (mixed & np.uint64(bits - 1)).astype(np.int64)
+
+
+def pair_bitmap(pairs: DataFrame, bits: int = PAIR_BITS) -> np.ndarray:
+    """The bitmap of ``pairs(w1, w2)`` as bytes; at most ``bits`` bits reach the driver."""
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            yield _record({"bit": _pair_place(batch.column("w1").to_numpy(), batch.column("w2").to_numpy(), bits) + 1})
+
+    pieces = (pairs.select("w1", "w2").mapInArrow(run, "bit long").groupBy(F.bitmap_bucket_number("bit").alias("bucket"))
+              .agg(F.bitmap_construct_agg(F.bitmap_bit_position("bit")).alias("piece")).collect())
+    out = np.zeros(bits // 8, np.uint8)
+    for r in pieces:      # buckets count from 1; each is 4,096 bytes
+        out[(r["bucket"] - 1) * 4096:r["bucket"] * 4096] = np.frombuffer(r["piece"], np.uint8)
+    return out
+
+
+def windows(numbered: DataFrame, longest: int, shortest: int = 2, bitmap: np.ndarray | None = None) -> DataFrame:
+    """(w1.., n): each block's different windows of ``shortest`` words and more, in prefix order,
+    with their count. A window ends before a pair that is not in the ``bitmap``."""
     names = _named(longest)
+    held = None if bitmap is None else numbered.sparkSession.sparkContext.broadcast(bitmap)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
@@ -133,15 +162,23 @@ def windows(numbered: DataFrame, longest: int) -> DataFrame:
                 place[at[order] + 1] = np.arange(1, len(order) + 1)      # numbers in the block, in the order of ids
                 ids = np.concatenate([[0], ids[order]])
                 seq = np.concatenate([place[tokens], np.zeros(longest, np.int64)])
-                begin = np.flatnonzero((seq[:-1] > 0) & (seq[1:] > 0))
+                link = (seq[:-1] > 0) & (seq[1:] > 0)
+                if held is not None:
+                    joint = np.flatnonzero(link)
+                    bit = _pair_place(ids[seq[joint]], ids[seq[joint + 1]], 8 * len(held.value))
+                    link[joint] = (held.value[bit >> 3] >> (bit & 7).astype(np.uint8)) & 1
+                begins = link.copy()
+                for k in range(1, shortest - 1):
+                    begins[:-k] &= link[k:]
+                begin = np.flatnonzero(begins)
                 if not len(begin):
                     continue
                 cols = np.empty((longest, len(begin)), np.int32)
                 going, code = np.ones(len(begin), bool), np.zeros(len(begin), np.int64)
                 for k in range(longest):
-                    word = seq[begin + k]
-                    going &= word > 0
-                    cols[k] = np.where(going, word, 0)
+                    if k:
+                        going &= link[begin + k - 1]
+                    cols[k] = np.where(going, seq[begin + k], 0)
                     # Equal codes are equal windows so far, and codes keep their order.
                     values, first, code, n = np.unique(code * len(ids) + cols[k], return_index=True, return_inverse=True,
                                                        return_counts=True)
@@ -152,8 +189,8 @@ def windows(numbered: DataFrame, longest: int) -> DataFrame:
     return numbered.mapInArrow(run, ", ".join(f"{w} long" for w in [*names, "n"]))
 
 
-def _prefix_counts(ordered: DataFrame, longest: int, min_count: int) -> DataFrame:
-    """(w1.., a): counts of phrases of 2 words and more, from windows in prefix order. What
+def _prefix_counts(ordered: DataFrame, longest: int, min_count: int, shortest: int = 2) -> DataFrame:
+    """(w1.., a): counts of phrases of ``shortest`` words and more, from windows in prefix order. What
     touches an end of a partition comes with any count, all else with ``min_count`` and more."""
     names = _named(longest)
 
@@ -174,7 +211,7 @@ def _prefix_counts(ordered: DataFrame, longest: int, min_count: int) -> DataFram
                 continue
             w = np.stack([batch.column(c).to_numpy() for c in names], axis=1)
             n, found = batch.column("n").to_numpy(), []
-            for k in range(2, longest + 1):
+            for k in range(shortest, longest + 1):
                 on = w[:, k - 1] > 0
                 new = np.concatenate([[True], (w[1:, :k] != w[:-1, :k]).any(axis=1)])
                 starts = np.flatnonzero(new)
@@ -215,11 +252,21 @@ def frequent_phrases(blocks: DataFrame, words: DataFrame, longest: int, min_coun
     names = _named(longest)
     own = (blocks.select("block", "lang", F.posexplode("words").alias("at", "word"))
            .join(words, ["lang", "word"]).groupBy("block").agg(F.collect_list(F.struct(F.col("at").cast("long").alias("at"), "id")).alias("own")))
-    stream = materialize(windows(blocks.select("block", "tokens").join(own, "block").select("tokens", "own"), longest), "windows")
-    ordered = stream.repartitionByRange(*names).sortWithinPartitions(*names)
-    counted = _prefix_counts(ordered, longest, min_count).groupBy(*names).agg(F.sum("a").alias("a")).where(F.col("a") >= min_count)
+    numbered = materialize(blocks.select("block", "tokens").join(own, "block").select("tokens", "own"), "numbered")
+
+    def counted(stream: DataFrame, shortest: int, size: int) -> DataFrame:
+        keys = names[:size]
+        ordered = stream.repartitionByRange(*keys).sortWithinPartitions(*keys)
+        return (_prefix_counts(ordered, size, min_count, shortest).groupBy(*keys).agg(F.sum("a").alias("a"))
+                .where(F.col("a") >= min_count)
+                .select(*keys, *[F.lit(0).cast("long").alias(w) for w in names[size:]], "a"))
+
+    pairs = materialize(counted(windows(numbered, 2), 2, 2), "pairs")
     single = words.select(F.col("id").alias("w1"), *[F.lit(0).cast("long").alias(w) for w in names[1:]], F.col("n").alias("a"))
-    return materialize(counted.unionByName(single), "phrases")
+    found = pairs.unionByName(single)
+    if longest > 2:
+        found = found.unionByName(counted(windows(numbered, longest, 3, pair_bitmap(pairs)), 3, longest))
+    return materialize(found, "phrases")
 
 
 def _lockstep(phrases: DataFrame, longest: int, reverse: bool) -> DataFrame:

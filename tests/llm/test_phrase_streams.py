@@ -2,6 +2,7 @@ import random
 import re
 from collections import Counter, defaultdict
 
+import numpy as np
 import pytest
 from pyspark.sql import functions as F
 
@@ -84,6 +85,18 @@ def test_runs_and_prefixes_across_many_parts(spark):
     assert found == brute(rows, 20)
 
 
+def test_bitmap_only_prunes(spark, make_docs, monkeypatch):
+    """It holds every frequent pair, and taking all pairs for frequent changes no result."""
+    pairs = spark.createDataFrame([(i * 7 + 1, i * i + 1) for i in range(500)], "w1 long, w2 long")
+    held = P.pair_bitmap(pairs, 1 << 15)
+    at = P._pair_place(np.arange(500) * 7 + 1, np.arange(500) ** 2 + 1, 1 << 15)
+    assert np.unpackbits(held, bitorder="little").sum() == len(np.unique(at))
+    assert ((held[at >> 3] >> (at & 7)) & 1).all()
+    rows = texts(5)
+    monkeypatch.setattr(P, "pair_bitmap", lambda pairs: np.full(4096, 255, np.uint8))
+    assert got(P.mine(make_docs(rows), min_count=4, block_tokens=300)) == brute([(lang, t) for _, t, lang in rows], 4)
+
+
 def test_edge_rows(spark, make_docs):
     assert got(P.mine(make_docs([(1, "x")]).where("false"), min_count=1)) == []
     rows = [(1, None, "en"), (2, "", None), (3, " \t.,;\n", "fr"), (4, "b" * 200_000 + " c", "en"), (None, "A b, a B a\tb", None),
