@@ -1,6 +1,9 @@
+import math
 import zlib
+from collections import Counter
 
 import numpy as np
+import pytest
 from pyspark.sql import functions as F
 
 from starpipe.llm import ecoc_langid as ecoc
@@ -22,6 +25,70 @@ def test_held_out_accuracy(spark):
     assert sum(r.lang_pred == truth[r.doc_id] for r in clear) >= 0.98 * len(clear)
 
 
+def brute_grams(text):
+    """Numbers of a text's byte pairs and triples, one at a time."""
+    kept = [ord(chr(b).lower()) if b < 128 and chr(b).isalpha() else b if b >= 128 else 32 for b in text.encode()]
+    b, out = [32, *kept, 32], []
+    for i in range(len(b) - 1):
+        out.append(b[i] * 256 + b[i + 1])
+        if i + 2 < len(b):
+            mixed = ((b[i] * 65599 + b[i + 1]) * 65599 + b[i + 2]) * 2654435761 % 2**32
+            out.append(2**16 + (mixed >> 16))
+    return Counter(out)
+
+
+def brute_languages(train, texts):
+    """(language, score) of each text, from a model learned from the (text, language) pairs of ``train``."""
+    langs = sorted({lang for _, lang in train})
+    code = ecoc.codewords(len(langs)).tolist()
+    bits = range(len(code[0]))
+    counts = {lang: Counter() for lang in langs}
+    for text, lang in train:
+        counts[lang].update(brute_grams(text))
+    total = {lang: counts[lang].total() for lang in langs}
+    odds = {}
+
+    def of(g):
+        if g not in odds:
+            share = [(counts[x][g] + 0.5) / (total[x] + 0.5 * 2**17) for x in langs]
+            odds[g] = []
+            for k in bits:
+                one, other = ([s for s, c in zip(share, code, strict=True) if c[k] == side] for side in (1, -1))
+                odds[g].append(math.log(sum(one) / len(one)) - math.log(sum(other) / len(other)))
+        return odds[g]
+
+    def margins(text):
+        grams = brute_grams(text)
+        return [sum(n * of(g)[k] for g, n in grams.items()) / grams.total() for k in bits]
+
+    wrong = [0] * len(bits)
+    for text, lang in train:
+        m = margins(text)
+        for k in bits:
+            wrong[k] += m[k] * code[langs.index(lang)][k] <= 0
+    error = [(w + 0.5) / (len(train) + 1) for w in wrong]
+    weights = [max(math.log((1 - e) / e), 0.05) for e in error]
+    out = []
+    for text in texts:
+        if text is None or not any(c.isalpha() for c in text):
+            out.append(("und", 0.0))
+            continue
+        m = margins(text)
+        loss = [sum(weights[k] * math.log1p(math.exp(-20 * word[k] * m[k])) for k in bits) / sum(weights) for word in code]
+        best = min(range(len(langs)), key=loss.__getitem__)
+        out.append((langs[best], 1 / sum(math.exp(-(x - loss[best]) * len(bits)) for x in loss)))
+    return out
+
+
+def test_query_equals_brute_force(spark, documents):
+    rows = documents.select("doc_id", "text", "lang").collect()
+    train = [(r.text, r.lang) for r in rows if zlib.crc32(str(r.doc_id).encode()) % 4 != 2 and r.lang is not None and r.text is not None]
+    want = dict(zip([r.doc_id for r in rows], brute_languages(train, [r.text for r in rows]), strict=True))
+    got = {r.doc_id: (r.lang_pred, r.score) for r in op4_output_codes(spark, SF).collect()}
+    assert {k: v[0] for k, v in got.items()} == {k: v[0] for k, v in want.items()}
+    assert all(v[1] == pytest.approx(want[k][1], abs=1e-4) for k, v in got.items())
+
+
 def test_learns_from_text_and_label_only(documents):
     train = documents.where("doc_id % 3 <> 0")
     one = ecoc.fit(train, rows_per_lang=10**9)
