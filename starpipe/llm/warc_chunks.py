@@ -36,6 +36,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from starpipe.session import scratch_dir
+from starpipe.sources.io import materialize
 
 VERSION = b"WARC/1.1\r\n"
 PROFILE = "http://netpreserve.org/warc/1.1/revisit/identical-payload-digest"
@@ -49,17 +50,17 @@ def _header(pairs: list[tuple[str, object]]) -> bytes:
     return VERSION + "".join(f"{k}: {v}\r\n" for k, v in pairs if v is not None).encode() + b"\r\n"
 
 
-def chunks(payload: bytes, chunk_bytes: int) -> Iterator[memoryview]:
+def chunks(payload: bytes | pa.Buffer, chunk_bytes: int) -> Iterator[bytes]:
     """The payload in order, cut at every ``chunk_bytes`` and inside every ``MARK``;
-    an empty payload is one empty chunk."""
+    an empty payload is one empty chunk. Only one chunk at a time is copied."""
     view, at = memoryview(payload), 0
     while True:
-        end = min(at + chunk_bytes, len(view))
-        found = payload.find(MARK, at, end)
+        chunk = bytes(view[at:at + chunk_bytes])
+        found = chunk.find(MARK)
         if found >= 0:
-            end = found + 4
-        yield view[at:end]
-        at = end
+            chunk = chunk[:found + 4]
+        yield chunk
+        at += len(chunk)
         if at >= len(view):
             return
 
@@ -72,8 +73,10 @@ def typed(pages: DataFrame, id_col: str = "page_id", url_col: str = "url", paylo
     rows = pages.select(F.col(id_col).alias("id"), F.col(url_col).cast("string").alias("url"), payload.alias("payload"),
                         F.octet_length(payload).cast("long").alias("n"), F.sha1(payload).alias("sha1"))
     # Only payloads that occur under several ids need a look-up; the counts combine before the shuffle.
-    owners = (rows.where(F.col("n") >= revisit_bytes).groupBy("sha1")
-              .agg(F.max("id").alias("owner"), F.min("id").alias("least")).where("owner <> least").select("sha1", "owner"))
+    # They are written, so their real size decides whether they are broadcast or the payloads shuffled.
+    owners = materialize(rows.where(F.col("n") >= revisit_bytes).groupBy("sha1")
+                         .agg(F.max("id").alias("owner"), F.min("id").alias("least")).where("owner <> least").select("sha1", "owner"),
+                         "payload_owners")
     joined = rows.join(owners, "sha1", "left")
     refers = F.when((F.col("n") >= revisit_bytes) & (F.col("id") != F.col("owner")), F.col("owner"))
     return joined.withColumn("refers_to", refers).select(
@@ -87,9 +90,10 @@ def to_records(rows: DataFrame, chunk_bytes: int = 1 << 18) -> DataFrame:
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         part, row, out, size = TaskContext.get().partitionId(), 0, [], 0
         for batch in batches:
+            payloads = batch.column("payload")
             for at in range(0, batch.num_rows, 64):
-                cols = (batch.slice(at, 64).column(i).to_pylist() for i in range(6))
-                for page, url, payload, n, sha1, refers in zip(*cols, strict=True):
+                cols = (batch.slice(at, 64).column(c).to_pylist() for c in ("id", "url", "n", "sha1", "refers_to"))
+                for i, (page, url, n, sha1, refers) in enumerate(zip(*cols, strict=True), at):
                     record, row = f"urn:page:{_quoted(page)}:{part}.{row}", row + 1
                     digest = base64.b32encode(bytes.fromhex(sha1)).decode()
                     date = ("WARC-Date", "2000-01-01T00:00:00Z")
@@ -99,12 +103,12 @@ def to_records(rows: DataFrame, chunk_bytes: int = 1 << 18) -> DataFrame:
                         out.append(_header([("WARC-Type", "revisit"), *about, ("WARC-Profile", PROFILE),
                                             ("WARC-Refers-To", f"<urn:page:{_quoted(refers)}>"), ("Content-Length", 0)]) + b"\r\n\r")
                         continue
-                    for number, chunk in enumerate(chunks(payload, chunk_bytes), 1):
+                    for number, chunk in enumerate(chunks(payloads[i].as_buffer(), chunk_bytes), 1):
                         own = [("WARC-Type", "response"), *about] if number == 1 else [
                             ("WARC-Type", "continuation"), ("WARC-Record-ID", f"<{record}#{number}>"), date,
                             ("WARC-Segment-Origin-ID", f"<{record}>")]
                         out.append(_header([*own, ("WARC-Segment-Number", number), ("Content-Length", len(chunk))])
-                                   + bytes(chunk) + b"\r\n\r")
+                                   + chunk + b"\r\n\r")
                         size += len(chunk)
                         if size > 1 << 23:
                             yield _values(out)
