@@ -37,6 +37,7 @@ import re
 import zlib
 from collections.abc import Iterator
 from fractions import Fraction
+from string import ascii_lowercase
 
 import numpy as np
 import pyarrow as pa
@@ -64,13 +65,22 @@ CELLS = 1 << 17
 PIECES = 50_000
 
 
+class Known(dict):
+    """Ids of words; a word that it does not hold has none, and is put down in ``missed``."""
+    missed: list[bytes] = []
+
+    def __missing__(self, word: bytes) -> None:
+        self.missed.append(word)
+
+
 class WordTokenizer:
     """Ids of texts, by way of their words, for tokenizers that drop white space and case,
     never join across white space or between letters and punctuation, and mark a word's last id.
 
     A word's ids are looked up, as bytes. A new word loses the punctuation around it, which has ids
-    of its own. What is left and all letters is encoded in one run with the others and cut
-    behind each id that ends a word; any other new word is encoded by itself."""
+    of its own. What is left and all a-z goes to the tokenizer's model as it is, if the
+    tokenizer does the same; other letters are encoded in one run and cut behind each id that ends
+    a word; any other new word is encoded by itself."""
 
     def __init__(self, spec: str):
         os.environ["TOKENIZERS_PARALLELISM"] = "false"
@@ -79,11 +89,20 @@ class WordTokenizer:
         normalizer = self.tokenizer.normalizer
         self.normalized = normalizer.normalize_str if normalizer is not None else str
         vocab = self.tokenizer.get_vocab(with_added_tokens=True)
-        suffix = json.loads(spec)["model"].get("end_of_word_suffix") or "\0"
+        parts = json.loads(spec)
+        suffix = parts["model"].get("end_of_word_suffix") or "\0"
         self.ends = np.zeros(max(vocab.values()) + 1, bool)
         self.ends[[i for t, i in vocab.items() if t.endswith(suffix)]] = True
         self.dtype = np.dtype("<u2" if len(self.ends) <= 1 << 16 else "<u4")
-        self.known: dict[bytes, bytes] = {}
+        self.known = Known()
+        self.model = self.tokenizer.model
+        self.direct = self._takes_letters([t["content"] for t in parts.get("added_tokens") or []])
+
+    def _takes_letters(self, added: list[str]) -> bool:
+        """Whether words of a-z reach the model unchanged: asked of the tokenizer."""
+        probes = [*ascii_lowercase, ascii_lowercase, ascii_lowercase[::-1], "the", "internationalisation", "qzxj" * 20]
+        return (not any(t.strip().isalpha() for t in added)
+                and all([t.id for t in self.model.tokenize(x)] == self.tokenizer.encode(x, add_special_tokens=False).ids for x in probes))
 
     def _only_letters(self, word: bytes) -> bool:
         """Whether the word is letters as the tokenizer sees it: normalised, some letters end in a
@@ -96,6 +115,19 @@ class WordTokenizer:
 
     def _letters(self, words: list[bytes]) -> dict[bytes, bytes]:
         """Ids of words that are letters only."""
+        if self.direct:
+            # Texts with special tokens keep their case.
+            plain, words = [w for w in words if w.isascii() and w.islower()], [w for w in words if not (w.isascii() and w.islower())]
+            flat, cuts = [], [0]
+            for w in plain:
+                flat += [t.id for t in self.model.tokenize(w.decode())]
+                cuts.append(len(flat) * self.dtype.itemsize)
+            raw = np.array(flat, self.dtype).tobytes()
+            return {**{w: raw[a:b] for w, a, b in zip(plain, cuts, cuts[1:], strict=False)}, **self._run_of_letters(words)}
+        return self._run_of_letters(words)
+
+    def _run_of_letters(self, words: list[bytes]) -> dict[bytes, bytes]:
+        """Ids of words that are letters only, from one run of the tokenizer."""
         if not words:
             return {}
         got = self.tokenizer.encode_batch_fast([b" ".join(words).decode()], add_special_tokens=False)[0].ids
@@ -123,7 +155,7 @@ class WordTokenizer:
         have = {**{x: known[x] for p in edged.values() for x in p if x in known}, **out, b"": b""}
         out.update({w: have[a] + have[b] + have[c] for w, (a, b, c) in edged.items()})
         if len(known) + len(out) > CACHE_WORDS:
-            self.known = {}
+            self.known = Known()
         self.known.update((w, x) for w, x in out.items() if len(w) <= CACHE_BYTES)
         return out
 
@@ -134,14 +166,19 @@ class WordTokenizer:
     def __call__(self, texts: list[bytes | None], end_id: int) -> Iterator[np.ndarray]:
         tail = np.array([end_id], self.dtype).tobytes()
         for at in range(0, len(texts), GROUP):
-            words = [self._words(t or b"") for t in texts[at:at + GROUP]]
-            ids = [list(map(self.known.get, w)) for w in words]
-            new = {w for own, got in zip(words, ids, strict=True) if None in got
-                   for w, x in zip(own, got, strict=True) if x is None}
-            learned = self._learn(list(new)) if new else {}
-            for own, got in zip(words, ids, strict=True):
-                if None in got:
-                    got = [learned[w] if x is None else x for w, x in zip(own, got, strict=True)]
+            self.known.missed = missed = []
+            ids = []
+            for t in texts[at:at + GROUP]:
+                before = len(missed)
+                got = list(map(self.known.__getitem__, self._words(t or b"")))
+                ids.append((got, len(missed) - before))
+            learned = self._learn(list(dict.fromkeys(missed))) if missed else {}
+            new = iter(missed)
+            for got, n in ids:
+                place = -1
+                for _ in range(n):
+                    place = got.index(None, place + 1)
+                    got[place] = learned[next(new)]
                 yield np.frombuffer(b"".join(got) + tail, self.dtype)
 
 

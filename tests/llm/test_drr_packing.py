@@ -143,6 +143,17 @@ def test_random_strings_equal_the_tokenizer():
     assert sum(x.tolist() != want for x, want in zip(got, encode(texts), strict=True)) == 0
 
 
+def test_words_of_letters_by_the_model_or_by_a_run():
+    """Case is kept in a text with special tokens; both ways give the tokenizer's ids."""
+    texts = ["The <|x ZYa QQ <|endoftext|> Word", "plain Words, (and) ''more'' " + "long" * 40, "Été ZYa"]
+    for direct in (True, False):
+        tokenizer = drr.WordTokenizer(word_tokenizer())
+        assert tokenizer.direct
+        tokenizer.direct = direct
+        assert [x.tolist() for x in tokenizer([t.encode() for t in texts], 1)] == encode(texts)
+    assert not drr.WordTokenizer(word_tokenizer())._takes_letters(["abc"])
+
+
 def test_target_proportions_hold_until_a_queue_is_dry(spark):
     rows = spark.range(400).select(F.col("id").alias("doc_id"), F.repeat(F.lit("cat "), 50).alias("text"),
                                    F.when(F.col("id") % 4 == 0, "a").otherwise("b").alias("source"))
