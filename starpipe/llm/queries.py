@@ -102,11 +102,30 @@ QUERIES = {f.__name__: f for f in (
     op7_deficit_round_robin, op8_pigeonhole_blocks, op9_interval_tree, op10_ownership_frequency,
     op11_position_crc, op12_count_streams, op13_bbit_minhash)}
 
-# DuckDB SQL where it can express a query. It has no crc32 or xxhash64, no tokenizer, and no
-# positions of regular-expression matches; the tests hold the others against brute force.
+# DuckDB SQL where it can express a query. It has no crc32 or xxhash64 and no tokenizer; the tests
+# hold the others against brute force.
 _ASCII_LOWER = "translate({}, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz')"
 _FOLDED_WORDS = f"regexp_extract_all({_ASCII_LOWER.format("coalesce(text, '')")}, '[^\\x00-\\x2F\\x3A-\\x60\\x7B-\\x7F]+')"
 
+#: Kinds of op10 for RE2: no look-behind, so group 1 is what stands before a match and belongs to the text
+#: between matches; group 2 is the rest of the match, group 3 the value.
+_SECRETS = {
+    "assign": (r"""()(([pP][aA][sS][sS][wW][oO][rR][dD]|[pP][aA][sS][sS][wW][dD]|[sS][eE][cC][rR][eE][tT]|[tT][oO][kK][eE][nN]|"""
+               r"""[aA][pP][iI]_?[kK][eE][yY])["'']?\x20*[:=]\x20*["'']?([A-Za-z0-9+/_.=-]+))""", 4),
+    "access": (r"()((AKIA[A-Z0-9]+))", 3),
+    "hex": (r"()(([0-9a-f]{32,}))", 3),
+    "vcs": (r"()((gh[pousr]_[A-Za-z0-9]{36,}))", 3),
+    "chat": (r"()((xox[abprs]-[A-Za-z0-9-]{10,}))", 3),
+    "cloud": (r"()((AIza[A-Za-z0-9_-]{35}))", 3),
+    "jwt": (r"(^|[^A-Za-z0-9_-])((eyJ[A-Za-z0-9_-]{8,}\.[A-Za-z0-9_-]{8,}\.[A-Za-z0-9_-]{8,}))", 3),
+    "login": (r"()(://[^/\x20\x09-\x0D:@]{1,64}:([^/\x20\x09-\x0D:@]{3,64})@)", 3),
+    "bearer": (r"()([Bb]earer\x20+([A-Za-z0-9+/_.=-]{16,}))", 3),
+}
+_SECRET_MATCHES = " UNION ALL ".join(
+    f"SELECT doc_id, source, {number} AS kind, '{name}' AS name, string_split_regex(text, '{pattern}') AS gaps, "
+    + ", ".join(f"regexp_extract_all(text, '{pattern}', {group}) AS {alias}" for group, alias in ((1, "leads"), (2, "found"), (value, "vals")))
+    + f" FROM t WHERE regexp_matches(text, '{pattern}')" for number, (name, (pattern, value)) in enumerate(_SECRETS.items()))
+
 ORACLE_SQL: dict[str, str] = {
     "op3_rule_cascade": r"""
 WITH t AS (SELECT doc_id, coalesce(text, '') AS text, regexp_extract_all(coalesce(text, ''), '[^\x20\x09-\x0D]+') AS w FROM documents),
@@ -155,4 +174,25 @@ SELECT page_id, strlen(html) AS payload_bytes,
        CASE WHEN owner <> page_id THEN 'revisit' ELSE 'response' END AS record_type,
        CASE WHEN owner <> page_id THEN owner END AS refers_to
 FROM o""",
+    "op10_ownership_frequency": f"""
+WITH t AS (SELECT doc_id, source, coalesce(text, '') AS text FROM documents),
+m AS ({_SECRET_MATCHES}),
+e AS (SELECT doc_id, source, kind, name, i, found[i] AS hit, vals[i] AS val, length(gaps[i]) + length(leads[i]) AS gap
+      FROM (SELECT *, unnest(range(1, len(found) + 1)) AS i FROM m) x),
+placed AS (SELECT *, sum(gap + length(hit)) OVER (PARTITION BY doc_id, kind ORDER BY i) AS stop FROM e),
+c AS (SELECT doc_id, source, kind, name, stop - length(hit) AS start, stop, val FROM placed
+      WHERE length(val) >= CASE name WHEN 'assign' THEN 8 WHEN 'access' THEN 16 WHEN 'hex' THEN 32 ELSE 1 END),
+o AS (SELECT val, count(DISTINCT source) <= 3 AS live FROM c GROUP BY val),
+s AS (SELECT c.*, live, kind < 3 AS base, concat_ws(':', name, CAST(start AS VARCHAR), CAST(stop AS VARCHAR)) AS entry
+      FROM c JOIN o ON c.val = o.val),
+g AS (SELECT doc_id, count(*) FILTER (WHERE name = 'assign') AS n_assign, count(*) FILTER (WHERE name = 'access') AS n_access,
+             count(*) FILTER (WHERE name = 'hex') AS n_hex,
+             string_agg(entry, ',' ORDER BY start, kind, stop) FILTER (WHERE base) AS base_spans,
+             string_agg(entry, ',' ORDER BY start, kind, stop) FILTER (WHERE base OR live) AS spans,
+             count(DISTINCT val) FILTER (WHERE live) AS n_live, count(DISTINCT val) FILTER (WHERE NOT live) AS n_example
+      FROM s GROUP BY doc_id)
+SELECT t.doc_id, coalesce(n_assign, 0) AS n_assign, coalesce(n_access, 0) AS n_access, coalesce(n_hex, 0) AS n_hex,
+       sha256(coalesce(base_spans, '')) AS base_sha256, coalesce(spans, '') AS spans,
+       coalesce(n_live, 0) AS n_live, coalesce(n_example, 0) AS n_example
+FROM t LEFT JOIN g ON t.doc_id = g.doc_id""",
 }

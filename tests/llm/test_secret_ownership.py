@@ -6,7 +6,7 @@ from pyspark.sql import functions as F
 
 import corpus_pipeline
 from starpipe.llm import secret_ownership as so
-from starpipe.llm.queries import op10_ownership_frequency
+from starpipe.llm.queries import ORACLE_SQL, op10_ownership_frequency
 from tests.llm.conftest import SF
 
 ASSIGN = re.compile(r"""(password|passwd|secret|token|api_?key)["']?\x20*[:=]\x20*["']?([A-Za-z0-9+/_.=-]+)""", re.I | re.A)
@@ -114,3 +114,23 @@ def test_one_owner_is_live_however_many_documents_hold_it(spark, tmp_path):
     assert got == {(True, 1, 0, f"vcs:4:{4 + len(live)}"), (False, 0, 1, "")}
     kept = corpus_pipeline.secret_scan(spark, docs, str(tmp_path)).collect()
     assert {r.doc_id for r in kept} == set(range(3000, 3010))
+
+
+def test_sql_on_every_kind(make_docs):
+    part = "eyJ" + "Ab3_-xyz9"
+    jwt = f"{part}.{part}.{part}"
+    texts = [*TEXTS, jwt, f"é {jwt}.{jwt} {jwt}", f"x{jwt} -{jwt} .{jwt}", f"{part}.{part} {jwt}", "ghp_" + "a1" * 20, "xoxb-1234567890-ab é xoxb-short",
+             "AIza" + "Q_" * 18, "http://user:pass1@host http://a\x0bb:cde@x ://u:pé1@h", "Bearer  abcdefghijklmnop+/ bearer short", jwt]
+    rows = [(i, t, "en", f"s{i % 3}") for i, t in enumerate(texts)]
+    rows += [(900 + i, f"seen ghp_{'Z9' * 20} twice ghp_{'Z9' * 20}", "en", f"o{i}" if i else None) for i in range(5)]
+    import duckdb
+    import pyarrow as pa
+    con = duckdb.connect()
+    con.register("documents", pa.table({"doc_id": [r[0] for r in rows], "text": pa.array([r[1] for r in rows], pa.string()),
+                                        "source": pa.array([r[3] for r in rows], pa.string())}))
+    rel = con.sql(ORACLE_SQL["op10_ownership_frequency"])
+    want = sorted(tuple(r) for r in rel.select("doc_id, n_assign, n_access, n_hex, spans, n_live, n_example").fetchall())
+    got = sorted((r["id"], r["n_assign"], r["n_access"], r["n_hex"], r["spans"], r["n_live"], r["n_example"])
+                 for r in so.scan(make_docs(rows)).collect())
+    assert got == want
+    assert {e.split(":")[0] for r in got for e in r[4].split(",") if e} == {k.name for k in so.KINDS}
