@@ -93,3 +93,39 @@ def test_kept_bytes(make_docs):
     text = "x" + "0123456789" * 5
     rows = repeat_tree.remove_repeats(make_docs([(1, "left " + text), (2, text + " right")]), length=20, gram=8, with_kept=True)
     assert {r["id"]: bytes(r["kept"]) for r in rows.collect()} == {1: b"left ", 2: b" right"}
+
+
+def brute_groups(rows, length, gram):
+    """{(n_bytes, its occurrences as (id, text, start))} for each string of ``length`` bytes that repeats
+    before different bytes, extended to the left until its occurrences differ or the anchor's context ends."""
+    places = {}
+    for number, (_, t) in enumerate(rows):
+        d = (t or "").encode()
+        for i in range(len(d) - length + 1):
+            places.setdefault(d[i:i + length], []).append((number, i))
+    data, out = [(t or "").encode() for _, t in rows], []
+    for w, at in places.items():
+        following = [data[k][i + length:i + length + 1] for k, i in at]
+        if len(at) < 2 or (len(set(following)) == 1 and following[0]):
+            continue
+        most, more = length - gram - int(repeat_tree.anchors_of(w, length, gram)[0][0]), 0
+        while more < most and all(i > more for _, i in at) and len({data[k][i - more - 1] for k, i in at}) == 1:
+            more += 1
+        out.append((length + more, sorted((str(rows[k][0]), i - more) for k, i in at)))
+    return sorted(out)
+
+
+@pytest.mark.parametrize(("seed", "crowd"), [(1, 2000), (2, 0), (3, 5)])
+def test_groups_of_maximal_repeats(make_docs, seed, crowd):
+    rows = _rows(seed)
+    found = {}
+    for r in repeat_tree.repeat_groups(make_docs(rows), length=40, gram=8, crowd=crowd).collect():
+        found.setdefault(r["repeat"], []).append(r)
+    assert all({x["n_occurrences"] for x in of} == {len(of)} and len({x["n_bytes"] for x in of}) == 1 for of in found.values())
+    got_groups = sorted((of[0]["n_bytes"], sorted((str(x["id"]), x["start"]) for x in of)) for of in found.values())
+    assert got_groups == brute_groups(rows, 40, 8)
+    assert max(len(x[1]) for x in got_groups) > 25
+
+
+def test_groups_of_an_empty_table(make_docs):
+    assert repeat_tree.repeat_groups(make_docs([(1, "a")]).limit(0)).collect() == []
