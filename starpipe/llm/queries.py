@@ -25,7 +25,7 @@ def word_tokenizer() -> str:
 def op1_deleted_interpolation(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = table(spark, sf_dir, "documents")
     held_out = doc_fold("doc_id", 5) == 1
-    rows = lm_interpolation.score(docs, ~held_out).withColumnRenamed("id", "doc_id")
+    rows = lm_interpolation.score(docs, ~held_out, order=3).withColumnRenamed("id", "doc_id")
     return rows.select("doc_id", held_out.alias("held_out"), "n_tokens", "n_known", "train_tokens", "base_score", "score")
 
 
