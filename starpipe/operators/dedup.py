@@ -41,6 +41,21 @@ def latest_per_key(df: DataFrame, keys: Sequence[str],
               .drop("_rn"))
 
 
+def latest_in_order(df: DataFrame, keys: Sequence[str], order: Sequence[OrderItem] = LATEST_ORDER) -> DataFrame:
+    """``latest_per_key`` in the order of ``keys``, plus ``_part`` and ``_row``: to be written, then numbered.
+
+    The versions are range-partitioned by the business key, which is all that the
+    window asks for: rows that get a key (``keys.number_layout``) are shuffled once,
+    not once for their latest version and again for their place. All versions of one
+    key meet in one task, which reads them as a sorted stream; a key with a large
+    share of all rows is better served by ``latest_per_key`` and ``add_key``.
+    """
+    from starpipe.operators.keys import with_places
+
+    cols = sort_columns(keys)
+    return with_places(latest_per_key(df.repartitionByRange(*cols), keys, order).sortWithinPartitions(*cols))
+
+
 def dedup(df: DataFrame, keys: Sequence[str], order: Sequence[OrderItem]) -> DataFrame:
     """``dropDuplicates(keys)`` with a declared winner instead of an arbitrary one."""
     return latest_per_key(df, keys, order)

@@ -32,6 +32,15 @@ from starpipe.operators.ordering import OrderItem, sort_columns
 from starpipe.sources.io import materialize
 
 _PLACE_BITS = 33   # monotonically_increasing_id: partition number above, place below
+PLACES = ("_part", "_row")
+
+
+def with_places(df: DataFrame) -> DataFrame:
+    """``df`` plus ``_part`` and ``_row``: its partition's number and the place in the partition, from 0."""
+    at = F.col("_at")
+    return (df.select(*df.columns, F.monotonically_increasing_id().alias("_at"))
+            .select(*df.columns, F.shiftright(at, _PLACE_BITS).alias("_part"),
+                    at.bitwiseAND(F.lit((1 << _PLACE_BITS) - 1)).alias("_row")))
 
 
 def range_layout(df: DataFrame, order: Sequence[OrderItem], *, unique: bool = False,
@@ -48,11 +57,7 @@ def range_layout(df: DataFrame, order: Sequence[OrderItem], *, unique: bool = Fa
     if not unique:
         cols.append(F.xxhash64(*[F.col(c) for c in df.columns]).asc())
     spread = df.repartitionByRange(*cols) if partitions is None else df.repartitionByRange(partitions, *cols)
-    at = F.col("_at")
-    return materialize(
-        spread.sortWithinPartitions(*cols).select(*df.columns, F.monotonically_increasing_id().alias("_at"))
-        .select(*df.columns, F.shiftright(at, _PLACE_BITS).alias("_part"),
-                at.bitwiseAND(F.lit((1 << _PLACE_BITS) - 1)).alias("_row")), "ranged")
+    return materialize(with_places(spread.sortWithinPartitions(*cols)), "ranged")
 
 
 def add_key(df: DataFrame, key_name: str, order: Sequence[OrderItem], *,
@@ -63,13 +68,18 @@ def add_key(df: DataFrame, key_name: str, order: Sequence[OrderItem], *,
     cleaning) and skips the whole-row hash tie-breaker. Writes the rows and
     the partition offsets when called; the result reads them lazily.
     """
-    rows = range_layout(df, order, unique=unique, partitions=partitions)
+    return number_layout(range_layout(df, order, unique=unique, partitions=partitions), key_name)
+
+
+def number_layout(rows: DataFrame, key_name: str) -> DataFrame:
+    """The second half of ``add_key``, for rows that are already written in the key's order
+    with ``_part`` and ``_row`` (``range_layout``, ``dedup.latest_in_order``)."""
     earlier = Window.orderBy("_part").rowsBetween(Window.unboundedPreceding, -1)   # one row per part
     offsets = materialize(
         rows.groupBy("_part").agg(F.count(F.lit(1)).alias("_n"))
         .select("_part", F.coalesce(F.sum("_n").over(earlier), F.lit(0)).alias("_before")), "offsets")
     return rows.join(offsets, "_part").select(
-        *df.columns, (F.col("_before") + F.col("_row") + 1).cast("long").alias(key_name))
+        *[c for c in rows.columns if c not in PLACES], (F.col("_before") + F.col("_row") + 1).cast("long").alias(key_name))
 
 
 def add_key_single_partition(df: DataFrame, key_name: str, order: Sequence[OrderItem]) -> DataFrame:

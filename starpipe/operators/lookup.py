@@ -9,7 +9,7 @@ with sort-merge (and AQE skew splitting of hot keys) beyond it.
 
 from __future__ import annotations
 
-from collections.abc import Sequence
+from collections.abc import Callable, Sequence
 
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
@@ -93,6 +93,25 @@ def resolve_parent(child: DataFrame, parent: DataFrame, on: str | Sequence[str],
     return _left_join_spread_nulls(child.drop(*replaced), right, keys, "left")
 
 
+def resolve_distinct(child: DataFrame, key: str, with_: str, resolve: Callable[[DataFrame], DataFrame]) -> DataFrame:
+    """Left join ``child`` to what ``resolve`` adds to its distinct pairs of ``key`` and ``with_``.
+
+    For lookups one after another, where the second needs what the first one
+    found: they run on the pairs, two columns wide, and the child's whole rows are
+    shuffled once, not once a lookup. ``resolve`` must keep both columns. Rows with a
+    NULL ``key`` match nothing and are spread, as in ``lookup_key``; a NULL in
+    ``with_`` is a value like any other. A found column replaces a child's of the same name.
+    """
+    found = resolve(child.select(key, with_).where(F.col(key).isNotNull()).distinct())
+    child = child.drop(*[c for c in found.columns if c not in (key, with_)])
+    found = found.withColumnsRenamed({key: "_key", with_: "_with"})
+    salt = F.when(F.col(key).isNull(), F.pmod(F.xxhash64(*[F.col(c) for c in child.columns]), F.lit(_salt_width(child))) + 1)
+    salted = child.withColumn(_SALT, salt.otherwise(F.lit(0)).cast("long"))
+    right = found.withColumn("_zero", F.pmod(F.xxhash64("_key"), F.lit(1)).cast("long"))
+    met = ((F.col(key) == F.col("_key")) & F.col(with_).eqNullSafe(F.col("_with")) & (F.col(_SALT) == F.col("_zero")))
+    return salted.join(right, met, "left").drop(_SALT, "_key", "_with", "_zero")
+
+
 def resolve_parent_colocated(child: DataFrame, parent: DataFrame, on: str | Sequence[str], cols: Sequence[str]) -> DataFrame:
     """``resolve_parent`` for two tables saved in equal buckets of ``on``: a left join without an exchange.
 

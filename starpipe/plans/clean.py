@@ -7,7 +7,7 @@ from pyspark.sql import DataFrame
 from starpipe import contracts as C
 from starpipe.functions.scalar import DATE_LOWER_BOUND, valid_date
 from starpipe.operators.conform import conform
-from starpipe.operators.dedup import LATEST_ORDER, latest_per_key
+from starpipe.operators.dedup import LATEST_ORDER, latest_in_order, latest_per_key
 
 
 def clean_table(stg: DataFrame, contract: C.Contract, order=LATEST_ORDER) -> DataFrame:
@@ -37,6 +37,11 @@ def clean_enrollment(stg: DataFrame) -> DataFrame:
     return clean_table(stg, C.ENROLLMENT)
 
 
+def clean_in_key_order(stg: DataFrame, contract: C.Contract, order=LATEST_ORDER) -> DataFrame:
+    """``clean_table`` in the order of the business key, with each row's place (``latest_in_order``)."""
+    return latest_in_order(conform(stg, contract), contract.business_key, order)
+
+
 def clean_attendance(stg: DataFrame) -> DataFrame:
     return clean_table(stg, C.ATTENDANCE)
 

@@ -157,9 +157,11 @@ def stg_attendance(spark: SparkSession, sf_dir: str) -> DataFrame:
     o = base(spark, sf_dir, "orders").select("o_orderkey", "o_custkey")
     c = base(spark, sf_dir, "customer").select("c_custkey", "c_nationkey")
     nat = base(spark, sf_dir, "nation").select("n_nationkey")
-    j = (li.join(o, li.l_orderkey == o.o_orderkey, "inner")
-           .join(c, F.col("o_custkey") == c.c_custkey, "inner")
-           .join(nat, F.col("c_nationkey") == nat.n_nationkey, "inner"))
+    # Orders meet their customers first: the lines, the most rows by far, are shuffled once.
+    placed = (o.join(c, F.col("o_custkey") == c.c_custkey, "inner")
+               .join(nat, F.col("c_nationkey") == nat.n_nationkey, "inner")
+               .select("o_orderkey", "o_custkey", "n_nationkey"))
+    j = li.join(placed, F.col("l_orderkey") == F.col("o_orderkey"), "inner")
     k = F.col("l_partkey")
     ship = F.col("l_shipdate")
     start = ship + F.make_dt_interval(F.lit(0), F.lit(8))

@@ -4,7 +4,7 @@ from pyspark.sql import functions as F
 
 from starpipe import contracts as C
 from starpipe.operators.conform import apply_mapping, conform
-from starpipe.operators.dedup import latest_per_key, version_history
+from starpipe.operators.dedup import latest_in_order, latest_per_key, version_history
 from starpipe.plans.clean import clean_headcount
 
 STG_BU = ("Id string, Code string, Name string, EnterpriseId long, TypeId long, "
@@ -89,6 +89,21 @@ def test_latest_per_key_is_idempotent_and_limits_before_the_shuffle(spark):
     assert "Partial" in plan and "WindowGroupLimit" in plan
 
 
+def test_latest_in_order_is_latest_per_key_with_places(spark):
+    from starpipe.operators.keys import add_key, number_layout
+    from starpipe.sources.io import materialize
+
+    rows = [(i * 7919 % 300, i % 3 == 0, _t("2020-01-01") + dt.timedelta(days=i % 4), _t("2020-01-01"), str(i)) for i in range(3000)]
+    df = spark.createDataFrame(rows, LATEST_ROWS).repartition(5)
+    laid = latest_in_order(df, ["k"])
+    plan = laid._jdf.queryExecution().executedPlan().toString()
+    assert "Exchange rangepartitioning(k" in plan and "Exchange hashpartitioning" not in plan
+    got = number_layout(materialize(laid, "laid"), "Key")
+    want = add_key(latest_per_key(df, ["k"]), "Key", ["k"], unique=True)
+    assert got.columns == want.columns and got.count() == 300
+    assert got.exceptAll(want).count() == 0 and want.exceptAll(got).count() == 0
+
+
 def test_version_history_with_a_hot_key(spark):
     from pyspark.sql import Window
 

@@ -91,6 +91,29 @@ def test_null_keys_are_spread_in_sort_merge_joins(spark):
         spark.conf.unset("spark.sql.autoBroadcastJoinThreshold")
 
 
+def test_resolve_distinct_equals_lookups_one_after_another(spark):
+    from starpipe.operators.lookup import resolve_distinct, resolve_parent, star_lookup
+
+    fact = spark.range(4000).select(
+        "id", F.when(F.col("id") % 5 != 0, F.col("id") % 60).alias("e"), F.when(F.col("id") % 7 != 0, F.col("id") % 3).alias("a"),
+        F.lit("old").alias("bu"))
+    enr = spark.range(50).select(F.col("id").alias("e"), F.when(F.col("id") % 4 != 0, F.col("id") % 2).alias("bu"))
+    att = spark.createDataFrame([(0, 0, 11), (0, 1, 12), (1, 2, 13), (1, 2, 14)], "bu long, a long, k int")   # (1, 2) fans out
+
+    def chain(rows):
+        return star_lookup(resolve_parent(rows, enr, "e", ["bu"]), [(att, ["bu", "a"], "k")])
+
+    want = chain(fact).select("id", "e", "a", "bu", "k")
+    for limit in ("-1", "10485760"):
+        spark.conf.set("spark.sql.autoBroadcastJoinThreshold", limit)
+        try:
+            got = resolve_distinct(fact, "e", "a", chain).fillna({"k": 0}).select("id", "e", "a", "bu", "k")
+            assert got.count() == want.count() > 4000
+            assert got.exceptAll(want).count() == 0 and want.exceptAll(got).count() == 0
+        finally:
+            spark.conf.unset("spark.sql.autoBroadcastJoinThreshold")
+
+
 def test_with_unknown_member(spark):
     from starpipe.operators.lookup import with_unknown_member
 

@@ -60,3 +60,56 @@ def test_colocated_fact_meets_its_enrolments_without_an_exchange(spark):
     assert "Exchange hashpartitioning(EnrollmentId" in plain
     assert "Exchange hashpartitioning(EnrollmentId" not in plan and re.search(r"SortMergeJoin(\(skew=true\))? \[EnrollmentId", plan)
     assert "Bucketed: true" in plan or "bucket" in plan.lower()
+
+
+def _wide_exchanges(df, column: str) -> int:
+    """Exchanges in the plan that carry ``column``."""
+    df.write.format("noop").mode("overwrite").save()
+    text = df._jdf.queryExecution().explainString(df.sparkSession._jvm.org.apache.spark.sql.execution.ExplainMode.fromString("formatted"))
+    final = text.split("== Initial Plan ==")[0]
+    details = re.findall(r"\(\d+\) Exchange\nInput \[\d+\]: \[([^\n]*)\]", final)
+    return len({d for d in details if re.search(rf"\b{column}#", d)})
+
+
+def test_attendance_rows_meet_their_enrolment_and_attendee_in_one_shuffle(spark):
+    """Not one for the enrolment and another one for the attendee of its unit."""
+    from starpipe.plans.registry import QUERIES
+    from tests.conftest import SF_SMALL
+
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    spark.conf.set("spark.sql.adaptive.enabled", "false")
+    try:   # the other three are for offsets, units and organisations, which are broadcast unless they are large
+        assert _wide_exchanges(QUERIES["fact_attendance"](spark, SF_SMALL), "TimeEnd") == 4
+    finally:
+        spark.conf.unset("spark.sql.autoBroadcastJoinThreshold")
+        spark.conf.set("spark.sql.adaptive.enabled", "true")
+
+
+def test_attendances_are_shuffled_once_for_their_latest_version_and_their_place(spark, monkeypatch):
+    """The cleaned table is written in key order: the key's layout is not a second shuffle and write of the rows."""
+    from starpipe.operators import keys
+    from starpipe.plans.registry import Warehouse
+    from tests.conftest import SF_SMALL
+
+    laid = []
+    ranged = keys.range_layout
+    monkeypatch.setattr(keys, "range_layout", lambda df, order, **how: (laid.append(list(order)), ranged(df, order, **how))[1])
+    w = Warehouse(spark, SF_SMALL)
+    fact = w.fact_att()
+    assert ["AttendanceId"] not in laid and ["BusinessUnitId", "EnrollmentId"] not in laid
+    ids = [r[0] for r in fact.orderBy("AttendanceFactKey").select("AttendanceId").collect()]
+    assert ids == sorted(ids) and fact.agg(F.max("AttendanceFactKey")).first()[0] == len(ids) == fact.select("AttendanceId").distinct().count()
+
+
+def test_lines_are_shuffled_once_to_become_attendances(spark):
+    """Orders meet customers before the lines meet the orders."""
+    from starpipe.sources.fixtures import stg_attendance
+    from tests.conftest import SF_SMALL
+
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    spark.conf.set("spark.sql.adaptive.enabled", "false")
+    try:
+        assert _wide_exchanges(stg_attendance(spark, SF_SMALL), "l_shipdate") == 1
+    finally:
+        spark.conf.unset("spark.sql.autoBroadcastJoinThreshold")
+        spark.conf.set("spark.sql.adaptive.enabled", "true")
