@@ -19,8 +19,11 @@ pairs first:
 2. Every other member of a bucket is a candidate with the bucket's first entry, the one with
    the smallest share of own shingles. Confirmed links give components.
 3. Only in buckets that still hold several components, members of different
-   components are candidates of each other. A bucket of more than
-   ``bucket_cap`` entries is first cut by each second bucket that its members share.
+   components are candidates of each other. The members of buckets of more than
+   ``bucket_cap`` entries are not paired by bucket but by their rarest shingles: with all
+   shingles in one order, rarest first, two sets of the threshold's similarity have a common one
+   among the first few of both, at places that leave enough behind them (``prefix_pairs``). That
+   is exact, and copies that are edited too much to be links meet only where edits are the same.
 
 Confirmation streams each candidate's set past the set that it is compared
 with, so a task holds two sets. An entry with many candidates is dealt over
@@ -209,6 +212,35 @@ def confirm(pairs: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
             .mapInArrow(run, "a long, b long"))
 
 
+def prefix_pairs(entries: DataFrame, sets: DataFrame, percent: int, near: Column) -> DataFrame:
+    """(a, b), perhaps repeated: every pair of ``entries(row, label, n, own, sig)`` with different labels
+    whose sets can have ``100 * intersection >= percent * union`` and that is ``near``.
+
+    With a not larger than b, the overlap must reach ``percent / (100 + percent)`` of both sizes. If the first common
+    shingle is at place i of a and j of b, the overlap is at most what follows. So i lies in the first ``index``
+    places of a, which has no larger partner for less, and j in the first ``probe`` places of b."""
+    tokens = entries.select("row").join(sets, "row").select("row", F.explode("set").alias("h"))
+    shared = tokens.groupBy("h").agg(F.count(F.lit(1)).alias("c")).where("c > 1")
+    order = tokens.join(shared, "h").groupBy("row").agg(F.sort_array(F.collect_list(F.struct("c", "h"))).alias("order"))
+    # Shingles of one set alone come first and meet nothing: only their number counts.
+    single = F.col("n") - F.size("order")
+    probe = F.col("n") - F.ceil(percent * F.col("n") / 100) + 1
+    index = F.col("n") - F.ceil(2 * percent * F.col("n") / (100 + percent)) + 1
+    placed = materialize(entries.join(order, "row").withColumns({"single": single.cast("int"), "index": index, "reach": (probe - single).cast("int")})
+                         .where("reach > 0").select("*", F.posexplode(F.expr("slice(order, 1, reach)")).alias("at", "x"))
+                         .select("row", "label", "n", "own", "sig", "index", (F.col("single") + F.col("at")).alias("at"), F.col("x.h").alias("h")), "prefixes")
+
+    def side(df: DataFrame, s: str) -> DataFrame:
+        return df.select("h", F.col("row").alias(s), *[F.col(c).alias(f"{c}_{s}") for c in ("label", "n", "own", "sig", "at")])
+
+    left = F.least(F.col("n_a") - F.col("at_a"), F.col("n_b") - F.col("at_b"))
+    ordered = (F.col("n_a") < F.col("n_b")) | ((F.col("n_a") == F.col("n_b")) & (F.col("a") < F.col("b")))
+    enough = (100 * F.col("n_a") >= percent * F.col("n_b")) & ((100 + percent) * left >= percent * (F.col("n_a") + F.col("n_b")))
+    met = side(placed.where("at < index"), "a").join(side(placed, "b"), "h").where(
+        ordered & (F.col("label_a") != F.col("label_b")) & enough & near)
+    return met.select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b"))
+
+
 def links(entries: DataFrame, texts: DataFrame, shingle_words: int, percent: int, bands: int, rows: int, bucket_cap: int) -> DataFrame:
     """(a, b): confirmed links between entries ``entries(row, keys, sig)`` whose components are those of all links."""
     minima_n = bands * rows
@@ -239,25 +271,17 @@ def links(entries: DataFrame, texts: DataFrame, shingle_words: int, percent: int
     of_row = shared.groupBy("row").agg(F.sort_array(F.collect_list("key")).alias("keys"))   # at most ``bands`` a row
     open_ = materialize(named.join(mixed, "key").join(able, "row").join(of_row, "row"), "open_buckets")
 
-    def across(df: DataFrame, *key: str) -> DataFrame:
-        """Pairs of one bucket with different labels that can be links, tested in the join, each in
-        the first bucket (or two) that it shares."""
-        x, y = (df.select(*key, F.col("row").alias(s), F.col("label").alias(f"label_{s}"),
-                          *[F.col(c).alias(f"{c}_{s}") for c in ("n", "own", "sig", "keys")]) for s in "ab")
-        common = F.array_intersect("keys_a", "keys_b")
-        first = F.slice(common, 1, len(key)) == F.array(*key)
-        return (x.join(y, list(key)).where((F.col("a") < F.col("b")) & (F.col("label_a") != F.col("label_b")) & near & first)
-                .select("a", "b"))
-
-    light = across(open_.where(F.col("m") <= bucket_cap), "key")
-    crowded = open_.where(F.col("m") > bucket_cap)
-    second = crowded.join(shared.select("row", F.col("key").alias("other")), "row").where("other > key")
-    kept = (second.groupBy("key", "other").agg(F.min("label").alias("lo"), F.max("label").alias("hi"))
-            .where("lo <> hi").select("key", "other"))
-    dense = across(second.join(kept, ["key", "other"]), "key", "other")
+    # Pairs of one bucket with different labels that can be links, tested in the join, each in the first bucket that it shares.
+    x, y = (open_.where(F.col("m") <= bucket_cap).select("key", F.col("row").alias(s), F.col("label").alias(f"label_{s}"),
+                                                         *[F.col(c).alias(f"{c}_{s}") for c in ("n", "own", "sig", "keys")]) for s in "ab")
+    first = F.get(F.array_intersect("keys_a", "keys_b"), F.lit(0)) == F.col("key")
+    light = (x.join(y, "key").where((F.col("a") < F.col("b")) & (F.col("label_a") != F.col("label_b")) & near & first)
+             .select("a", "b"))
+    crowded = open_.where(F.col("m") > bucket_cap).groupBy("row").agg(*[F.first(c).alias(c) for c in ("label", "n", "own", "sig")])
+    dense = prefix_pairs(crowded, sets, percent, near)
     # A pair that the stars tested is known, whether it is a link or not.
     known = tested.select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b"))
-    rest = light.unionByName(dense).join(known, ["a", "b"], "left_anti")
+    rest = light.unionByName(dense).distinct().join(known, ["a", "b"], "left_anti")
     return found.unionByName(confirm(rest, sets, percent))
 
 

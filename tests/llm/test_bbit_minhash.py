@@ -81,6 +81,43 @@ def test_families_and_chains_equal_brute_force(spark, make_docs, cap):
     assert got(M.near_duplicates(make_docs(rows), bucket_cap=cap, shingle_words=4)) == brute(rows, 4)
 
 
+def test_a_large_family_that_is_edited_too_much_makes_few_candidates(spark, make_docs, monkeypatch):
+    """Members of crowded buckets meet by rare shingles, not all with all."""
+    rng = random.Random(5)
+    base = [f"w{i}" for i in range(60)]
+    rows = []
+    for d in range(260):
+        words = list(base)
+        for at in rng.sample(range(0, 60, 4), 3 if d % 10 else 1):
+            words[at] = f"e{rng.randrange(40)}"
+        rows.append((d, " ".join(words)))
+    tested = []
+    confirm = M.confirm
+    monkeypatch.setattr(M, "confirm", lambda pairs, *a: (tested.append(pairs.distinct().count()), confirm(pairs, *a))[1])
+    assert got(M.near_duplicates(make_docs(rows), bucket_cap=16, shingle_words=4)) == brute(rows, 4)
+    assert len(tested) == 2 and tested[1] < 5 * len(rows), tested
+
+
+@pytest.mark.parametrize("percent", [50, 80, 90])
+def test_prefix_pairs_hold_every_link(spark, percent):
+    rng = random.Random(percent)
+    sets = {0: set(range(5)), 1: set(range(5)), 2: {0}}
+    for r in range(3, 120):
+        other = set(sets[rng.randrange(r)])
+        for _ in range(rng.randrange(4)):
+            other.add(rng.randrange(200))
+        if len(other) > 1 and rng.random() < 0.5:
+            other.discard(rng.choice(sorted(other)))
+        sets[r] = other
+    frame = spark.createDataFrame([(r, sorted(s)) for r, s in sets.items()], "row long, set array<long>")
+    entries = frame.select("row", F.col("row").alias("label"), F.size("set").cast("long").alias("n"),
+                           F.lit(0).cast("long").alias("own"), F.array(F.lit(0)).alias("sig"))
+    pairs = {(r["a"], r["b"]) for r in M.prefix_pairs(entries, frame, percent, F.lit(True)).collect()}
+    links = {(a, b) for a in sets for b in sets if a < b
+             and 100 * len(sets[a] & sets[b]) >= percent * len(sets[a] | sets[b])}
+    assert links and links <= pairs and len(pairs) < len(sets) * (len(sets) - 1) // 2
+
+
 def test_a_hot_entry_is_dealt_over_groups(spark, make_docs, monkeypatch):
     monkeypatch.setattr(M, "PER_GROUP", 4)
     rows = list(enumerate(near_family(random.Random(2), 200, 50, 2)))
