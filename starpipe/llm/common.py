@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 from collections.abc import Callable, Iterator
+from contextlib import contextmanager
 
 import pyarrow as pa
 from pyspark import cloudpickle
@@ -37,6 +38,19 @@ def shared(spark: SparkSession, value) -> Callable[[], object]:
     return lambda: cloudpickle.loads(held.value)
 
 
+@contextmanager
+def arrow_rows(spark: SparkSession, rows: int) -> Iterator[None]:
+    """Jobs run inside hand at most ``rows`` rows at a time to Python, so what a task holds outside
+    of the heap does not follow the size of its partition."""
+    name = "spark.sql.execution.arrow.maxRecordsPerBatch"
+    before = spark.conf.get(name)
+    spark.conf.set(name, str(min(rows, int(before)) if int(before) > 0 else rows))
+    try:
+        yield
+    finally:
+        spark.conf.set(name, before)
+
+
 def map_texts(df: DataFrame, text_col: str, outputs: list[T.StructField],
               make: Callable[[], Callable[[list[bytes | None]], list]]) -> DataFrame:
     """``df`` plus output columns computed from the text column, batch by batch.

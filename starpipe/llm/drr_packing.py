@@ -45,7 +45,7 @@ from pyspark import TaskContext
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from starpipe.llm.common import shared
+from starpipe.llm.common import arrow_rows, shared
 from starpipe.sources.io import materialize
 
 #: Words whose ids a task remembers; beyond that it starts anew.
@@ -63,6 +63,8 @@ MAX_SOURCES = 100_000
 CELLS = 1 << 17
 #: Pieces that a task holds before it hands them on.
 PIECES = 50_000
+#: Documents that go to a task's Python, and are worked on, at a time.
+ROWS = 500
 
 
 class Known(dict):
@@ -73,6 +75,23 @@ class Known(dict):
         self.missed.append(word)
 
 
+def _loaded(spec: str) -> tuple:
+    """(tokenizer, whether an id ends a word, contents of added tokens) of ``spec``. A worker keeps the last
+    ones from task to task, so many small tasks do not load one each. Functions of this package travel by
+    value and see new globals in each task: the tokenizers package, loaded once a worker, holds them."""
+    import tokenizers
+    held = getattr(tokenizers, "_starpipe_loaded", None)
+    if held is None or held[0] != spec:
+        tokenizer = tokenizers.Tokenizer.from_str(spec)
+        vocab = tokenizer.get_vocab(with_added_tokens=True)
+        parts = json.loads(spec)
+        suffix = parts["model"].get("end_of_word_suffix") or "\0"
+        ends = np.zeros(max(vocab.values()) + 1, bool)
+        ends[[i for t, i in vocab.items() if t.endswith(suffix)]] = True
+        held = tokenizers._starpipe_loaded = (spec, tokenizer, ends, [t["content"] for t in parts.get("added_tokens") or []])
+    return held[1:]
+
+
 class WordTokenizer:
     """Ids of texts, by way of their words, for tokenizers that drop white space and case,
     never join across white space or between letters and punctuation, and mark a word's last id.
@@ -84,19 +103,13 @@ class WordTokenizer:
 
     def __init__(self, spec: str):
         os.environ["TOKENIZERS_PARALLELISM"] = "false"
-        from tokenizers import Tokenizer
-        self.tokenizer = Tokenizer.from_str(spec)
+        self.tokenizer, self.ends, added = _loaded(spec)
         normalizer = self.tokenizer.normalizer
         self.normalized = normalizer.normalize_str if normalizer is not None else str
-        vocab = self.tokenizer.get_vocab(with_added_tokens=True)
-        parts = json.loads(spec)
-        suffix = parts["model"].get("end_of_word_suffix") or "\0"
-        self.ends = np.zeros(max(vocab.values()) + 1, bool)
-        self.ends[[i for t, i in vocab.items() if t.endswith(suffix)]] = True
         self.dtype = np.dtype("<u2" if len(self.ends) <= 1 << 16 else "<u4")
         self.known = Known()
         self.model = self.tokenizer.model
-        self.direct = self._takes_letters([t["content"] for t in parts.get("added_tokens") or []])
+        self.direct = self._takes_letters(added)
 
     def _takes_letters(self, added: list[str]) -> bool:
         """Whether words of a-z reach the model unchanged: asked of the tokenizer."""
@@ -194,8 +207,8 @@ def tokenise(docs: DataFrame, spec: str, end_id: int, id_col: str = "doc_id", te
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         encode, sent, part = WordTokenizer(held()), {}, TaskContext.get().partitionId()
         for batch in batches:
-            for at in range(0, batch.num_rows, 500):
-                some = batch.slice(at, 500)
+            for at in range(0, batch.num_rows, ROWS):
+                some = batch.slice(at, ROWS)
                 sources, n, before, ids = some.column(1).to_pylist(), [], [], []
                 for source, own in zip(sources, encode(some.column(2).cast(pa.binary()).to_pylist(), end_id), strict=True):
                     n.append(len(own))
@@ -314,7 +327,8 @@ def pack(docs: DataFrame, spec: str, end_id: int = 1, window: int = 2048, target
          id_col: str = "doc_id", text_col: str = "text", source_col: str = "source", with_ids: bool = False) -> DataFrame:
     """One row a piece: id, start and length in its document's ids, ids_crc32,
     doc_tokens, sequence_id, offset, and ids (little-endian 32-bit) if asked for."""
-    tokens = materialize(tokenise(docs, spec, end_id, id_col, text_col, source_col), "tokens")
+    with arrow_rows(docs.sparkSession, ROWS):
+        tokens = materialize(tokenise(docs, spec, end_id, id_col, text_col, source_col), "tokens")
     sums = materialize(tokens.groupBy("source", "part").agg(F.sum("n").alias("n")), "token_sums")
     totals, base = _queues(sums, target)
     held = shared(docs.sparkSession, Schedule(totals, window, target))
@@ -331,8 +345,8 @@ def pack(docs: DataFrame, spec: str, end_id: int = 1, window: int = 2048, target
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         schedule = held()
         for batch in batches:
-            for at in range(0, batch.num_rows, 500):
-                some = batch.slice(at, 500)
+            for at in range(0, batch.num_rows, ROWS):
+                some = batch.slice(at, ROWS)
                 id_arrow = some.column(0)
                 rows: list[tuple] = []
                 cols = (some.column(i).to_pylist() for i in (1, 2, 3, 4))

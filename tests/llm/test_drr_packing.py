@@ -1,3 +1,4 @@
+import json
 import random
 import string
 import tracemalloc
@@ -6,12 +7,15 @@ import zlib
 from collections import Counter, defaultdict
 
 import numpy as np
+import pyarrow as pa
 import pytest
 from pyspark.sql import functions as F
 from tokenizers import Tokenizer
 
 from starpipe.llm import drr_packing as drr
+from starpipe.llm.common import arrow_rows
 from starpipe.llm.queries import op7_deficit_round_robin, word_tokenizer
+from starpipe.sources.io import materialize
 from tests.llm.conftest import SF
 
 
@@ -154,6 +158,43 @@ def test_words_of_letters_by_the_model_or_by_a_run():
     assert not drr.WordTokenizer(word_tokenizer())._takes_letters(["abc"])
 
 
+def test_a_worker_keeps_its_tokenizer():
+    """Tasks of one worker share what is loaded of a tokenizer; another one takes its place."""
+    spec = word_tokenizer()
+    a, b = drr.WordTokenizer(spec), drr.WordTokenizer(spec)
+    assert a.tokenizer is b.tokenizer and a.known is not b.known
+    parts = json.loads(spec)
+    vocab = parts["model"]["vocab"]
+    first, second = sorted(vocab)[-2:]
+    vocab[first], vocab[second] = vocab[second], vocab[first]
+    other = drr.WordTokenizer(json.dumps(parts))
+    assert other.tokenizer is not a.tokenizer
+    assert [x.tolist() for x in drr.WordTokenizer(spec)([b"The cat sat."], 1)] == encode(["The cat sat."])
+
+
+@pytest.mark.parametrize("session_rows", ["10000", "5", "0"])
+def test_rows_that_go_to_python_at_a_time(spark, session_rows):
+    name = "spark.sql.execution.arrow.maxRecordsPerBatch"
+    before = spark.conf.get(name)
+    spark.conf.set(name, session_rows)
+    try:
+        sizes = spark.range(0, 100, 1, 1).mapInArrow(lambda it: (pa.RecordBatch.from_pydict({"n": [b.num_rows]}) for b in it), "n long")
+        with pytest.raises(ZeroDivisionError), arrow_rows(spark, 7):
+            assert max(r.n for r in sizes.collect()) == (5 if session_rows == "5" else 7)
+            raise ZeroDivisionError
+        assert spark.conf.get(name) == session_rows
+    finally:
+        spark.conf.set(name, before)
+
+
+def test_tokens_are_written_in_small_batches(spark, monkeypatch):
+    """The bound holds for the job that writes the tokens, whatever the session's is."""
+    seen, name = [], "spark.sql.execution.arrow.maxRecordsPerBatch"
+    monkeypatch.setattr(drr, "materialize", lambda df, label: (seen.append((label, spark.conf.get(name))), materialize(df, label))[1])
+    drr.pack(spark.createDataFrame([(1, "cat", "a")], "doc_id long, text string, source string"), word_tokenizer()).collect()
+    assert dict(seen)["tokens"] == str(drr.ROWS)
+
+
 def test_target_proportions_hold_until_a_queue_is_dry(spark):
     rows = spark.range(400).select(F.col("id").alias("doc_id"), F.repeat(F.lit("cat "), 50).alias("text"),
                                    F.when(F.col("id") % 4 == 0, "a").otherwise("b").alias("source"))
