@@ -49,10 +49,12 @@ def latest_in_order(df: DataFrame, keys: Sequence[str], order: Sequence[OrderIte
     not once for their latest version and again for their place. All versions of one
     key meet in one task, which reads them as a sorted stream; a key with a large
     share of all rows is better served by ``latest_per_key`` and ``add_key``.
+    No column of ``keys`` may hold a NULL: the order is the window's own, so the
+    rows are sorted once.
     """
     from starpipe.operators.keys import with_places
 
-    cols = sort_columns(keys)
+    cols = [F.col(k).asc() for k in keys]
     return with_places(latest_per_key(df.repartitionByRange(*cols), keys, order).sortWithinPartitions(*cols))
 
 

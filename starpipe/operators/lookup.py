@@ -26,7 +26,13 @@ def _salt_width(df: DataFrame) -> int:
     return max(1, int(df.sparkSession.conf.get("spark.sql.shuffle.partitions")))
 
 
-def _left_join_spread_nulls(fact: DataFrame, dim: DataFrame, keys: list[str], how: str) -> DataFrame:
+def _row_salt(df: DataFrame, spread: Sequence[str] | None):
+    """1 to the salt's width, by a hash of the row or of the columns ``spread``."""
+    return F.pmod(F.xxhash64(*[F.col(c) for c in spread or df.columns]), F.lit(_salt_width(df))) + 1
+
+
+def _left_join_spread_nulls(fact: DataFrame, dim: DataFrame, keys: list[str], how: str,
+                            spread: Sequence[str] | None = None) -> DataFrame:
     """``fact`` left/anti-joined to ``dim`` on ``keys``, with NULL keys spread out.
 
     A NULL key never matches, but a sort-merge join still hashes every NULL
@@ -34,14 +40,14 @@ def _left_join_spread_nulls(fact: DataFrame, dim: DataFrame, keys: list[str], ho
     share of a fact. Such rows get a deterministic salt (a row hash over as
     many values as there are shuffle partitions) as an extra join column;
     matched candidates carry salt 0 on both sides, so results are unchanged.
+    ``spread`` names columns that tell the rows apart, such as a surrogate key: with a
+    hash of the whole row, every column travels to the join, read later or not.
     """
     any_null = None
     for k in keys:
         p = F.col(k).isNull()
         any_null = p if any_null is None else any_null | p
-    width = _salt_width(fact)
-    salted = fact.withColumn(_SALT, F.when(any_null, F.pmod(F.xxhash64(*[F.col(c) for c in fact.columns]),
-                                                           F.lit(width)) + 1).otherwise(F.lit(0)).cast("long"))
+    salted = fact.withColumn(_SALT, F.when(any_null, _row_salt(fact, spread)).otherwise(F.lit(0)).cast("long"))
     # Always 0, but computed from the row: a literal 0 would be folded into
     # the join condition and drop out of the hash-partitioning keys.
     right = dim.withColumn(_SALT, F.pmod(F.xxhash64(*[F.col(k) for k in keys]), F.lit(1)).cast("long"))
@@ -65,11 +71,12 @@ def lookup_key(fact: DataFrame, dim: DataFrame, on: str | Sequence[str], key: st
 
 
 def star_lookup(fact: DataFrame, lookups: Sequence[tuple[DataFrame, str | Sequence[str], str]],
-                default: int | None = 0) -> DataFrame:
-    """Chain of ``lookup_key`` calls: [(dim, on, key), ...]."""
+                default: int | None = 0, spread: Sequence[str] | None = None) -> DataFrame:
+    """Chain of ``lookup_key`` calls: [(dim, on, key), ...]. ``spread``: columns that tell the rows
+    apart, for those with a NULL key; by default, all."""
     out = fact
     for dim, on, key in lookups:
-        out = _left_join_spread_nulls(out, dim.select(*_on(on), key), _on(on), "left")
+        out = _left_join_spread_nulls(out, dim.select(*_on(on), key), _on(on), "left", spread)
     if default is not None:
         out = out.fillna({key: default for _, _, key in lookups})
     return out
@@ -93,7 +100,8 @@ def resolve_parent(child: DataFrame, parent: DataFrame, on: str | Sequence[str],
     return _left_join_spread_nulls(child.drop(*replaced), right, keys, "left")
 
 
-def resolve_distinct(child: DataFrame, key: str, with_: str, resolve: Callable[[DataFrame], DataFrame]) -> DataFrame:
+def resolve_distinct(child: DataFrame, key: str, with_: str, resolve: Callable[[DataFrame], DataFrame],
+                     spread: Sequence[str] | None = None) -> DataFrame:
     """Left join ``child`` to what ``resolve`` adds to its distinct pairs of ``key`` and ``with_``.
 
     For lookups one after another, where the second needs what the first one
@@ -105,7 +113,7 @@ def resolve_distinct(child: DataFrame, key: str, with_: str, resolve: Callable[[
     found = resolve(child.select(key, with_).where(F.col(key).isNotNull()).distinct())
     child = child.drop(*[c for c in found.columns if c not in (key, with_)])
     found = found.withColumnsRenamed({key: "_key", with_: "_with"})
-    salt = F.when(F.col(key).isNull(), F.pmod(F.xxhash64(*[F.col(c) for c in child.columns]), F.lit(_salt_width(child))) + 1)
+    salt = F.when(F.col(key).isNull(), _row_salt(child, spread))
     salted = child.withColumn(_SALT, salt.otherwise(F.lit(0)).cast("long"))
     right = found.withColumn("_zero", F.pmod(F.xxhash64("_key"), F.lit(1)).cast("long"))
     met = ((F.col(key) == F.col("_key")) & F.col(with_).eqNullSafe(F.col("_with")) & (F.col(_SALT) == F.col("_zero")))

@@ -113,3 +113,34 @@ def test_lines_are_shuffled_once_to_become_attendances(spark):
     finally:
         spark.conf.unset("spark.sql.autoBroadcastJoinThreshold")
         spark.conf.set("spark.sql.adaptive.enabled", "true")
+
+
+def test_columns_of_the_fact_that_a_query_does_not_read_are_not_shuffled(spark):
+    """All lookups stay; the salt of rows without a key does not drag whole rows to the joins."""
+    from starpipe.plans.registry import Warehouse
+    from tests.conftest import SF_SMALL
+
+    w = Warehouse(spark, SF_SMALL)
+    whole, narrow = w.build_fact_att(), w.build_fact_att().select("AttendanceFactKey", "AttendanceId")
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    spark.conf.set("spark.sql.adaptive.enabled", "false")
+    try:
+        assert _wide_exchanges(whole, "CreatedOn") > 0 and _wide_exchanges(whole, "TimeEnd") > 0
+        assert _wide_exchanges(narrow, "CreatedOn") == 0 and _wide_exchanges(narrow, "TimeEnd") == 0
+        assert _plan(whole).count("LeftOuter") == _plan(narrow).count("LeftOuter") > 0
+    finally:
+        spark.conf.unset("spark.sql.autoBroadcastJoinThreshold")
+        spark.conf.set("spark.sql.adaptive.enabled", "true")
+
+
+def test_latest_versions_in_key_order_are_sorted_once(spark):
+    from starpipe import contracts as C
+    from starpipe.plans.clean import clean_in_key_order
+    from starpipe.sources.fixtures import stg_attendance
+    from tests.conftest import SF_SMALL
+
+    spark.conf.set("spark.sql.adaptive.enabled", "false")
+    try:
+        assert _plan(clean_in_key_order(stg_attendance(spark, SF_SMALL), C.ATTENDANCE)).count("Sort [AttendanceId") == 1
+    finally:
+        spark.conf.set("spark.sql.adaptive.enabled", "true")
