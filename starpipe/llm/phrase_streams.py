@@ -11,7 +11,9 @@ External stream layout. No table of counts is ever probed by hash:
    the tokens as numbers in the block.
 2. *Words.* Word counts are summed. Words of ``min_count`` and more get dense
    numbers in the order (language, word); all others break a phrase, as no
-   phrase that holds one is frequent. Each block gets the numbers of its own words.
+   phrase that holds one is frequent. Each block gets the numbers of its own words: words
+   travel in packed rows, one a block and bucket of a hash, to the packed words of that language and bucket.
+   A bitmap, the same size for any corpus, keeps most of a block's other words at home.
 3. *Pairs.* A block sums its equal pairs of neighbours. The pairs are laid in
    prefix order (range partitions, sorted), and one scan counts them. A run that
    touches an end of a part is summed with its other parts.
@@ -39,10 +41,12 @@ are ignored. Sums are 64-bit integers, scores 38-digit decimals.
 
 from __future__ import annotations
 
+import zlib
 from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark import TaskContext
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
@@ -57,6 +61,10 @@ _FOLD = bytes(b + 32 if 65 <= b <= 90 else 10 if b in b".,;:!?\n\x0b\x0c\r" else
 SPREAD = 256
 #: Bits of the bitmap of frequent pairs (16 MB), a power of two, 32,768 at least.
 PAIR_BITS = 1 << 27
+#: Bits of the bitmap of frequent words, as for pairs.
+WORD_BITS = 1 << 27
+#: Frequent words for which a further bucket is made (to the next power of two).
+BUCKET_WORDS = 1 << 16
 
 
 def _tokens(text: bytes) -> list[bytes]:
@@ -137,7 +145,12 @@ def pair_bitmap(pairs: DataFrame, bits: int = PAIR_BITS) -> np.ndarray:
         for batch in batches:
             yield _record({"bit": _pair_place(batch.column("w1").to_numpy(), batch.column("w2").to_numpy(), bits) + 1})
 
-    pieces = (pairs.select("w1", "w2").mapInArrow(run, "bit long").groupBy(F.bitmap_bucket_number("bit").alias("bucket"))
+    return _bitmap(pairs.select("w1", "w2").mapInArrow(run, "bit long"), bits)
+
+
+def _bitmap(places: DataFrame, bits: int) -> np.ndarray:
+    """The bitmap of ``places(bit)``, which count from 1, as bytes."""
+    pieces = (places.groupBy(F.bitmap_bucket_number("bit").alias("bucket"))
               .agg(F.bitmap_construct_agg(F.bitmap_bit_position("bit")).alias("piece")).collect())
     out = np.zeros(bits // 8, np.uint8)
     for r in pieces:      # buckets count from 1; each is 4,096 bytes
@@ -145,6 +158,50 @@ def pair_bitmap(pairs: DataFrame, bits: int = PAIR_BITS) -> np.ndarray:
     return out
 
 
+def own_numbers(blocks: DataFrame, words: DataFrame, buckets: int | None = None, bits: int = WORD_BITS) -> DataFrame:
+    """(block, own): for each block, the places and numbers of those of its words that ``words(lang, word, id)`` has."""
+    if buckets is None:
+        buckets = 1 << (words.count() // BUCKET_WORDS).bit_length()
+    crc = F.crc32(F.concat(F.col("lang"), F.lit("\0"), F.col("word")).cast("binary"))
+    bitmap = words.sparkSession.sparkContext.broadcast(_bitmap(words.select((crc % bits + 1).alias("bit")), bits))
+    packed = (words.groupBy("lang", (crc % buckets).cast("int").alias("bucket"))
+              .agg(F.collect_list(F.struct("word", "id")).alias("x")).select("lang", "bucket", "x.word", "x.id"))
+
+    def split(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            for i in range(batch.num_rows):
+                lang, own = batch.column("lang")[i].as_py(), batch.column("words")[i].values
+                before = zlib.crc32(lang.encode() + b"\0")
+                mixed = np.array([zlib.crc32(w, before) for w in own.cast(pa.binary()).to_pylist()], np.int64)
+                bit = mixed % bits
+                at = np.flatnonzero((bitmap.value[bit >> 3] >> (bit & 7).astype(np.uint8)) & 1)
+                at = at[np.argsort(mixed[at] % buckets, kind="stable")]
+                some, first = np.unique(mixed[at] % buckets, return_index=True)
+                cuts = pa.array([*first.tolist(), len(at)], pa.int32())
+                yield pa.RecordBatch.from_arrays(
+                    [pa.array([batch.column("block")[i].as_py()] * len(some), pa.int64()), pa.array([lang] * len(some), pa.string()),
+                     pa.array(some, pa.int32()), pa.ListArray.from_arrays(cuts, pa.array(at, pa.int64())),
+                     pa.ListArray.from_arrays(cuts, own.take(pa.array(at)).cast(pa.string()))],
+                    names=["block", "lang", "bucket", "at", "words"])
+
+    def match(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            for i in range(batch.num_rows):
+                at, own, word, ids = (batch.column(c)[i].values for c in ("at", "words", "word", "id"))
+                place = pc.index_in(own, value_set=word)
+                met = place.is_valid()
+                pairs = pa.StructArray.from_arrays([at.filter(met), ids.take(place.drop_null())], names=["at", "id"])
+                if len(pairs):
+                    yield pa.RecordBatch.from_arrays(
+                        [batch.column("block").slice(i, 1), pa.ListArray.from_arrays(pa.array([0, len(pairs)], pa.int32()), pairs)],
+                        names=["block", "own"])
+
+    sent = blocks.select("block", "lang", "words").mapInArrow(split, "block long, lang string, bucket int, at array<long>, words array<string>")
+    return (sent.join(packed, ["lang", "bucket"]).select("block", "at", "words", "word", "id")
+            .mapInArrow(match, "block long, own array<struct<at: long, id: long>>")
+            .groupBy("block").agg(F.flatten(F.collect_list("own")).alias("own")))
+
+
 def windows(numbered: DataFrame, longest: int, shortest: int = 2, bitmap: np.ndarray | None = None) -> DataFrame:
     """(w1.., n): each block's different windows of ``shortest`` words and more, in prefix order,
     with their count. A window ends before a pair that is not in the ``bitmap``."""
@@ -250,8 +307,7 @@ def _prefix_counts(ordered: DataFrame, longest: int, min_count: int, shortest: i
 def frequent_phrases(blocks: DataFrame, words: DataFrame, longest: int, min_count: int) -> DataFrame:
     """(w1.., a): the count of every phrase of 1 to ``longest`` words with ``min_count`` and more."""
     names = _named(longest)
-    own = (blocks.select("block", "lang", F.posexplode("words").alias("at", "word"))
-           .join(words, ["lang", "word"]).groupBy("block").agg(F.collect_list(F.struct(F.col("at").cast("long").alias("at"), "id")).alias("own")))
+    own = own_numbers(blocks, words)
     numbered = materialize(blocks.select("block", "tokens").join(own, "block").select("tokens", "own"), "numbered")
 
     def counted(stream: DataFrame, shortest: int, size: int) -> DataFrame:

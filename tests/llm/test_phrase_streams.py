@@ -111,3 +111,22 @@ def test_scores_beyond_64_bits_are_exact(spark):
     df = spark.createDataFrame(big, "a long, n long, l long, r long")
     rows = df.select(*df.columns, P.score(*map(F.col, df.columns)).cast("long").alias("s")).collect()
     assert [r["s"] for r in rows] == [1000 * a * n // (le * r) for a, n, le, r in big]
+
+
+@pytest.mark.parametrize("buckets, bits", [(1, 1 << 15), (8, 1 << 15), (8, 1 << 27), (None, 1 << 27)])
+def test_numbers_of_a_blocks_words_in_packed_rows(spark, documents, buckets, bits):
+    """As many rows in the join as blocks and buckets, not one for each word of a block."""
+    blocks = P.make_blocks(documents, "lang", "text", 20_000).cache()
+    all_words = blocks.select("lang", F.explode("words").alias("word")).distinct()
+    words = all_words.where(F.crc32(F.col("word").cast("binary")) % 3 == 0).withColumn("id", F.monotonically_increasing_id() + 1).cache()
+    want = {}
+    for r in blocks.select("block", "lang", F.posexplode("words").alias("at", "word")).join(words, ["lang", "word"]).collect():
+        want.setdefault(r.block, set()).add((r["at"], r["id"]))
+    found = P.own_numbers(blocks, words, buckets, bits)
+    rows = found.collect()
+    assert {r.block: {(x["at"], x["id"]) for x in r.own} for r in rows} == want and len(rows) == len(want)
+    assert sum(len(r.own) for r in rows) == sum(map(len, want.values()))
+    plan = found._jdf.queryExecution().optimizedPlan().toString()
+    joins = re.findall(r"Join [^\n]*", plan)
+    assert len(joins) == 1 and "bucket#" in joins[0] and "word#" not in joins[0]
+    blocks.unpersist(), words.unpersist()
