@@ -51,6 +51,7 @@ from pyspark import TaskContext
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from starpipe.llm.common import arrow_rows
 from starpipe.llm.lm_interpolation import _grow, _mix, _shrink
 from starpipe.operators.keys import add_key, range_layout
 from starpipe.sources.io import materialize
@@ -65,6 +66,12 @@ PAIR_BITS = 1 << 27
 WORD_BITS = 1 << 27
 #: Frequent words for which a further bucket is made (to the next power of two).
 BUCKET_WORDS = 1 << 16
+#: Windows, or tokens, of a block for which a task makes work arrays at once; a first word with more windows is taken whole.
+AT_ONCE = 1 << 18
+#: Texts that a task hands to Python at a time.
+TEXT_ROWS = 500
+#: The same of packed rows, each of which carries up to a whole bucket of frequent words.
+PACKED_ROWS = 4
 
 
 def _tokens(text: bytes) -> list[bytes]:
@@ -91,14 +98,14 @@ def make_blocks(docs: DataFrame, lang_col: str, text_col: str, block_tokens: int
             words = list(numbers)
             # 0 stays the break; the others are numbered by falling count, which packs well.
             order = np.concatenate([[0], 1 + np.argsort(-counts[1:], kind="stable")])
-            rank = np.empty_like(order)
+            rank = np.empty(len(order), "<u4")
             rank[order] = np.arange(len(order))
             serial += 1
             return pa.RecordBatch.from_arrays(
                 [pa.array([(part << 32) + serial], pa.int64()), pa.array([lang]),
                  pa.array([[words[i].decode() for i in order[1:]]], pa.list_(pa.string())),
                  pa.array([counts[order[1:]]], pa.list_(pa.int64())), pa.array([int(counts[1:].sum())], pa.int64()),
-                 pa.array([_shrink(rank[tokens].astype("<u4"))], pa.binary())],
+                 pa.array([_shrink(rank[tokens])], pa.binary())],
                 names=["block", "lang", "words", "counts", "total", "tokens"])
 
         for batch in batches:
@@ -197,7 +204,8 @@ def own_numbers(blocks: DataFrame, words: DataFrame, buckets: int | None = None,
                         names=["block", "own"])
 
     sent = blocks.select("block", "lang", "words").mapInArrow(split, "block long, lang string, bucket int, at array<long>, words array<string>")
-    return (sent.join(packed, ["lang", "bucket"]).select("block", "at", "words", "word", "id")
+    # Never a broadcast: both Python steps would run in one task, with two workers for each core, which stay and keep their memory.
+    return (sent.join(packed.hint("merge"), ["lang", "bucket"]).select("block", "at", "words", "word", "id")
             .mapInArrow(match, "block long, own array<struct<at: long, id: long>>")
             .groupBy("block").agg(F.flatten(F.collect_list("own")).alias("own")))
 
@@ -215,33 +223,43 @@ def windows(numbered: DataFrame, longest: int, shortest: int = 2, bitmap: np.nda
                 own = batch.column("own")[i].values
                 at, ids = own.field("at").to_numpy(), own.field("id").to_numpy()
                 order = np.argsort(ids)
-                place = np.zeros(max(int(tokens.max()), int(at.max()) + 1) + 1, np.int64)
+                place = np.zeros(max(int(tokens.max()), int(at.max()) + 1) + 1, np.int32)
                 place[at[order] + 1] = np.arange(1, len(order) + 1)      # numbers in the block, in the order of ids
                 ids = np.concatenate([[0], ids[order]])
-                seq = np.concatenate([place[tokens], np.zeros(longest, np.int64)])
+                seq = np.zeros(len(tokens) + longest, np.int32)
+                for a in range(0, len(tokens), AT_ONCE):
+                    seq[a:a + AT_ONCE][:len(tokens) - a] = place[tokens[a:a + AT_ONCE]]
                 link = (seq[:-1] > 0) & (seq[1:] > 0)
-                if held is not None:
-                    joint = np.flatnonzero(link)
+                for a in range(0, len(link) if held is not None else 0, AT_ONCE):
+                    joint = a + np.flatnonzero(link[a:a + AT_ONCE])
                     bit = _pair_place(ids[seq[joint]], ids[seq[joint + 1]], 8 * len(held.value))
                     link[joint] = (held.value[bit >> 3] >> (bit & 7).astype(np.uint8)) & 1
                 begins = link.copy()
                 for k in range(1, shortest - 1):
                     begins[:-k] &= link[k:]
-                begin = np.flatnonzero(begins)
-                if not len(begin):
-                    continue
-                cols = np.empty((longest, len(begin)), np.int32)
-                going, code = np.ones(len(begin), bool), np.zeros(len(begin), np.int64)
-                for k in range(longest):
-                    if k:
-                        going &= link[begin + k - 1]
-                    cols[k] = np.where(going, seq[begin + k], 0)
-                    # Equal codes are equal windows so far, and codes keep their order.
-                    values, first, code, n = np.unique(code * len(ids) + cols[k], return_index=True, return_inverse=True,
-                                                       return_counts=True)
-                for a in range(0, len(first), 1 << 16):
-                    part = first[a:a + (1 << 16)]
-                    yield _record({**{w: ids[cols[k][part]] for k, w in enumerate(names)}, "n": n[a:a + (1 << 16)].astype(np.int64)})
+                firsts = np.where(begins, seq[:-1], 0)
+                size = sum(np.bincount(firsts[a:a + AT_ONCE], minlength=len(ids)) for a in range(0, len(firsts), AT_ONCE))
+                size[0] = 0
+                ends, word = np.cumsum(size), 1
+                while word < len(ids):
+                    # The windows of some first words at a time; equal windows have the same first word.
+                    beyond = max(word + 1, int(np.searchsorted(ends, ends[word - 1] + AT_ONCE, "right")))
+                    begin = np.flatnonzero((firsts >= word) & (firsts < beyond))
+                    word = beyond
+                    if not len(begin):
+                        continue
+                    cols = np.empty((longest, len(begin)), np.int32)
+                    going, code = np.ones(len(begin), bool), np.zeros(len(begin), np.int64)
+                    for k in range(longest):
+                        if k:
+                            going &= link[begin + k - 1]
+                        cols[k] = np.where(going, seq[begin + k], 0)
+                        # Equal codes are equal windows so far, and codes keep their order.
+                        values, first, code, n = np.unique(code * len(ids) + cols[k], return_index=True, return_inverse=True,
+                                                           return_counts=True)
+                    for a in range(0, len(first), 1 << 16):
+                        part = first[a:a + (1 << 16)]
+                        yield _record({**{w: ids[cols[k][part]] for k, w in enumerate(names)}, "n": n[a:a + (1 << 16)].astype(np.int64)})
 
     return numbered.mapInArrow(run, ", ".join(f"{w} long" for w in [*names, "n"]))
 
@@ -308,7 +326,8 @@ def frequent_phrases(blocks: DataFrame, words: DataFrame, longest: int, min_coun
     """(w1.., a): the count of every phrase of 1 to ``longest`` words with ``min_count`` and more."""
     names = _named(longest)
     own = own_numbers(blocks, words)
-    numbered = materialize(blocks.select("block", "tokens").join(own, "block").select("tokens", "own"), "numbered")
+    with arrow_rows(blocks.sparkSession, PACKED_ROWS):
+        numbered = materialize(blocks.select("block", "tokens").join(own, "block").select("tokens", "own"), "numbered")
 
     def counted(stream: DataFrame, shortest: int, size: int) -> DataFrame:
         keys = names[:size]
@@ -426,7 +445,8 @@ def mine(docs: DataFrame, lang_col: str = "lang", text_col: str = "text", longes
     if longest < 2:
         raise ValueError("a phrase has two words at least")
     names = _named(longest)
-    blocks = materialize(make_blocks(docs, lang_col, text_col, block_tokens), "phrase_blocks")
+    with arrow_rows(docs.sparkSession, TEXT_ROWS):
+        blocks = materialize(make_blocks(docs, lang_col, text_col, block_tokens), "phrase_blocks")
     sums = (blocks.select("lang", F.explode(F.arrays_zip("words", "counts")).alias("x"))
             .groupBy("lang", F.col("x.words").alias("word")).agg(F.sum("x.counts").alias("n")).where(F.col("n") >= min_count))
     words = materialize(add_key(materialize(sums, "frequent_words"), "id", ["lang", "word"], unique=True), "words")

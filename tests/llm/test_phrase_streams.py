@@ -1,8 +1,11 @@
 import random
 import re
+import tracemalloc
 from collections import Counter, defaultdict
+from types import SimpleNamespace
 
 import numpy as np
+import pyarrow as pa
 import pytest
 from pyspark.sql import functions as F
 
@@ -130,3 +133,55 @@ def test_numbers_of_a_blocks_words_in_packed_rows(spark, documents, buckets, bit
     joins = re.findall(r"Join [^\n]*", plan)
     assert len(joins) == 1 and "bucket#" in joins[0] and "word#" not in joins[0]
     blocks.unpersist(), words.unpersist()
+
+
+def test_both_python_steps_of_the_packed_join_are_in_tasks_of_their_own(spark, documents):
+    """However few words there are: a broadcast would put both in one task, with two workers a core."""
+    blocks = P.materialize(P.make_blocks(documents, "lang", "text", 20_000))
+    words = P.materialize(blocks.select("lang", F.explode("words").alias("word")).distinct()
+                          .withColumn("id", F.monotonically_increasing_id() + 1))
+    found = P.own_numbers(blocks, words, 2)
+    found.collect()
+    plan = found._jdf.queryExecution().executedPlan().toString().split("Initial Plan")[0]
+    assert "SortMergeJoin" in plan and "BroadcastHashJoin" not in plan and plan.count("MapInArrow") == 2
+
+
+@pytest.mark.parametrize("longest, shortest", [(2, 2), (5, 3)])
+def test_a_blocks_windows_take_little_memory(longest, shortest, monkeypatch):
+    """A block of 1.5 million tokens, by a few first words at a time: 120 and 83 MB before, and the same rows however many at a time."""
+    rng = np.random.default_rng(1)
+    tokens = np.minimum(rng.zipf(1.25, 1_500_000), 60_000).astype("<u4")
+    ids = rng.permutation(200_000)[:20_000] + 1
+    own = pa.array([[{"at": i, "id": int(x)} for i, x in enumerate(ids)]])
+    batch = pa.RecordBatch.from_arrays([pa.array([P._shrink(tokens)], pa.binary()), own], names=["tokens", "own"])
+    bitmap = None if shortest == 2 else rng.integers(0, 256, 1 << 20, dtype=np.uint8)
+    driver = SimpleNamespace(sparkContext=SimpleNamespace(broadcast=lambda value: SimpleNamespace(value=value)))
+    numbered = SimpleNamespace(sparkSession=driver, mapInArrow=lambda run, schema: run)
+    found = []
+    for at_once in (None, 5_000, 1 << 30):
+        if at_once:
+            monkeypatch.setattr(P, "AT_ONCE", at_once)
+        run = P.windows(numbered, longest, shortest, bitmap)
+        tracemalloc.start()
+        rows = list(run(iter([batch])))
+        peak = tracemalloc.get_traced_memory()[1] - sum(b.nbytes for b in rows)
+        tracemalloc.stop()
+        assert at_once or peak < 70e6
+        found.append(pa.Table.from_batches(rows).combine_chunks())
+    assert found[0].num_rows > 100_000 and found[0].equals(found[1]) and found[0].equals(found[2])
+
+
+def test_few_large_rows_are_handed_to_python_at_a_time(spark, make_docs, monkeypatch):
+    """Else a task holds all packed rows of its bucket at once, which grow with the number of blocks."""
+    name, at, written = "spark.sql.execution.arrow.maxRecordsPerBatch", {}, P.materialize
+    before = spark.conf.get(name)
+
+    def note(df, label):
+        at[label] = int(spark.conf.get(name))
+        return written(df, label)
+
+    monkeypatch.setattr(P, "materialize", note)
+    rows = texts(1)
+    assert got(P.mine(make_docs(rows), min_count=4, block_tokens=300)) == brute([(lang, t) for _, t, lang in rows], 4)
+    assert at["phrase_blocks"] == P.TEXT_ROWS and at["numbered"] == P.PACKED_ROWS
+    assert at["pairs"] == at["phrases"] == int(before) and spark.conf.get(name) == before
